@@ -103,11 +103,13 @@ def bucketize(c: Column | str, bounds: Sequence[float], labels: Sequence[str],
 
 
 def currency_heuristic(c: Column | str, threshold: float, rate: float = 25000.0,
-                       dtype: str = "decimal(18,2)") -> Column:
+                       dtype: str = "decimal(20,8)", in_type: str = "decimal(18,2)") -> Column:
     """PRJ-11: amounts above ``threshold`` are taken to be in local currency
-    and divided by ``rate``; result cast to ``dtype``."""
-    x = as_col(c).cast("decimal(38,6)")
-    return F.when(x > F.lit(threshold), x / F.lit(rate)).otherwise(x).cast(dtype)
+    and divided by ``rate``.  Decimal arithmetic throughout (input cast to
+    ``in_type`` keeps Spark's result scale wide enough to stay exact)."""
+    x = as_col(c).cast(in_type)
+    r = F.lit(rate).cast("decimal(18,6)")
+    return F.when(x > F.lit(threshold), x / r).otherwise(x).cast(dtype)
 
 
 def digits_only_number(c: Column | str, keep_dot: bool = False,

@@ -40,7 +40,7 @@ def days_between(later: Column | str, earlier: Column | str) -> Column:
 def parse_dmy(c: Column | str) -> Column:
     """``to_date(x, 'DD/MM/YYYY')`` accepting one- or two-digit day/month;
     unparseable text -> null."""
-    return F.try_to_date(blank_to_null(c), F.lit("d/M/yyyy"))
+    return F.try_to_date(blank_to_null(c), "d/M/yyyy")
 
 
 def as_utc(c: Column | str, tz: str = "UTC") -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeward.plans import ranking, relations  # noqa: F401
+from lakeward.plans import ranking, relations, shaping  # noqa: F401
 from lakeward.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
