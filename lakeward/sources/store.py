@@ -104,10 +104,12 @@ class TableStore:
         df.write.mode("errorifexists").parquet(path)
         return path
 
-    def _publish(self, table: str, paths: Sequence[str], schema: str, rows: int, batch_id: str | None) -> None:
+    def _publish(self, table: str, paths: Sequence[str], schema: str, rows: int, batch_id: str | None,
+                 keep_batches: bool = False) -> None:
         old = self.manifest(table)
+        batches = (old.get("batches", []) if (old and keep_batches) else []) + ([batch_id] if batch_id else [])
         m = {"version": (old["version"] + 1) if old else 1, "paths": list(paths), "schema": schema,
-             "rows": rows, "batch_id": batch_id}
+             "rows": rows, "batch_id": batch_id, "batches": batches}
         _write_text(self.spark, f"{self._dir(table)}/_manifest.json", json.dumps(m))
 
     def _check_schema(self, df: DataFrame, table: str) -> None:
@@ -136,11 +138,16 @@ class TableStore:
 
     # SNK-4
     def load_append(self, df: DataFrame, table: str, batch_id: str | None = None) -> int:
+        """Plain append.  Idempotent per ``batch_id``: a batch already applied
+        (e.g. a micro-batch replayed after a failure) is skipped."""
         self._check_schema(df, table)
         old = self.manifest(table)
+        if old and batch_id and batch_id in old.get("batches", []):
+            return 0
         path, n = self._count_while_writing(df, table)
         paths = (old["paths"] if old else []) + [path]
-        self._publish(table, paths, df.schema.json(), (old["rows"] if old else 0) + n, batch_id)
+        self._publish(table, paths, df.schema.json(), (old["rows"] if old else 0) + n, batch_id,
+                      keep_batches=True)
         return n
 
     # SNK-5
