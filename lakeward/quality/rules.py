@@ -79,7 +79,7 @@ def _pct(bad: Column, n: Column) -> Column:
 def _mostly_ok(bad: Column, nonnull: Column, mostly: float) -> Column:
     # pass when (1 - bad / nonnull) >= mostly, compared exactly in decimals
     return F.when(nonnull == 0, F.lit(True)).otherwise(
-        (nonnull - bad).cast("decimal(38,0)") >= (nonnull.cast("decimal(38,0)") * F.lit(mostly).cast("decimal(10,6)")))
+        (nonnull - bad).cast("decimal(30,6)") >= (nonnull.cast("decimal(20,0)") * F.lit(mostly).cast("decimal(10,6)")))
 
 
 def _result(rule: Rule, success: Column, n: Column, bad: Column | None, observed: Column,
