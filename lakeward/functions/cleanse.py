@@ -47,10 +47,14 @@ def lenient_cast(c: Column | str, dtype: str | T.DataType) -> Column:
     return blank_to_null(c).try_cast(dtype)
 
 
+# The same set as Unicode's White_Space property, which Java regex matches
+# natively (much faster than the spelled-out class on long texts).
+JAVA_WHITESPACE = "\\p{IsWhite_Space}"
+
+
 def collapse_spaces(c: Column | str) -> Column:
-    """Trim and collapse every run of white space to one ASCII space."""
-    s = F.regexp_replace(as_col(c), WHITESPACE_CLASS + "+", " ")
-    return F.regexp_replace(s, "^ | $", "")
+    """Collapse every run of white space to one ASCII space, then trim."""
+    return F.trim(F.regexp_replace(as_col(c), JAVA_WHITESPACE + "+", " "))
 
 
 def sentinel_to_null(c: Column | str, tokens: Iterable[str]) -> Column:

@@ -24,7 +24,8 @@ def apply_alias_map(df: DataFrame, name: str, aliases: DataFrame | None, out: st
     if aliases is None:
         return df.withColumn(out, F.col(name))
     a = aliases.select(match_key("alias").alias("__ak"), F.col("canonical").alias("__canon"))
-    return (df.join(broadcast_bounded(a, ALIAS_MAX_ROWS), match_key(name) == F.col("__ak"), "left")
+    keyed = df.withColumn("__ak", match_key(name))
+    return (keyed.join(broadcast_bounded(a, ALIAS_MAX_ROWS), "__ak", "left")
             .withColumn(out, F.coalesce("__canon", name)).drop("__ak", "__canon"))
 
 

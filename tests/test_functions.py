@@ -88,3 +88,11 @@ def test_parse_dmy_and_three_valued(spark):
         [True, True, False]
     assert one(spark, [(None, None), (1, None), (1, 1)], "a int, b int", distinct_from("a", "b")) == \
         [False, True, False]
+
+
+def test_java_white_space_property_equals_fixed_list(spark):
+    from lakeward.functions.cleanse import JAVA_WHITESPACE, WHITESPACE_CHARS
+    cands = [chr(c) for c in range(0, 0x3100)]
+    df = spark.createDataFrame([(c,) for c in cands], "c string")
+    hit = {r.c for r in df.filter(F.regexp_like("c", F.lit("^" + JAVA_WHITESPACE + "$"))).collect()}
+    assert hit == set(WHITESPACE_CHARS)
