@@ -106,18 +106,55 @@ def partition_size(df: DataFrame, keys: Sequence[str], out: str = "partition_row
     return null_safe_join(df, counts, keys, "inner")
 
 
+# Keys with more rows than this are numbered by the range-partitioned path.
+HOT_KEY_ROWS = 2_000_000
+# At most this many hot keys are listed on the driver; beyond it every key
+# takes the range-partitioned path.
+MAX_HOT_KEYS = 10_000
+
+
 def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column],
-                    out: str = "position", num_partitions: int | None = None) -> DataFrame:
+                    out: str = "position", num_partitions: int | None = None,
+                    hot_key_rows: int | None = None) -> DataFrame:
     """WIN-6/7: ``row_number() over (partition by keys order by order)``
-    without putting a whole key into one task.
+    without putting a whole hot key into one task.
+
+    A partial count per key (map-side combined) finds the keys holding more
+    than ``hot_key_rows`` rows; their number is bounded by
+    rows / hot_key_rows, and at most MAX_HOT_KEYS of them are listed.
+    Ordinary keys are numbered by a plain window (each window group is at most
+    ``hot_key_rows`` rows); hot keys by :func:`sequence_within_ranged`.
+    Give a total order: ties are numbered in an arbitrary but fixed order."""
+    limit = hot_key_rows or int(df.sparkSession.conf.get("lakeward.hotKeyRows", str(HOT_KEY_ROWS)))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.filter(F.col("__n") > F.lit(limit)).select(*keys).limit(MAX_HOT_KEYS + 1).collect()
+    orders = as_orders(order)
+    if len(hot) > MAX_HOT_KEYS:
+        return sequence_within_ranged(df, keys, orders, out, num_partitions)
+    w = Window.partitionBy(*keys).orderBy(*[o.sort_col() for o in orders])
+    if not hot:
+        return df.withColumn(out, F.row_number().over(w).cast("long"))
+    # at most MAX_HOT_KEYS rows: a bounded broadcast
+    hot_df = F.broadcast(df.sparkSession.createDataFrame(hot, counts.select(*keys).schema)
+                         .toDF(*[f"__h_{k}" for k in keys]))
+    cond = [df[k].eqNullSafe(F.col(f"__h_{k}")) for k in keys]
+    cold = df.join(hot_df, cond, "left_anti")
+    hot_rows = df.join(hot_df, cond, "left_semi")
+    return cold.withColumn(out, F.row_number().over(w).cast("long")).unionByName(
+        sequence_within_ranged(hot_rows, keys, orders, out, num_partitions))
+
+
+def sequence_within_ranged(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column],
+                           out: str = "position", num_partitions: int | None = None) -> DataFrame:
+    """Row numbers within keys for data whose keys may each exceed one task.
 
     1. range-partition on (keys, order) -> a hot key spans several tasks;
-    2. number rows inside each task (sorted) and checkpoint, so the numbering
-       is stable if a task is recomputed after an executor loss;
+    2. number rows inside each task (sorted) and checkpoint to the shared
+       checkpoint folder, so the numbering is stable if a task is recomputed
+       after an executor loss;
     3. per (task, key): first local number and row count (small aggregate);
        offsets = running sum of counts of earlier tasks for the same key;
     4. position = offset + local - first + 1.
-    Give a total order: ties are numbered in an arbitrary but fixed order.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)

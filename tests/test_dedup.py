@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeward.operators.dedup import (first_by, latest_by, mutual_best_match, partition_size, sequence_within,
-                                      unique_name_lookup)
+                                      sequence_within_ranged, unique_name_lookup)
 from lakeward.operators.ordering import asc, desc, numeric_first
 
 
@@ -39,11 +39,14 @@ def test_sequence_within_matches_window_on_hot_key(spark):
     rows = [("hot", rnd.randint(0, 10_000), i) for i in range(6000)] + \
            [(f"k{i % 50}", rnd.randint(0, 100), i) for i in range(3000)] + [(None, 1, -1), (None, 0, -2)]
     df = spark.createDataFrame(rows, "key string, o int, id int")
-    got = sequence_within(df, ["key"], [asc("o"), asc("id")], num_partitions=8)
     w = Window.partitionBy("key").orderBy("o", "id")
     want = df.withColumn("position", F.row_number().over(w).cast("long"))
-    assert got.exceptAll(want.select(*got.columns)).count() == 0
-    assert got.count() == df.count()
+    for hot_rows in (1000, 10_000_000):      # with and without a hot key
+        got = sequence_within(df, ["key"], [asc("o"), asc("id")], num_partitions=8, hot_key_rows=hot_rows)
+        assert got.exceptAll(want.select(*got.columns)).count() == 0
+        assert got.count() == df.count()
+    ranged_only = sequence_within_ranged(df, ["key"], [asc("o"), asc("id")], num_partitions=8)
+    assert ranged_only.exceptAll(want.select(*ranged_only.columns)).count() == 0
     # the hot key is spread over several range partitions
     ranged = df.repartitionByRange(8, "key", "o", "id")
     parts = ranged.filter(F.col("key") == "hot").select(F.spark_partition_id()).distinct().count()
