@@ -19,7 +19,7 @@ from lakeward.quality.reconcile import key_gap, layer_metrics, reconcile
 from lakeward.sources.grid import grid_to_table
 from lakeward.sources.jdbc import watermark_summary
 from lakeward.sources.landing import coerce_time_suffix, field_mapping, scan_csv_incremental
-from lakeward.sources.ledger import last_success, rollback_target
+from lakeward.sources.ledger import history, last_success, rollback_target
 from lakeward.sources.pages import (flatten_pages, flatten_search_hits, month_partitions,
                                     page_chain_check)
 from lakeward.sources.store import merge_by_key
@@ -95,6 +95,18 @@ def ledger_last_success(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("source_id", "batch_id", ts_text("extracted_at").alias("extracted_at"))
 
 
+@query("ledger_history", "REG-5, SRT-3", sql="""
+SELECT source_id, batch_id, strftime(extracted_at, '%Y-%m-%d %H:%M:%S.%f') AS extracted_at FROM (
+  SELECT o_orderpriority AS source_id, 'b_' || CAST(o_orderkey AS VARCHAR) AS batch_id, o_orderdate AS extracted_at
+  FROM orders WHERE o_orderpriority = '1-URGENT'
+  ORDER BY o_orderdate DESC NULLS LAST, 'b_' || CAST(o_orderkey AS VARCHAR) DESC LIMIT 20)
+""")
+def ledger_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 newest batches of one source (a top-k report: the limit is the feature)."""
+    h = history(orders_ledger(Tables(spark, sf)), "1-URGENT", 20)
+    return h.select("source_id", "batch_id", ts_text("extracted_at").alias("extracted_at"))
+
+
 @query("ledger_as_of", "REG-4, JN-20", sql=LEDGER_PICK_SQL.format(
     extra="AND CAST(o_orderdate AS DATE) <= DATE '1998-06-30'"))
 def ledger_as_of(spark: SparkSession, sf: str) -> DataFrame:

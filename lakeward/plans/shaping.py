@@ -256,14 +256,15 @@ def q_key_set_diff(spark: SparkSession, sf: str) -> DataFrame:
                         "o_orderkey", "orders", "lineitem")
 
 
-@query("conditional_aggs", "AGG-2/4/5, JN-1", sql="""
+@query("conditional_aggs", "AGG-2/3/4/5, JN-1", sql="""
 SELECT l_suppkey,
        CAST(max(l_shipdate) FILTER (WHERE l_linestatus = 'F') AS DATE) AS last_shipped_date,
        avg(CASE WHEN l_shipdate IS NOT NULL AND o_orderdate IS NOT NULL
                 THEN CAST(CAST(l_shipdate AS DATE) - CAST(o_orderdate AS DATE) AS INTEGER) END) AS avg_ship_days,
        CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER (WHERE l_returnflag = 'R') AS DECIMAL(38,2)) AS returned_qty,
        CAST(count(*) FILTER (WHERE l_linestatus = 'O') AS BIGINT) AS open_lines,
-       min(l_discount) AS min_discount, max(l_discount) AS max_discount
+       min(l_discount) AS min_discount, max(l_discount) AS max_discount,
+       CAST(count(DISTINCT l_partkey) AS BIGINT) AS distinct_parts
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 GROUP BY l_suppkey
 """)
@@ -278,7 +279,8 @@ def conditional_aggs(spark: SparkSession, sf: str) -> DataFrame:
         F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("decimal(18,2)")))
         .cast("decimal(38,2)").alias("returned_qty"),
         F.count(F.when(F.col("l_linestatus") == "O", F.lit(1))).alias("open_lines"),
-        F.min("l_discount").alias("min_discount"), F.max("l_discount").alias("max_discount"))
+        F.min("l_discount").alias("min_discount"), F.max("l_discount").alias("max_discount"),
+        F.count_distinct("l_partkey").alias("distinct_parts"))
 
 
 @query("ordered_first", "AGG-8, SRT-4", sql=f"""
