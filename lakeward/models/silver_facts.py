@@ -286,15 +286,16 @@ def fact_editing(ctx: ModelContext) -> DataFrame:
     r = ctx.source("resource").filter(F.col("ResourceType") == F.lit(0)) \
         .select(F.col("Id").alias("__r_id"), upper_trim("ResourceFileId").alias("hg_stock_id")) \
         .filter(F.col("hg_stock_id").startswith(L.STOCK_PREFIX))
-    rows = (re_.join(e, re_["EditingId"] == F.col("__e_id"), "inner")
-            .join(r, re_["ResourcesId"] == F.col("__r_id"), "inner")
-            .select(F.col("Id").alias("resource_editing_id"), F.col("EditingId").alias("editing_id"),
-                    "editing_code", "hg_stock_id", F.col("StartTime").alias("start_time"),
-                    F.col("EndTime").alias("end_time"))
-            .join(_excluded(ctx), F.col("hg_stock_id") == F.col("__ex"), "left_anti")
-            .distinct())
+    joined = (re_.join(e, re_["EditingId"] == F.col("__e_id"), "inner")
+              .join(r, re_["ResourcesId"] == F.col("__r_id"), "inner")
+              .select(F.col("Id").alias("resource_editing_id"), F.col("EditingId").alias("editing_id"),
+                      "editing_code", "hg_stock_id", F.col("StartTime").alias("start_time"),
+                      F.col("EndTime").alias("end_time"))
+              .join(_excluded(ctx), F.col("hg_stock_id") == F.col("__ex"), "left_anti"))
+    rows = joined.distinct()
+    # hot editings are found on the rows before DISTINCT (an upper bound per key, key column only)
     numbered = sequence_within(rows, ["editing_id"], [asc("start_time"), asc("resource_editing_id")],
-                               out="position")
+                               out="position", probe=joined.select("editing_id"))
     return numbered.select(sk("resource_editing_id").alias("fact_editing_sk"), "editing_id", "editing_code",
                            "hg_stock_id", F.col("position").cast("int").alias("position"),
                            (F.col("end_time").cast(L.NUMERIC) - F.col("start_time").cast(L.NUMERIC)).alias("duration"))
@@ -429,7 +430,11 @@ def fact_revenue_by_resources(ctx: ModelContext) -> DataFrame:
     er = (ctx.ref("fact_editing").filter(F.col("editing_code").isNotNull() & F.col("hg_stock_id").isNotNull()
                                          & F.col("position").between(1, 5))
           .select("editing_code", "hg_stock_id", "position").distinct())
-    vr = partition_size(bridge.join(er, "editing_code"), ["video_id", "editing_code"], out="n_res")
+    # The bridge is distinct on (video, code), so a (video, code) pair holds
+    # exactly the code's resources: n_res is a per-code count, taken on the
+    # small distinct resource list (partial aggregate, plain equi join).
+    n_res = er.groupBy("editing_code").agg(F.count(F.lit(1)).alias("n_res"))
+    vr = bridge.join(er.join(n_res, "editing_code"), "editing_code")
     w = vr.withColumn("w", editing_weight(F.col("n_res"), F.col("position"))).filter(F.col("w") > 0)
     vd = first_by(ctx.ref("dim_video").select(b2n("video_id").alias("__dv_id"), "video_name", "video_url",
                                               "published_date").filter(F.col("__dv_id").isNotNull()),

@@ -115,7 +115,7 @@ MAX_HOT_KEYS = 10_000
 
 def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column],
                     out: str = "position", num_partitions: int | None = None,
-                    hot_key_rows: int | None = None) -> DataFrame:
+                    hot_key_rows: int | None = None, probe: DataFrame | None = None) -> DataFrame:
     """WIN-6/7: ``row_number() over (partition by keys order by order)``
     without putting a whole hot key into one task.
 
@@ -124,9 +124,13 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[Order |
     rows / hot_key_rows, and at most MAX_HOT_KEYS of them are listed.
     Ordinary keys are numbered by a plain window (each window group is at most
     ``hot_key_rows`` rows); hot keys by :func:`sequence_within_ranged`.
-    Give a total order: ties are numbered in an arbitrary but fixed order."""
+    Give a total order: ties are numbered in an arbitrary but fixed order.
+
+    ``probe`` (optional) is a cheaper frame holding ``keys`` whose per-key row
+    counts are never below ``df``'s, e.g. ``df`` before a DISTINCT; hot keys
+    are then found from it (a key over-counted only takes the ranged path)."""
     limit = hot_key_rows or int(df.sparkSession.conf.get("lakeward.hotKeyRows", str(HOT_KEY_ROWS)))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    counts = (probe if probe is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot = counts.filter(F.col("__n") > F.lit(limit)).select(*keys).limit(MAX_HOT_KEYS + 1).collect()
     orders = as_orders(order)
     if len(hot) > MAX_HOT_KEYS:
@@ -135,7 +139,7 @@ def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[Order |
     if not hot:
         return df.withColumn(out, F.row_number().over(w).cast("long"))
     # at most MAX_HOT_KEYS rows: a bounded broadcast
-    hot_df = F.broadcast(df.sparkSession.createDataFrame(hot, counts.select(*keys).schema)
+    hot_df = F.broadcast(df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
                          .toDF(*[f"__h_{k}" for k in keys]))
     cond = [df[k].eqNullSafe(F.col(f"__h_{k}")) for k in keys]
     cold = df.join(hot_df, cond, "left_anti")

@@ -19,8 +19,11 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return table(self._spark, self._dir, name)
+        if name not in self._read:      # one Parquet footer read per table
+            self._read[name] = table(self._spark, self._dir, name)
+        return self._read[name]
