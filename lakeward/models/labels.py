@@ -68,3 +68,24 @@ LOCAL_CURRENCY_RATE = 25000.0
 
 # Unbounded ``numeric`` of the source SQL.
 NUMERIC = "decimal(38,6)"
+
+# Raw column names of the stock spreadsheets read by dim_stock.
+PERF_STOCK_COL = "Mã Stock"               # resource_performance
+PERF_NAME_COL = "Tên bài"
+PERF_ISRC_COLS = ("ISRC chốt", "ISRC (Stock cũ)", "ISRC (Stock mới)")   # in priority order
+PERF_PROJECT_COL = "Dự án chốt"
+UNKNOWN_PROJECT = "không xác định"        # "unknown", compared NFC-normalised, lower case
+RBO_STOCK_COL = "HG_Stock_ID"             # resource_before_odoo
+RBO_TITLE_COL = "Tên bài gốc"
+PURCHASED_CODE_COL = "Mã"                 # purchased_resource
+TITLE_COL = "Tiêu đề"                     # purchased_resource, resource_infomation_add
+STOCK_CODE_LOOSE = "^HGFA[A-F0-9]+$"
+
+# Stock lifecycle status (archived, in inventory, cold, in use)
+# and the storage status that marks an archived file.
+STOCK_ARCHIVED = "Lưu kho"
+STOCK_IN_INVENTORY = "Tồn kho"
+STOCK_COLD = "Hàng nguội"
+STOCK_IN_USE = "Sử dụng"
+ARCHIVED_STATUS = "Archived"
+COLD_AFTER_DAYS = 30

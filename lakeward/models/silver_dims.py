@@ -352,3 +352,91 @@ def dim_resource_before_odoo(ctx: ModelContext) -> DataFrame:
     order = [asc(c) for c in ("__raw", "resource_name", "sub_project_id", "aceptance_score",
                               "aceptance_price", "ar", "artist")]
     return first_by(rows, ["__isrc_key"], order).drop("__isrc_key", "__raw")
+
+
+def _stock_candidates(ctx: ModelContext) -> DataFrame:
+    """The five prioritised stock sources (SET-1), one schema."""
+    from pyspark.sql import types as T
+    rf = ctx.source("resource_files").filter(b2n("Id").isNotNull() & (F.col("MediaType") == F.lit(1)))
+    rfi = ctx.source("resource_file_info").select(b2n("ResourceFileId").alias("__rfi_file"),
+                                                  b2n("Id").alias("__rfi_id"), F.col("ISRC").alias("__rfi_isrc"))
+    prefix = ctx.vars.get("stock_link_prefix")
+    suffix = str(ctx.vars.get("stock_link_suffix", "/0"))
+    link = (F.when(F.col("__rfi_id").isNotNull(), F.concat(F.lit(prefix), F.col("__rfi_id"), F.lit(suffix)))
+            if prefix is not None else typed_null("string"))
+    base = rf.join(rfi, b2n(rf["Id"]) == F.col("__rfi_file"), "left").select(
+        b2n(rf["Id"]).alias("hg_stock_id"), rf["FileName"].cast("string").alias("name"),
+        b2n("__rfi_isrc").alias("isrc"), rf["CreatedDate"].cast("timestamp").alias("created"),
+        link.alias("stock_link"), F.lit(1).alias("source_priority"))
+
+    def col(name):
+        return F.col(f"`{name}`")
+
+    def sheet(df, code, name, isrc, priority, extra=None):
+        cond = b2n(code).isNotNull() & F.regexp_like(F.trim(code), F.lit(L.STOCK_CODE_LOOSE))
+        if extra is not None:
+            cond = cond & extra
+        return df.filter(cond).select(b2n(code).alias("hg_stock_id"), b2n(name).alias("name"), isrc.alias("isrc"),
+                                      typed_null(T.TimestampType()).alias("created"),
+                                      typed_null("string").alias("stock_link"), F.lit(priority).alias("source_priority"))
+
+    perf = ctx.source("resource_performance")
+    proj = col(L.PERF_PROJECT_COL)
+    from lakeward.functions.keys import nfc
+    perf_ok = (b2n(proj).isNotNull() & (F.upper(F.trim(proj)) != F.lit("#N/A"))
+               & (F.lower(nfc(F.trim(proj))) != F.lit(L.UNKNOWN_PROJECT)))
+    p = sheet(perf, col(L.PERF_STOCK_COL), col(L.PERF_NAME_COL),
+              F.coalesce(*[b2n(col(c)) for c in L.PERF_ISRC_COLS]), 2, perf_ok)
+    rbo = ctx.source("resource_before_odoo")
+    r = sheet(rbo, col(L.RBO_STOCK_COL), col(L.RBO_TITLE_COL),
+              F.when(F.trim("ISRC").isin(list(L.SHEET_ERRORS)), typed_null("string")).otherwise(b2n("ISRC")), 3)
+    pr = sheet(ctx.source("purchased_resource"), col(L.PURCHASED_CODE_COL), col(L.TITLE_COL),
+               typed_null("string"), 4)
+    add = sheet(ctx.source("resource_infomation_add"), col("ResourceFileId"), col(L.TITLE_COL), b2n("ISRC"), 5)
+    return base.unionByName(p).unionByName(r).unionByName(pr).unionByName(add)
+
+
+@model("dim_stock", "silver")
+def dim_stock(ctx: ModelContext) -> DataFrame:
+    """Catalogue stock items from five prioritised sources (stored files,
+    performance sheet, legacy sheet, purchased list, additions), minus the
+    exclusion list; one row per code: best source, then a name that is not a
+    ``.wav`` file name, then the earliest stored date (then name, ISRC, link);
+    first/last use in a published video, age at ``as_of`` and lifecycle
+    status (archived / never used / cold after 30 days / in use).  The admin
+    link is ``var stock_link_prefix`` + file-info id + ``stock_link_suffix``."""
+    excluded = ctx.ref("int_excluded_stock_codes").filter(b2n("hg_stock_id").isNotNull()) \
+        .select(F.upper(F.trim("hg_stock_id")).alias("__ex")).distinct()
+    cand = _stock_candidates(ctx).join(excluded, F.upper(F.trim("hg_stock_id")) == F.col("__ex"), "left_anti")
+    not_wav = F.when(~F.col("name").ilike("%.wav"), F.lit(0)).otherwise(F.lit(1))
+    best = first_by(cand.withColumn("__wav", not_wav), ["hg_stock_id"],
+                    [asc("source_priority"), asc("__wav"), asc("created"), asc("name"), asc("isrc"),
+                     asc("stock_link")]).drop("__wav", "source_priority")
+
+    fe = ctx.ref("fact_editing").select("hg_stock_id", "editing_code")
+    b = ctx.ref("bridge_bt_vid").select("editing_code", "video_id")
+    v = ctx.ref("dim_video").filter(F.col("published_date").isNotNull()) \
+        .select("video_id", F.col("published_date").cast("date").alias("__d"))
+    per_code = b.join(v, "video_id").groupBy("editing_code").agg(F.min("__d").alias("__lo"), F.max("__d").alias("__hi"))
+    vid = (fe.join(per_code, "editing_code").groupBy(F.col("hg_stock_id").alias("__v_stock"))
+           .agg(F.min("__lo").alias("first_published_date"), F.max("__hi").alias("last_published_date")))
+
+    h = ctx.source("resource_storage_history").filter(F.col("ToStatus") == F.lit(L.ARCHIVED_STATUS)) \
+        .select(b2n("ResourceFileInfoId").alias("__h_info"))
+    rfi = ctx.source("resource_file_info").select(b2n("Id").alias("__h_info"), b2n("ResourceFileId").alias("__h_file"))
+    rf = ctx.source("resource_files").filter((F.col("MediaType") == F.lit(1)) & b2n("Id").isNotNull()) \
+        .select(b2n("Id").alias("__h_file"))
+    archived = h.join(rfi, "__h_info").join(rf, "__h_file").select(F.col("__h_file").alias("__a_stock")).distinct()
+
+    as_of = F.lit(ctx.as_of).cast("date")
+    j = (best.join(vid, best["hg_stock_id"] == F.col("__v_stock"), "left")
+         .join(archived, best["hg_stock_id"] == F.col("__a_stock"), "left"))
+    status = (F.when(F.col("__a_stock").isNotNull(), F.lit(L.STOCK_ARCHIVED))
+              .when(F.col("__v_stock").isNull(), F.lit(L.STOCK_IN_INVENTORY))
+              .when(F.col("last_published_date") < F.date_sub(as_of, L.COLD_AFTER_DAYS), F.lit(L.STOCK_COLD))
+              .otherwise(F.lit(L.STOCK_IN_USE)))
+    return j.select(sk("hg_stock_id").alias("dim_stock_sk"), "hg_stock_id", b2n("name").alias("name"), "isrc",
+                    "stock_link", F.col("created").cast("timestamp").alias("stock_stored_date"),
+                    "first_published_date",
+                    F.datediff(as_of, F.col("created").cast("date")).alias("resource_age_days"),
+                    status.alias("status"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import unicodedata
 
 from lakeward.models import labels as L
 
@@ -145,10 +146,26 @@ def staging(spark):
     add("x_acceptance_cert", "purchase_order_id string, acceptance_link string",
         [("100", "https://cert/b"), ("100", "https://cert/a")])
     add("resource_before_odoo", f"ISRC string, `{L.SONG_CODE_COL}` string, `{L.AVG_SCORE_COL}` string, "
-        f"`{L.UNIT_COST_COL}` string, `{L.AR_IN_CHARGE_COL}` string, `{L.ARTIST_COL}` string, Subgenre string",
-        [("IS1", "S1", "9", "10", "ar", "art", "Child"), ("IS7", "S7", "8.5", None, None, None, "Nope"),
-         (" IS7", "S6", None, None, None, None, None), ("#N/A", "S8", None, None, None, None, None),
-         ("IS2", "S2", None, None, None, None, "Child")])
+        f"`{L.UNIT_COST_COL}` string, `{L.AR_IN_CHARGE_COL}` string, `{L.ARTIST_COL}` string, Subgenre string, "
+        f"`{L.RBO_STOCK_COL}` string, `{L.RBO_TITLE_COL}` string",
+        [("IS1", "S1", "9", "10", "ar", "art", "Child", stock(1), "Legacy 1"),
+         ("IS7", "S7", "8.5", None, None, None, "Nope", stock(7), "Legacy 7"),
+         (" IS7", "S6", None, None, None, None, None, "hgfa7", "lower code"),
+         ("#N/A", "S8", None, None, None, None, None, stock(8), "Legacy 8"),
+         ("IS2", "S2", None, None, None, None, "Child", None, None)])
+    add("resource_files", "Id string, FileName string, CreatedDate timestamp, MediaType int",
+        [(stock(1), "one.wav", TS(2023, 6, 1), 1), (stock(2), "Two", TS(2023, 12, 1), 1),
+         (stock(3), "Three", None, 1), (stock(4), "Video file", TS(2023, 1, 1), 2), (stock(9), "Nine", TS(2023, 1, 1), 1)])
+    add("resource_performance", f"`{L.PERF_STOCK_COL}` string, `{L.PERF_NAME_COL}` string, "
+        + ", ".join(f"`{c}` string" for c in L.PERF_ISRC_COLS) + f", `{L.PERF_PROJECT_COL}` string",
+        [(stock(5), "Perf 5", None, "ISOLD5", "ISNEW5", "Project"),
+         (stock(6), "Perf 6", "IS6", None, None, unicodedata.normalize("NFD", " " + L.UNKNOWN_PROJECT.upper() + " ")),
+         (stock(10), "Perf 10", None, None, None, "#n/a")])
+    add("purchased_resource", f"`{L.PURCHASED_CODE_COL}` string, `{L.TITLE_COL}` string",
+        [(stock(1), "Bought 1"), (stock(11), "Bought 11"), ("XYZ", "bad code")])
+    add("resource_infomation_add", f"ResourceFileId string, `{L.TITLE_COL}` string, ISRC string",
+        [(stock(12), "Added 12", "IS12"), (stock(5), "Added 5", "IS5")])
+    add("resource_storage_history", "ResourceFileInfoId string, ToStatus string", [("2", "Archived"), ("1", "Active")])
     add("phase6_sales", "sale_id string, customer_name string, amount string, sale_date string, _source_id string, "
         "_batch_id string, _loaded_at timestamp",
         [("1", "A", "100.00", "2024-01-01", "src", "b1", TS(2024, 1, 1)),

@@ -159,3 +159,23 @@ def test_materialize_cuts_lineage(spark, workdir):
     paths = materialize(c, ["int_stock_video"], workdir)
     assert set(paths) == {"int_stock_video", "fact_editing", "bridge_bt_vid", "int_excluded_stock_codes"}
     assert c.ref("int_stock_video").count() == 8
+
+
+def test_dim_stock_priorities_and_status(spark):
+    prov = MF.provided(spark)
+    prov.pop("dim_stock")
+    c = ModelContext(spark, MF.staging(spark), dt.date(2024, 3, 1),
+                     vars={"target_company_id": MF.CO, "stock_link_prefix": "https://stock/"}, provided=prov)
+    got = {r[0]: r[1:] for r in rows(c.ref("dim_stock"), "hg_stock_id", "name", "isrc", "stock_link", "status",
+                                      "resource_age_days")}
+    # stored file wins over the sheets; its info row gives ISRC and link; used in a video on 2024-01-06 (cold)
+    assert got[MF.stock(1)] == ("one.wav", "IS1", "https://stock/1/0", L.STOCK_COLD, 274)
+    assert got[MF.stock(2)][3] == L.STOCK_ARCHIVED          # storage history says archived
+    assert got[MF.stock(3)][3] == L.STOCK_COLD and got[MF.stock(3)][4] is None  # no stored date
+    assert got[MF.stock(5)][:2] == ("Perf 5", "ISOLD5")    # performance sheet before the additions
+    assert MF.stock(6) not in got                           # project 'unknown' (NFD, upper case)
+    assert MF.stock(10) not in got                          # project '#N/A'
+    assert got[MF.stock(7)][:2] == ("Legacy 7", "IS7")
+    assert got[MF.stock(11)] == ("Bought 11", None, None, L.STOCK_IN_INVENTORY, None)
+    assert got[MF.stock(12)][:2] == ("Added 12", "IS12")
+    assert MF.stock(9) not in got and MF.stock(4) not in got and "XYZ" not in got and "hgfa7" not in got
