@@ -5,7 +5,7 @@ staging tables, prebuilt models and variables; ``build`` returns lazy
 DataFrames and ``materialize`` writes them layer by layer.
 
 Not built yet (provide them through ``ModelContext.provided`` when a mart
-needs them): dim_project, dim_sub_project, dim_repository,
+needs them): dim_sub_project, dim_repository,
 dim_purchased_resource, dim_resources, mart_resource_usage,
 fact_hao_hut.
 """

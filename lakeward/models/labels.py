@@ -89,3 +89,10 @@ STOCK_COLD = "Hàng nguội"
 STOCK_IN_USE = "Sử dụng"
 ARCHIVED_STATUS = "Archived"
 COLD_AFTER_DAYS = 30
+
+# Project columns and the project values that are not projects
+# (dim_project): "unknown", "drop this song", and the header word "project".
+PROJECT_COL = "Dự án"                     # partners, distro_infomation, resource_infomation_add
+GENRE_COL = "Thể loại"                    # resource_before_odoo
+NOT_PROJECTS = ("không xác định", "bỏ bài này", "dự án")
+PROJECT_HEADER = "dự án"

@@ -440,3 +440,98 @@ def dim_stock(ctx: ModelContext) -> DataFrame:
                     "first_published_date",
                     F.datediff(as_of, F.col("created").cast("date")).alias("resource_age_days"),
                     status.alias("status"))
+
+
+def _first_name_per_key(names: DataFrame) -> DataFrame:
+    """DISTINCT ON (name key) ORDER BY key, name over (project_name) rows."""
+    from lakeward.functions.keys import match_key
+    keyed = names.filter(F.col("project_name").isNotNull()) \
+        .withColumn("project_name_key", match_key("project_name"))
+    return first_by(keyed.select("project_name_key", "project_name"), ["project_name_key"], [asc("project_name")])
+
+
+@model("dim_project", "silver")
+def dim_project(ctx: ModelContext) -> DataFrame:
+    """Projects from six sources resolved by normalised name (NFC, trimmed,
+    white space collapsed, compared lower case): one canonical id per name
+    (numeric ids first, numerically, then text; JN-16/WIN-2), then one row
+    per id.  Sheet-only names get a hashed id, or the id already stored for
+    the same name: the previous build is an optional input
+    ``provided['dim_project_previous']`` (hazard H3; empty on a first build).
+    Distro names listing several projects split on '/', and an optional
+    ``project_name_aliases`` table (source_project_name_key,
+    target_project_name_key) maps a distro name onto a stored project."""
+    from lakeward.functions.cleanse import JAVA_WHITESPACE
+    from lakeward.functions.keys import match_key, nfc, normalize_text
+    from lakeward.operators.ordering import numeric_first
+    spark = ctx.spark
+    null_s = typed_null("string")
+
+    def col(name):
+        return F.col(f"`{name}`")
+
+    odoo = ctx.source("x_project").select(b2n("id").alias("project_id"), normalize_text(F.col("name").cast("string"))
+                                          .alias("project_name"), b2n("state").alias("status"))
+    partners = ctx.source("partners").filter(b2n(col(L.PROJECT_COL)).isNotNull()).select(
+        sk(col(L.PROJECT_COL)).alias("project_id"), normalize_text(col(L.PROJECT_COL)).alias("project_name"),
+        null_s.alias("status"))
+
+    def hashed(named):
+        return named.select(sk("project_name_key").alias("project_id"), "project_name", null_s.alias("status"))
+
+    rbo = ctx.source("resource_before_odoo").filter(b2n(col(L.GENRE_COL)).isNotNull()) \
+        .select(normalize_text(col(L.GENRE_COL)).alias("project_name"))
+    perf_col = col(L.PERF_PROJECT_COL)
+    perf = ctx.source("resource_performance").filter(
+        b2n(perf_col).isNotNull() & (F.upper(F.trim(perf_col)) != F.lit("#N/A"))
+        & (F.lower(nfc(F.trim(perf_col))) != F.lit(L.UNKNOWN_PROJECT))) \
+        .select(normalize_text(perf_col).alias("project_name"))
+
+    prev = ctx.provided.get("dim_project_previous")
+    if prev is None:
+        prev = spark.createDataFrame([], "project_id string, project_name string, status string")
+    prev = prev.select(b2n("project_id").alias("project_id"), normalize_text("project_name").alias("project_name"),
+                       F.col("status").cast("string").alias("status"))
+    prev = prev.filter(F.col("project_id").isNotNull() & F.col("project_name").isNotNull()) \
+        .withColumn("project_name_key", match_key("project_name"))
+    existing = first_by(prev, ["project_name_key"], numeric_first("project_id")) \
+        .select(F.col("project_name_key").alias("__x_key"), F.col("project_id").alias("__x_id"),
+                F.col("project_name").alias("__x_name"), F.col("status").alias("__x_status"))
+
+    def via_existing(named, key_col="project_name_key"):
+        j = named.join(existing, F.col(key_col) == F.col("__x_key"), "left")
+        return j.select(F.coalesce("__x_id", sk("project_name_key")).alias("project_id"),
+                        F.coalesce("__x_name", "project_name").alias("project_name"),
+                        F.col("__x_status").alias("status"))
+
+    sep = f"{JAVA_WHITESPACE}*/{JAVA_WHITESPACE}*"
+    distro = ctx.source("distro_infomation").filter(b2n(col(L.PROJECT_COL)).isNotNull()) \
+        .select(F.explode(F.split(col(L.PROJECT_COL).cast("string"), sep)).alias("__v")) \
+        .select(normalize_text("__v").alias("project_name"))
+    distro = _first_name_per_key(distro.filter(F.lower("project_name") != F.lit(L.PROJECT_HEADER)))
+    if "project_name_aliases" in ctx.sources:
+        al = ctx.source("project_name_aliases").select(F.col("source_project_name_key").alias("__a_src"),
+                                                       F.col("target_project_name_key").alias("__a_tgt"))
+        distro = distro.join(al, F.col("project_name_key") == F.col("__a_src"), "left") \
+            .withColumn("__lookup", F.coalesce("__a_tgt", "project_name_key"))
+    else:
+        distro = distro.withColumn("__lookup", F.col("project_name_key"))
+
+    add_col = col(L.PROJECT_COL)
+    add = ctx.source("resource_infomation_add").filter(
+        b2n(add_col).isNotNull() & (F.upper(F.trim(add_col.cast("string"))) != F.lit("#N/A"))
+        & ~F.lower(nfc(F.trim(add_col.cast("string")))).isin(list(L.NOT_PROJECTS))) \
+        .select(normalize_text(add_col.cast("string")).alias("project_name"))
+
+    combined = (odoo.unionByName(partners).unionByName(hashed(_first_name_per_key(rbo)))
+                .unionByName(hashed(_first_name_per_key(perf)))
+                .unionByName(via_existing(distro, "__lookup"))
+                .unionByName(via_existing(_first_name_per_key(add))))
+    norm = combined.filter(F.col("project_id").isNotNull() & b2n("project_name").isNotNull()).select(
+        "project_id", normalize_text("project_name").alias("project_name"), "status",
+        match_key("project_name").alias("project_name_key"))
+    by_name = first_by(norm, ["project_name_key"],
+                       numeric_first("project_id") + [asc("project_name"), asc("status", nulls_last=True)])
+    by_id = first_by(by_name.select("project_id", "project_name", "status"), ["project_id"],
+                     [asc("project_name"), asc("status", nulls_last=True)])
+    return by_id.select(sk("project_id").alias("dim_project_sk"), "project_id", "project_name", "status")

@@ -36,7 +36,10 @@ def staging(spark):
          ("IS2", "2,000,000", "2024-02-03", "a2", "Art Two"), (" ", "5", "2024-01-01", "a3", "X"),
          ("IS3", "10", " ", " ", "Nobody")])
     add("network", "Id string, Name string", [("n1", "Net One"), ("n2", "Net Two")])
-    add("partners", f"`{L.PARTNER_NAME_COL}` string", [("P1",), ("P1",), (" P1",), ("",)])
+    add("partners", f"`{L.PARTNER_NAME_COL}` string, `{L.PROJECT_COL}` string",
+        [("P1", "Lo-fi  Beats"), ("P1", None), (" P1", "lo-fi beats"), ("", " ")])
+    add("x_project", "id int, name string, state string", [(9, "Lo-fi Beats", "open"), (12, "Ambient", "open")])
+    add("distro_infomation", f"`{L.PROJECT_COL}` string", [("Ambient / Chill Hop",), ("Dự án",), (" ",)])
     add("sale", "retailer string, isrc string, artist string, reportingPeriod string, revenue string",
         [("Shop", "IS1", "Art One", "2024-01-03", "10.50"), ("Shop", "IS1", "Art One", "2024-01-20", "4.50"),
          ("Shop2", "IS1 ", " ", "2024-01-02", "1.00"), ("Shop", "IS2", "Art Two", "2024-02-01", "7"),
@@ -147,12 +150,12 @@ def staging(spark):
         [("100", "https://cert/b"), ("100", "https://cert/a")])
     add("resource_before_odoo", f"ISRC string, `{L.SONG_CODE_COL}` string, `{L.AVG_SCORE_COL}` string, "
         f"`{L.UNIT_COST_COL}` string, `{L.AR_IN_CHARGE_COL}` string, `{L.ARTIST_COL}` string, Subgenre string, "
-        f"`{L.RBO_STOCK_COL}` string, `{L.RBO_TITLE_COL}` string",
-        [("IS1", "S1", "9", "10", "ar", "art", "Child", stock(1), "Legacy 1"),
-         ("IS7", "S7", "8.5", None, None, None, "Nope", stock(7), "Legacy 7"),
-         (" IS7", "S6", None, None, None, None, None, "hgfa7", "lower code"),
-         ("#N/A", "S8", None, None, None, None, None, stock(8), "Legacy 8"),
-         ("IS2", "S2", None, None, None, None, "Child", None, None)])
+        f"`{L.RBO_STOCK_COL}` string, `{L.RBO_TITLE_COL}` string, `{L.GENRE_COL}` string",
+        [("IS1", "S1", "9", "10", "ar", "art", "Child", stock(1), "Legacy 1", "Cafe\u0301  Jazz"),
+         ("IS7", "S7", "8.5", None, None, None, "Nope", stock(7), "Legacy 7", "CAFÉ JAZZ"),
+         (" IS7", "S6", None, None, None, None, None, "hgfa7", "lower code", "Café Jazz"),
+         ("#N/A", "S8", None, None, None, None, None, stock(8), "Legacy 8", None),
+         ("IS2", "S2", None, None, None, None, "Child", None, None, "ambient")])
     add("resource_files", "Id string, FileName string, CreatedDate timestamp, MediaType int",
         [(stock(1), "one.wav", TS(2023, 6, 1), 1), (stock(2), "Two", TS(2023, 12, 1), 1),
          (stock(3), "Three", None, 1), (stock(4), "Video file", TS(2023, 1, 1), 2), (stock(9), "Nine", TS(2023, 1, 1), 1)])
@@ -163,8 +166,8 @@ def staging(spark):
          (stock(10), "Perf 10", None, None, None, "#n/a")])
     add("purchased_resource", f"`{L.PURCHASED_CODE_COL}` string, `{L.TITLE_COL}` string",
         [(stock(1), "Bought 1"), (stock(11), "Bought 11"), ("XYZ", "bad code")])
-    add("resource_infomation_add", f"ResourceFileId string, `{L.TITLE_COL}` string, ISRC string",
-        [(stock(12), "Added 12", "IS12"), (stock(5), "Added 5", "IS5")])
+    add("resource_infomation_add", f"ResourceFileId string, `{L.TITLE_COL}` string, ISRC string, `{L.PROJECT_COL}` string",
+        [(stock(12), "Added 12", "IS12", "Old Name"), (stock(5), "Added 5", "IS5", "Bỏ bài này")])
     add("resource_storage_history", "ResourceFileInfoId string, ToStatus string", [("2", "Archived"), ("1", "Active")])
     add("phase6_sales", "sale_id string, customer_name string, amount string, sale_date string, _source_id string, "
         "_batch_id string, _loaded_at timestamp",

@@ -179,3 +179,29 @@ def test_dim_stock_priorities_and_status(spark):
     assert got[MF.stock(11)] == ("Bought 11", None, None, L.STOCK_IN_INVENTORY, None)
     assert got[MF.stock(12)][:2] == ("Added 12", "IS12")
     assert MF.stock(9) not in got and MF.stock(4) not in got and "XYZ" not in got and "hgfa7" not in got
+
+
+def test_dim_project_resolution(spark):
+    from lakeward.functions.keys import surrogate_key
+    prov = MF.provided(spark)
+    prev = spark.createDataFrame([("7", "Old  Name", "done"), ("h1", "old name", None)],
+                                 "project_id string, project_name string, status string")
+    prov["dim_project_previous"] = prev
+    prov.pop("dim_project")
+    c = ModelContext(spark, MF.staging(spark), dt.date(2024, 3, 1), provided=prov)
+    got = {r[1]: (r[0], r[2]) for r in rows(c.ref("dim_project"), "project_id", "project_name", "status")}
+    # the odoo id wins over the hashed sheet ids for the same normalised name
+    assert got["Lo-fi Beats"] == ("9", "open")
+    assert got["Ambient"] == ("12", "open")          # sheet 'ambient' and distro 'Ambient' resolve to it
+    assert got["Old Name"] == ("7", "done")          # stored id reused for a sheet-only name
+    key = spark.range(1).select(surrogate_key(F_lit("café jazz"))).first()[0]
+    assert got["CAFÉ JAZZ"][0] == key or got["Café Jazz"][0] == key  # NFD and NFC spellings are one project
+    assert len([n for n in got if n.lower() == "café jazz"]) == 1
+    assert "Chill Hop" in got and "Dự án" not in got and "Bỏ bài này" not in got
+    ids = [v[0] for v in got.values()]
+    assert len(ids) == len(set(ids))
+
+
+def F_lit(v):
+    from pyspark.sql import functions as F
+    return F.lit(v)
