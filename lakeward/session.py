@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings applied to sessions built by :func:`local_session` (tests, bench).
 LOCAL_CONF = {
@@ -56,3 +56,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+# An input of at least this size that the reader cannot split (one file with
+# one row group) is spread over the cluster's cores after the scan.
+UNSPLIT_SCAN_BYTES = 8 << 20
+
+
+def balanced_scan(df: DataFrame) -> DataFrame:
+    """Round-robin an under-split scan over the default parallelism.
+
+    A Parquet file with a single row group is read by one task, so every
+    per-row step before the first shuffle (filters, text cleaning, map-side
+    aggregation, broadcast probes) would run on one core.  When the scan has
+    fewer partitions than the default parallelism and holds at least
+    UNSPLIT_SCAN_BYTES, one round-robin exchange spreads the rows; inputs that
+    are already split (any normal multi-file table on a cluster) are left
+    untouched, so this never adds a shuffle at scale."""
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    if n >= par:
+        return df
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    size = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        size += p.getFileSystem(conf).getFileStatus(p).getLen()
+    if size < UNSPLIT_SCAN_BYTES * n:
+        return df
+    return df.repartition(par)
