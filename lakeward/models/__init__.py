@@ -6,7 +6,7 @@ DataFrames and ``materialize`` writes them layer by layer.
 
 Not built yet (provide them through ``ModelContext.provided`` when a mart
 needs them): dim_sub_project, dim_repository,
-dim_purchased_resource, dim_resources, mart_resource_usage,
+dim_resources, mart_resource_usage,
 fact_hao_hut.
 """
 

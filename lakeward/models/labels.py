@@ -96,3 +96,12 @@ PROJECT_COL = "Dự án"                     # partners, distro_infomation, reso
 GENRE_COL = "Thể loại"                    # resource_before_odoo
 NOT_PROJECTS = ("không xác định", "bỏ bài này", "dự án")
 PROJECT_HEADER = "dự án"
+
+# Partner sheet columns read by dim_purchased_resource
+# (stock repository name, contract date, pricing method) and the name of the
+# default sub-project ("no sub-project"), compared as a normalised key.
+PARTNER_REPO_COL = "Tên kho trên HG Stock"
+CONTRACT_DATE_COL = "Ngày ký HĐ"
+PRICING_COL = "Cách tính giá"
+PURCHASED_REPO_COL = "Repository"
+DEFAULT_SUB_PROJECT_KEY = "không có dự án con"

@@ -535,3 +535,66 @@ def dim_project(ctx: ModelContext) -> DataFrame:
     by_id = first_by(by_name.select("project_id", "project_name", "status"), ["project_id"],
                      [asc("project_name"), asc("status", nulls_last=True)])
     return by_id.select(sk("project_id").alias("dim_project_sk"), "project_id", "project_name", "status")
+
+
+@model("dim_purchased_resource", "silver")
+def dim_purchased_resource(ctx: ModelContext) -> DataFrame:
+    """Purchased catalogue items with their partner (alias map applied to the
+    partner / repository names), the partner's newest sheet row (contract
+    date, pricing), the project's default sub-project when the project name
+    resolves to exactly one project (AGG-11), and candidate repositories of
+    the same name within that sub-project (JN-8: equi key AND (no
+    sub-project OR same sub-project)).  Like the warehouse model, every
+    candidate repository is kept (no ranking filter is applied)."""
+    from lakeward.functions.keys import match_key, normalize_text
+    from lakeward.operators.dedup import unique_name_lookup
+
+    def col(name):
+        return F.col(f"`{name}`")
+
+    nm = ctx.ref("int_purchase_name_map").select(match_key("alias_key").alias("__alias"),
+                                                  normalize_text("canonical_name").alias("__canon"))
+    pr = ctx.source("purchased_resource")
+    pr = pr.filter(F.regexp_like(F.trim(col(L.PURCHASED_CODE_COL)), F.lit(L.STOCK_CODE_PATTERN))
+                   & b2n(col(L.PURCHASED_REPO_COL)).isNotNull())
+    # keys are materialised before each join (NFC runs through reflect, which
+    # Spark treats as non-deterministic and refuses inside a join condition)
+    pr = pr.withColumn("__repo_key", match_key(col(L.PURCHASED_REPO_COL)))
+    pr = pr.join(nm, F.col("__repo_key") == F.col("__alias"), "left")
+    partner = F.coalesce(F.col("__canon"), col(L.PURCHASED_REPO_COL))
+    res = pr.select(b2n(col(L.PURCHASED_CODE_COL)).alias("hg_stock_id"),
+                    b2n(col(L.TITLE_COL)).alias("resources_name"),
+                    normalize_text(partner).alias("partner_name"), match_key(partner).alias("partner_key")).distinct()
+
+    p = ctx.source("partners").filter(b2n(col(L.PARTNER_NAME_COL)).isNotNull())
+    nm_p = nm.select(F.col("__alias").alias("__ap"), F.col("__canon").alias("__cp"))
+    nm_r = nm.select(F.col("__alias").alias("__ar"), F.col("__canon").alias("__cr"))
+    p = p.withColumn("__pn", match_key(col(L.PARTNER_NAME_COL))).withColumn("__pr", match_key(col(L.PARTNER_REPO_COL)))
+    p = (p.join(nm_p, F.col("__pn") == F.col("__ap"), "left")
+         .join(nm_r, F.col("__pr") == F.col("__ar"), "left"))
+    pname = F.coalesce("__cp", "__cr", col(L.PARTNER_NAME_COL))
+    prepared = p.select(normalize_text(pname).alias("__p_name"), match_key(pname).alias("__p_key"),
+                        b2n(col(L.CONTRACT_DATE_COL)).alias("buy_date"),
+                        b2n(col(L.PRICING_COL)).alias("repository_type"),
+                        match_key(col(L.PROJECT_COL)).alias("__project_key"),
+                        F.col("_loaded_at")).filter(F.col("__p_key").isNotNull())
+    # newest sheet row per partner (nulls last); declared tie-break on the other columns
+    partner_src = first_by(prepared, ["__p_key"], [desc("_loaded_at", nulls_last=True), asc("__p_name"),
+                                                   asc("buy_date"), asc("repository_type"), asc("__project_key")])
+
+    projects = ctx.ref("dim_project").filter(b2n("project_name").isNotNull())
+    uniq = unique_name_lookup(projects, match_key("project_name"), "project_id", "__up_key", "__up_id")
+    dsp = ctx.ref("dim_sub_project").filter(match_key("sub_project_name") == F.lit(L.DEFAULT_SUB_PROJECT_KEY)) \
+        .select(F.col("sub_project_id"), F.col("project_id").alias("__dsp_project"))
+    repo = ctx.ref("dim_repository").filter(b2n("repository_name").isNotNull()).select(
+        F.col("repository_id"), F.col("sub_project_id").alias("__r_sub"),
+        match_key("repository_name").alias("__r_key"))
+
+    j = (res.join(partner_src.drop("_loaded_at"), F.col("partner_key") == F.col("__p_key"), "left")
+         .join(uniq, F.col("__project_key") == F.col("__up_key"), "left")
+         .join(dsp, F.col("__up_id") == F.col("__dsp_project"), "left"))
+    j = j.join(repo, (F.col("__r_key") == F.col("partner_key"))
+               & (F.col("sub_project_id").isNull() | (F.col("__r_sub") == F.col("sub_project_id"))), "left")
+    return j.select(sk("hg_stock_id").alias("dim_purchased_resource_sk"), "hg_stock_id", "resources_name",
+                    F.col("repository_id").alias("repository"), "partner_name", "partner_key",
+                    sk("partner_key").alias("partner_id"), "buy_date", "repository_type", "sub_project_id")

@@ -36,8 +36,12 @@ def staging(spark):
          ("IS2", "2,000,000", "2024-02-03", "a2", "Art Two"), (" ", "5", "2024-01-01", "a3", "X"),
          ("IS3", "10", " ", " ", "Nobody")])
     add("network", "Id string, Name string", [("n1", "Net One"), ("n2", "Net Two")])
-    add("partners", f"`{L.PARTNER_NAME_COL}` string, `{L.PROJECT_COL}` string",
-        [("P1", "Lo-fi  Beats"), ("P1", None), (" P1", "lo-fi beats"), ("", " ")])
+    add("partners", f"`{L.PARTNER_NAME_COL}` string, `{L.PROJECT_COL}` string, `{L.PARTNER_REPO_COL}` string, "
+        f"`{L.CONTRACT_DATE_COL}` string, `{L.PRICING_COL}` string, _loaded_at timestamp",
+        [("P1", "Lo-fi  Beats", None, None, None, TS(2024, 1, 1)), ("P1", None, None, None, None, None),
+         (" P1", "lo-fi beats", None, None, None, None), ("", " ", None, None, None, None),
+         ("Deep  Co", "Project One", "Deep", "15/02/2024", "fixed", TS(2024, 1, 1)),
+         ("DEEP CO", "Project One", None, "01/01/2023", "old", TS(2023, 1, 1))])
     add("x_project", "id int, name string, state string", [(9, "Lo-fi Beats", "open"), (12, "Ambient", "open")])
     add("distro_infomation", f"`{L.PROJECT_COL}` string", [("Ambient / Chill Hop",), ("Dự án",), (" ",)])
     add("sale", "retailer string, isrc string, artist string, reportingPeriod string, revenue string",
@@ -164,8 +168,9 @@ def staging(spark):
         [(stock(5), "Perf 5", None, "ISOLD5", "ISNEW5", "Project"),
          (stock(6), "Perf 6", "IS6", None, None, unicodedata.normalize("NFD", " " + L.UNKNOWN_PROJECT.upper() + " ")),
          (stock(10), "Perf 10", None, None, None, "#n/a")])
-    add("purchased_resource", f"`{L.PURCHASED_CODE_COL}` string, `{L.TITLE_COL}` string",
-        [(stock(1), "Bought 1"), (stock(11), "Bought 11"), ("XYZ", "bad code")])
+    add("purchased_resource", f"`{L.PURCHASED_CODE_COL}` string, `{L.TITLE_COL}` string, `{L.PURCHASED_REPO_COL}` string",
+        [(stock(1), "Bought 1", "deep   company"), (stock(11), "Bought 11", "Other"), ("XYZ", "bad code", "Other"),
+         (stock(13), "No repo", " ")])
     add("resource_infomation_add", f"ResourceFileId string, `{L.TITLE_COL}` string, ISRC string, `{L.PROJECT_COL}` string",
         [(stock(12), "Added 12", "IS12", "Old Name"), (stock(5), "Added 5", "IS5", "Bỏ bài này")])
     add("resource_storage_history", "ResourceFileInfoId string, ToStatus string", [("2", "Archived"), ("1", "Active")])
@@ -194,11 +199,13 @@ def provided(spark):
          ("r4", "BAD", "pb", "Other", "other", None)],
         "dim_purchased_resource_sk string, hg_stock_id string, partner_id string, partner_name string, "
         "partner_key string, buy_date string")
-    dsp = spark.createDataFrame([("sp1", "Child", "pj1")], "sub_project_id string, sub_project_name string, project_id string")
+    dsp = spark.createDataFrame([("sp1", "Child", "pj1"), ("sp0", "Không có  dự án con", "pj1")],
+                                "sub_project_id string, sub_project_name string, project_id string")
     dstock = spark.createDataFrame(
         [(stock(1), "Stock 1", "IS1"), (stock(2), "Stock 2", "IS2"), (stock(3), "Stock 3", ""), ("OTHER1", "x", None)],
         "hg_stock_id string, name string, isrc string")
-    repo = spark.createDataFrame([("50", "sp1"), ("51", "sp1"), ("52", None)], "repository_id string, sub_project_id string")
+    repo = spark.createDataFrame([("50", "sp1", "Deep Co"), ("51", "sp1", "x"), ("52", None, "Other"), ("53", "sp0", "deep co")],
+                                 "repository_id string, sub_project_id string, repository_name string")
     proj = spark.createDataFrame([("pj1", "Project One")], "project_id string, project_name string")
     dres = spark.createDataFrame(
         [(stock(1), "50", "1000", "odoo"), (stock(2), "50", "1001", "odoo"), (stock(2), "50", "1001", "odoo"),

@@ -42,7 +42,7 @@ def test_simple_dims(ctx):
     assert rows(ctx.ref("dim_department"), "department_id", "department_name") == [
         ("5", "Kinh doanh"), ("6", "Ops"), ("7", None)]
     # raw names differing by white space stay separate rows (DISTINCT ON the raw name)
-    assert rows(ctx.ref("dim_partners"), "partner_name") == [("P1",), ("P1",)]
+    assert rows(ctx.ref("dim_partners"), "partner_name") == [("DEEP CO",), ("Deep  Co",), ("P1",), ("P1",)]
     assert rows(ctx.ref("dim_subproject_stock"), "sub_project_id", "sub_project_name") == [("p2", "Child"), ("p3", None)]
     assert rows(ctx.ref("dim_company_stock"), "company_id") == [("1",), ("3",)]
 
@@ -205,3 +205,15 @@ def test_dim_project_resolution(spark):
 def F_lit(v):
     from pyspark.sql import functions as F
     return F.lit(v)
+
+
+def test_dim_purchased_resource(spark):
+    prov = MF.provided(spark)
+    prov.pop("dim_purchased_resource")
+    c = ModelContext(spark, MF.staging(spark), dt.date(2024, 3, 1), provided=prov)
+    got = rows(c.ref("dim_purchased_resource"), "hg_stock_id", "partner_name", "partner_key", "buy_date",
+               "repository_type", "sub_project_id", "repository")
+    assert got == [(MF.stock(1), "Deep Co", "deep co", "15/02/2024", "fixed", "sp0", "53"),
+                   (MF.stock(11), "Other", "other", None, None, None, "52")]
+    # the cost model runs on the built dimension as well
+    assert c.ref("fact_purchase_cost").filter(f"resource_id = '{MF.stock(1)}'").count() == 23
