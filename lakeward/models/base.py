@@ -127,3 +127,15 @@ def materialize(ctx: ModelContext, names: Iterable[str], root: str,
         ctx.set_built(n, ctx.spark.read.parquet(path))
         paths[n] = path
     return paths
+
+
+def checkpoint_models(ctx: ModelContext, names: Iterable[str]) -> None:
+    """Replace models that several downstream models read by reliable
+    checkpoints in the session's shared ``spark.checkpoint.dir`` (eager: each
+    is computed once, later plans start from its files, and a lost executor
+    never forces the upstream chain to be recomputed).  ``materialize`` is
+    the persistent variant that writes named warehouse tables."""
+    from lakeward.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(ctx.spark)
+    for n in names:
+        ctx.set_built(n, ctx.ref(n).checkpoint(eager=True))

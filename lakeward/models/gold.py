@@ -43,18 +43,17 @@ def _last_growth(monthly: DataFrame, key: str, value: str, out: str) -> DataFram
     return latest_growth(g, [key], "month").select(key, out)
 
 
-def _team_metric(fd_counts: DataFrame, stock_video: DataFrame, metric: DataFrame, vid: str,
-                 value: str, by_month: str | None, out: str) -> DataFrame:
-    """sum(metric) over distribution row x stock video x metric row, per team
-    (and month), computed from per-key partial sums."""
-    keys = ["__video", "month"] if by_month else ["__video"]
-    m = metric.select(F.col(vid).alias("__video"), F.col(value).alias("__v"),
-                      *([month_start(by_month).alias("month")] if by_month else []))
-    per_video = m.groupBy(*keys).agg(F.sum("__v").alias("__v"))
+def _team_monthly(fd_counts: DataFrame, stock_video: DataFrame, metrics: DataFrame) -> DataFrame:
+    """sum(value) over distribution row x stock video x metric row per
+    (team, month, metric), from per-key partial sums: per (video, month,
+    metric), then per (stock, month, metric), then times the distribution
+    row count of each (team, stock)."""
+    keys = ["month", "metric"]
+    per_video = metrics.groupBy("__video", *keys).agg(F.sum("__v").alias("__v"))
     per_stock = (stock_video.select("hg_stock_id", F.col("video_id").alias("__video")).join(per_video, "__video")
-                 .groupBy("hg_stock_id", *keys[1:]).agg(F.sum("__v").alias("__v")))
-    j = fd_counts.join(per_stock, "hg_stock_id")
-    return j.groupBy("team", *keys[1:]).agg(F.sum(F.col("__v") * F.col("__rows")).alias(out))
+                 .groupBy("hg_stock_id", *keys).agg(F.sum("__v").alias("__v")))
+    return (fd_counts.join(per_stock, "hg_stock_id")
+            .groupBy("team", *keys).agg(F.sum(F.col("__v") * F.col("__rows")).alias("__v")))
 
 
 @model("mart_team_usage", "gold")
@@ -76,15 +75,21 @@ def mart_team_usage(ctx: ModelContext) -> DataFrame:
         .agg(F.count_distinct("hg_stock_id").alias("usage_resources"))
 
     sv = ctx.ref("int_stock_video")
-    views = ctx.ref("fact_view_yt")
-    revenue = ctx.ref("fact_revenue_yt")
-    view_t = _team_metric(fd_counts, sv, views, "video_id", "view_count", None, "total_view")
-    rev_t = _team_metric(fd_counts, sv, revenue, "video_id", "revenue_amount", None, "total_revenue")
-    gv = _last_growth(_team_metric(fd_counts, sv, views, "video_id", "view_count", "recorded_date", "monthly"),
+    # both metrics in one chain (tagged rows); totals are sums over the months
+    metrics = (ctx.ref("fact_view_yt").select(F.col("video_id").alias("__video"), month_start("recorded_date").alias("month"),
+                                              F.lit("view").alias("metric"), F.col("view_count").cast(L.NUMERIC).alias("__v"))
+               .unionByName(ctx.ref("fact_revenue_yt").select(
+                   F.col("video_id").alias("__video"), month_start("revenue_date").alias("month"),
+                   F.lit("revenue").alias("metric"), F.col("revenue_amount").cast(L.NUMERIC).alias("__v"))))
+    monthly = _team_monthly(fd_counts, sv, metrics)
+    totals = monthly.groupBy("team").agg(
+        F.sum(F.when(F.col("metric") == "view", F.col("__v"))).alias("total_view"),
+        F.sum(F.when(F.col("metric") == "revenue", F.col("__v"))).alias("total_revenue"))
+    gv = _last_growth(monthly.filter(F.col("metric") == "view").select("team", "month", F.col("__v").alias("monthly")),
                       "team", "monthly", "growth_view")
-    gr = _last_growth(_team_metric(fd_counts, sv, revenue, "video_id", "revenue_amount", "revenue_date", "monthly"),
+    gr = _last_growth(monthly.filter(F.col("metric") == "revenue").select("team", "month", F.col("__v").alias("monthly")),
                       "team", "monthly", "growth_revenue")
-    out = (team_dist.join(usage, "team", "left").join(view_t, "team", "left").join(rev_t, "team", "left")
+    out = (team_dist.join(usage, "team", "left").join(totals, "team", "left")
            .join(gv, "team", "left").join(gr, "team", "left"))
     zero = F.lit(0).cast(L.NUMERIC)
     return out.select(sk("team").alias("mart_team_usage_sk"), "team", "distributed_resources",

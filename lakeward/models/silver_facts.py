@@ -370,23 +370,25 @@ def fact_music_evaluation(ctx: ModelContext) -> DataFrame:
 
 def _names_for_lists(rows: DataFrame, list_col: str, dim: DataFrame, dim_key: str, dim_name: str,
                      out: str) -> DataFrame:
-    """JN-18 per distinct (row id, list): comma ids -> names joined with ', '
-    in list order; unknown ids skipped; nothing resolved -> null."""
-    lists = rows.select("__row", F.col(list_col).alias("__list")).distinct()
+    """JN-18: comma id list -> names joined with ', ' in list order; unknown
+    ids skipped; nothing resolved -> null.  The names depend on the list text
+    alone, so they are resolved once per distinct list value (far fewer than
+    rows) and joined back on that value."""
+    lists = rows.select(F.col(list_col).alias("__list")).filter(F.col("__list").isNotNull()).distinct()
     items = explode_list(lists, "__list")
     d = dim.select(F.col(dim_key).cast("string").alias("item"), F.col(dim_name).alias("__name"))
     named = items.join(d, "item")
-    return (named.groupBy("__row", "__list")
+    return (named.groupBy("__list")
             .agg(F.array_sort(F.collect_list(F.struct("pos", "__name"))).alias("__l"))
-            .select(F.col("__row").alias(f"__{out}_row"), F.col("__list").alias(f"__{out}_list"),
+            .select(F.col("__list").alias(f"__{out}_list"),
                     F.array_join(F.transform("__l", lambda s: s["__name"]), ", ").alias(out)))
 
 
 @model("fact_distribution", "silver")
 def fact_distribution(ctx: ModelContext) -> DataFrame:
     """Distributions of catalogue files with department, team and employee
-    names resolved from comma id lists (one explode + join + aggregate per
-    list, never a per-row subquery); excluded stock codes removed (anti join
+    names resolved from comma id lists (per distinct list value: one explode
+    + join + aggregate, never a per-row subquery); excluded stock codes removed (anti join
     on the code; rows without a catalogue file are kept with a null code)."""
     d = ctx.source("distribution_media_history")
     rfi = ctx.source("resource_file_info").select(F.col("Id").alias("__rfi_id"),
@@ -394,14 +396,12 @@ def fact_distribution(ctx: ModelContext) -> DataFrame:
     rfi = rfi.filter(F.col("hg_stock_id").startswith(L.STOCK_PREFIX))
     fd = d.join(rfi, d["ResourceFileInfoId"] == F.col("__rfi_id"), "left")
     fd = fd.join(_excluded(ctx), F.col("hg_stock_id") == F.col("__ex"), "left_anti")
-    fd = fd.withColumn("__row", F.col("Id"))
     out = fd
     for list_col, dim, key, name, alias in (("DepartmentData", "department", "Id", "Name", "department"),
                                             ("GroupData", "groups", "Id", "Name", "team"),
                                             ("UserData", "users", "Id", "DisplayName", "employee")):
         names = _names_for_lists(fd, list_col, ctx.source(dim), key, name, alias)
-        out = out.join(names, (F.col("__row") == F.col(f"__{alias}_row"))
-                       & (F.col(list_col) == F.col(f"__{alias}_list")), "left")
+        out = out.join(names, F.col(list_col) == F.col(f"__{alias}_list"), "left")
     return out.select(sk("Id").alias("fact_distribution_sk"), F.col("Id").alias("distribution_id"), "hg_stock_id",
                       F.col("CreatedDate").cast("timestamp").alias("distribution_date"),
                       F.lit(L.SHARED_RECIPIENT).alias("recipient_company"), "department", "team", "employee",

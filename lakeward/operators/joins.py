@@ -144,12 +144,16 @@ def explode_list(df: DataFrame, list_col: str | Column, sep_regex: str = ",",
 def list_lookup_agg(df: DataFrame, row_id: str, list_col: str, dim: DataFrame, dim_key: str,
                     dim_name: str, out: str, sep: str = ", ") -> DataFrame:
     """JN-18 / AGG-7: resolve a comma id list to names joined in list order
-    (unknown ids skipped; no resolvable id -> null).  One explode, one join,
-    one partial aggregation per row id, one join back."""
-    items = explode_list(df.select(row_id, list_col), list_col)
+    (unknown ids skipped; no resolvable id -> null).  The names depend only on
+    the list text, so they are resolved once per distinct list value (one
+    explode, one join, one partial aggregation) and joined back on it; a list
+    value shared by many rows is one row on the names side.  ``row_id`` is kept
+    for callers that key the result by row."""
+    lists = df.select(F.col(list_col).alias("__list")).filter(F.col("__list").isNotNull()).distinct()
+    items = explode_list(lists, "__list")
     d = dim.select(F.col(dim_key).cast("string").alias("item"), F.col(dim_name).alias("__name"))
     named = items.join(d, "item")
-    agg = (named.groupBy(row_id)
+    agg = (named.groupBy("__list")
            .agg(F.array_sort(F.collect_list(F.struct(F.col("pos"), F.col("__name")))).alias("__l"))
-           .select(row_id, F.array_join(F.transform("__l", lambda s: s["__name"]), sep).alias(out)))
-    return df.join(agg, row_id, "left")
+           .select("__list", F.array_join(F.transform("__l", lambda s: s["__name"]), sep).alias(out)))
+    return df.join(agg, df[list_col] == agg["__list"], "left").drop("__list")

@@ -40,6 +40,9 @@ TARGET_COMPANY = "BUILDING"
 EXCLUDED_BRAND = "Brand#13"
 NON_FILE_SIZE = 45
 AS_OF = dt.date(2002, 1, 1)
+# Channels of nations below this key have a received deal (revenue facts).
+DEAL_RECEIVED_BELOW_NATION = 20
+DEAL_RECEIVED_AT = dt.datetime(1994, 1, 1)
 
 
 def _id(prefix: str, c: str) -> F.Column:
@@ -95,7 +98,7 @@ def _supplier_lines(t: Tables) -> DataFrame:
     explicitly (capped count): without statistics the planner estimates the
     supplier x nation join as a product and would broadcast the line items."""
     sn = t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey")) \
-        .select("s_suppkey", "s_name", "n_name")
+        .select("s_suppkey", "s_name", "s_nationkey", "n_name", "n_regionkey")
     return t.lineitem.join(broadcast_bounded(sn, SUPPLIER_BROADCAST_ROWS), F.col("l_suppkey") == F.col("s_suppkey"))
 
 
@@ -136,6 +139,24 @@ _DERIVE = {
         _id("IS", "l_partkey").alias("isrc"), F.format_number(F.col("l_quantity") * 1000, 0).alias("dailyStream"),
         _day_text("l_shipdate").alias("reportingDate"), _id("A", "l_suppkey").alias("idArtist"),
         F.col("s_name").alias("mainArtist")),
+    "distribution_media_history": lambda t: _supplier_lines(t).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", _cents("l_quantity"),
+                    _cents("l_extendedprice")).alias("Id"),
+        F.col("l_partkey").alias("ResourceFileInfoId"), F.col("l_shipdate").cast("timestamp").alias("CreatedDate"),
+        F.col("l_suppkey").alias("CreatedByUserId"),
+        F.concat_ws(",", "s_nationkey", "n_regionkey").alias("DepartmentData"),
+        F.col("n_regionkey").cast("string").alias("GroupData"), F.col("l_suppkey").cast("string").alias("UserData")),
+    "resource_file_info": lambda t: t.part.select(
+        F.col("p_partkey").alias("Id"), _stock_code("p_partkey").alias("ResourceFileId"),
+        _id("IS", "p_partkey").alias("ISRC"), F.lit(1).alias("MediaType")),
+    "department": lambda t: t.nation.select(F.col("n_nationkey").alias("Id"), F.col("n_name").alias("Name")),
+    "groups": lambda t: t.region.select(F.col("r_regionkey").alias("Id"), F.col("r_name").alias("Name")),
+    "users": lambda t: t.supplier.select(F.col("s_suppkey").alias("Id"), F.col("s_name").alias("DisplayName")),
+    "channel_deal": lambda t: t.customer.select(
+        F.col("c_custkey").alias("ChannelId"), F.col("c_nationkey").alias("CmsId"), F.lit(False).alias("IsDeleted"),
+        (F.col("c_acctbal") < 0).alias("IsOutNet"),
+        F.when(F.col("c_nationkey") < DEAL_RECEIVED_BELOW_NATION, F.lit(DEAL_RECEIVED_AT)).alias("ReceiveTimeUtc"),
+        F.lit(None).cast("timestamp").alias("OutNetTimeUtc")),
     "usd_rate": lambda t: t.orders.select(
         _day_text("o_orderdate").alias("record_date"), F.col("o_totalprice").alias("exchange_rate")),
 }
@@ -184,6 +205,21 @@ STAGING_SQL = {
                      "s_name AS mainArtist FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
     "usd_rate": "SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS record_date, o_totalprice AS exchange_rate "
                 "FROM orders",
+    "distribution_media_history": "SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+                                  "CAST(round(l_quantity * 100) AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT)) AS Id, "
+                                  "l_partkey AS ResourceFileInfoId, CAST(l_shipdate AS TIMESTAMP) AS CreatedDate, "
+                                  "l_suppkey AS CreatedByUserId, concat_ws(',', s_nationkey, n_regionkey) AS DepartmentData, "
+                                  "CAST(n_regionkey AS VARCHAR) AS GroupData, CAST(l_suppkey AS VARCHAR) AS UserData "
+                                  "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey",
+    "resource_file_info": "SELECT p_partkey AS Id, 'hgfa' || lpad(upper(hex(p_partkey)), 32, '0') AS ResourceFileId, "
+                          "'IS' || p_partkey AS ISRC, 1 AS MediaType FROM part",
+    "department": "SELECT n_nationkey AS Id, n_name AS Name FROM nation",
+    "groups": "SELECT r_regionkey AS Id, r_name AS Name FROM region",
+    "users": "SELECT s_suppkey AS Id, s_name AS DisplayName FROM supplier",
+    "channel_deal": "SELECT c_custkey AS ChannelId, c_nationkey AS CmsId, false AS IsDeleted, c_acctbal < 0 AS IsOutNet, "
+                    "CASE WHEN c_nationkey < {below} THEN TIMESTAMP '{at}' END AS ReceiveTimeUtc, "
+                    "CAST(NULL AS TIMESTAMP) AS OutNetTimeUtc FROM customer".format(
+                        below=DEAL_RECEIVED_BELOW_NATION, at=DEAL_RECEIVED_AT.isoformat(sep=" ")),
 }
 
 
@@ -357,3 +393,117 @@ SELECT {_sk('YoutubeVideoId')} AS dim_video_sk, {_b2n('YoutubeVideoId')} AS vide
 FROM ranked WHERE rn = 1"""))
 def wh_dim_video(spark: SparkSession, sf: str) -> DataFrame:
     return driver_context(spark, sf).ref("dim_video")
+
+
+DIM_VIDEO_CTES = f"""
+cm AS (
+  SELECT DISTINCT {_b2n('ch.YoutubeChannelId')} AS channel_id FROM stg_channel ch
+  WHERE {_b2n('ch.YoutubeChannelId')} IS NOT NULL AND EXISTS (
+    SELECT 1 FROM stg_channel_company cc WHERE cc.ChannelId = ch.Id AND coalesce(cc.IsDeleted, false) = false
+      AND cc.CompanyId = '{TARGET_COMPANY}')
+), dim_video AS (
+  SELECT {_b2n('YoutubeVideoId')} AS video_id, CAST(PublishedAt AS TIMESTAMP) AS published_date FROM (
+    SELECT cvi.*, row_number() OVER (PARTITION BY cvi.YoutubeVideoId ORDER BY cvi.PublishedAt DESC NULLS FIRST,
+                                     cvi.YoutubeChannelId, cvi.Code, cvi.Title) AS rn
+    FROM stg_channel_video_info cvi JOIN cm ON {_b2n('cvi.YoutubeChannelId')} = cm.channel_id
+    WHERE {_b2n('cvi.YoutubeVideoId')} IS NOT NULL) WHERE rn = 1
+)"""
+
+
+def _net_metric_cte(name: str, deal_cond: str, cols: str) -> str:
+    return f"""
+net_{name} AS (
+  SELECT DISTINCT c.YoutubeChannelId FROM stg_channel_deal cd
+  JOIN stg_channel_company cc ON cd.ChannelId = cc.ChannelId JOIN stg_channel c ON cd.ChannelId = c.Id
+  WHERE cc.Type IS NULL AND cd.IsOutNet = false AND cd.IsDeleted = false AND {deal_cond}
+    AND c.SuspendedTimeUtc IS NULL
+), {name} AS (
+  SELECT m.YoutubeVideoId AS video_id, {cols} FROM stg_channel_video_metric m
+  WHERE m.YoutubeVideoId IS NOT NULL AND trim(m.YoutubeVideoId) <> '' AND m.Date IS NOT NULL
+    AND EXISTS (SELECT 1 FROM stg_channel_video_info cv JOIN net_{name} nc ON cv.YoutubeChannelId = nc.YoutubeChannelId
+                WHERE cv.YoutubeVideoId = m.YoutubeVideoId)
+)"""
+
+
+TEAM_USAGE_SQL = _with(
+    FACT_EDITING_STG + ["channel", "channel_company", "channel_video_info", "channel_video_metric", "channel_deal",
+                        "distribution_media_history", "resource_file_info", "department"],
+    FACT_EDITING_CTES.strip() + "," + DIM_VIDEO_CTES + "," + f"""
+bridge AS (
+  SELECT {_b2n('Code')} AS editing_code, {_b2n('YoutubeVideoId')} AS video_id FROM stg_channel_video_info
+  WHERE {_b2n('Code')} IS NOT NULL
+), int_stock_video AS (
+  SELECT DISTINCT fe.hg_stock_id, b.video_id FROM fact_editing fe JOIN bridge b ON fe.editing_code = b.editing_code
+),""" + _net_metric_cte("fact_view_yt", "cd.OutNetTimeUtc IS NULL",
+                        "CAST(m.Views AS DECIMAL(38,6)) AS view_count, CAST(m.Date AS TIMESTAMP) AS recorded_date")
+    + "," + _net_metric_cte("fact_revenue_yt", "cd.ReceiveTimeUtc IS NOT NULL",
+                            "CAST(m.EstimatedRevenue AS DECIMAL(38,6)) AS revenue_amount, "
+                            "CAST(m.Date AS TIMESTAMP) AS revenue_date") + f""",
+fd_base AS (
+  SELECT d.Id, d.DepartmentData, upper(trim(rfi.ResourceFileId)) AS hg_stock_id
+  FROM stg_distribution_media_history d
+  LEFT JOIN stg_resource_file_info rfi
+    ON d.ResourceFileInfoId = rfi.Id AND upper(trim(rfi.ResourceFileId)) LIKE '{L.STOCK_PREFIX}%'
+  LEFT JOIN excluded x ON x.hg = upper(trim(rfi.ResourceFileId))
+  WHERE x.hg IS NULL
+), items AS (
+  SELECT Id, DepartmentData AS list, unnest(l) AS item, unnest(range(1, len(l) + 1)) AS pos
+  FROM (SELECT Id, DepartmentData, string_split(nullif(DepartmentData, ''), ',') AS l FROM fd_base)
+), dep AS (
+  SELECT i.Id, i.list, string_agg(dd.Name, ', ' ORDER BY i.pos) AS department
+  FROM items i JOIN stg_department dd ON trim(i.item) = CAST(dd.Id AS VARCHAR) GROUP BY i.Id, i.list
+), fact_distribution AS (
+  SELECT f.Id, f.hg_stock_id, d.department FROM fd_base f
+  LEFT JOIN dep d ON d.Id = f.Id AND d.list = f.DepartmentData
+), team_dist AS (
+  SELECT department AS team, count(hg_stock_id) AS distributed_resources FROM fact_distribution
+  WHERE department IS NOT NULL GROUP BY department
+), editing_codes AS (
+  SELECT DISTINCT b.editing_code FROM bridge b
+  JOIN (SELECT video_id FROM dim_video WHERE published_date IS NOT NULL) pv ON b.video_id = pv.video_id
+), usage_per_team AS (
+  SELECT fd.department AS team, count(DISTINCT fe.hg_stock_id) AS usage_resources
+  FROM fact_distribution fd JOIN fact_editing fe ON fd.hg_stock_id = fe.hg_stock_id
+  JOIN editing_codes ec ON fe.editing_code = ec.editing_code
+  WHERE fe.hg_stock_id IS NOT NULL AND fd.department IS NOT NULL GROUP BY fd.department
+), view_per_team AS (
+  SELECT fd.department AS team, sum(fv.view_count) AS total_view
+  FROM fact_distribution fd JOIN int_stock_video sv ON fd.hg_stock_id = sv.hg_stock_id
+  JOIN fact_view_yt fv ON sv.video_id = fv.video_id WHERE fd.department IS NOT NULL GROUP BY fd.department
+), revenue_per_team AS (
+  SELECT fd.department AS team, sum(fr.revenue_amount) AS total_revenue
+  FROM fact_distribution fd JOIN int_stock_video sv ON fd.hg_stock_id = sv.hg_stock_id
+  JOIN fact_revenue_yt fr ON sv.video_id = fr.video_id WHERE fd.department IS NOT NULL GROUP BY fd.department
+), monthly_view AS (
+  SELECT fd.department AS team, date_trunc('month', fv.recorded_date) AS month, sum(fv.view_count) AS v
+  FROM fact_distribution fd JOIN int_stock_video sv ON fd.hg_stock_id = sv.hg_stock_id
+  JOIN fact_view_yt fv ON sv.video_id = fv.video_id WHERE fd.department IS NOT NULL GROUP BY 1, 2
+), monthly_revenue AS (
+  SELECT fd.department AS team, date_trunc('month', fr.revenue_date) AS month, sum(fr.revenue_amount) AS v
+  FROM fact_distribution fd JOIN int_stock_video sv ON fd.hg_stock_id = sv.hg_stock_id
+  JOIN fact_revenue_yt fr ON sv.video_id = fr.video_id WHERE fd.department IS NOT NULL GROUP BY 1, 2
+), growth_view AS (
+  SELECT team, g AS growth_view FROM (
+    SELECT team, (CAST(v AS DOUBLE) - lag(CAST(v AS DOUBLE)) OVER w) / nullif(lag(CAST(v AS DOUBLE)) OVER w, 0) AS g,
+           row_number() OVER (PARTITION BY team ORDER BY month DESC) AS rn
+    FROM monthly_view WINDOW w AS (PARTITION BY team ORDER BY month)) WHERE rn = 1
+), growth_revenue AS (
+  SELECT team, g AS growth_revenue FROM (
+    SELECT team, (CAST(v AS DOUBLE) - lag(CAST(v AS DOUBLE)) OVER w) / nullif(lag(CAST(v AS DOUBLE)) OVER w, 0) AS g,
+           row_number() OVER (PARTITION BY team ORDER BY month DESC) AS rn
+    FROM monthly_revenue WINDOW w AS (PARTITION BY team ORDER BY month)) WHERE rn = 1
+)
+SELECT {_sk('td.team')} AS mart_team_usage_sk, td.team, td.distributed_resources,
+       coalesce(u.usage_resources, 0) AS usage_resources,
+       CAST(coalesce(vt.total_view, 0) AS DECIMAL(38,6)) AS view,
+       CAST(coalesce(rt.total_revenue, 0) AS DECIMAL(38,6)) AS revenue, gv.growth_view, gr.growth_revenue
+FROM team_dist td LEFT JOIN usage_per_team u ON td.team = u.team LEFT JOIN view_per_team vt ON td.team = vt.team
+LEFT JOIN revenue_per_team rt ON td.team = rt.team LEFT JOIN growth_view gv ON td.team = gv.team
+LEFT JOIN growth_revenue gr ON td.team = gr.team""")
+
+
+@query("wh_mart_team_usage",
+       "2.14 mart_team_usage: JN-18 list lookups, AGG-3/12, WIN-9/10; fan-out replaced by per-key partial sums "
+       "(oracle: the literal three-way join)", sql=TEAM_USAGE_SQL)
+def wh_mart_team_usage(spark: SparkSession, sf: str) -> DataFrame:
+    return driver_context(spark, sf).ref("mart_team_usage")
