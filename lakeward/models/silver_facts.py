@@ -400,7 +400,7 @@ def fact_distribution(ctx: ModelContext) -> DataFrame:
     for list_col, dim, key, name, alias in (("DepartmentData", "department", "Id", "Name", "department"),
                                             ("GroupData", "groups", "Id", "Name", "team"),
                                             ("UserData", "users", "Id", "DisplayName", "employee")):
-        names = _names_for_lists(fd, list_col, ctx.source(dim), key, name, alias)
+        names = _names_for_lists(d, list_col, ctx.source(dim), key, name, alias)  # lists of the raw source
         out = out.join(names, F.col(list_col) == F.col(f"__{alias}_list"), "left")
     return out.select(sk("Id").alias("fact_distribution_sk"), F.col("Id").alias("distribution_id"), "hg_stock_id",
                       F.col("CreatedDate").cast("timestamp").alias("distribution_date"),
