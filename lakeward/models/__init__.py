@@ -6,8 +6,7 @@ DataFrames and ``materialize`` writes them layer by layer.
 
 Not built yet (provide them through ``ModelContext.provided`` when a mart
 needs them): dim_sub_project, dim_repository,
-dim_resources, mart_resource_usage,
-fact_hao_hut.
+dim_resources, fact_hao_hut.
 """
 
 from lakeward.models import gold, silver_dims, silver_facts  # noqa: F401

@@ -255,3 +255,92 @@ def mart_avg_sla_ord_disribution(ctx: ModelContext) -> DataFrame:
     return j.filter(F.col("number_resources") > 0).select(
         "repository_id", "sub_project", "project", "number_resources",
         F.nullif(F.col("sla_ord_distribution"), F.lit(0)).alias("sla_ord_distribution"))
+
+
+def _agg_distinct_text(c: F.Column) -> F.Column:
+    """AGG-6: distinct non-null values joined with ', ' in sorted order (the
+    source's order is unspecified); no value -> null."""
+    s = F.array_sort(F.collect_set(c))
+    return F.when(F.size(s) > 0, F.array_join(s, ", "))
+
+
+@model("mart_resource_usage", "gold")
+def mart_resource_usage(ctx: ModelContext) -> DataFrame:
+    """Per stock item: best resource row (with a repository, then with a
+    production id, then newest acceptance, then key), its repository /
+    sub-project / project, stock facts, distribution teams, A&R and SEO
+    owners, video use, and three ages at ``as_of`` (since stored, since last
+    use for cold/in-use items, unused days for inventory items)."""
+    from lakeward.operators.dedup import first_by
+    from lakeward.operators.ordering import asc, desc
+    res = ctx.ref("dim_resources").filter(b2n("hg_stock_id").isNotNull())
+    best = first_by(res.select("hg_stock_id", "resource_name", "resource_source", "repository_type", "repository_id",
+                               "production_plan_detail_id", "odoo_id", "acceptance_date", "dim_resources_sk"),
+                    ["hg_stock_id"],
+                    [asc(F.when(F.col("repository_id").isNotNull(), 0).otherwise(1)),
+                     asc(F.when(F.col("odoo_id").isNotNull(), 0).otherwise(1)),
+                     desc("acceptance_date", nulls_last=True), asc("dim_resources_sk")])
+    repo = ctx.ref("dim_repository").select(F.col("repository_id").alias("__r_id"),
+                                            F.col("repository_name").alias("repository"),
+                                            F.col("sub_project_id").alias("__r_sp"))
+    sp = ctx.ref("dim_sub_project").select("sub_project_id", "sub_project_name", F.col("project_id").alias("__sp_p"))
+    pj = ctx.ref("dim_project").select("project_id", F.col("project_name").alias("project"))
+    rh = (best.join(repo, F.col("repository_id") == F.col("__r_id"), "left")
+          .join(sp, F.col("__r_sp") == sp["sub_project_id"], "left")
+          .join(pj, F.col("__sp_p") == pj["project_id"], "left")
+          .select(F.col("hg_stock_id").alias("resource_id"), "resource_name",
+                  F.col("resource_source").alias("resource_origin"), F.col("repository_type").alias("source"),
+                  "repository_id", "repository", "sub_project_id", "sub_project_name", "project_id", "project",
+                  "production_plan_detail_id"))
+
+    si = ctx.ref("dim_stock").filter(b2n("hg_stock_id").isNotNull()).select(
+        F.col("hg_stock_id").alias("__si_id"), F.col("name").alias("stock_name"), "isrc", "stock_stored_date",
+        F.col("status").alias("stock_status"))
+    dt_ = (ctx.ref("fact_distribution").filter(b2n("hg_stock_id").isNotNull())
+           .groupBy(F.col("hg_stock_id").alias("__dt_id"))
+           .agg(_agg_distinct_text(b2n("team")).alias("distribution_team"),
+                F.max("distribution_date").cast("date").alias("last_distribution_date")))
+    ar = ctx.ref("dim_ar").select(F.col(f"`{L.AR_ID_COL}`").alias("__ar_id"), F.col(f"`{L.AR_NAME_COL}`").alias("__ar_name"))
+    ar_by = (rh.select(F.col("resource_id").alias("__ar_res"), "production_plan_detail_id")
+             .join(ar, F.col("production_plan_detail_id") == F.col("__ar_id"), "left")
+             .groupBy("__ar_res").agg(_agg_distinct_text(b2n("__ar_name")).alias("ar_name")))
+    xms = ctx.source("x_music_song").filter(F.col("employee_id").isNotNull()) \
+        .select(F.col("id").cast("string").alias("__x_id"), F.col("employee_id").cast("bigint").alias("__emp"))
+    he = ctx.source("hr_employee").select(F.col("id").cast("bigint").alias("__he_id"), F.col("name").alias("__he_name"))
+    seo = (res.select("hg_stock_id", b2n("odoo_id").alias("__odoo")).join(xms, F.col("__odoo") == F.col("__x_id"))
+           .join(he, F.col("__he_id") == F.col("__emp"), "left")
+           .groupBy(F.col("hg_stock_id").alias("__seo_id"))
+           .agg(_agg_distinct_text(F.col("__emp").cast("string")).alias("seo_employee_id"),
+                _agg_distinct_text(b2n("__he_name")).alias("seo_name")))
+    fe = ctx.ref("fact_editing").filter(b2n("hg_stock_id").isNotNull() & b2n("editing_code").isNotNull()) \
+        .select("hg_stock_id", "editing_code")
+    b = ctx.ref("bridge_bt_vid").filter(b2n("video_id").isNotNull()).select("editing_code", "video_id")
+    dv = ctx.ref("dim_video").select(F.col("video_id").alias("__dv_id"), "published_date")
+    # distinct (stock, video) pairs counted with a partial aggregate; newest
+    # publish per editing code first, so the stock join sees one row per code
+    vcount = (fe.join(b, "editing_code").groupBy(F.col("hg_stock_id").alias("__vu_id"))
+              .agg(F.count_distinct("video_id").alias("used_video_count")))
+    per_code = (b.join(dv, F.col("video_id") == F.col("__dv_id"), "left").groupBy("editing_code")
+                .agg(F.max("published_date").alias("__pub")))
+    vlast = (fe.join(per_code, "editing_code").groupBy(F.col("hg_stock_id").alias("__vl_id"))
+             .agg(F.max("__pub").cast("date").alias("last_used_published_date")))
+    vu = vcount.join(vlast, F.col("__vu_id") == F.col("__vl_id"), "left")
+
+    j = (rh.join(si, F.col("resource_id") == F.col("__si_id"), "left")
+         .join(dt_, F.col("resource_id") == F.col("__dt_id"), "left")
+         .join(ar_by, F.col("resource_id") == F.col("__ar_res"), "left")
+         .join(seo, F.col("resource_id") == F.col("__seo_id"), "left")
+         .join(vu, F.col("resource_id") == F.col("__vu_id"), "left"))
+    as_of = as_date_lit(ctx.as_of)
+    stored = F.col("stock_stored_date").cast("date")
+    return j.select(
+        sk("resource_id").alias("mart_resource_usage_sk"), "resource_id", "resource_name", "stock_name", "isrc",
+        "resource_origin", "source", "repository", "repository_id", "sub_project_name", "sub_project_id", "project",
+        "project_id", "stock_status", stored.alias("stock_stored_date"),
+        F.when(stored.isNotNull(), days_between(as_of, stored)).alias("resource_age_days"),
+        "distribution_team", "last_distribution_date", "ar_name", "seo_employee_id", "seo_name",
+        F.coalesce("used_video_count", F.lit(0)).alias("used_video_count"), "last_used_published_date",
+        F.when(F.col("stock_status").isin(L.STOCK_COLD, L.STOCK_IN_USE) & F.col("last_used_published_date").isNotNull(),
+               days_between(as_of, "last_used_published_date")).alias("days_since_last_usage"),
+        F.when((F.col("stock_status") == L.STOCK_IN_INVENTORY) & stored.isNotNull(),
+               days_between(as_of, stored)).alias("inventory_unused_days"))

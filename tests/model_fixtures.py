@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import unicodedata
 
+from pyspark.sql import functions as F
+
 from lakeward.models import labels as L
 
 D = dt.date
@@ -78,17 +80,17 @@ def staging(spark):
         "review_price string, review_date string, detail_line_id int, state string, produce_state int, "
         "sale_order_id int, purchase_order_line_id int, purchase_order_id string, hg_code string, isrc string, "
         "active boolean, release_state string, release_date string, distro string, cid_state string, "
-        "net_cid string, hg_link string, ytb_sent_date string",
+        "net_cid string, hg_link string, ytb_sent_date string, employee_id string",
         [(1, "S1", "Song 1", 50, "9.5", "100", "2024-01-10", 1, "approved", 6, 600, 1000, "100", stock(1), "IS1",
-          True, "released", "2024-01-11", "D1", "cid", "net", "link1", "2024-02-01"),
+          True, "released", "2024-01-11", "D1", "cid", "net", "link1", "2024-02-01", "3"),
          (2, "S2", "Song 2", 50, "8", "50", None, 1, "approved", None, None, None, "100", stock(2), "IS2",
-          True, "released", None, "D2", None, None, None, None),
+          True, "released", None, "D2", None, None, None, None, None),
          (3, "S3", "Song 3", 51, " ", None, None, None, "draft", 1, None, None, None, None, "IS1",
-          True, "new", None, None, None, None, None, None),
+          True, "new", None, None, None, None, None, None, None),
          (4, "S4", "Song 4", 51, None, None, None, None, "rejected", None, None, None, None, None, "IS9",
-          False, None, None, None, None, None, None, None),
+          False, None, None, None, None, None, None, None, None),
          (5, "S5", "Song 5", 51, None, None, None, None, "other", None, None, None, None, None, None,
-          True, None, None, None, None, None, None, None)])
+          True, None, None, None, None, None, None, None, None)])
     add("departmentlevel", "Id int, Name string", [(1, "Công ty"), (2, "Phòng")])
     add("department", "Id int, Name string, DepartmentLevelId int",
         [(1, "Co A", 1), (2, "Team X", 2), (3, "Co B", 1)])
@@ -211,5 +213,19 @@ def provided(spark):
         [(stock(1), "50", "1000", "odoo"), (stock(2), "50", "1001", "odoo"), (stock(2), "50", "1001", "odoo"),
          (stock(3), "51", None, "odoo"), (stock(4), "52", "1000", "sheet")],
         "hg_stock_id string, repository_id string, po_detail_id string, resource_source string")
-    return {"dim_purchased_resource": dpr, "dim_sub_project": dsp, "dim_stock": dstock, "dim_repository": repo,
+    dres_full = spark.createDataFrame(
+        [(stock(1), "Res 1", "odoo", "fixed", "50", "1", "1", dt.datetime(2024, 1, 10), "k1"),
+         (stock(1), "Res 1 sheet", "sheet", None, None, None, None, None, "k2"),
+         (stock(2), "Res 2", "odoo", None, None, "3", "2", None, "k3"),
+         (stock(2), "Res 2b", "odoo", None, "51", None, None, dt.datetime(2023, 1, 1), "k4"),
+         (stock(11), "Res 11", "sheet", "share", None, None, None, None, "k5")],
+        "hg_stock_id string, resource_name string, resource_source string, repository_type string, "
+        "repository_id string, production_plan_detail_id string, odoo_id string, acceptance_date timestamp, "
+        "dim_resources_sk string")
+    dstock = dstock.withColumn("stock_stored_date", F.lit(None).cast("timestamp")) \
+        .withColumn("status", F.lit(L.STOCK_IN_INVENTORY))
+    for c, t in (("resource_name", "string"), ("repository_type", "string"), ("production_plan_detail_id", "string"),
+                 ("odoo_id", "string"), ("acceptance_date", "timestamp"), ("dim_resources_sk", "string")):
+        dres = dres.withColumn(c, F.lit(None).cast(t))
+    return {"dim_purchased_resource": dpr, "dim_resources_full": dres_full, "dim_sub_project": dsp, "dim_stock": dstock, "dim_repository": repo,
             "dim_project": proj, "dim_resources": dres}

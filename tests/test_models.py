@@ -217,3 +217,20 @@ def test_dim_purchased_resource(spark):
                    (MF.stock(11), "Other", "other", None, None, None, "52")]
     # the cost model runs on the built dimension as well
     assert c.ref("fact_purchase_cost").filter(f"resource_id = '{MF.stock(1)}'").count() == 23
+
+
+def test_mart_resource_usage(spark):
+    prov = MF.provided(spark)
+    prov["dim_resources"] = prov.pop("dim_resources_full")
+    prov.pop("dim_stock")
+    c = ModelContext(spark, MF.staging(spark), dt.date(2024, 3, 1),
+                     vars={"target_company_id": MF.CO, "stock_link_prefix": "https://stock/"}, provided=prov)
+    got = {r[0]: r[1:] for r in rows(c.ref("mart_resource_usage"), "resource_id", "resource_name", "repository",
+                                      "project", "stock_status", "used_video_count", "days_since_last_usage",
+                                      "ar_name", "seo_employee_id", "distribution_team")}
+    # stock 1: the row with a repository wins; used in V1 (published 2024-01-06), cold at 2024-03-01
+    assert got[MF.stock(1)] == ("Res 1", "Deep Co", "Project One", L.STOCK_COLD, 1, 55, "Ann", "3", "G1, G1, G2")  # distinct team texts "G1" and "G1, G2"
+    # stock 2: rows with a repository first ('51'), then production id
+    assert got[MF.stock(2)][:2] == ("Res 2b", "x")
+    assert got[MF.stock(2)][4] == 2     # editing E1 (V1) and E2 (V2)
+    assert got[MF.stock(11)][3] == L.STOCK_IN_INVENTORY and got[MF.stock(11)][4] == 0
