@@ -293,9 +293,12 @@ def fact_editing(ctx: ModelContext) -> DataFrame:
                       F.col("EndTime").alias("end_time"))
               .join(_excluded(ctx), F.col("hg_stock_id") == F.col("__ex"), "left_anti"))
     rows = joined.distinct()
-    # hot editings are found on the rows before DISTINCT (an upper bound per key, key column only)
+    # Hot editings are found from the raw placements (key column only): editing
+    # and resource ids are keys of their tables, so the raw count per editing
+    # bounds the joined one.  The probe only steers the plan - a missed hot key
+    # is still numbered correctly, by the plain window.
     numbered = sequence_within(rows, ["editing_id"], [asc("start_time"), asc("resource_editing_id")],
-                               out="position", probe=joined.select("editing_id"))
+                               out="position", probe=re_.select(F.col("EditingId").alias("editing_id")))
     return numbered.select(sk("resource_editing_id").alias("fact_editing_sk"), "editing_id", "editing_code",
                            "hg_stock_id", F.col("position").cast("int").alias("position"),
                            (F.col("end_time").cast(L.NUMERIC) - F.col("start_time").cast(L.NUMERIC)).alias("duration"))
