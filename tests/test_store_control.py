@@ -118,3 +118,21 @@ def test_run_extract_load_retry_rollback(spark, workdir):
     assert rollback_source(spark, spec, dt.date(2026, 9, 2), workdir) == 2
     assert TableStore(spark, workdir).read("stg.sales").count() == 2
     assert rollback_source(spark, spec, dt.date(2026, 8, 1), workdir) is None
+
+
+def test_balanced_scan_spreads_only_unsplit_inputs(spark, workdir, monkeypatch):
+    import lakeward.session as S
+    path = f"{workdir}/one"
+    spark.range(5000).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert df.rdd.getNumPartitions() == 1
+    assert S.balanced_scan(df) is df                     # below the size threshold: untouched
+    monkeypatch.setattr(S, "UNSPLIT_SCAN_BYTES", 1)
+    spread = S.balanced_scan(df)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r[0] for r in spread.collect()) == list(range(5000))
+    split = spark.range(5000).repartition(spark.sparkContext.defaultParallelism)
+    split.write.parquet(f"{workdir}/many")
+    many = spark.read.parquet(f"{workdir}/many")
+    if many.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        assert S.balanced_scan(many) is many             # already split: untouched
