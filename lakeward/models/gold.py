@@ -63,18 +63,22 @@ def mart_team_usage(ctx: ModelContext) -> DataFrame:
     of the videos using its resources, and newest month-over-month growth."""
     fd = ctx.ref("fact_distribution").filter(F.col("department").isNotNull()) \
         .select(F.col("department").alias("team"), "hg_stock_id")
-    team_dist = fd.groupBy("team").agg(F.count("hg_stock_id").alias("distributed_resources"))
-    fd_counts = fd.filter(F.col("hg_stock_id").isNotNull()).groupBy("team", "hg_stock_id") \
-        .agg(F.count(F.lit(1)).alias("__rows"))
+    # one pass over the distributions: rows per (team, stock), null stock included
+    per_pair = fd.groupBy("team", "hg_stock_id").agg(F.count(F.lit(1)).alias("__rows"))
+    team_dist = per_pair.groupBy("team").agg(
+        F.coalesce(F.sum(F.when(F.col("hg_stock_id").isNotNull(), F.col("__rows"))), F.lit(0))
+        .alias("distributed_resources"))
+    fd_counts = per_pair.filter(F.col("hg_stock_id").isNotNull())
 
+    sv = ctx.ref("int_stock_video")
+    # a stock is used when one of its (stock, video) pairs has a published
+    # video: the same set as editing codes bridged to published videos
     published = ctx.ref("dim_video").filter(F.col("published_date").isNotNull()).select("video_id")
-    codes = ctx.ref("bridge_bt_vid").join(published, "video_id", "left_semi").select("editing_code").distinct()
-    used = ctx.ref("fact_editing").filter(F.col("hg_stock_id").isNotNull()).join(codes, "editing_code", "left_semi") \
+    used = sv.filter(F.col("hg_stock_id").isNotNull()).join(published, "video_id", "left_semi") \
         .select("hg_stock_id").distinct()
     usage = fd_counts.join(used, "hg_stock_id", "left_semi").groupBy("team") \
-        .agg(F.count_distinct("hg_stock_id").alias("usage_resources"))
+        .agg(F.count(F.lit(1)).alias("usage_resources"))
 
-    sv = ctx.ref("int_stock_video")
     # both metrics in one chain (tagged rows); totals are sums over the months
     metrics = (ctx.ref("fact_view_yt").select(F.col("video_id").alias("__video"), month_start("recorded_date").alias("month"),
                                               F.lit("view").alias("metric"), F.col("view_count").cast(L.NUMERIC).alias("__v"))
