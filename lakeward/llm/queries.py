@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeward.llm import bpe, secret_scan
+from lakeward.llm import bpe, compress_quality, secret_scan
 from lakeward.llm.shared import read
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -36,3 +36,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return secret_scan.digest(secret_scan.scan(docs, secret_scan.train_on_texts(docs)))
+
+
+@query("op2_compress_quality")
+def op2_compress_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = compress_quality.train(docs, labels.where(~compress_quality.held_out()))
+    return (compress_quality.score(docs, model)
+            .select("doc_id", compress_quality.held_out().alias("held_out"), "score", "predicted"))
