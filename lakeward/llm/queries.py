@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeward.llm import bpe, compress_quality, secret_scan
+from lakeward.llm import bpe, compress_quality, secret_scan, simhash
 from lakeward.llm.shared import read
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -44,3 +44,8 @@ def op2_compress_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = compress_quality.train(docs, labels.where(~compress_quality.held_out()))
     return (compress_quality.score(docs, model)
             .select("doc_id", compress_quality.held_out().alias("held_out"), "score", "predicted"))
+
+
+@query("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, distance=4)
