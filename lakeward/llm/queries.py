@@ -7,8 +7,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeward.llm import bpe, compress_quality, secret_scan, simhash
+from lakeward.llm import (bpe, compress_quality, containment, cross_entropy, divergence, extendible, secret_scan,
+                           simhash)
 from lakeward.llm.shared import read
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -49,3 +51,30 @@ def op2_compress_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, distance=4)
+
+
+@query("op9_containment", containment.PAIRS_SQL)
+def op9_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containment.pairs(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op5_divergence")
+def op5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(read(spark, sf_dir, "documents"))
+
+
+#: Bytes of text that a shard of the query holds at most.
+SHARD_BYTES = 1 << 20
+
+
+@query("op7_extendible_sharding", extendible.ASSIGN_SQL.format(limit=SHARD_BYTES))
+def op7_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extendible.assign(read(spark, sf_dir, "documents"), "doc_id", F.octet_length("text"), SHARD_BYTES)
+
+
+@query("op8_cross_entropy")
+def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is what is labelled good, the background everything else."""
+    docs = read(spark, sf_dir, "documents")
+    good = read(spark, sf_dir, "labels").where("quality = 1")
+    return cross_entropy.score(docs, cross_entropy.train(docs, good))
