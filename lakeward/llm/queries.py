@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.llm import (bpe, compress_quality, containment, cross_entropy, divergence, extendible, secret_scan,
-                           simhash)
+                           simhash, wrappers)
 from lakeward.llm.shared import read
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -78,3 +78,8 @@ def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     good = read(spark, sf_dir, "labels").where("quality = 1")
     return cross_entropy.score(docs, cross_entropy.train(docs, good))
+
+
+@query("op10_html_wrappers")
+def op10_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(read(spark, sf_dir, "pages"))
