@@ -4,13 +4,14 @@ Each applies its operator with production parameters to the whole table."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.llm import (bpe, compress_quality, containment, cross_entropy, divergence, extendible, secret_scan,
-                           simhash, wrappers)
+                           simhash, surrogates, wrappers)
 from lakeward.llm.shared import read
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -83,3 +84,10 @@ def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_html_wrappers")
 def op10_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(read(spark, sf_dir, "pages"))
+
+
+@query("op1_pii_surrogates")
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is a secret in production; here it comes from the environment, if set."""
+    key = os.environ.get("LAKEWARD_SURROGATE_KEY", "surrogate key of the registered query")
+    return surrogates.replace(read(spark, sf_dir, "documents"), key.encode())

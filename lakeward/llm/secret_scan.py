@@ -207,9 +207,11 @@ def digest(found: DataFrame) -> DataFrame:
     def line(spans):
         return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    def of(kind):
+        return lambda s: s["kind"] == kind
     base = F.filter("found", lambda s: s["kind"] != "markov")
-    return found.select("doc_id", *[F.size(F.filter("found", lambda s, k=kind: s["kind"] == k)).cast("long")
-                                    .alias(f"n_{kind}") for kind, *_ in BASE],
+    return found.select("doc_id", *[F.size(F.filter("found", of(kind))).cast("long").alias(f"n_{kind}")
+                                    for kind, *_ in BASE],
                         F.sha2(line(base), 256).alias("base_sha256"), line(F.col("found")).alias("spans"))
 
 
