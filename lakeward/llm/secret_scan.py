@@ -190,6 +190,15 @@ def scan(docs: DataFrame, model: Markov, mask: str | None = None) -> DataFrame:
     return out if mask is not None else out.drop("masked")
 
 
+def masked(docs: DataFrame, model: Markov, mask: str) -> DataFrame:
+    """All columns of ``docs``, the secrets in ``text`` replaced by ``mask`` and
+    ``n_chars`` the length of what is left.  Null texts stay null."""
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([blot(t, find(t, model), mask) if t else t for t in texts], dtype=object)
+    return docs.withColumn("text", run("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def blot(text: str | None, spans: list[tuple[int, int, str]], mask: str) -> str | None:
     if not spans:
         return text

@@ -180,3 +180,22 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4) -> DataF
     of = cut(member.join(group, "root").select("fp", "component_id"), "members")
     return (fps.join(of, "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns: the row
+    whose doc_id is the group's component_id.
+
+    Where rows repeat a doc_id, the one with the least text stays (a null text
+    before all others); only such rows' texts are compared.  A group whose ids
+    are all null keeps one row as well."""
+    ids = near_duplicates(docs, words, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    counted = cut(ids.groupBy(F.col("doc_id").alias("kept")).agg(F.count("*").alias("n")), "kept")
+    same = F.col("doc_id").eqNullSafe(F.col("kept"))
+    once = docs.join(counted.where("n = 1").select("kept"), same, "left_semi")
+    repeated = counted.where("n > 1").select("kept")
+    if repeated.isEmpty():
+        return once
+    rows = docs.join(repeated, same, "left_semi").groupBy(F.col("doc_id").alias("kept")).agg(
+        F.min_by(F.struct("*"), F.struct(F.col("text"))).alias("row"))
+    return once.unionByName(rows.select("row.*"))
