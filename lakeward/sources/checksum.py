@@ -15,7 +15,9 @@ def file_checksums(spark: SparkSession, path: str) -> DataFrame:
 def table_fingerprint(df: DataFrame) -> str:
     """Order-insensitive fingerprint of a table's content: row count plus the
     exact decimal sum of a 64-bit row hash (one partial aggregate; equal
-    tables give equal fingerprints whatever their partitioning)."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    tables give equal fingerprints whatever their partitioning).  Which values
+    are null is hashed with them, as a null by itself leaves a hash unchanged."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    h = F.xxhash64(*[x for c in cols for x in (c.isNull(), c)]).cast("decimal(38,0)")
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(h).alias("s")).first()
     return f"{r['n']}:{r['s']}"

@@ -62,15 +62,18 @@ def run_extract(spark: SparkSession, spec: SourceSpec, read: Callable[[object],
     mode = spec.load_mode
     file_like = spec.source_type in ("csv", "sheet")
     full = read(None)
-    checksum = table_fingerprint(full)
+    by_content = file_like or not spec.watermark_column
+    # only sources without a usable watermark are read for their content
+    checksum = table_fingerprint(full) if by_content else None
     if not force:
-        if file_like or not spec.watermark_column:
+        if by_content:
             if prev is not None and prev["checksum"] == checksum:
                 return None
         elif not has_changed_watermark(full, spec.watermark_column, last_wm, spec.incremental):
             return None
-    data = read(last_wm) if (spec.incremental and spec.watermark_column and last_wm) else full
-    if file_like and spec.incremental and last_wm and data.limit(1).isEmpty():
+    newer = spec.incremental and spec.watermark_column and last_wm and not force
+    data = read(last_wm) if newer else full
+    if newer and file_like and data.limit(1).isEmpty():
         data, mode = full, "truncate"
     batch_id = new_batch_id(spec.source_id, now)
     staged = add_audit_columns(data, spec.source_id, batch_id, now, connection=spec.connection)
@@ -79,8 +82,9 @@ def run_extract(spark: SparkSession, spec: SourceSpec, read: Callable[[object],
     path = write_bronze(staged, root, spec.source_id, batch_id)
     landed = read_bronze(spark, path)
     rows = landed.count()
+    # the watermark of what has landed: rows that came in since stay for the next run
     ledger.register_extracted(spec.source_id, spec.source_type, batch_id, path, checksum,
-                              _wm_text(full, spec.watermark_column), rows, now, spec.connection)
+                              _wm_text(landed, spec.watermark_column) or last_wm, rows, now, spec.connection)
     return Batch(batch_id, path, rows, mode)
 
 
@@ -111,9 +115,19 @@ def retry_batch(spark: SparkSession, spec: SourceSpec, batch_id: str, root: str)
 
 def rollback_source(spark: SparkSession, spec: SourceSpec, day: dt.date, root: str) -> int | None:
     """RUN-4: reload the newest batch loaded on or before ``day`` in truncate
-    mode; None (and nothing changed) when there is no such batch."""
-    row = rollback_target(Ledger(spark, root).current(), day, spec.source_id).first()
+    mode; None (and nothing changed) when there is no such batch.  The batches
+    loaded after it get a ``rolled_back`` event."""
+    ledger = Ledger(spark, root)
+    state = ledger.current()
+    row = rollback_target(state, day, spec.source_id).first()
     if row is None:
         return None
-    return TableStore(spark, root).load_truncate(read_bronze(spark, row["minio_path"]), spec.target_table,
-                                                 row["batch_id"])
+    n = TableStore(spark, root).load_truncate(read_bronze(spark, row["minio_path"]), spec.target_table,
+                                              row["batch_id"])
+    later = state.where((F.col("source_id") == spec.source_id) & (F.col("status") == "loaded")
+                        & (F.struct("extracted_at", "batch_id") > F.struct(
+                            F.lit(row["extracted_at"]).cast("timestamp_ntz"), F.lit(row["batch_id"]))))
+    ledger.append_all(later.withColumns({
+        "status": F.lit("rolled_back"), "error_message": F.lit(None).cast("string"),
+        "event_at": F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")}))
+    return n

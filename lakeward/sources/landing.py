@@ -36,19 +36,22 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
 
 
 def scan_csv(spark: SparkSession, path: str, sep: str = ",", quote: str = '"',
-             encoding: str = "UTF-8") -> DataFrame:
+             encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
     """SRC-1: all columns as text, header trimmed/sanitised, quoted separators
-    honoured, short rows null-padded, rows with *more* fields than the header
-    dropped (read with one extra overflow column, keep rows where it is null)."""
-    header = (spark.read.option("sep", sep).option("quote", quote).option("encoding", encoding)
-              .csv(path).limit(1).collect())
+    honoured, doubled quotes read as one, short rows null-padded, rows with *more* fields than the header
+    dropped (read with one extra overflow column, keep rows where it is null).
+    ``multi_line`` reads quoted line breaks as part of a field; a file is then
+    one task, so set it only for sources that need it."""
+    def reader():
+        return (spark.read.option("sep", sep).option("quote", quote).option("escape", quote)
+                .option("encoding", encoding).option("multiLine", multi_line))
+    header = reader().csv(path).limit(1).collect()
     if not header:
         return spark.createDataFrame([], T.StructType([]))
     names = sanitize_names([c if c is not None else "" for c in header[0]])
     schema = T.StructType([T.StructField(f"__c{i}", T.StringType()) for i in range(len(names))]
                           + [T.StructField(OVERFLOW_COL, T.StringType())])
-    raw = (spark.read.option("sep", sep).option("quote", quote).option("encoding", encoding)
-           .option("header", "true").option("mode", "PERMISSIVE").schema(schema).csv(path))
+    raw = (reader().option("header", "true").option("mode", "PERMISSIVE").schema(schema).csv(path))
     return (raw.filter(F.col(OVERFLOW_COL).isNull()).drop(OVERFLOW_COL)
             .toDF(*names))
 
@@ -65,9 +68,13 @@ def scan_csv_incremental(df: DataFrame, wm_col: str, last: str | dt.datetime | N
     input, before filtering.  Missing column -> error."""
     if wm_col not in df.columns:
         raise KeyError(f"watermark column {wm_col!r} not in source")
-    wm = watermark_value(wm_col)
+    # a typed column is compared as it is, so that the filter reaches the scan
+    typed = isinstance(df.schema[wm_col].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
+    wm = F.col(f"`{wm_col}`") if typed else watermark_value(wm_col)
     if last is None:
         delta = df
+    elif typed:
+        delta = df.filter(wm > F.lit(str(last)).cast(df.schema[wm_col].dataType))
     else:
         lit = F.lit(last if isinstance(last, dt.datetime) else str(last))
         delta = df.filter(wm > F.try_to_timestamp(lit.cast("string")))

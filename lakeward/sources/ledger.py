@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeward.sources.store import path_exists
+
 LEDGER_SCHEMA = T.StructType([
     T.StructField("source_id", T.StringType()), T.StructField("source_type", T.StringType()),
     T.StructField("connection_name", T.StringType()), T.StructField("batch_id", T.StringType()),
@@ -30,10 +32,11 @@ class Ledger:
         self.spark, self.path = spark, f"{root.rstrip('/')}/_ledger"
 
     def events(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
-        except Exception:  # noqa: BLE001 - no ledger written yet
+        """All events; none before the first is written.  A ledger that is there
+        but cannot be read is an error, not an empty one."""
+        if not path_exists(self.spark, self.path):
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
 
     # REG-1
     def append(self, **event) -> None:
@@ -45,6 +48,10 @@ class Ledger:
         row = tuple(event.get(f.name) for f in LEDGER_SCHEMA.fields)
         self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
+    def append_all(self, events: DataFrame) -> None:
+        """Append many events at once (REG-1)."""
+        events.select(*LEDGER_SCHEMA.names).write.mode("append").parquet(self.path)
+
     def register_extracted(self, source_id, source_type, batch_id, path, checksum, watermark, rows,
                            extracted_at, connection=None):
         self.append(source_id=source_id, source_type=source_type, connection_name=connection,

@@ -58,23 +58,21 @@ def page_chain_check(pages: DataFrame, source: str, page_no: str, has_more: str,
                      max_pages: int) -> DataFrame:
     """SRC-9: cursor-protocol violations per source: a page that says more
     pages follow but carries no (or an empty) cursor, a cursor seen twice,
-    too many pages, pages missing after a has-more page.  One row per source
-    with counts and ``ok``.  The window is over one source's page list, which
-    the page cap bounds."""
-    w = Window.partitionBy(source).orderBy(page_no)
-    p = pages.select(source, page_no, has_more, cursor,
-                     F.lead(F.col(page_no)).over(w).alias("__next"))
+    too many pages, a last page that says more follow, gaps or repeats in the
+    page numbers.  One row per source with counts and ``ok``, from one
+    aggregate that keeps no page list."""
     missing_cursor = F.col(has_more) & (F.col(cursor).isNull() | (F.trim(F.col(cursor)) == ""))
-    dangling = F.col(has_more) & F.col("__next").isNull()
-    agg = p.groupBy(source).agg(
+    span = F.max(page_no) - F.min(page_no) + 1
+    agg = pages.groupBy(source).agg(
         F.count(F.lit(1)).alias("pages"),
         F.count(F.when(missing_cursor, 1)).alias("missing_cursor"),
         (F.count(F.col(cursor)) - F.count_distinct(F.col(cursor))).alias("repeated_cursor"),
-        F.count(F.when(dangling, 1)).alias("dangling_has_more"),
+        F.when(F.max_by(has_more, page_no), 1).otherwise(0).cast("long").alias("dangling_has_more"),
+        F.abs(span - F.count(F.lit(1))).cast("long").alias("page_gaps"),
     )
     return agg.withColumn("over_cap", F.col("pages") > F.lit(max_pages)).withColumn(
         "ok", (F.col("missing_cursor") == 0) & (F.col("repeated_cursor") == 0)
-        & (F.col("dangling_has_more") == 0) & ~F.col("over_cap"))
+        & (F.col("dangling_has_more") == 0) & (F.col("page_gaps") == 0) & ~F.col("over_cap"))
 
 
 def month_partitions(spark: SparkSession, start: dt.date | Column, as_of: dt.date | Column) -> DataFrame:
@@ -116,4 +114,5 @@ def fx_daily_series(payloads: DataFrame, day: str, payload: str, currency: str,
                             F.element_at(m, F.lit(currency)).alias("rate")).filter(F.col("rate").isNotNull())
     cal = payloads.sparkSession.range(1).select(
         F.explode(F.sequence(F.lit(start), F.lit(as_of))).alias("date"))
-    return cal.join(rates.dropDuplicates(["date"]), "date", "inner")
+    # of several rates for a day the largest counts
+    return cal.join(rates.groupBy("date").agg(F.max("rate").alias("rate")), "date", "inner")

@@ -1,10 +1,11 @@
 """Bronze batches and staging tables on plain Parquet (SNK-1..6).
 
 Without a table format, a staging table is a *manifest* of immutable Parquet
-directories.  Every load writes new data files first and then replaces the
-small ``_manifest.json`` pointer in one rename, so a failed load (schema
-mismatch, task failure) leaves readers on the old version.  One writer per
-table is assumed, as in the source system."""
+directories.  Every load writes new data files first and then adds the next
+numbered manifest in one rename; the highest number is the table.  Nothing is
+ever deleted or overwritten on the way, so a crash at any point leaves readers
+on the old version.  One writer per table is assumed, as in the source system;
+a second one that publishes the same number fails."""
 
 from __future__ import annotations
 
@@ -30,18 +31,33 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file atomically: temp file + rename over the target."""
+    """Write a small new file atomically: temp file, then rename.  Fails if
+    the file is already there."""
     fs, p, jvm = _fs(spark, path)
     tmp = jvm.org.apache.hadoop.fs.Path(path + f".tmp-{uuid.uuid4().hex}")
-    out = fs.create(tmp, True)
+    out = fs.create(tmp, False)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
+    if fs.exists(p) or not fs.rename(tmp, p):
+        fs.delete(tmp, False)
         raise OSError(f"could not publish {path}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def _latest(spark: SparkSession, folder: str) -> str | None:
+    """Path of the highest numbered manifest in a folder."""
+    fs, p, _ = _fs(spark, folder)
+    if not fs.exists(p):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    numbered = sorted(n for n in names if n.endswith(".json"))
+    return f"{folder}/{numbered[-1]}" if numbered else None
+
+
 def _read_text(spark: SparkSession, path: str) -> str | None:
     fs, p, jvm = _fs(spark, path)
     if not fs.exists(p):
@@ -85,8 +101,8 @@ class TableStore:
         return f"{self.root}/{schema}/{name}"
 
     def manifest(self, table: str) -> dict | None:
-        txt = _read_text(self.spark, f"{self._dir(table)}/_manifest.json")
-        return json.loads(txt) if txt else None
+        path = _latest(self.spark, f"{self._dir(table)}/_manifests")
+        return json.loads(_read_text(self.spark, path)) if path else None
 
     def exists(self, table: str) -> bool:
         return self.manifest(table) is not None
@@ -110,16 +126,37 @@ class TableStore:
         batches = (old.get("batches", []) if (old and keep_batches) else []) + ([batch_id] if batch_id else [])
         m = {"version": (old["version"] + 1) if old else 1, "paths": list(paths), "schema": schema,
              "rows": rows, "batch_id": batch_id, "batches": batches}
-        _write_text(self.spark, f"{self._dir(table)}/_manifest.json", json.dumps(m))
+        _write_text(self.spark, f"{self._dir(table)}/_manifests/{m['version']:020d}.json", json.dumps(m))
 
-    def _check_schema(self, df: DataFrame, table: str) -> None:
+    def _schema(self, table: str) -> T.StructType | None:
         m = self.manifest(table)
-        if m is None:
-            return
-        cur = self.read(table)
-        extra = [c for c in df.columns if c not in cur.columns]
+        return T.StructType.fromJson(json.loads(m["schema"])) if m else None
+
+    def _conform(self, df: DataFrame, table: str, absent_as_null: bool = True) -> DataFrame:
+        """The batch in the table's columns and types: absent columns become
+        typed nulls, other types are cast (a value that does not fit fails the
+        load), unknown columns are an error.  A new table takes the batch as it is."""
+        schema = self._schema(table)
+        if schema is None:
+            return df
+        extra = [c for c in df.columns if c not in schema.names]
         if extra:
             raise ValueError(f"columns not in {table}: {extra}")
+        cols = []
+        for f in schema.fields:
+            if f.name not in df.columns:
+                if absent_as_null:
+                    cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+                continue
+            c = F.col(f"`{f.name}`")
+            if df.schema[f.name].dataType == f.dataType:
+                cols.append(c)
+                continue
+            fitted = c.try_cast(f.dataType)
+            misfit = F.raise_error(F.concat(F.lit(f"value of {table}.{f.name} is no {f.dataType.simpleString()}: "),
+                                            c.cast("string")))
+            cols.append(F.when(c.isNotNull() & fitted.isNull(), misfit).otherwise(fitted).alias(f.name))
+        return df.select(*cols)
 
     def _count_while_writing(self, df: DataFrame, table: str) -> tuple[str, int]:
         """Write the files and count rows in the same job (``observe``)."""
@@ -130,20 +167,22 @@ class TableStore:
 
     # SNK-3
     def load_truncate(self, df: DataFrame, table: str, batch_id: str | None = None) -> int:
-        """Atomic full replace; a schema mismatch fails before anything is published."""
-        self._check_schema(df, table)
+        """Atomic full replace in the table's columns and types; a mismatch
+        fails before anything is published."""
+        df = self._conform(df, table)
         path, n = self._count_while_writing(df, table)
         self._publish(table, [path], df.schema.json(), n, batch_id)
         return n
 
     # SNK-4
     def load_append(self, df: DataFrame, table: str, batch_id: str | None = None) -> int:
-        """Plain append.  Idempotent per ``batch_id``: a batch already applied
-        (e.g. a micro-batch replayed after a failure) is skipped."""
-        self._check_schema(df, table)
+        """Plain append in the table's columns and types.  Idempotent per
+        ``batch_id``: a batch already applied (e.g. a micro-batch replayed after
+        a failure) is skipped."""
         old = self.manifest(table)
         if old and batch_id and batch_id in old.get("batches", []):
             return 0
+        df = self._conform(df, table)
         path, n = self._count_while_writing(df, table)
         paths = (old["paths"] if old else []) + [path]
         self._publish(table, paths, df.schema.json(), (old["rows"] if old else 0) + n, batch_id,
@@ -152,9 +191,10 @@ class TableStore:
 
     # SNK-5
     def load_upsert(self, df: DataFrame, table: str, keys: Sequence[str], batch_id: str | None = None) -> int:
-        """Key merge: batch rows replace target rows with the same key, new
-        keys are added.  Missing key column or a key repeated inside the batch
-        is an error; a key-only table is left unchanged when the key exists."""
+        """Key merge: the batch's columns replace those of target rows with the
+        same key, columns that the batch lacks keep their values; new keys are
+        added.  Missing key column or a key repeated inside the batch is an
+        error; a batch of keys only leaves rows whose key exists unchanged."""
         if not keys:
             raise ValueError("upsert needs a key")
         missing = [k for k in keys if k not in df.columns]
@@ -167,9 +207,8 @@ class TableStore:
         batch_rows = int(stats["rows"] or 0)
         if not self.exists(table):
             return self.load_truncate(df, table, batch_id)
-        self._check_schema(df, table)
         target = self.read(table)
-        merged = merge_by_key(target, df, keys)
+        merged = merge_by_key(target, self._conform(df, table, absent_as_null=False), keys)
         # new files are written before the pointer moves, so reading the old
         # version while writing the new one is safe
         path, n_total = self._count_while_writing(merged, table)
@@ -190,7 +229,11 @@ class TableStore:
 
 def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """SNK-5 as a plan: target rows whose key is not in the batch, plus the
-    batch (all non-key columns taken from the batch); columns of the target
-    missing from the batch are kept as nulls for batch rows."""
-    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
-    return kept.unionByName(batch, allowMissingColumns=True)
+    batch.  Columns that the batch lacks come from the target row of the same
+    key, and are null for new keys.  Both joins are on bare rows, so a skewed
+    key can be split."""
+    kept = target.join(batch.select(*keys), list(keys), "left_anti")
+    absent = [c for c in target.columns if c not in batch.columns]
+    if absent:
+        batch = batch.join(target.select(*keys, *absent), list(keys), "left")
+    return kept.unionByName(batch.select(*target.columns))

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeward.session import ensure_checkpoint_dir
 from lakeward.sources.landing import add_audit_columns
 from lakeward.sources.ledger import Ledger
-from lakeward.sources.store import TableStore
+from lakeward.sources.store import TableStore, path_exists, read_bronze
 
 
 def microbatch_load(spark: SparkSession, landing_dir: str, schema: T.StructType, root: str, table: str,
@@ -28,7 +28,9 @@ def microbatch_load(spark: SparkSession, landing_dir: str, schema: T.StructType,
                     ledger: bool = True, options: dict | None = None, wait: bool = True) -> StreamingQuery:
     """Load every file landed so far (``availableNow``) in micro-batches.
 
-    The first batch replaces the table when it does not exist yet (truncate),
+    Each epoch's rows land in a bronze folder of their own with their audit
+    columns, and are loaded from there, so that a rollback or retry of a batch
+    finds exactly its rows.  The first batch replaces the table when it does not exist yet (truncate),
     later batches append (or upsert on ``keys`` when ``mode='upsert'``)."""
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{source_id}"
     reader = spark.readStream.schema(schema).format(fmt)
@@ -42,7 +44,12 @@ def microbatch_load(spark: SparkSession, landing_dir: str, schema: T.StructType,
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         batch_id = f"{source_id}_epoch_{epoch_id:010d}"
-        staged = add_audit_columns(batch, source_id, batch_id, now)
+        if batch_id in ((store.manifest(table) or {}).get("batches") or []):
+            return                          # replayed after it was applied
+        path = f"{root.rstrip('/')}/bronze/source_id={source_id}/batch_id={batch_id}"
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            add_audit_columns(batch, source_id, batch_id, now).write.mode("overwrite").parquet(path)
+        staged = read_bronze(spark, path)
         if mode == "upsert":
             n = store.load_upsert(staged, table, keys, batch_id)
         elif not store.exists(table):
@@ -51,7 +58,7 @@ def microbatch_load(spark: SparkSession, landing_dir: str, schema: T.StructType,
             n = store.load_append(staged, table, batch_id)
         if ledger:
             Ledger(spark, root).append(source_id=source_id, source_type="stream", batch_id=batch_id,
-                                       minio_path=landing_dir, row_count=n, status="loaded",
+                                       minio_path=path, row_count=n, status="loaded",
                                        extracted_at=now, loaded_at=now)
 
     q = (stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", ckpt)
