@@ -37,6 +37,14 @@ def days_between(later: Column | str, earlier: Column | str) -> Column:
     return F.datediff(as_col(later).cast("date"), as_col(earlier).cast("date"))
 
 
+def strict_dmy(c: str) -> Column:
+    """DD/MM/YYYY text -> date, blank -> null; other text fails the job."""
+    text = F.nullif(F.trim(F.col(c)), F.lit(""))
+    parsed = parse_dmy(text)
+    return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(F.concat(F.lit(f"{c} is no date: "), text)).cast("date")
+                  ).otherwise(parsed)
+
+
 def parse_dmy(c: Column | str) -> Column:
     """``to_date(x, 'DD/MM/YYYY')`` accepting one- or two-digit day/month;
     unparseable text -> null."""

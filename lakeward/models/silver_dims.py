@@ -544,8 +544,9 @@ def dim_purchased_resource(ctx: ModelContext) -> DataFrame:
     date, pricing), the project's default sub-project when the project name
     resolves to exactly one project (AGG-11), and candidate repositories of
     the same name within that sub-project (JN-8: equi key AND (no
-    sub-project OR same sub-project)).  Like the warehouse model, every
-    candidate repository is kept (no ranking filter is applied)."""
+    sub-project OR same sub-project)).  One row per stock code: a repository
+    of the default sub-project first, then any repository, then one with the
+    sub-project only; ties by partner, name and repository id."""
     from lakeward.functions.keys import match_key, normalize_text
     from lakeward.operators.dedup import unique_name_lookup
 
@@ -595,6 +596,14 @@ def dim_purchased_resource(ctx: ModelContext) -> DataFrame:
          .join(dsp, F.col("__up_id") == F.col("__dsp_project"), "left"))
     j = j.join(repo, (F.col("__r_key") == F.col("partner_key"))
                & (F.col("sub_project_id").isNull() | (F.col("__r_sub") == F.col("sub_project_id"))), "left")
+    in_default = F.col("repository_id").isNotNull() & (F.col("__r_sub") == F.col("sub_project_id"))
+    rank = (F.when(in_default, 1).when(F.col("repository_id").isNotNull(), 2)
+            .when(F.col("sub_project_id").isNotNull(), 3).otherwise(4))
+    kept = ["hg_stock_id", "resources_name", "repository_id", "partner_name", "partner_key", "buy_date",
+            "repository_type", "sub_project_id"]
+    j = first_by(j.select(rank.alias("__rank"), *kept), ["hg_stock_id"],
+                 [asc("__rank"), asc("partner_key"), asc("resources_name", nulls_last=True), asc("repository_id"),
+                  asc("sub_project_id"), asc("partner_name"), asc("buy_date"), asc("repository_type")])
     return j.select(sk("hg_stock_id").alias("dim_purchased_resource_sk"), "hg_stock_id", "resources_name",
                     F.col("repository_id").alias("repository"), "partner_name", "partner_key",
                     sk("partner_key").alias("partner_id"), "buy_date", "repository_type", "sub_project_id")

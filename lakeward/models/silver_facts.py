@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lakeward.functions.cleanse import JAVA_WHITESPACE, json_or_text, ratio
 from lakeward.functions.cleanse import blank_to_null as b2n
 from lakeward.functions.cleanse import digits_only_number, typed_null
-from lakeward.functions.dates import month_end, month_key, month_start, parse_dmy
+from lakeward.functions.dates import month_end, month_key, month_start, strict_dmy
 from lakeward.functions.keys import surrogate_key as sk
 from lakeward.functions.predicates import is_true, matches_key
 from lakeward.models import labels as L
@@ -26,7 +26,7 @@ from lakeward.models.silver_dims import company_channels
 from lakeward.operators.allocate import position_weight
 from lakeward.operators.dedup import first_by, latest_by, partition_size, sequence_within
 from lakeward.operators.generate import unpivot
-from lakeward.operators.joins import broadcast_bounded, explode_list
+from lakeward.operators.joins import explode_list
 from lakeward.operators.ordering import Order, asc, desc
 
 
@@ -452,10 +452,6 @@ def fact_revenue_by_resources(ctx: ModelContext) -> DataFrame:
                     (F.col("views") * share).cast(L.NUMERIC).alias("view"))
 
 
-# Years are four digits, so the purchase-cost calendar has at most this many months.
-MAX_CALENDAR_MONTHS = 9000 * 12
-
-
 @model("fact_purchase_cost", "silver")
 def fact_purchase_cost(ctx: ModelContext) -> DataFrame:
     """Yearly partner cost sheets (12 month columns, unpivoted in one scan)
@@ -465,8 +461,8 @@ def fact_purchase_cost(ctx: ModelContext) -> DataFrame:
     resource is active from its purchase month on (always when the date is
     missing).  Months are generated per resource with ``explode(sequence)``
     between the first and last calendar month (two scalars from a one-row
-    aggregate) and kept when their year is a sheet year (bounded broadcast
-    semi join) - no cross join.  Costs are local currency / 25000; months
+    aggregate) and kept when their year is a sheet year - no cross join.  Date
+    text that is no date is an error.  Costs are local currency / 25000; months
     without cost get 0 (the year total repeats on every month with cost,
     hazard H9)."""
     name_col = F.col(f"`{L.PARTNER_NAME_COL}`")
@@ -491,7 +487,7 @@ def fact_purchase_cost(ctx: ModelContext) -> DataFrame:
     d = ctx.ref("dim_purchased_resource")
     res = d.filter(matches_key(F.trim("hg_stock_id"), L.STOCK_CODE_PATTERN) & b2n("partner_key").isNotNull()) \
         .select("dim_purchased_resource_sk", "hg_stock_id", "partner_id", "partner_name", "partner_key",
-                parse_dmy(F.trim("buy_date")).alias("buy_date"))
+                strict_dmy("buy_date").alias("buy_date"))
     years = cost.select("year_no").distinct()
     lo, hi = years.agg(F.min("year_no"), F.max("year_no")).first()
     if lo is None:
@@ -501,9 +497,10 @@ def fact_purchase_cost(ctx: ModelContext) -> DataFrame:
     first_m = F.make_date(F.lit(lo), F.lit(1), F.lit(1))
     last_m = F.make_date(F.lit(hi), F.lit(12), F.lit(1))
     start = F.when(F.col("buy_date").isNull(), first_m).otherwise(F.greatest(first_m, month_start("buy_date")))
-    rm = (res.withColumn("month_start", F.explode(F.sequence(start, last_m, F.expr("interval 1 month"))))
+    # bought after the last sheet year: in no month of the calendar
+    rm = (res.filter(start <= last_m).withColumn("month_start", F.explode(F.sequence(start, last_m, F.expr("interval 1 month"))))
           .withColumn("year_no", F.year("month_start")).withColumn("month_no", F.month("month_start"))
-          .join(broadcast_bounded(years, MAX_CALENDAR_MONTHS // 12), "year_no", "left_semi")
+          .join(years, "year_no", "left_semi")
           .withColumn("month_end", month_end("month_start")))
     counts = rm.groupBy("partner_key", "year_no", "month_no").agg(
         F.count_distinct("dim_purchased_resource_sk").alias("n_res"))

@@ -10,14 +10,9 @@ from pyspark.sql import functions as F
 
 from lakeward.functions.keys import match_key, normalize_text
 from lakeward.operators.dedup import first_by
-from lakeward.operators.joins import broadcast_bounded
 from lakeward.operators.ordering import asc, numeric_first
 
 
-# Alias maps are hand-kept lists; above this many rows they are not broadcast.
-ALIAS_MAX_ROWS = 100_000
-
-
 def apply_alias_map(df: DataFrame, name: str, aliases: DataFrame | None, out: str) -> DataFrame:
     """Replace a name by its canonical spelling when its match key is listed
     in ``aliases`` (alias, canonical)."""
@@ -25,7 +20,7 @@ def apply_alias_map(df: DataFrame, name: str, aliases: DataFrame | None, out: st
         return df.withColumn(out, F.col(name))
     a = aliases.select(match_key("alias").alias("__ak"), F.col("canonical").alias("__canon"))
     keyed = df.withColumn("__ak", match_key(name))
-    return (keyed.join(broadcast_bounded(a, ALIAS_MAX_ROWS), "__ak", "left")
+    return (keyed.join(a, "__ak", "left")
             .withColumn(out, F.coalesce("__canon", name)).drop("__ak", "__canon"))
 
 

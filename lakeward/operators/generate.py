@@ -13,7 +13,7 @@ from lakeward.functions.cleanse import as_col
 
 def values_relation(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
     """GEN-1: an inline VALUES relation (alias maps, overrides).  Small by
-    construction; join it with ``broadcast_bounded``."""
+    construction."""
     return spark.createDataFrame(list(rows), schema)
 
 

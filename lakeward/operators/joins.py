@@ -1,9 +1,7 @@
 """Join verbs (JN-1..20).
 
-Physical strategy is left to Catalyst and AQE: a side is broadcast explicitly
-only when its size is bounded by construction (see ``broadcast_bounded``);
-otherwise AQE turns a sort-merge join into a broadcast join at run time from
-the measured size of the finished shuffle stage, and splits skewed partitions.
+Physical strategy is left to Catalyst and AQE, which broadcast a side by its
+known or measured size in bytes, and split skewed partitions; no verb hints.
 """
 
 from __future__ import annotations
@@ -17,15 +15,6 @@ from lakeward.functions.cleanse import as_col
 from lakeward.functions.keys import match_key
 
 
-def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint for a side whose row count is bounded by construction
-    (fixed dimensions, generated calendars, alias maps).  The bound is checked
-    with a capped count (at most ``max_rows + 1`` rows are read); above it
-    the hint is dropped and AQE decides."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                    how: str = "inner") -> DataFrame:
     """Equi join on ``keys`` where null keys match each other (``<=>``);
@@ -68,7 +57,7 @@ def not_exists(left: DataFrame, right: DataFrame, on: Sequence[str] | Column) ->
 def exclude_keys(df: DataFrame, excluded: DataFrame, key: str, excluded_key: str | None = None) -> DataFrame:
     """JN-6: drop rows whose key is on an exclusion list (one hash anti join)."""
     ek = excluded_key or key
-    ex = excluded.select(F.col(ek).alias("__ex")).distinct()
+    ex = excluded.select(F.col(ek).alias("__ex"))
     return df.join(ex, F.col(key) == F.col("__ex"), "left_anti")
 
 
@@ -125,10 +114,11 @@ def lookup_cascade(df: DataFrame, key_col: str, candidates: Sequence[tuple[DataF
 
 
 def as_of_lookup(df: DataFrame, key: str, ts: str, at: Column) -> DataFrame:
-    """JN-20: per key, the newest row with ``ts <= at`` (max_by, partial-aggregated)."""
+    """JN-20: per key, the newest row with ``ts <= at`` (max_by, partial-aggregated);
+    of rows at the same time, the one with the largest values in column order."""
     cols = df.columns
     best = (df.filter(F.col(ts) <= at).groupBy(key)
-            .agg(F.max_by(F.struct(*cols), F.col(ts)).alias("__r")))
+            .agg(F.max_by(F.struct(*cols), F.struct(F.col(ts), *cols)).alias("__r")))
     return best.select("__r.*")
 
 

@@ -11,7 +11,7 @@ from lakeward.functions.cleanse import WHITESPACE_CHARS  # noqa: F401
 from lakeward.operators.dedup import first_by, unique_name_lookup
 from lakeward.operators.entities import canonicalise_entities, resolve_level
 from lakeward.operators.generate import add_default_member, values_relation
-from lakeward.operators.joins import (broadcast_bounded, exclude_keys, exists, full_outer_coalesce,
+from lakeward.operators.joins import (exclude_keys, exists, full_outer_coalesce,
                                       left_residual, list_lookup_agg, not_exists)
 from lakeward.operators.ordering import asc
 from lakeward.plans.ranking import LINE_ORDER, LINE_ORDER_SQL
@@ -81,15 +81,15 @@ def q_full_outer(spark: SparkSession, sf: str) -> DataFrame:
     return full_outer_coalesce(c, s, "n_nationkey").select("n_nationkey", "customers", "suppliers")
 
 
-# Orders per (nation, priority) needed for a priority-specific reference row.
-MIN_ORDERS_FOR_PRIORITY_RULE = 120
+# Priorities that have a reference row of their own.
+RULED_PRIORITIES = ("1-URGENT", "2-HIGH")
 
 
 @query("or_residual_join", "JN-8, JN-7, WIN-3", sql="""
 WITH oc AS (SELECT o_orderkey, o_orderpriority, o_totalprice, c_nationkey
             FROM orders JOIN customer ON o_custkey = c_custkey),
 r AS (SELECT c_nationkey AS r_nation, o_orderpriority AS r_priority, avg(o_totalprice) AS r_avg
-      FROM oc GROUP BY 1, 2 HAVING count(*) >= 120
+      FROM oc WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1, 2
       UNION ALL
       SELECT c_nationkey, NULL, avg(o_totalprice) FROM oc GROUP BY 1),
 m AS (SELECT oc.o_orderkey, r.r_priority, r.r_avg,
@@ -104,13 +104,12 @@ def or_residual_join(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     oc = (t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
           .join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey"))
-    by_pri = (oc.groupBy(F.col("c_nationkey").alias("r_nation"), F.col("o_orderpriority").alias("r_priority"))
-              .agg(F.avg("o_totalprice").alias("r_avg"), F.count(F.lit(1)).alias("n"))
-              .filter(F.col("n") >= MIN_ORDERS_FOR_PRIORITY_RULE).drop("n"))
+    by_pri = (oc.filter(F.col("o_orderpriority").isin(*RULED_PRIORITIES))
+              .groupBy(F.col("c_nationkey").alias("r_nation"), F.col("o_orderpriority").alias("r_priority"))
+              .agg(F.avg("o_totalprice").alias("r_avg")))
     by_nat = oc.groupBy(F.col("c_nationkey").alias("r_nation")).agg(F.avg("o_totalprice").alias("r_avg")) \
                .select("r_nation", F.lit(None).cast("string").alias("r_priority"), "r_avg")
-    # at most (nations x (priorities + 1)) rows: bounded by the dimension sizes
-    rules = broadcast_bounded(by_pri.unionByName(by_nat), 100_000)
+    rules = by_pri.unionByName(by_nat)
     residual = F.col("r_priority").isNull() | (F.col("r_priority") == F.col("o_orderpriority"))
     m = left_residual(oc, rules, [("c_nationkey", "r_nation")], residual, how="inner")
     best = first_by(m.select("o_orderkey", "r_priority", "r_avg"), ["o_orderkey"],
@@ -173,7 +172,7 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY c_mktsegment
 """)
 def string_agg_distinct(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    nation = broadcast_bounded(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), 10_000)
+    nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return (t.customer.select("c_mktsegment", "c_nationkey").join(nation, "c_nationkey")
             .groupBy("c_mktsegment")
             .agg(F.array_join(F.array_sort(F.collect_set("n_name")), ", ").alias("nation_names")))
@@ -208,15 +207,13 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey
 """)
 def resolve_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    # fixed-size dimensions: bounded broadcast
-    region = broadcast_bounded(t.region, 10_000)
-    nation = broadcast_bounded(t.nation, 10_000)
+    region, nation = t.region, t.nation
     names = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
     cust = (t.customer.select(F.lit("customer").alias("entity"), F.col("c_custkey").alias("entity_key"),
                               F.col("c_nationkey").alias("nk"), F.col("c_mktsegment").alias("seg")))
     supp = (t.supplier.select(F.lit("supplier").alias("entity"), F.col("s_suppkey").alias("entity_key"),
                               F.col("s_nationkey").alias("nk"), F.lit("BUILDING").alias("seg")))
-    raw = cust.unionByName(supp).join(F.broadcast(names), F.col("nk") == F.col("n_nationkey"))
+    raw = cust.unionByName(supp).join(names, F.col("nk") == F.col("n_nationkey"))
     raw = _messy_names(raw, "seg", "r_name", "n_name").select("entity", "entity_key", "region_text", "nation_text")
     aliases = values_relation(spark, REGION_ALIASES, "alias string, canonical string")
     lvl1 = resolve_level(raw, "region_text", region, "r_name", "r_regionkey", "region_key", aliases=aliases)
@@ -243,7 +240,7 @@ def part_sources(t: Tables) -> DataFrame:
                       F.concat(F.lit("CAT-"), F.col("p_partkey").cast("string")).alias("id"),
                       F.concat(F.lit(" "), F.upper(F.regexp_replace("p_name", " ", "  ")), F.lit("\t")).alias("name"))
     sheet = p.select(F.lit(3).alias("source_priority"),
-                     F.substring(F.md5(F.col("p_partkey").cast("string")), 1, 12).alias("id"),
+                     F.md5(F.col("p_partkey").cast("string")).alias("id"),
                      F.regexp_replace("p_name", "^red ", "crimson ").alias("name"))
     return master.unionByName(export).unionByName(sheet)
 

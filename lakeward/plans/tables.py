@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeward.session import balanced_scan
+from lakeward.session import SPREAD_SCANS, balanced_scan
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -13,7 +13,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
-    return balanced_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balanced_scan(df) if spark.conf.get(SPREAD_SCANS, "false") == "true" else df
 
 
 class Tables:

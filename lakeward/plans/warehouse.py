@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 
 from lakeward.models import ModelContext
 from lakeward.models import labels as L
-from lakeward.operators.joins import broadcast_bounded
 from lakeward.plans.registry import query
 from lakeward.plans.tables import Tables
 
@@ -89,17 +88,13 @@ def _stock_code(c: str) -> F.Column:
     return F.concat(F.lit(L.STOCK_PREFIX.lower()), F.lpad(F.upper(F.hex(c)), 32, "0"))
 
 
-# Suppliers are broadcast to the line items only up to this many rows.
-SUPPLIER_BROADCAST_ROWS = 2_000_000
-
-
 def _supplier_lines(t: Tables) -> DataFrame:
-    """Line items with supplier name and nation.  The supplier side is hinted
-    explicitly (capped count): without statistics the planner estimates the
-    supplier x nation join as a product and would broadcast the line items."""
-    sn = t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey")) \
-        .select("s_suppkey", "s_name", "s_nationkey", "n_name", "n_regionkey")
-    return t.lineitem.join(broadcast_bounded(sn, SUPPLIER_BROADCAST_ROWS), F.col("l_suppkey") == F.col("s_suppkey"))
+    """Line items with supplier name and nation, joined one table at a time:
+    each joined table is a bare scan, whose size in bytes the planner knows."""
+    return (t.lineitem.join(t.supplier.select("s_suppkey", "s_name", "s_nationkey"),
+                            F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(t.nation.select("n_nationkey", "n_name", "n_regionkey"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .drop("n_nationkey"))
 
 
 _DERIVE = {

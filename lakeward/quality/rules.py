@@ -104,6 +104,20 @@ def _error_row(rule: Rule, message: str) -> Column:
         F.lit(json.dumps({"exception": message})).alias("raw_result"))
 
 
+def _problem(df: DataFrame, rule: Rule) -> str | None:
+    """Why a regex or expression cannot be evaluated at all, or None."""
+    k = rule.kwargs
+    try:
+        if rule.expectation == KNOWN[4]:
+            df.sparkSession.range(1).select(F.regexp_like(F.lit(""), F.lit(k["regex"]))).collect()
+        elif rule.expectation == KNOWN[5]:
+            kind = df.select(F.expr(k["expression"]).alias("x")).schema["x"].dataType.simpleString()
+            return None if kind == "boolean" else f"expression is {kind}, not boolean"
+    except Exception as e:  # noqa: BLE001 - whatever is wrong with the rule goes to its result row
+        return str(e).split("\n")[0][:500]
+    return None
+
+
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """DQ-6: evaluate enabled rules; an unknown rule or column becomes a
     failed result row instead of an exception."""
@@ -123,6 +137,9 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             continue
         c = F.col(f"`{r.column}`") if r.column else None
         k = r.kwargs
+        if problem := _problem(df, r):
+            errors.append(_error_row(r, problem))
+            continue
         if r.expectation == KNOWN[0]:
             ok = F.lit(True)
             if k.get("min_value") is not None:
@@ -222,6 +239,7 @@ def config_hash(rules: Sequence[Rule], extra: dict | None = None) -> str:
 def record_run(results: DataFrame, root: str, run_id: str, source_id: str, target_table: str,
                batch_id: str | None, rules: Sequence[Rule]) -> DataFrame:
     """DQ-8: append the per-rule results and the run header to two Parquet tables."""
+    results = results.sparkSession.createDataFrame(results.collect(), results.schema)   # one row a rule, evaluated once
     stamped = results.select(F.lit(run_id).alias("validation_run_id"), F.lit(source_id).alias("source_id"), "*")
     stamped.write.mode("append").parquet(f"{root.rstrip('/')}/_dq/results")
     g = gate(results)
@@ -232,11 +250,10 @@ def record_run(results: DataFrame, root: str, run_id: str, source_id: str, targe
     return header
 
 
-def current_batch(df: DataFrame, batch_col: str = "_batch_id", loaded_col: str = "_loaded_at") -> list[str]:
-    """DQ-10: the only batch present, else the batch(es) at max ``_loaded_at``
-    (a one-row aggregate plus at most a handful of ids)."""
-    b = df.agg(F.count_distinct(batch_col).alias("n"), F.max(loaded_col).alias("m")).first()
-    if b["n"] == 0:
-        return []
-    at_max = df.filter(F.col(loaded_col) == F.lit(b["m"])).select(batch_col).distinct().limit(100)
-    return sorted(r[0] for r in at_max.collect())
+def current_batch(df: DataFrame, batch_col: str = "_batch_id", loaded_col: str = "_loaded_at") -> DataFrame:
+    """DQ-10: the ids (column ``batch_col``) loaded last: the only batch present,
+    else the batch(es) at max ``_loaded_at``.  Only a one-row aggregate comes to
+    the driver; the ids stay a table."""
+    last = df.groupBy(batch_col).agg(F.max(loaded_col).alias("__at")).filter(F.col(batch_col).isNotNull())
+    b = last.agg(F.max("__at").alias("at"), F.count(F.lit(1)).alias("n")).first()
+    return (last if b["n"] <= 1 else last.filter(F.col("__at") == F.lit(b["at"]))).select(batch_col)

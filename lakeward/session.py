@@ -11,6 +11,9 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Opt-in: spread scans of unsplit single files (local benchmarks), see balanced_scan.
+SPREAD_SCANS = "spark.lakeward.spreadScans"
+
 # Settings applied to sessions built by :func:`local_session` (tests, bench).
 LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,6 +22,7 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    SPREAD_SCANS: "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -72,7 +76,8 @@ def balanced_scan(df: DataFrame) -> DataFrame:
     fewer partitions than the default parallelism and holds at least
     UNSPLIT_SCAN_BYTES, one round-robin exchange spreads the rows; inputs that
     are already split (any normal multi-file table on a cluster) are left
-    untouched, so this never adds a shuffle at scale."""
+    untouched.  Off unless the session sets SPREAD_SCANS, as sessions for local
+    tests and benchmarks do, whose tables are single files."""
     spark = df.sparkSession
     par = spark.sparkContext.defaultParallelism
     n = df.rdd.getNumPartitions()
