@@ -49,11 +49,11 @@ def allocate_by_weight(children: DataFrame, parent_keys: Sequence[str], order: S
 def month_calendar(starts: DataFrame, start_col: str, end: Column, out: str = "month") -> DataFrame:
     """JN-12/13, GEN-6: one row per (input row, month) from the row's start
     month through ``end`` (inclusive), generated per row with
-    ``explode(sequence(...))`` - no cross join; a null start means active
+    ``explode(sequence(...))`` - no cross join; a start after the end has no month; a null start means active
     from ``calendar_start`` (column ``__cal_start`` on the input)."""
     s = month_start(F.col(start_col))
     e = month_start(end)
-    return starts.withColumn(out, F.explode(F.sequence(s, e, F.expr("interval 1 month"))))
+    return starts.filter(s <= e).withColumn(out, F.explode(F.sequence(s, e, F.expr("interval 1 month"))))
 
 
 def allocate_evenly_over_calendar(resources: DataFrame, group_keys: Sequence[str], resource_key: str,
