@@ -15,8 +15,8 @@ def _stars(edges: DataFrame, lowest: DataFrame, centre: str, leaf: str) -> DataF
 def components(links: DataFrame) -> DataFrame:
     """Components of an undirected graph given as links (``a``, ``b``).
 
-    Returns (``node``, ``root``): every node that has a link to another, with
-    the smallest node it can reach.  In each round every node hangs its larger
+    Returns (``node``, ``root``): every node that can reach a smaller one, with
+    the smallest it can reach.  In each round every node hangs its larger
     neighbours on its smallest one, and then its smaller ones; the rounds grow
     with the logarithm of a component's width.  Only minima are gathered, never
     a node's neighbours, and each round's links are written to the shared

@@ -5,9 +5,9 @@ that of two fingerprints with at most ``distance`` differing bits one segment
 differs by at most one bit.  Each segment is indexed once for every one of its
 bits taken out: two segments that differ by one bit at most agree in a variant.
 Fingerprints that share a variant meet in a bucket and are verified over all
-bits.  A bucket yields a spanning forest of its links, not all its pairs; one
-that is larger than ``MOST`` is dealt out anew, by further bits that two linked
-members must share, so no link is lost and no task compares a large bucket.
+bits.  A bucket yields a spanning forest of its links, not all its pairs, which
+takes little for a dense one.  One that takes too much is dealt out anew, by
+further bits that two linked members must share, so no link is lost.
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ from lakeward.llm.components import components
 from lakeward.llm.shared import cut
 
 BITS, SEED = 64, 42
-#: Buckets with more members are split by further bits.
-MOST = 2048
+#: Comparisons that a bucket may take; it is split by further bits if they do
+#: not suffice, or at once if it has more members than this.
+WORK, MOST = 100_000_000, 1 << 20
 #: Bits of a bucket's key beyond which it is not split further.
 MOST_KEY_BITS = 48
 
@@ -77,14 +78,18 @@ def blocks(used: int, distance: int) -> list[int]:
     return [sum(1 << bit for bit in free[i::distance + 1]) for i in range(distance + 1)]
 
 
-def forest(fp: np.ndarray, distance: int) -> list[tuple[int, int]]:
+def forest(fp: np.ndarray, distance: int, work: int | None = None) -> list[tuple[int, int]] | None:
     """Positions (member, centre) of links that hold together what is linked
-    among ``fp``: each member reached is taken out, so a dense set costs little."""
-    left, out = np.arange(len(fp)), []
+    among ``fp``: each member reached is taken out, so a dense set costs little.
+    None if that takes more than ``work`` comparisons."""
+    left, out, done = np.arange(len(fp)), [], 0
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             centre = queue.pop()
+            done += len(left)
+            if work is not None and done > work:
+                return None
             near = np.bitwise_count(fp[left] ^ fp[centre]) <= distance
             if near.any():
                 out += [(m, centre) for m in left[near].tolist()]
@@ -106,12 +111,13 @@ def _split(mask: int, fp: np.ndarray, distance: int) -> Iterator[pd.DataFrame]:
                             "a": fp.view(np.int64), "b": pd.array([None] * len(fp), "Int64")})
 
 
-def _compare(distance: int, most: int, small: int = 16):
+def _compare(distance: int, most: int, work: int, small: int = 16):
     """Task function over rows (mask, bits, fp) sorted by bucket (mask, bits).
 
     Gives links (a, b) with a null mask, and the members of buckets of more
-    than ``most`` under wider keys (mask, bits, a).  The rows of the bucket that
-    is open at a batch's end wait for the next batch, unless it is split."""
+    than ``most``, or that take more than ``work`` comparisons, under wider keys
+    (mask, bits, a).  The rows of the bucket that is open at a batch's end wait
+    for the next batch, unless it is split already."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, splitting = np.empty((3, 0), np.uint64), None
         for batch in itertools.chain(batches, [None]):
@@ -126,11 +132,17 @@ def _compare(distance: int, most: int, small: int = 16):
             done = len(starts) - (batch is not None)
             for k in np.flatnonzero(sizes > small).tolist():
                 key, members = (mask[starts[k]], bits[starts[k]]), fp[starts[k]:starts[k] + sizes[k]]
-                if int(key[0]).bit_count() < MOST_KEY_BITS and (sizes[k] > most or key == splitting):
+                more = int(key[0]).bit_count() < MOST_KEY_BITS
+                found = None
+                if not (more and (sizes[k] > most or key == splitting)):
+                    if k >= done:
+                        continue
+                    found = forest(members, distance, work if more else None)
+                if found is None:
                     yield from _split(int(key[0]), members, distance)
                     splitting = key
                     done = max(done, k + 1)
-                elif k < done and (found := forest(members, distance)):
+                elif found:
                     yield _links(*(members[list(side)] for side in zip(*found)))
             end = starts[done] if done < len(starts) else len(fp)
             # small buckets, all at once: every member with those up to `small` rows on
@@ -146,7 +158,7 @@ def _compare(distance: int, most: int, small: int = 16):
     return run
 
 
-def links(fps: DataFrame, distance: int = 4, most: int = MOST) -> DataFrame:
+def links(fps: DataFrame, distance: int = 4, most: int = MOST, work: int = WORK) -> DataFrame:
     """Links (``a``, ``b``) among distinct fingerprints (``fp``, bigint) that
     connect whatever chains of at most ``distance`` differing bits connect."""
     signed = [m - (1 << 64) if m >> 63 else m for m in variants(distance)]
@@ -155,7 +167,7 @@ def links(fps: DataFrame, distance: int = 4, most: int = MOST) -> DataFrame:
     found = None
     while True:
         out = cut(rows.repartition("mask", "bits").sortWithinPartitions("mask", "bits")
-                  .mapInPandas(_compare(distance, most), "mask long, bits long, a long, b long"), "pairs")
+                  .mapInPandas(_compare(distance, most, work), "mask long, bits long, a long, b long"), "pairs")
         pairs = out.where("mask is null").select("a", "b")
         found = pairs if found is None else found.unionAll(pairs)
         rows = out.where("mask is not null").select("mask", "bits", F.col("a").alias("fp"))
