@@ -165,7 +165,7 @@ def test_wrapper_without_article_element():
                 f"<div class=foot>All rights</div></body></html>")
     sample = [page(i) for i in range(6)]
     wrapper = W.infer(sample)
-    assert wrapper["region"] == "div.story" and "All rights" in wrapper["template"]
+    assert wrapper["region"] == "body/div.story" and "All rights" in wrapper["template"]
     assert "(<div.ad>)?" in wrapper["expression"] or "?" in wrapper["expression"]
     assert ")+" in wrapper["expression"] and "#SLOT" in wrapper["expression"]
     text = W.blocks(page(9), wrapper)
