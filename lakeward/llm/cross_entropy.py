@@ -81,11 +81,14 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> dict[bytes, int]:
 def losses(counts: np.ndarray, strength: float = STRENGTH) -> np.ndarray:
     """-log p(word | word before) for a table of bigram counts.  A row is drawn
     to the words' frequencies, these to equal ones by one count each; every
-    row's probabilities sum to one."""
-    each = counts.sum(0) + 1.0
+    row's probabilities sum to one.  Works in blocks of rows, to save memory."""
+    each = counts.sum(0, dtype=np.float64) + 1.0
     each /= each.sum()
-    p = (counts + strength * each) / (counts.sum(1, keepdims=True) + strength)
-    return -np.log(p).astype(np.float32)
+    out = np.empty(counts.shape, np.float32)
+    for i in range(0, len(counts), 128):
+        block = counts[i:i + 128].astype(np.float64)
+        out[i:i + 128] = -np.log((block + strength * each) / (block.sum(1, keepdims=True) + strength))
+    return out
 
 
 def train(docs: DataFrame, is_target: DataFrame, size: int = VOCABULARY) -> Models:
@@ -111,12 +114,17 @@ def train(docs: DataFrame, is_target: DataFrame, size: int = VOCABULARY) -> Mode
         "text", F.coalesce("target", F.lit(False)).alias("target"))
     sums = (marked.mapInPandas(run, "cell int, background long, target long").groupBy("cell")
             .agg(F.sum("background").alias("background"), F.sum("target").alias("target")))
-    counts = np.zeros((2, size * size))
-    found = sums.toPandas()                 # at most size ** 2 rows
-    counts[:, found["cell"]] = found[["background", "target"]].to_numpy().T
-    background, target = counts.reshape(2, size, size)
-    if target.sum() and background.sum():
-        background = background * (target.sum() / background.sum())
+    found = sums.toArrow()                  # at most size ** 2 rows
+    cells = found["cell"].to_numpy()
+    tables = []
+    for side in ("target", "background"):
+        table = np.zeros(size * size, np.float32)
+        table[cells] = found[side].to_numpy()
+        tables.append(table.reshape(size, size))
+    del found, cells
+    target, background = tables
+    if target.any() and background.any():
+        background *= target.sum(dtype=np.float64) / background.sum(dtype=np.float64)
     return Models(ids, losses(target), losses(background))
 
 
