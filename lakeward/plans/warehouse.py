@@ -77,7 +77,7 @@ class _Staging(dict):
 def driver_staging(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Lazy staging frames derived from the driver tables (see module doc)."""
     t = Tables(spark, sf)
-    return _Staging({name: (lambda name=name: _DERIVE[name](t)) for name in STAGING_SQL})
+    return _Staging({name: (lambda name=name: _DERIVE[name](t)) for name in _DERIVE})
 
 
 def _cents(c: str) -> F.Column:
@@ -161,344 +161,132 @@ def driver_context(spark: SparkSession, sf: str) -> ModelContext:
     return ModelContext(spark, driver_staging(spark, sf), AS_OF, vars={"target_company_id": TARGET_COMPANY})
 
 
-def _sk(*exprs: str) -> str:
-    parts = ", ".join(f"coalesce(CAST({e} AS VARCHAR), '_dbt_utils_surrogate_key_null_')" for e in exprs)
-    return f"md5(concat_ws('-', {parts}))"
-
-
-def _b2n(e: str) -> str:
-    return f"nullif(trim(CAST({e} AS VARCHAR)), '')"
-
-
-# The same derivations as ``driver_staging`` for the DuckDB oracles.
-STAGING_SQL = {
-    "channel": "SELECT c_custkey AS Id, 'UC' || c_custkey AS YoutubeChannelId, c_name AS Title, "
-               "false AS IsDeleted, CAST(NULL AS TIMESTAMP) AS SuspendedTimeUtc FROM customer",
-    "channel_company": "SELECT c_custkey AS ChannelId, c_mktsegment AS CompanyId, c_acctbal < 0 AS IsDeleted, "
-                       "CAST(NULL AS VARCHAR) AS Type FROM customer",
-    "channel_video_info": "SELECT 'V' || o_orderkey AS YoutubeVideoId, 'UC' || o_custkey AS YoutubeChannelId, "
-                          "'E' || o_orderkey AS Code, CAST(o_orderdate AS TIMESTAMP) AS PublishedAt, "
-                          "o_orderpriority AS Title FROM orders",
-    "channel_video_metric": "SELECT 'V' || l_orderkey AS YoutubeVideoId, 'UC' || o_custkey AS YoutubeChannelId, "
-                            "CAST(l_shipdate AS TIMESTAMP) AS Date, l_extendedprice AS EstimatedRevenue, "
-                            "l_quantity AS Views FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
-    "editings": "SELECT o_orderkey AS Id, 'E' || o_orderkey AS EditingFileId FROM orders",
-    "resource_editings": "SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
-                         "CAST(round(l_quantity * 100) AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT)) AS Id, "
-                         "l_orderkey AS EditingId, l_partkey AS ResourcesId, CAST(l_linenumber AS DOUBLE) AS StartTime, "
-                         "l_linenumber + l_quantity AS EndTime FROM lineitem",
-    "resource": f"SELECT p_partkey AS Id, 'hgfa' || lpad(upper(hex(p_partkey)), 32, '0') AS ResourceFileId, "
-                f"CASE WHEN p_size > {NON_FILE_SIZE} THEN 1 ELSE 0 END AS ResourceType FROM part",
-    "manual_excluded_stock_codes": "SELECT 'hgfa' || lpad(upper(hex(p_partkey)), 32, '0') AS hg_stock_id "
-                                   f"FROM part WHERE p_brand = '{EXCLUDED_BRAND}'",
-    "sale": "SELECT n_name AS retailer, 'IS' || l_partkey AS isrc, s_name AS artist, "
-            "CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS reportingPeriod, "
-            "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS revenue "
-            "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey",
-    "stream_distro": "SELECT 'IS' || l_partkey AS isrc, format('{:,}', CAST(l_quantity * 1000 AS BIGINT)) AS dailyStream, "
-                     "CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS reportingDate, 'A' || l_suppkey AS idArtist, "
-                     "s_name AS mainArtist FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
-    "usd_rate": "SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS record_date, o_totalprice AS exchange_rate "
-                "FROM orders",
-    "distribution_media_history": "SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
-                                  "CAST(round(l_quantity * 100) AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT)) AS Id, "
-                                  "l_partkey AS ResourceFileInfoId, CAST(l_shipdate AS TIMESTAMP) AS CreatedDate, "
-                                  "l_suppkey AS CreatedByUserId, concat_ws(',', s_nationkey, n_regionkey) AS DepartmentData, "
-                                  "CAST(n_regionkey AS VARCHAR) AS GroupData, CAST(l_suppkey AS VARCHAR) AS UserData "
-                                  "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey",
-    "resource_file_info": "SELECT p_partkey AS Id, 'hgfa' || lpad(upper(hex(p_partkey)), 32, '0') AS ResourceFileId, "
-                          "'IS' || p_partkey AS ISRC, 1 AS MediaType FROM part",
-    "department": "SELECT n_nationkey AS Id, n_name AS Name FROM nation",
-    "groups": "SELECT r_regionkey AS Id, r_name AS Name FROM region",
-    "users": "SELECT s_suppkey AS Id, s_name AS DisplayName FROM supplier",
-    "channel_deal": "SELECT c_custkey AS ChannelId, c_nationkey AS CmsId, false AS IsDeleted, c_acctbal < 0 AS IsOutNet, "
-                    "CASE WHEN c_nationkey < {below} THEN TIMESTAMP '{at}' END AS ReceiveTimeUtc, "
-                    "CAST(NULL AS TIMESTAMP) AS OutNetTimeUtc FROM customer".format(
-                        below=DEAL_RECEIVED_BELOW_NATION, at=DEAL_RECEIVED_AT.isoformat(sep=" ")),
-}
+# --- oracles, in terms of the driver tables ----------------------------------------------------
+
+STOCK = f"'{L.STOCK_PREFIX}' || lpad(upper(hex(p_partkey)), 32, '0')"
+#: Orders whose customer's channel belongs to the target company.
+OURS = f"(SELECT * FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment = '{TARGET_COMPANY}' AND c_acctbal >= 0)"
+#: Each order's catalogue files in the order of their lines: seat 1, 2, ...
+SEATS = f"""
+SELECT *, row_number() OVER (PARTITION BY o ORDER BY line, tag) AS seat FROM (
+  SELECT DISTINCT l_orderkey AS o, l_linenumber AS line, l_quantity AS qty, {STOCK} AS stock,
+         concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_quantity * 100) AS BIGINT),
+                   CAST(round(l_extendedprice * 100) AS BIGINT)) AS tag
+  FROM lineitem JOIN part ON p_partkey = l_partkey
+  WHERE p_size <= {NON_FILE_SIZE} AND p_brand <> '{EXCLUDED_BRAND}' AND l_orderkey IN (SELECT o_orderkey FROM orders))
+"""
 
 
-def _with(names: list[str], body: str) -> str:
-    ctes = ",\n".join(f"stg_{n} AS ({STAGING_SQL[n]})" for n in names)
-    return f"WITH {ctes},\n{body}"
-
-
-FACT_EDITING_CTES = f"""
-excluded AS (
-  SELECT DISTINCT upper(trim(hg_stock_id)) AS hg FROM stg_manual_excluded_stock_codes
-  WHERE {_b2n('hg_stock_id')} IS NOT NULL
-), src AS (
-  SELECT DISTINCT re.Id AS resource_editing_id, re.EditingId AS editing_id, e.EditingFileId AS editing_code,
-         upper(trim(r.ResourceFileId)) AS hg_stock_id, re.StartTime AS start_time, re.EndTime AS end_time
-  FROM stg_resource_editings re JOIN stg_editings e ON re.EditingId = e.Id
-  JOIN stg_resource r ON re.ResourcesId = r.Id
-  WHERE r.ResourceType = 0 AND upper(trim(r.ResourceFileId)) LIKE '{L.STOCK_PREFIX}%'
-    AND NOT EXISTS (SELECT 1 FROM excluded x WHERE x.hg = upper(trim(r.ResourceFileId)))
-), fact_editing AS (
-  SELECT {_sk('resource_editing_id')} AS fact_editing_sk, editing_id, editing_code, hg_stock_id,
-         CAST(row_number() OVER (PARTITION BY editing_id ORDER BY start_time ASC NULLS LAST,
-                                 resource_editing_id ASC NULLS LAST) AS INTEGER) AS position,
-         CAST(CAST(end_time AS DECIMAL(38,6)) - CAST(start_time AS DECIMAL(38,6)) AS DECIMAL(38,6)) AS duration
-  FROM src
-)"""
-FACT_EDITING_STG = ["resource_editings", "editings", "resource", "manual_excluded_stock_codes"]
-
-
-@query("wh_fact_editing", "2.14 fact_editing: JN-1/5, SET-3, WIN-6 (skew-safe numbering)",
-       sql=_with(FACT_EDITING_STG, FACT_EDITING_CTES.strip() + "\nSELECT * FROM fact_editing"))
+@query("wh_fact_editing", "2.14 fact_editing: JN-1/5, SET-3, WIN-6 (skew-safe numbering)", sql=f"""
+SELECT md5(tag) AS fact_editing_sk, o AS editing_id, 'E' || o AS editing_code, stock AS hg_stock_id,
+       CAST(seat AS INTEGER) AS position, CAST(qty AS DECIMAL(38,6)) AS duration
+FROM ({SEATS})""")
 def wh_fact_editing(spark: SparkSession, sf: str) -> DataFrame:
     return driver_context(spark, sf).ref("fact_editing")
 
 
 @query("wh_fact_revenue_by_resources",
-       "2.14 fact_revenue_by_resources: JN-4/14, AGG-12, WIN-8, positional weights",
-       sql=_with(FACT_EDITING_STG + ["channel", "channel_company", "channel_video_info", "channel_video_metric"],
-                 FACT_EDITING_CTES.strip() + f""",
-cm AS (
-  SELECT DISTINCT {_b2n('ch.YoutubeChannelId')} AS channel_id FROM stg_channel ch
-  WHERE {_b2n('ch.YoutubeChannelId')} IS NOT NULL AND EXISTS (
-    SELECT 1 FROM stg_channel_company cc WHERE cc.ChannelId = ch.Id AND coalesce(cc.IsDeleted, false) = false
-      AND cc.CompanyId = '{TARGET_COMPANY}')
-), vid_metric AS (
-  SELECT {_b2n('m.YoutubeVideoId')} AS video_id, CAST(m.Date AS DATE) AS recorded_date,
-         sum(CAST(m.EstimatedRevenue AS DECIMAL(38,6))) AS revenue, sum(CAST(m.Views AS DECIMAL(38,6))) AS views
-  FROM stg_channel_video_metric m JOIN cm ON {_b2n('m.YoutubeChannelId')} = cm.channel_id
-  WHERE {_b2n('m.YoutubeVideoId')} IS NOT NULL AND m.Date IS NOT NULL
-  GROUP BY 1, 2
-), bridge AS (
-  SELECT DISTINCT {_b2n('YoutubeVideoId')} AS video_id, {_b2n('Code')} AS editing_code
-  FROM stg_channel_video_info WHERE {_b2n('YoutubeVideoId')} IS NOT NULL AND {_b2n('Code')} IS NOT NULL
-), er AS (
-  SELECT DISTINCT editing_code, hg_stock_id, position FROM fact_editing
-  WHERE editing_code IS NOT NULL AND hg_stock_id IS NOT NULL AND position BETWEEN 1 AND 5
-), vr AS (
-  SELECT b.video_id, b.editing_code, f.hg_stock_id, f.position,
-         count(*) OVER (PARTITION BY b.video_id, b.editing_code) AS n_res
-  FROM bridge b JOIN er f ON b.editing_code = f.editing_code
-), w AS (
-  SELECT *, CASE WHEN n_res = 1 THEN 10
-                 WHEN n_res = 2 AND position IN (1, 2) THEN 5
-                 WHEN n_res = 3 AND position = 1 THEN 6 WHEN n_res = 3 AND position = 2 THEN 3
-                 WHEN n_res = 3 AND position = 3 THEN 1
-                 WHEN n_res = 4 AND position = 1 THEN 6 WHEN n_res = 4 AND position = 2 THEN 2
-                 WHEN n_res = 4 AND position IN (3, 4) THEN 1
-                 WHEN n_res >= 5 AND position = 1 THEN 5 WHEN n_res >= 5 AND position = 2 THEN 2
-                 WHEN n_res >= 5 AND position IN (3, 4, 5) THEN 1 ELSE 0 END AS w
-  FROM vr
-), dim_video AS (
-  SELECT * FROM (
-    SELECT {_b2n('cvi.YoutubeVideoId')} AS video_id, '{L.VIDEO_URL_PREFIX}' || cvi.YoutubeVideoId AS video_url,
-           CAST(cvi.PublishedAt AS TIMESTAMP) AS published_date, {_b2n('cvi.Title')} AS video_name,
-           row_number() OVER (PARTITION BY cvi.YoutubeVideoId ORDER BY cvi.PublishedAt DESC NULLS FIRST,
-                              cvi.YoutubeChannelId, cvi.Code, cvi.Title) AS rn
-    FROM stg_channel_video_info cvi JOIN (SELECT DISTINCT channel_id FROM cm) c
-      ON {_b2n('cvi.YoutubeChannelId')} = c.channel_id
-    WHERE {_b2n('cvi.YoutubeVideoId')} IS NOT NULL) WHERE rn = 1
-)
-SELECT {_sk('w.video_id', 'w.editing_code', 'w.hg_stock_id', 'CAST(w.position AS VARCHAR)',
-            'CAST(m.recorded_date AS VARCHAR)')} AS revenue_id,
-       w.video_id, dv.video_name, dv.video_url, w.editing_code, w.hg_stock_id AS resource_id, w.position,
-       CAST(m.revenue * w.w / 10.0 AS DECIMAL(38,6)) AS revenue_amount,
-       CAST(m.recorded_date AS TIMESTAMP) AS recorded_date, CAST(m.views * w.w / 10.0 AS DECIMAL(38,6)) AS view
-FROM w JOIN vid_metric m ON w.video_id = m.video_id LEFT JOIN dim_video dv ON w.video_id = dv.video_id
-WHERE w.w > 0"""))
+       "2.14 fact_revenue_by_resources: JN-4/14, AGG-12, WIN-8, positional weights", sql=f"""
+WITH tenths(n, seat, w) AS (VALUES (1, 1, 10), (2, 1, 5), (2, 2, 5), (3, 1, 6), (3, 2, 3), (3, 3, 1), (4, 1, 6), (4, 2, 2),
+                            (4, 3, 1), (4, 4, 1), (5, 1, 5), (5, 2, 2), (5, 3, 1), (5, 4, 1), (5, 5, 1)),
+front AS (SELECT o, stock, seat FROM ({SEATS}) WHERE seat <= 5),
+filled AS (SELECT o, max(seat) AS n FROM front GROUP BY o),
+days AS (SELECT o_orderkey AS o, any_value(nullif(trim(o_orderpriority), '')) AS title, CAST(l_shipdate AS DATE) AS day,
+                sum(CAST(l_extendedprice AS DECIMAL(38,6))) AS money, sum(CAST(l_quantity AS DECIMAL(38,6))) AS seen
+         FROM {OURS} JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, CAST(l_shipdate AS DATE))
+SELECT md5(concat_ws('-', 'V' || o, 'E' || o, stock, seat, day)) AS revenue_id, 'V' || o AS video_id, title AS video_name,
+       '{L.VIDEO_URL_PREFIX}V' || o AS video_url, 'E' || o AS editing_code, stock AS resource_id,
+       CAST(seat AS INTEGER) AS position, CAST(money * w / 10.0 AS DECIMAL(38,6)) AS revenue_amount,
+       CAST(day AS TIMESTAMP) AS recorded_date, CAST(seen * w / 10.0 AS DECIMAL(38,6)) AS view
+FROM days JOIN front USING (o) JOIN filled USING (o) JOIN tenths USING (n, seat)""")
 def wh_fact_revenue_by_resources(spark: SparkSession, sf: str) -> DataFrame:
     return driver_context(spark, sf).ref("fact_revenue_by_resources")
 
 
-REVENUE_CTES = """
-usd AS (
-  SELECT CAST(record_date AS DATE) AS record_date, min(CAST(exchange_rate AS DOUBLE)) AS exchange_rate
-  FROM stg_usd_rate GROUP BY 1
-), base AS (
-  SELECT retailer, isrc, nullif(trim(artist), '') AS artist,
-         strftime(CAST(reportingPeriod AS DATE), '%Y-%m') AS revenue_month,
-         CAST(reportingPeriod AS DATE) AS reporting_date, CAST(revenue AS DECIMAL(38,6)) AS earning
-  FROM stg_sale WHERE nullif(trim(isrc), '') IS NOT NULL
-), revenue AS (
-  SELECT retailer, isrc, artist, revenue_month, min(reporting_date) AS first_date,
-         sum(earning) AS revenue_amount
-  FROM base GROUP BY retailer, isrc, artist, revenue_month
-)"""
-
-
-@query("wh_fact_revenue_distro", "2.14 fact_revenue_distro: AGG-1/9, JN-19 (FX on first date)",
-       sql=_with(["sale", "usd_rate"], REVENUE_CTES.strip() + f"""
-SELECT {_sk('retailer', 'isrc', 'artist', 'revenue_month')} AS fact_revenue_distro_sk, revenue_amount,
-       revenue_month, nullif(trim(retailer), '') AS platform, isrc, artist, u.exchange_rate
-FROM revenue a LEFT JOIN usd u ON a.first_date = u.record_date"""))
+#: Money by shop (nation), track (part), artist (supplier) and month, and the rate of its first day.
+MONEY = """
+SELECT n_name AS shop, 'IS' || l_partkey AS track, s_name AS who, strftime(CAST(l_shipdate AS DATE), '%Y-%m') AS month,
+       l_partkey AS part, min(CAST(l_shipdate AS DATE)) AS first_day,
+       sum(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(38,6))) AS money
+FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY ALL
+"""
+RATE = "(SELECT CAST(o_orderdate AS DATE) AS first_day, CAST(min(o_totalprice) AS DOUBLE) AS rate FROM orders GROUP BY 1)"
+
+
+@query("wh_fact_revenue_distro", "2.14 fact_revenue_distro: AGG-1/9, JN-19 (FX on first date)", sql=f"""
+SELECT md5(concat_ws('-', shop, track, who, month)) AS fact_revenue_distro_sk, money AS revenue_amount,
+       month AS revenue_month, shop AS platform, track AS isrc, who AS artist, rate AS exchange_rate
+FROM ({MONEY}) LEFT JOIN {RATE} USING (first_day)""")
 def wh_fact_revenue_distro(spark: SparkSession, sf: str) -> DataFrame:
     return driver_context(spark, sf).ref("fact_revenue_distro")
 
 
-@query("wh_fact_revenue_stream_distro", "2.14 fact_revenue_stream_distro: AGG-12, JN-10/19, PRJ-13/18",
-       sql=_with(["sale", "usd_rate", "stream_distro"], REVENUE_CTES.strip() + f""",
-streams AS (
-  SELECT nullif(trim(isrc), '') AS s_isrc,
-         strftime(CAST(nullif(trim(reportingDate), '') AS DATE), '%Y-%m') AS s_month,
-         sum(CAST(replace(CAST(dailyStream AS VARCHAR), ',', '') AS DECIMAL(38,6))) AS stream_count
-  FROM stg_stream_distro
-  WHERE nullif(trim(isrc), '') IS NOT NULL AND nullif(trim(reportingDate), '') IS NOT NULL
-  GROUP BY 1, 2
-)
-SELECT {_sk('r.retailer', 'r.isrc', 'r.artist', 'r.revenue_month')} AS fact_revenue_stream_distro_sk,
-       r.revenue_amount, coalesce(s.stream_count, CAST(0 AS DECIMAL(38,6))) AS stream_count,
-       CASE WHEN coalesce(s.stream_count, 0) = 0 THEN 0.0
-            ELSE CAST(r.revenue_amount AS DOUBLE) / CAST(s.stream_count AS DOUBLE) * 1000.0 END AS rpm,
-       r.revenue_month, nullif(trim(r.retailer), '') AS platform, r.isrc, r.artist, u.exchange_rate
-FROM revenue r LEFT JOIN streams s ON r.isrc = s.s_isrc AND r.revenue_month = s.s_month
-LEFT JOIN usd u ON r.first_date = u.record_date"""))
+@query("wh_fact_revenue_stream_distro", "2.14 fact_revenue_stream_distro: AGG-12, JN-10/19, PRJ-13/18", sql=f"""
+WITH played AS (
+  SELECT l_partkey AS part, strftime(CAST(l_shipdate AS DATE), '%Y-%m') AS month,
+         CAST(sum(CAST(l_quantity * 1000 AS BIGINT)) AS DECIMAL(38,6)) AS plays
+  FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier) GROUP BY ALL)
+SELECT md5(concat_ws('-', shop, track, who, month)) AS fact_revenue_stream_distro_sk, money AS revenue_amount,
+       coalesce(plays, 0) AS stream_count, coalesce(1000.0 * (CAST(money AS DOUBLE) / nullif(CAST(plays AS DOUBLE), 0)), 0.0) AS rpm,
+       month AS revenue_month, shop AS platform, track AS isrc, who AS artist, rate AS exchange_rate
+FROM ({MONEY}) LEFT JOIN played USING (part, month) LEFT JOIN {RATE} USING (first_day)""")
 def wh_fact_revenue_stream_distro(spark: SparkSession, sf: str) -> DataFrame:
     return driver_context(spark, sf).ref("fact_revenue_stream_distro")
 
 
-@query("wh_fact_view_stream_distro", "2.14 fact_view_stream_distro: JN-2 fan-out to platforms, PRJ-13",
-       sql=_with(["sale", "stream_distro"], f"""
-plat AS (
-  SELECT DISTINCT isrc AS p_isrc, retailer FROM stg_sale WHERE nullif(trim(isrc), '') IS NOT NULL
-)
-SELECT {_sk('sd.isrc', 'sd.reportingDate', 'sd.idArtist', 'p.retailer')} AS fact_view_stream_distro_sk,
-       CAST(replace(CAST(sd.dailyStream AS VARCHAR), ',', '') AS DECIMAL(38,6)) AS stream_count,
-       CAST(nullif(trim(sd.reportingDate), '') AS DATE) AS recorded_date,
-       nullif(trim(p.retailer), '') AS platform, nullif(trim(sd.isrc), '') AS isrc,
-       nullif(trim(sd.idArtist), '') AS artist
-FROM stg_stream_distro sd LEFT JOIN plat p ON trim(sd.isrc) = trim(p.p_isrc)
-WHERE nullif(trim(sd.isrc), '') IS NOT NULL"""))
+@query("wh_fact_view_stream_distro", "2.14 fact_view_stream_distro: JN-2 fan-out to platforms, PRJ-13", sql="""
+WITH shops AS (SELECT DISTINCT l_partkey AS part, n_name AS shop FROM lineitem
+               JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey)
+SELECT md5(concat_ws('-', 'IS' || l_partkey, CAST(l_shipdate AS DATE), 'A' || l_suppkey, shop)) AS fact_view_stream_distro_sk,
+       CAST(CAST(l_quantity * 1000 AS BIGINT) AS DECIMAL(38,6)) AS stream_count, CAST(l_shipdate AS DATE) AS recorded_date,
+       shop AS platform, 'IS' || l_partkey AS isrc, 'A' || l_suppkey AS artist
+FROM lineitem SEMI JOIN supplier ON s_suppkey = l_suppkey JOIN shops ON part = l_partkey""")
 def wh_fact_view_stream_distro(spark: SparkSession, sf: str) -> DataFrame:
     return driver_context(spark, sf).ref("fact_view_stream_distro")
 
 
-@query("wh_dim_video", "2.14 dim_video: JN-4 (EXISTS), WIN-1 (DESC nulls first), PRJ-14",
-       sql=_with(["channel", "channel_company", "channel_video_info"], f"""
-cm AS (
-  SELECT DISTINCT {_b2n('ch.YoutubeChannelId')} AS channel_id FROM stg_channel ch
-  WHERE {_b2n('ch.YoutubeChannelId')} IS NOT NULL AND EXISTS (
-    SELECT 1 FROM stg_channel_company cc WHERE cc.ChannelId = ch.Id AND coalesce(cc.IsDeleted, false) = false
-      AND cc.CompanyId = '{TARGET_COMPANY}')
-), ranked AS (
-  SELECT cvi.*, row_number() OVER (PARTITION BY cvi.YoutubeVideoId ORDER BY cvi.PublishedAt DESC NULLS FIRST,
-                                   cvi.YoutubeChannelId, cvi.Code, cvi.Title) AS rn
-  FROM stg_channel_video_info cvi JOIN cm ON {_b2n('cvi.YoutubeChannelId')} = cm.channel_id
-  WHERE {_b2n('cvi.YoutubeVideoId')} IS NOT NULL
-)
-SELECT {_sk('YoutubeVideoId')} AS dim_video_sk, {_b2n('YoutubeVideoId')} AS video_id,
-       {_b2n('YoutubeChannelId')} AS channel_id, '{L.VIDEO_URL_PREFIX}' || YoutubeVideoId AS video_url,
-       {_b2n('Code')} AS editing_code, CAST(PublishedAt AS TIMESTAMP) AS published_date,
-       {_b2n('Title')} AS video_name
-FROM ranked WHERE rn = 1"""))
+@query("wh_dim_video", "2.14 dim_video: JN-4 (EXISTS), WIN-1 (DESC nulls first), PRJ-14", sql=f"""
+SELECT md5('V' || o_orderkey) AS dim_video_sk, 'V' || o_orderkey AS video_id, 'UC' || o_custkey AS channel_id,
+       '{L.VIDEO_URL_PREFIX}V' || o_orderkey AS video_url, 'E' || o_orderkey AS editing_code,
+       CAST(o_orderdate AS TIMESTAMP) AS published_date, nullif(trim(o_orderpriority), '') AS video_name
+FROM {OURS}""")
 def wh_dim_video(spark: SparkSession, sf: str) -> DataFrame:
     return driver_context(spark, sf).ref("dim_video")
 
 
-DIM_VIDEO_CTES = f"""
-cm AS (
-  SELECT DISTINCT {_b2n('ch.YoutubeChannelId')} AS channel_id FROM stg_channel ch
-  WHERE {_b2n('ch.YoutubeChannelId')} IS NOT NULL AND EXISTS (
-    SELECT 1 FROM stg_channel_company cc WHERE cc.ChannelId = ch.Id AND coalesce(cc.IsDeleted, false) = false
-      AND cc.CompanyId = '{TARGET_COMPANY}')
-), dim_video AS (
-  SELECT {_b2n('YoutubeVideoId')} AS video_id, CAST(PublishedAt AS TIMESTAMP) AS published_date FROM (
-    SELECT cvi.*, row_number() OVER (PARTITION BY cvi.YoutubeVideoId ORDER BY cvi.PublishedAt DESC NULLS FIRST,
-                                     cvi.YoutubeChannelId, cvi.Code, cvi.Title) AS rn
-    FROM stg_channel_video_info cvi JOIN cm ON {_b2n('cvi.YoutubeChannelId')} = cm.channel_id
-    WHERE {_b2n('cvi.YoutubeVideoId')} IS NOT NULL) WHERE rn = 1
-)"""
-
-
-def _net_metric_cte(name: str, deal_cond: str, cols: str) -> str:
-    return f"""
-net_{name} AS (
-  SELECT DISTINCT c.YoutubeChannelId FROM stg_channel_deal cd
-  JOIN stg_channel_company cc ON cd.ChannelId = cc.ChannelId JOIN stg_channel c ON cd.ChannelId = c.Id
-  WHERE cc.Type IS NULL AND cd.IsOutNet = false AND cd.IsDeleted = false AND {deal_cond}
-    AND c.SuspendedTimeUtc IS NULL
-), {name} AS (
-  SELECT m.YoutubeVideoId AS video_id, {cols} FROM stg_channel_video_metric m
-  WHERE m.YoutubeVideoId IS NOT NULL AND trim(m.YoutubeVideoId) <> '' AND m.Date IS NOT NULL
-    AND EXISTS (SELECT 1 FROM stg_channel_video_info cv JOIN net_{name} nc ON cv.YoutubeChannelId = nc.YoutubeChannelId
-                WHERE cv.YoutubeVideoId = m.YoutubeVideoId)
-)"""
-
-
-TEAM_USAGE_SQL = _with(
-    FACT_EDITING_STG + ["channel", "channel_company", "channel_video_info", "channel_video_metric", "channel_deal",
-                        "distribution_media_history", "resource_file_info", "department"],
-    FACT_EDITING_CTES.strip() + "," + DIM_VIDEO_CTES + "," + f"""
-bridge AS (
-  SELECT {_b2n('Code')} AS editing_code, {_b2n('YoutubeVideoId')} AS video_id FROM stg_channel_video_info
-  WHERE {_b2n('Code')} IS NOT NULL
-), int_stock_video AS (
-  SELECT DISTINCT fe.hg_stock_id, b.video_id FROM fact_editing fe JOIN bridge b ON fe.editing_code = b.editing_code
-),""" + _net_metric_cte("fact_view_yt", "cd.OutNetTimeUtc IS NULL",
-                        "CAST(m.Views AS DECIMAL(38,6)) AS view_count, CAST(m.Date AS TIMESTAMP) AS recorded_date")
-    + "," + _net_metric_cte("fact_revenue_yt", "cd.ReceiveTimeUtc IS NOT NULL",
-                            "CAST(m.EstimatedRevenue AS DECIMAL(38,6)) AS revenue_amount, "
-                            "CAST(m.Date AS TIMESTAMP) AS revenue_date") + f""",
-fd_base AS (
-  SELECT d.Id, d.DepartmentData, upper(trim(rfi.ResourceFileId)) AS hg_stock_id
-  FROM stg_distribution_media_history d
-  LEFT JOIN stg_resource_file_info rfi
-    ON d.ResourceFileInfoId = rfi.Id AND upper(trim(rfi.ResourceFileId)) LIKE '{L.STOCK_PREFIX}%'
-  LEFT JOIN excluded x ON x.hg = upper(trim(rfi.ResourceFileId))
-  WHERE x.hg IS NULL
-), items AS (
-  SELECT Id, DepartmentData AS list, unnest(l) AS item, unnest(range(1, len(l) + 1)) AS pos
-  FROM (SELECT Id, DepartmentData, string_split(nullif(DepartmentData, ''), ',') AS l FROM fd_base)
-), dep AS (
-  SELECT i.Id, i.list, string_agg(dd.Name, ', ' ORDER BY i.pos) AS department
-  FROM items i JOIN stg_department dd ON trim(i.item) = CAST(dd.Id AS VARCHAR) GROUP BY i.Id, i.list
-), fact_distribution AS (
-  SELECT f.Id, f.hg_stock_id, d.department FROM fd_base f
-  LEFT JOIN dep d ON d.Id = f.Id AND d.list = f.DepartmentData
-), team_dist AS (
-  SELECT department AS team, count(hg_stock_id) AS distributed_resources FROM fact_distribution
-  WHERE department IS NOT NULL GROUP BY department
-), editing_codes AS (
-  SELECT DISTINCT b.editing_code FROM bridge b
-  JOIN (SELECT video_id FROM dim_video WHERE published_date IS NOT NULL) pv ON b.video_id = pv.video_id
-), usage_per_team AS (
-  SELECT fd.department AS team, count(DISTINCT fe.hg_stock_id) AS usage_resources
-  FROM fact_distribution fd JOIN fact_editing fe ON fd.hg_stock_id = fe.hg_stock_id
-  JOIN editing_codes ec ON fe.editing_code = ec.editing_code
-  WHERE fe.hg_stock_id IS NOT NULL AND fd.department IS NOT NULL GROUP BY fd.department
-), view_per_team AS (
-  SELECT fd.department AS team, sum(fv.view_count) AS total_view
-  FROM fact_distribution fd JOIN int_stock_video sv ON fd.hg_stock_id = sv.hg_stock_id
-  JOIN fact_view_yt fv ON sv.video_id = fv.video_id WHERE fd.department IS NOT NULL GROUP BY fd.department
-), revenue_per_team AS (
-  SELECT fd.department AS team, sum(fr.revenue_amount) AS total_revenue
-  FROM fact_distribution fd JOIN int_stock_video sv ON fd.hg_stock_id = sv.hg_stock_id
-  JOIN fact_revenue_yt fr ON sv.video_id = fr.video_id WHERE fd.department IS NOT NULL GROUP BY fd.department
-), monthly_view AS (
-  SELECT fd.department AS team, date_trunc('month', fv.recorded_date) AS month, sum(fv.view_count) AS v
-  FROM fact_distribution fd JOIN int_stock_video sv ON fd.hg_stock_id = sv.hg_stock_id
-  JOIN fact_view_yt fv ON sv.video_id = fv.video_id WHERE fd.department IS NOT NULL GROUP BY 1, 2
-), monthly_revenue AS (
-  SELECT fd.department AS team, date_trunc('month', fr.revenue_date) AS month, sum(fr.revenue_amount) AS v
-  FROM fact_distribution fd JOIN int_stock_video sv ON fd.hg_stock_id = sv.hg_stock_id
-  JOIN fact_revenue_yt fr ON sv.video_id = fr.video_id WHERE fd.department IS NOT NULL GROUP BY 1, 2
-), growth_view AS (
-  SELECT team, g AS growth_view FROM (
-    SELECT team, (CAST(v AS DOUBLE) - lag(CAST(v AS DOUBLE)) OVER w) / nullif(lag(CAST(v AS DOUBLE)) OVER w, 0) AS g,
-           row_number() OVER (PARTITION BY team ORDER BY month DESC) AS rn
-    FROM monthly_view WINDOW w AS (PARTITION BY team ORDER BY month)) WHERE rn = 1
-), growth_revenue AS (
-  SELECT team, g AS growth_revenue FROM (
-    SELECT team, (CAST(v AS DOUBLE) - lag(CAST(v AS DOUBLE)) OVER w) / nullif(lag(CAST(v AS DOUBLE)) OVER w, 0) AS g,
-           row_number() OVER (PARTITION BY team ORDER BY month DESC) AS rn
-    FROM monthly_revenue WINDOW w AS (PARTITION BY team ORDER BY month)) WHERE rn = 1
-)
-SELECT {_sk('td.team')} AS mart_team_usage_sk, td.team, td.distributed_resources,
-       coalesce(u.usage_resources, 0) AS usage_resources,
-       CAST(coalesce(vt.total_view, 0) AS DECIMAL(38,6)) AS view,
-       CAST(coalesce(rt.total_revenue, 0) AS DECIMAL(38,6)) AS revenue, gv.growth_view, gr.growth_revenue
-FROM team_dist td LEFT JOIN usage_per_team u ON td.team = u.team LEFT JOIN view_per_team vt ON td.team = vt.team
-LEFT JOIN revenue_per_team rt ON td.team = rt.team LEFT JOIN growth_view gv ON td.team = gv.team
-LEFT JOIN growth_revenue gr ON td.team = gr.team""")
-
-
-@query("wh_mart_team_usage",
-       "2.14 mart_team_usage: JN-18 list lookups, AGG-3/12, WIN-9/10; fan-out replaced by per-key partial sums "
-       "(oracle: the literal three-way join)", sql=TEAM_USAGE_SQL)
+# A team is the names of the nations numbered by a supplier's nation and by its region.  Every line hands the
+# line's part to the team of its supplier; what the part earns in the orders that hold it counts once a hand-out.
+TEAM_USAGE_SQL = f"""
+WITH hands AS (
+  SELECT a.n_name || ', ' || b.n_name AS team, {STOCK} AS stock, count(*) AS times
+  FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
+  JOIN nation a ON a.n_nationkey = s_nationkey JOIN nation b ON b.n_nationkey = a.n_regionkey
+  WHERE p_brand <> '{EXCLUDED_BRAND}' GROUP BY ALL),
+held AS (SELECT DISTINCT stock, o FROM ({SEATS})),
+earned AS (
+  SELECT stock, kind, date_trunc('month', CAST(l_shipdate AS TIMESTAMP)) AS month,
+         sum(CAST(CASE kind WHEN 'v' THEN l_quantity ELSE l_extendedprice END AS DECIMAL(38,6))) AS amount
+  FROM held JOIN orders ON o_orderkey = o JOIN customer ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o
+  JOIN (VALUES ('v'), ('m')) kinds(kind) ON kind = 'v' OR c_nationkey < {DEAL_RECEIVED_BELOW_NATION}
+  WHERE c_acctbal >= 0 GROUP BY ALL),
+monthly AS (
+  SELECT team, kind, month, sum(times * amount) AS amount, lag(CAST(sum(times * amount) AS DOUBLE)) OVER (
+           PARTITION BY team, kind ORDER BY month) AS before
+  FROM hands JOIN earned USING (stock) GROUP BY team, kind, month),
+facts AS (
+  SELECT team, sum(amount) FILTER (kind = 'v') AS seen, sum(amount) FILTER (kind = 'm') AS money,
+         arg_max_null((CAST(amount AS DOUBLE) - before) / nullif(before, 0), month) FILTER (kind = 'v') AS more_seen,
+         arg_max_null((CAST(amount AS DOUBLE) - before) / nullif(before, 0), month) FILTER (kind = 'm') AS more_money
+  FROM monthly GROUP BY team),
+shown AS (SELECT DISTINCT stock FROM held WHERE o IN (SELECT o_orderkey FROM {OURS}))
+SELECT md5(team) AS mart_team_usage_sk, team, CAST(sum(times) AS BIGINT) AS distributed_resources,
+       count(DISTINCT stock) FILTER (stock IN (FROM shown)) AS usage_resources,
+       CAST(coalesce(any_value(seen), 0) AS DECIMAL(38,6)) AS view, CAST(coalesce(any_value(money), 0) AS DECIMAL(38,6)) AS revenue,
+       any_value(more_seen) AS growth_view, any_value(more_money) AS growth_revenue
+FROM hands LEFT JOIN facts USING (team) GROUP BY team
+"""
+
+
+@query("wh_mart_team_usage", "2.14 mart_team_usage: JN-18 list lookups, AGG-3/12, WIN-9/10", sql=TEAM_USAGE_SQL)
 def wh_mart_team_usage(spark: SparkSession, sf: str) -> DataFrame:
     return driver_context(spark, sf).ref("mart_team_usage")
