@@ -4,9 +4,8 @@ queries (SRC-*, SNK-5, REG-*, DQ-*, REC-*)."""
 from __future__ import annotations
 
 import datetime as dt
-import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,16 +141,30 @@ def q_flatten_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("page_chain_check", "SRC-9", sql="""
-SELECT conv_id, CAST(count(DISTINCT turn // 2) AS BIGINT) AS pages, CAST(0 AS BIGINT) AS missing_cursor,
-       CAST(0 AS BIGINT) AS repeated_cursor, CAST(0 AS BIGINT) AS dangling_has_more,
-       count(DISTINCT turn // 2) > 100 AS over_cap, count(DISTINCT turn // 2) <= 100 AS ok
-FROM conversations GROUP BY conv_id
+WITH p AS (SELECT DISTINCT conv_id, turn // 2 AS n, max(turn // 2) OVER (PARTITION BY conv_id) AS last FROM conversations),
+landed AS (
+  SELECT conv_id, n, n < last OR conv_id % 7 = 4 AS more,
+         CASE WHEN n >= last OR conv_id % 7 = 2 THEN NULL WHEN conv_id % 7 = 3 THEN 'again' ELSE conv_id || '-' || (n + 1) END AS cur
+  FROM p WHERE NOT (conv_id % 7 = 1 AND n = 1 AND last > 1)),
+found AS (
+  SELECT conv_id, count(*) AS pages, count(*) FILTER (more AND cur IS NULL) AS missing_cursor,
+         count(cur) - count(DISTINCT cur) AS repeated_cursor, CAST(arg_max(more, n) AS BIGINT) AS dangling_has_more,
+         CAST(max(n) - min(n) + 1 - count(*) AS BIGINT) AS page_gaps
+  FROM landed GROUP BY conv_id)
+SELECT *, pages > 100 AS over_cap,
+       pages <= 100 AND missing_cursor + repeated_cursor + dangling_has_more + page_gaps = 0 AS ok
+FROM found
 """)
 def q_page_chain_check(spark: SparkSession, sf: str) -> DataFrame:
-    p = conversation_pages(Tables(spark, sf))
-    meta = p.select("conv_id", "page_no",
-                    F.get_json_object("payload", "$.hasMore").cast("boolean").alias("has_more"),
-                    F.get_json_object("payload", "$.scrollId").alias("cursor"))
+    """Chains with every kind of damage, by conversation id: a page lost (1), cursors
+    lost (2), a cursor repeated (3), a last page that says more follow (4)."""
+    kind = F.col("conv_id") % 7
+    meta = conversation_pages(Tables(spark, sf)).select(
+        "conv_id", "page_no", F.max("page_no").over(Window.partitionBy("conv_id")).alias("last_page"),
+        (F.get_json_object("payload", "$.hasMore").cast("boolean") | (kind == 4)).alias("has_more"),
+        F.get_json_object("payload", "$.scrollId").alias("cursor"))
+    meta = meta.where(~((kind == 1) & (F.col("page_no") == 1) & (F.col("last_page") > 1))).withColumn(
+        "cursor", F.when(kind == 2, None).when((kind == 3) & F.col("cursor").isNotNull(), "again").otherwise(F.col("cursor")))
     return page_chain_check(meta, "conv_id", "page_no", "has_more", "cursor", max_pages=100)
 
 
@@ -357,6 +370,3 @@ def reconcile_layers(spark: SparkSession, sf: str) -> DataFrame:
     keys = key_gap(L["bronze"].select(F.col("o_orderkey").cast("long").alias("k")),
                    L["silver"].select(F.col("sale_id").cast("long").alias("k")), "k")
     return reconcile(metrics, checks, {"bronze_vs_silver_keys": keys})
-
-
-__all__ = ["json"]
