@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeward.plans import ingest, ranking, relations, shaping, warehouse  # noqa: F401
+from lakeward.plans import ingest, loads, ranking, relations, shaping, warehouse  # noqa: F401
 from lakeward.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
