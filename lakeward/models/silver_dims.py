@@ -225,7 +225,7 @@ def company_channels(ctx: ModelContext, require_not_deleted: bool = False) -> Da
 def dim_video(ctx: ModelContext) -> DataFrame:
     """Videos of company channels, newest publish per video id (WIN-1; DESC
     puts a null publish time first, as in the source SQL)."""
-    cm = company_channels(ctx).select(F.col("channel_id").alias("__ch")).distinct()
+    cm = company_channels(ctx).select(F.col("channel_id").alias("__ch"))
     cvi = ctx.source("channel_video_info").filter(b2n("YoutubeVideoId").isNotNull())
     cvi = cvi.join(cm, b2n(cvi["YoutubeChannelId"]) == F.col("__ch"), "left_semi")
     cvi = cvi.select("YoutubeVideoId", "YoutubeChannelId", "Code", "PublishedAt", "Title")
@@ -406,7 +406,7 @@ def dim_stock(ctx: ModelContext) -> DataFrame:
     status (archived / never used / cold after 30 days / in use).  The admin
     link is ``var stock_link_prefix`` + file-info id + ``stock_link_suffix``."""
     excluded = ctx.ref("int_excluded_stock_codes").filter(b2n("hg_stock_id").isNotNull()) \
-        .select(F.upper(F.trim("hg_stock_id")).alias("__ex")).distinct()
+        .select(F.upper(F.trim("hg_stock_id")).alias("__ex"))
     cand = _stock_candidates(ctx).join(excluded, F.upper(F.trim("hg_stock_id")) == F.col("__ex"), "left_anti")
     not_wav = F.when(~F.col("name").ilike("%.wav"), F.lit(0)).otherwise(F.lit(1))
     best = first_by(cand.withColumn("__wav", not_wav), ["hg_stock_id"],

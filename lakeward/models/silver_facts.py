@@ -55,7 +55,7 @@ def int_purchase_name_map(ctx: ModelContext) -> DataFrame:
 
 def _excluded(ctx: ModelContext) -> DataFrame:
     ex = ctx.ref("int_excluded_stock_codes")
-    return ex.filter(b2n("hg_stock_id").isNotNull()).select(upper_trim("hg_stock_id").alias("__ex")).distinct()
+    return ex.filter(b2n("hg_stock_id").isNotNull()).select(upper_trim("hg_stock_id").alias("__ex"))
 
 
 @model("fact_po_detail", "silver")
@@ -151,7 +151,7 @@ def _net_channels(ctx: ModelContext, deal_cond) -> DataFrame:
     c = ctx.source("channel").filter(F.col("SuspendedTimeUtc").isNull()) \
         .select(F.col("Id").alias("__c"), F.col("YoutubeChannelId").alias("__ytc"))
     return (cd.join(cc, cd["ChannelId"] == F.col("__cc"), "inner")
-            .join(c, cd["ChannelId"] == F.col("__c"), "inner").select("__ytc").distinct())
+            .join(c, cd["ChannelId"] == F.col("__c"), "inner").select("__ytc"))
 
 
 def _net_metrics(ctx: ModelContext, deal_cond) -> DataFrame:
@@ -160,7 +160,7 @@ def _net_metrics(ctx: ModelContext, deal_cond) -> DataFrame:
                  & F.col("Date").isNotNull())
     net = _net_channels(ctx, deal_cond)
     in_net = (ctx.source("channel_video_info").select(F.col("YoutubeVideoId").alias("__v"), "YoutubeChannelId")
-              .join(net, F.col("YoutubeChannelId") == F.col("__ytc"), "left_semi").select("__v").distinct())
+              .join(net, F.col("YoutubeChannelId") == F.col("__ytc"), "left_semi").select("__v"))
     return m.join(in_net, m["YoutubeVideoId"] == F.col("__v"), "left_semi")
 
 
@@ -261,7 +261,7 @@ def fact_revenue_view_youtube(ctx: ModelContext) -> DataFrame:
                        F.concat(F.lit(L.VIDEO_URL_PREFIX), F.col("YoutubeVideoId")).alias("video_url"),
                        F.col("PublishedAt").cast("timestamp").alias("published_date"),
                        b2n("Title").alias("video_name"))
-    cm = company_channels(ctx, require_not_deleted=True).select(F.col("channel_id").alias("__ch")).distinct()
+    cm = company_channels(ctx, require_not_deleted=True).select(F.col("channel_id").alias("__ch"))
     m = ctx.source("channel_video_metric").filter(b2n("YoutubeVideoId").isNotNull() & F.col("Date").isNotNull())
     m = m.join(cm, b2n(m["YoutubeChannelId"]) == F.col("__ch"), "left_semi")
     m = m.select(b2n("YoutubeVideoId").alias("video_id"), b2n("YoutubeChannelId").alias("channel_id"),
@@ -422,7 +422,7 @@ def fact_revenue_by_resources(ctx: ModelContext) -> DataFrame:
     """Daily video revenue/views split over the video's first five
     resources by positional weights (sum 10).  Metrics are aggregated per
     (video, day) before the fan-out to at most five resources."""
-    cm = company_channels(ctx).select(F.col("channel_id").alias("__ch")).distinct()
+    cm = company_channels(ctx).select(F.col("channel_id").alias("__ch"))
     m = ctx.source("channel_video_metric").filter(b2n("YoutubeVideoId").isNotNull() & F.col("Date").isNotNull())
     m = m.join(cm, b2n(m["YoutubeChannelId"]) == F.col("__ch"), "left_semi")
     metric = (m.groupBy(b2n("YoutubeVideoId").alias("video_id"), F.col("Date").cast("date").alias("recorded_date"))
