@@ -105,3 +105,19 @@ CONTRACT_DATE_COL = "Ngày ký HĐ"
 PRICING_COL = "Cách tính giá"
 PURCHASED_REPO_COL = "Repository"
 DEFAULT_SUB_PROJECT_KEY = "không có dự án con"
+
+# Sheets, names and ids of sub-projects and repositories.
+PERF_SUB_PROJECT_COL = "Dự án con (nếu có)"
+PERF_REPO_COL = "Kho (nếu có)"
+SUBGENRE_COL = "Subgenre"
+SUB_PROJECT_COL = "Dự án con"
+REPO_COL = "Kho"
+DEFAULT_SUB_PROJECT = "Không có dự án con"
+DEFAULT_REPOSITORY = "Không có kho"
+NO_SUB_PROJECT = ("không có", "khong co")
+SUB_PROJECT_HEADER = "dự án con"
+REPO_HEADER = "kho"
+AUDIOJUNGLE = "Audiojungle"
+AUDIOJUNGLE_SPELLINGS = ("audiojungle", "nhạc nền audiojungle", "nhạc nền tảng audiojungle", "nền tảng audiojungle")
+PROJECT_ID_OVERRIDES = {"129": "163"}
+SUB_PROJECT_ALIASES = (("classical", "classcial bật cid", "classical bật cid"),)
