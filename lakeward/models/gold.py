@@ -11,7 +11,7 @@ each shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeward.functions.cleanse import blank_to_null as b2n
@@ -20,6 +20,7 @@ from lakeward.functions.dates import as_date_lit, days_between, month_start
 from lakeward.functions.keys import surrogate_key as sk
 from lakeward.models import labels as L
 from lakeward.models.base import ModelContext, model
+from lakeward.models.silver_facts import distributions, editing_placements, net_metrics
 from lakeward.operators.marts import daily_totals, growth_vs_previous, latest_growth
 
 
@@ -32,7 +33,7 @@ def mart_phase6_daily_sales(ctx: ModelContext) -> DataFrame:
 @model("int_stock_video", "silver")
 def int_stock_video(ctx: ModelContext) -> DataFrame:
     """Distinct stock code x video through the editing code (JN-14, SET-3)."""
-    fe = ctx.ref("fact_editing").select("hg_stock_id", "editing_code")
+    fe = editing_placements(ctx).select("hg_stock_id", "editing_code")
     b = ctx.ref("bridge_bt_vid").select("editing_code", "video_id")
     return fe.join(b, "editing_code").select("hg_stock_id", "video_id").distinct()
 
@@ -43,17 +44,15 @@ def _last_growth(monthly: DataFrame, key: str, value: str, out: str) -> DataFram
     return latest_growth(g, [key], "month").select(key, out)
 
 
-def _team_monthly(fd_counts: DataFrame, stock_video: DataFrame, metrics: DataFrame) -> DataFrame:
-    """sum(value) over distribution row x stock video x metric row per
-    (team, month, metric), from per-key partial sums: per (video, month,
-    metric), then per (stock, month, metric), then times the distribution
-    row count of each (team, stock)."""
-    keys = ["month", "metric"]
-    per_video = metrics.groupBy("__video", *keys).agg(F.sum("__v").alias("__v"))
-    per_stock = (stock_video.select("hg_stock_id", F.col("video_id").alias("__video")).join(per_video, "__video")
-                 .groupBy("hg_stock_id", *keys).agg(F.sum("__v").alias("__v")))
-    return (fd_counts.join(per_stock, "hg_stock_id")
-            .groupBy("team", *keys).agg(F.sum(F.col("__v") * F.col("__rows")).alias("__v")))
+KINDS = {"view": ("viewed", "Views"), "revenue": ("earned", "EstimatedRevenue")}
+
+
+def _growth(kind: str) -> Column:
+    """Growth of a month over the one before that has rows of this kind; null without one."""
+    before = Window.partitionBy("team").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    now = F.col(kind).cast("double")
+    last = F.last(F.when(F.col(f"has_{kind}"), F.struct(now.alias("v"))), ignorenulls=True).over(before)["v"]
+    return (now - last) / F.nullif(last, F.lit(0.0))
 
 
 @model("mart_team_usage", "gold")
@@ -61,7 +60,7 @@ def mart_team_usage(ctx: ModelContext) -> DataFrame:
     """Per team (department text of a distribution): distributed resources,
     used resources (edited into a published video), total views and revenue
     of the videos using its resources, and newest month-over-month growth."""
-    fd = ctx.ref("fact_distribution").filter(F.col("department").isNotNull()) \
+    fd = distributions(ctx, ["department"]).filter(F.col("department").isNotNull()) \
         .select(F.col("department").alias("team"), "hg_stock_id")
     # one pass over the distributions: rows per (team, stock), null stock included
     per_pair = fd.groupBy("team", "hg_stock_id").agg(F.count(F.lit(1)).alias("__rows"))
@@ -79,22 +78,22 @@ def mart_team_usage(ctx: ModelContext) -> DataFrame:
     usage = fd_counts.join(used, "hg_stock_id", "left_semi").groupBy("team") \
         .agg(F.count(F.lit(1)).alias("usage_resources"))
 
-    # both metrics in one chain (tagged rows); totals are sums over the months
-    metrics = (ctx.ref("fact_view_yt").select(F.col("video_id").alias("__video"), month_start("recorded_date").alias("month"),
-                                              F.lit("view").alias("metric"), F.col("view_count").cast(L.NUMERIC).alias("__v"))
-               .unionByName(ctx.ref("fact_revenue_yt").select(
-                   F.col("video_id").alias("__video"), month_start("revenue_date").alias("month"),
-                   F.lit("revenue").alias("metric"), F.col("revenue_amount").cast(L.NUMERIC).alias("__v"))))
-    monthly = _team_monthly(fd_counts, sv, metrics)
-    totals = monthly.groupBy("team").agg(
-        F.sum(F.when(F.col("metric") == "view", F.col("__v"))).alias("total_view"),
-        F.sum(F.when(F.col("metric") == "revenue", F.col("__v"))).alias("total_revenue"))
-    gv = _last_growth(monthly.filter(F.col("metric") == "view").select("team", "month", F.col("__v").alias("monthly")),
-                      "team", "monthly", "growth_view")
-    gr = _last_growth(monthly.filter(F.col("metric") == "revenue").select("team", "month", F.col("__v").alias("monthly")),
-                      "team", "monthly", "growth_revenue")
-    out = (team_dist.join(usage, "team", "left").join(totals, "team", "left")
-           .join(gv, "team", "left").join(gr, "team", "left"))
+    # the metric table once, both kinds side by side: sums per (video, month), then
+    # per (stock, month), then times the distribution rows of each (team, stock)
+    kinds = list(KINDS)
+    m = net_metrics(ctx)
+    per_video = m.groupBy(F.col("__v").alias("video_id"), month_start("Date").alias("month")).agg(
+        *[F.sum(F.when(F.col(flag), F.col(value).cast(L.NUMERIC))).alias(k) for k, (flag, value) in KINDS.items()],
+        *[F.max(F.col(flag)).alias(f"has_{k}") for k, (flag, _) in KINDS.items()])
+    per_stock = sv.join(per_video, "video_id").groupBy("hg_stock_id", "month").agg(
+        *[F.sum(k).alias(k) for k in kinds], *[F.max(f"has_{k}").alias(f"has_{k}") for k in kinds])
+    monthly = fd_counts.join(per_stock, "hg_stock_id").groupBy("team", "month").agg(
+        *[F.sum(F.col(k) * F.col("__rows")).alias(k) for k in kinds], *[F.max(f"has_{k}").alias(f"has_{k}") for k in kinds])
+    monthly = monthly.withColumns({f"growth_{k}": _growth(k) for k in kinds})
+    facts = monthly.groupBy("team").agg(
+        *[F.sum(k).alias(f"total_{k}") for k in kinds],
+        *[F.max_by(F.struct(f"growth_{k}"), F.when(F.col(f"has_{k}"), F.col("month")))[f"growth_{k}"].alias(f"growth_{k}") for k in kinds])
+    out = team_dist.join(usage, "team", "left").join(facts, "team", "left")
     zero = F.lit(0).cast(L.NUMERIC)
     return out.select(sk("team").alias("mart_team_usage_sk"), "team", "distributed_resources",
                       F.coalesce("usage_resources", F.lit(0)).alias("usage_resources"),

@@ -11,6 +11,8 @@ Deliberate departures from the source SQL, each listed in SURVEY 7.5:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -142,26 +144,29 @@ def fact_label_operation(ctx: ModelContext) -> DataFrame:
     return first_by(rows, ["__isrc"], [asc("__id"), asc("acceptance_url")]).drop("__isrc", "__id")
 
 
-def _net_channels(ctx: ModelContext, deal_cond) -> DataFrame:
-    """YouTube channel ids in the network: a live deal (``deal_cond``), a
-    company link without type and a channel that is not suspended."""
-    cd = ctx.source("channel_deal").filter((F.col("IsOutNet") == F.lit(False)) & (F.col("IsDeleted") == F.lit(False))
-                                           & deal_cond)
-    cc = ctx.source("channel_company").filter(F.col("Type").isNull()).select(F.col("ChannelId").alias("__cc"))
-    c = ctx.source("channel").filter(F.col("SuspendedTimeUtc").isNull()) \
+def net_videos(ctx: ModelContext) -> DataFrame:
+    """Videos of channels in the network: ``__v``, and whether a live deal of one
+    has not ended (``viewed``) or is received (``earned``).  A live deal is
+    neither out of the network nor deleted, its company link has no type, and
+    its channel is not suspended."""
+    deals = ctx.source("channel_deal").filter((F.col("IsOutNet") == F.lit(False)) & (F.col("IsDeleted") == F.lit(False)))
+    links = ctx.source("channel_company").filter(F.col("Type").isNull()).select(F.col("ChannelId").alias("__cc"))
+    channels = ctx.source("channel").filter(F.col("SuspendedTimeUtc").isNull()) \
         .select(F.col("Id").alias("__c"), F.col("YoutubeChannelId").alias("__ytc"))
-    return (cd.join(cc, cd["ChannelId"] == F.col("__cc"), "inner")
-            .join(c, cd["ChannelId"] == F.col("__c"), "inner").select("__ytc"))
+    flags = [F.max(F.col("OutNetTimeUtc").isNull()).alias("viewed"), F.max(F.col("ReceiveTimeUtc").isNotNull()).alias("earned")]
+    live = (deals.join(links, deals["ChannelId"] == F.col("__cc"), "left_semi")
+            .join(channels, deals["ChannelId"] == F.col("__c")).groupBy("__ytc").agg(*flags))
+    return (ctx.source("channel_video_info").select(F.col("YoutubeVideoId").alias("__v"), "YoutubeChannelId")
+            .join(live, F.col("YoutubeChannelId") == F.col("__ytc")).groupBy("__v")
+            .agg(F.max("viewed").alias("viewed"), F.max("earned").alias("earned")))
 
 
-def _net_metrics(ctx: ModelContext, deal_cond) -> DataFrame:
+def net_metrics(ctx: ModelContext) -> DataFrame:
+    """Dated metrics of the network's videos with the flags of :func:`net_videos`."""
     m = ctx.source("channel_video_metric")
     m = m.filter(F.col("YoutubeVideoId").isNotNull() & (F.trim("YoutubeVideoId") != F.lit(""))
                  & F.col("Date").isNotNull())
-    net = _net_channels(ctx, deal_cond)
-    in_net = (ctx.source("channel_video_info").select(F.col("YoutubeVideoId").alias("__v"), "YoutubeChannelId")
-              .join(net, F.col("YoutubeChannelId") == F.col("__ytc"), "left_semi").select("__v"))
-    return m.join(in_net, m["YoutubeVideoId"] == F.col("__v"), "left_semi")
+    return m.join(net_videos(ctx), m["YoutubeVideoId"] == F.col("__v"))
 
 
 def usd_by_day(ctx: ModelContext) -> DataFrame:
@@ -173,7 +178,7 @@ def usd_by_day(ctx: ModelContext) -> DataFrame:
 @model("fact_view_yt", "silver")
 def fact_view_yt(ctx: ModelContext) -> DataFrame:
     """Daily views of in-network videos (deal not ended) and revenue per view."""
-    m = _net_metrics(ctx, F.col("OutNetTimeUtc").isNull())
+    m = net_metrics(ctx).filter("viewed")
     return m.select(sk("YoutubeVideoId", "Date").alias("fact_view_yt_sk"), F.col("YoutubeVideoId").alias("video_id"),
                     F.col("Views").cast(L.NUMERIC).alias("view_count"),
                     F.col("Date").cast("timestamp").alias("recorded_date"),
@@ -183,7 +188,7 @@ def fact_view_yt(ctx: ModelContext) -> DataFrame:
 @model("fact_revenue_yt", "silver")
 def fact_revenue_yt(ctx: ModelContext) -> DataFrame:
     """Daily revenue of in-network videos (deal received) with the day's USD rate."""
-    m = _net_metrics(ctx, F.col("ReceiveTimeUtc").isNotNull())
+    m = net_metrics(ctx).filter("earned")
     u = usd_by_day(ctx)
     j = m.join(u, F.col("Date").cast("date") == u["record_date"], "left")
     return j.select(sk("YoutubeVideoId", "Date").alias("fact_revenue_yt_sk"), F.col("YoutubeVideoId").alias("video_id"),
@@ -276,29 +281,28 @@ def fact_revenue_view_youtube(ctx: ModelContext) -> DataFrame:
                     ratio(rev, views, 1000.0, on_zero=0.0).alias("rpm"), "revenue_date")
 
 
-@model("fact_editing", "silver")
-def fact_editing(ctx: ModelContext) -> DataFrame:
-    """Catalogue resources placed in editing projects, numbered by start time
-    within the editing (skew-safe WIN-6), after removing duplicate joined rows
-    and excluded stock codes (anti join)."""
+def editing_placements(ctx: ModelContext) -> DataFrame:
+    """Catalogue resources placed in editing projects, each once, without the
+    excluded stock codes (anti join)."""
     re_ = ctx.source("resource_editings")
     e = ctx.source("editings").select(F.col("Id").alias("__e_id"), F.col("EditingFileId").alias("editing_code"))
     r = ctx.source("resource").filter(F.col("ResourceType") == F.lit(0)) \
         .select(F.col("Id").alias("__r_id"), upper_trim("ResourceFileId").alias("hg_stock_id")) \
         .filter(F.col("hg_stock_id").startswith(L.STOCK_PREFIX))
-    joined = (re_.join(e, re_["EditingId"] == F.col("__e_id"), "inner")
-              .join(r, re_["ResourcesId"] == F.col("__r_id"), "inner")
-              .select(F.col("Id").alias("resource_editing_id"), F.col("EditingId").alias("editing_id"),
-                      "editing_code", "hg_stock_id", F.col("StartTime").alias("start_time"),
-                      F.col("EndTime").alias("end_time"))
-              .join(_excluded(ctx), F.col("hg_stock_id") == F.col("__ex"), "left_anti"))
-    rows = joined.distinct()
-    # Hot editings are found from the raw placements (key column only): editing
-    # and resource ids are keys of their tables, so the raw count per editing
-    # bounds the joined one.  The probe only steers the plan - a missed hot key
-    # is still numbered correctly, by the plain window.
-    numbered = sequence_within(rows, ["editing_id"], [asc("start_time"), asc("resource_editing_id")],
-                               out="position", probe=re_.select(F.col("EditingId").alias("editing_id")))
+    return (re_.join(e, re_["EditingId"] == F.col("__e_id"), "inner")
+            .join(r, re_["ResourcesId"] == F.col("__r_id"), "inner")
+            .select(F.col("Id").alias("resource_editing_id"), F.col("EditingId").alias("editing_id"),
+                    "editing_code", "hg_stock_id", F.col("StartTime").alias("start_time"),
+                    F.col("EndTime").alias("end_time"))
+            .join(_excluded(ctx), F.col("hg_stock_id") == F.col("__ex"), "left_anti"))
+
+
+@model("fact_editing", "silver")
+def fact_editing(ctx: ModelContext) -> DataFrame:
+    """Placements numbered by start time within the editing (WIN-6), after
+    removing duplicate joined rows.  An editing's placements fit one task."""
+    numbered = sequence_within(editing_placements(ctx).distinct(), ["editing_id"],
+                               [asc("start_time"), asc("resource_editing_id")], out="position")
     return numbered.select(sk("resource_editing_id").alias("fact_editing_sk"), "editing_id", "editing_code",
                            "hg_stock_id", F.col("position").cast("int").alias("position"),
                            (F.col("end_time").cast(L.NUMERIC) - F.col("start_time").cast(L.NUMERIC)).alias("duration"))
@@ -387,24 +391,32 @@ def _names_for_lists(rows: DataFrame, list_col: str, dim: DataFrame, dim_key: st
                     F.array_join(F.transform("__l", lambda s: s["__name"]), ", ").alias(out)))
 
 
-@model("fact_distribution", "silver")
-def fact_distribution(ctx: ModelContext) -> DataFrame:
-    """Distributions of catalogue files with department, team and employee
-    names resolved from comma id lists (per distinct list value: one explode
-    + join + aggregate, never a per-row subquery); excluded stock codes removed (anti join
-    on the code; rows without a catalogue file are kept with a null code)."""
+LISTS = {"department": ("DepartmentData", "department", "Name"), "team": ("GroupData", "groups", "Name"),
+         "employee": ("UserData", "users", "DisplayName")}
+
+
+def distributions(ctx: ModelContext, resolve: Sequence[str]) -> DataFrame:
+    """Distributions of catalogue files with the asked-for names resolved from
+    comma id lists (per distinct list value: one explode + join + aggregate,
+    never a per-row subquery); excluded stock codes removed (anti join on the
+    code; rows without a catalogue file are kept with a null code)."""
     d = ctx.source("distribution_media_history")
     rfi = ctx.source("resource_file_info").select(F.col("Id").alias("__rfi_id"),
                                                   upper_trim("ResourceFileId").alias("hg_stock_id"))
     rfi = rfi.filter(F.col("hg_stock_id").startswith(L.STOCK_PREFIX))
-    fd = d.join(rfi, d["ResourceFileInfoId"] == F.col("__rfi_id"), "left")
-    fd = fd.join(_excluded(ctx), F.col("hg_stock_id") == F.col("__ex"), "left_anti")
-    out = fd
-    for list_col, dim, key, name, alias in (("DepartmentData", "department", "Id", "Name", "department"),
-                                            ("GroupData", "groups", "Id", "Name", "team"),
-                                            ("UserData", "users", "Id", "DisplayName", "employee")):
-        names = _names_for_lists(d, list_col, ctx.source(dim), key, name, alias)  # lists of the raw source
+    out = d.join(rfi, d["ResourceFileInfoId"] == F.col("__rfi_id"), "left")
+    out = out.join(_excluded(ctx), F.col("hg_stock_id") == F.col("__ex"), "left_anti")
+    for alias in resolve:
+        list_col, dim, name = LISTS[alias]
+        names = _names_for_lists(d, list_col, ctx.source(dim), "Id", name, alias)  # lists of the raw source
         out = out.join(names, F.col(list_col) == F.col(f"__{alias}_list"), "left")
+    return out
+
+
+@model("fact_distribution", "silver")
+def fact_distribution(ctx: ModelContext) -> DataFrame:
+    """Distributions with department, team and employee names."""
+    out = distributions(ctx, list(LISTS))
     return out.select(sk("Id").alias("fact_distribution_sk"), F.col("Id").alias("distribution_id"), "hg_stock_id",
                       F.col("CreatedDate").cast("timestamp").alias("distribution_date"),
                       F.lit(L.SHARED_RECIPIENT).alias("recipient_company"), "department", "team", "employee",

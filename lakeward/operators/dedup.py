@@ -9,9 +9,9 @@ whole group to one task.
   descending text key) a ranked window with ``rn = 1`` is used instead; Spark
   plans it with a partial WindowGroupLimit below the shuffle, which is just as
   skew-tolerant.
-* running numbers within a key (``sequence_within``) range-partition on
-  (key, order) so a hot key is cut into several tasks, number rows locally and
-  add per-task offsets from a small aggregate.
+* running numbers within a key (``sequence_within``) are a plain window; on
+  request they range-partition on (key, order), so that a key of any size is cut
+  into several tasks, number rows locally and add offsets from an aggregate.
 """
 
 from __future__ import annotations
@@ -106,46 +106,18 @@ def partition_size(df: DataFrame, keys: Sequence[str], out: str = "partition_row
     return null_safe_join(df, counts, keys, "inner")
 
 
-# Keys with more rows than this are numbered by the range-partitioned path.
-HOT_KEY_ROWS = 2_000_000
-# At most this many hot keys are listed on the driver; beyond it every key
-# takes the range-partitioned path.
-MAX_HOT_KEYS = 10_000
-
-
 def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column],
-                    out: str = "position", num_partitions: int | None = None,
-                    hot_key_rows: int | None = None, probe: DataFrame | None = None) -> DataFrame:
-    """WIN-6/7: ``row_number() over (partition by keys order by order)``
-    without putting a whole hot key into one task.
-
-    A partial count per key (map-side combined) finds the keys holding more
-    than ``hot_key_rows`` rows; their number is bounded by
-    rows / hot_key_rows, and at most MAX_HOT_KEYS of them are listed.
-    Ordinary keys are numbered by a plain window (each window group is at most
-    ``hot_key_rows`` rows); hot keys by :func:`sequence_within_ranged`.
-    Give a total order: ties are numbered in an arbitrary but fixed order.
-
-    ``probe`` (optional) is a cheaper frame holding ``keys`` whose per-key row
-    counts are never below ``df``'s, e.g. ``df`` before a DISTINCT; hot keys
-    are then found from it (a key over-counted only takes the ranged path)."""
-    limit = hot_key_rows or int(df.sparkSession.conf.get("lakeward.hotKeyRows", str(HOT_KEY_ROWS)))
-    counts = (probe if probe is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.filter(F.col("__n") > F.lit(limit)).select(*keys).limit(MAX_HOT_KEYS + 1).collect()
-    orders = as_orders(order)
-    if len(hot) > MAX_HOT_KEYS:
-        return sequence_within_ranged(df, keys, orders, out, num_partitions)
-    w = Window.partitionBy(*keys).orderBy(*[o.sort_col() for o in orders])
-    if not hot:
-        return df.withColumn(out, F.row_number().over(w).cast("long"))
-    # at most MAX_HOT_KEYS rows: a bounded broadcast
-    hot_df = F.broadcast(df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
-                         .toDF(*[f"__h_{k}" for k in keys]))
-    cond = [df[k].eqNullSafe(F.col(f"__h_{k}")) for k in keys]
-    cold = df.join(hot_df, cond, "left_anti")
-    hot_rows = df.join(hot_df, cond, "left_semi")
-    return cold.withColumn(out, F.row_number().over(w).cast("long")).unionByName(
-        sequence_within_ranged(hot_rows, keys, orders, out, num_partitions))
+                    out: str = "position", spread: bool = False, num_partitions: int | None = None) -> DataFrame:
+    """WIN-6/7: ``row_number() over (partition by keys order by order)``.
+
+    A plain window, for keys whose rows fit one task (lines of an order,
+    placements of an editing).  With ``spread`` a key may be of any size, see
+    :func:`sequence_within_ranged`.  Give a total order: ties are numbered in an
+    arbitrary but fixed order."""
+    if spread:
+        return sequence_within_ranged(df, keys, order, out, num_partitions)
+    w = Window.partitionBy(*keys).orderBy(*[o.sort_col() for o in as_orders(order)])
+    return df.withColumn(out, F.row_number().over(w).cast("long"))
 
 
 def sequence_within_ranged(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column],

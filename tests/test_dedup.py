@@ -41,8 +41,8 @@ def test_sequence_within_matches_window_on_hot_key(spark):
     df = spark.createDataFrame(rows, "key string, o int, id int")
     w = Window.partitionBy("key").orderBy("o", "id")
     want = df.withColumn("position", F.row_number().over(w).cast("long"))
-    for hot_rows in (1000, 10_000_000):      # with and without a hot key
-        got = sequence_within(df, ["key"], [asc("o"), asc("id")], num_partitions=8, hot_key_rows=hot_rows)
+    for spread in (True, False):
+        got = sequence_within(df, ["key"], [asc("o"), asc("id")], num_partitions=8, spread=spread)
         assert got.exceptAll(want.select(*got.columns)).count() == 0
         assert got.count() == df.count()
     ranged_only = sequence_within_ranged(df, ["key"], [asc("o"), asc("id")], num_partitions=8)
