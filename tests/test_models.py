@@ -156,7 +156,7 @@ def test_sla_mart(ctx):
 def test_materialize_cuts_lineage(spark, workdir):
     c = ModelContext(spark, MF.staging(spark), dt.date(2024, 3, 1),
                      vars={"target_company_id": MF.CO}, provided=MF.provided(spark))
-    paths = materialize(c, ["int_stock_video"], workdir)
+    paths = materialize(c, ["int_stock_video", "fact_editing"], workdir)
     assert set(paths) == {"int_stock_video", "fact_editing", "bridge_bt_vid", "int_excluded_stock_codes"}
     assert c.ref("int_stock_video").count() == 8
 
