@@ -138,3 +138,47 @@ def judge(docs: DataFrame, chars: tuple[float, float, int] = (CHARS_LIMIT, CHARS
     return scored.select("doc_id", "n_words", (F.col("n_chars") - F.col("class.space")).alias("word_chars"),
                          F.col("class.symbol").alias("n_symbols"), "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & usual).alias("kept"), "chars_js", "words_js")
+
+
+#: DuckDB: the same by joining each document's shares with its language's.
+JUDGE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(lang, 'und') AS lang, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+listed(lang, word) AS (VALUES {listed}),
+starts AS (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d),
+around AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS three FROM starts),
+again AS (SELECT r, i FROM around QUALIFY count(*) OVER (PARTITION BY r, three) > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n FROM again, range(0, 3) x(k) GROUP BY r),
+n AS (
+  SELECT r, doc_id, lang, len(w) AS n_words, length(t) AS n_chars,
+         length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS upper, length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) AS letters,
+         length(regexp_replace(t, '[^\p{{Nd}}]+', '', 'g')) AS digit, length(regexp_replace(t, '[^\x20\x09-\x0D]+', '', 'g')) AS space,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS symbol, coalesce(covered.n, 0) AS n_repeat_words,
+         [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+  FROM d LEFT JOIN covered USING (r)),
+counts AS (
+  SELECT r, lang, 'chars' AS kind, unnest(['upper', 'letter', 'digit', 'space', 'symbol', 'other']) AS name,
+         unnest([upper, letters - upper, digit, space, symbol, n_chars - letters - digit - space - symbol]) AS c FROM n
+  UNION ALL
+  SELECT o.r, o.lang, 'words', coalesce(l.word, ''), count(*) FROM (SELECT r, lang, lower(unnest(w)) AS one FROM d) o
+  LEFT JOIN listed l ON l.lang = o.lang AND l.word = o.one GROUP BY ALL),
+usual AS (SELECT lang, kind, name, sum(c) / sum(sum(c)) OVER (PARTITION BY lang, kind) AS q FROM counts GROUP BY lang, kind, name),
+own AS (SELECT r, lang, kind, name, c / sum(c) OVER (PARTITION BY r, kind) AS p FROM counts),
+js AS (
+  SELECT r, kind, round(sqrt(greatest(sum(
+           CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)), 6) AS js
+  FROM (SELECT n.r, kind, q, coalesce(p, 0) AS p FROM n JOIN usual USING (lang) LEFT JOIN own USING (r, kind, name)) GROUP BY r, kind),
+f AS (
+  SELECT n.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         CASE WHEN n_chars >= {least_chars} THEN a.js END AS chars_js,
+         CASE WHEN n_words >= {least_words} AND n.lang IN (SELECT lang FROM listed) THEN b.js END AS words_js
+  FROM n LEFT JOIN js a ON a.r = n.r AND a.kind = 'chars' LEFT JOIN js b ON b.r = n.r AND b.kind = 'words')
+SELECT doc_id, n_words, n_chars - space AS word_chars, symbol AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+       n_repeat_words, base_failed, chars_js, words_js,
+       NOT base_failed AND coalesce(chars_js <= {chars_limit} + {chars_noise} / sqrt(n_chars), true)
+       AND coalesce(words_js <= {words_limit} + {words_noise} / sqrt(n_words), true) AS kept
+FROM f
+""".format(listed=", ".join(f"('{lang}', '{w}')" for lang, words in COMMON.items() for w in words.split()),
+           least_chars=LEAST_CHARS, least_words=LEAST_WORDS, chars_limit=CHARS_LIMIT, chars_noise=CHARS_NOISE,
+           words_limit=WORDS_LIMIT, words_noise=WORDS_NOISE)

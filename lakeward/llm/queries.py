@@ -59,7 +59,7 @@ def op9_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment.pairs(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-@query("op5_divergence")
+@query("op5_divergence", divergence.JUDGE_SQL)
 def op5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(read(spark, sf_dir, "documents"))
 

@@ -178,7 +178,7 @@ def test_a_hot_key_is_split_too(spark):
     assert X.assign(spark.createDataFrame([], "k long, n long"), "k", F.col("n"), 10).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op7_extendible_sharding", "op9_containment"])
+@pytest.mark.parametrize("name", ["op5_divergence", "op7_extendible_sharding", "op9_containment"])
 def test_queries_with_sql(spark, name):
     from tools.oracle_check import rows
     sf = "/root/testdata/sf0.001"
