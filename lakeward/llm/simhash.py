@@ -198,16 +198,27 @@ def one_of_each(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame
     """One row of each group of near-duplicates, with all its columns: the row
     whose doc_id is the group's component_id.
 
-    Where rows repeat a doc_id, the one with the least text stays (a null text
-    before all others); only such rows' texts are compared.  A group whose ids
-    are all null keeps one row as well."""
-    ids = near_duplicates(docs, words, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    counted = cut(ids.groupBy(F.col("doc_id").alias("kept")).agg(F.count("*").alias("n")), "kept")
-    same = F.col("doc_id").eqNullSafe(F.col("kept"))
-    once = docs.join(counted.where("n = 1").select("kept"), same, "left_semi")
-    repeated = counted.where("n > 1").select("kept")
-    if repeated.isEmpty():
+    Rows that go are taken out by their ids, a small part of all, so that the
+    texts are not shuffled while these fit a broadcast.  Ids that several rows
+    have are decided row by row, by id and fingerprint; of rows that are alike in
+    both the one with the least text stays, a null text before all others.  Rows
+    without an id are groups by their fingerprints alone."""
+    ids = cut(near_duplicates(docs, words, distance), "groups")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    by_id = ids.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n"), F.max(first).alias("first"))
+    handled = cut(by_id.where((F.col("n") > 1) | ~F.col("first")), "handled")
+    same = F.col("doc_id").eqNullSafe(F.col("id"))
+    once = docs.join(handled.select("id"), same, "left_anti")
+    several = handled.where("n > 1").select("id")
+    if several.isEmpty():
         return once
-    rows = docs.join(repeated, same, "left_semi").groupBy(F.col("doc_id").alias("kept")).agg(
-        F.min_by(F.struct("*"), F.struct(F.col("text"))).alias("row"))
-    return once.unionByName(rows.select("row.*"))
+
+    @F.pandas_udf("string")
+    def digits(texts: pd.Series) -> pd.Series:
+        return pd.Series([f"{fingerprint(t, words):016x}" for t in texts], dtype=object)
+    kept = ids.where(first).select(F.col("doc_id").alias("id"), F.col("fingerprint").alias("fp"), "component_id").distinct()
+    rows = docs.join(several, same, "left_semi").select(F.struct("*").alias("row"), digits("text").alias("__fp"))
+    rows = rows.join(kept, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("__fp") == F.col("fp")))
+    best = rows.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp"))).agg(
+        F.min_by("row", F.struct(F.col("row.text"))).alias("row"))
+    return once.unionByName(best.select("row.*"))
