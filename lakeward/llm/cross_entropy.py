@@ -110,7 +110,8 @@ def train(docs: DataFrame, is_target: DataFrame, size: int = VOCABULARY) -> Mode
             at = cells[i:i + 100_000]
             yield pd.DataFrame({"cell": at.astype(np.int32), "background": tables[0][at].astype(np.int64),
                                 "target": tables[1][at].astype(np.int64)})
-    marked = docs.select("doc_id", "text").join(marks, "doc_id", "left").select(
+    # sorted and merged at every size: the list of target rows grows with the corpus
+    marked = docs.select("doc_id", "text").join(marks.hint("merge"), "doc_id", "left").select(
         "text", F.coalesce("target", F.lit(False)).alias("target"))
     sums = (marked.mapInPandas(run, "cell int, background long, target long").groupBy("cell")
             .agg(F.sum("background").alias("background"), F.sum("target").alias("target")))
