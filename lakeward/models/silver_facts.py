@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lakeward.functions.cleanse import JAVA_WHITESPACE, json_or_text, ratio
 from lakeward.functions.cleanse import blank_to_null as b2n
-from lakeward.functions.cleanse import digits_only_number, typed_null
+from lakeward.functions.cleanse import digits_only_number
 from lakeward.functions.dates import month_end, month_key, month_start, strict_dmy
 from lakeward.functions.keys import surrogate_key as sk
 from lakeward.functions.predicates import is_true, matches_key
@@ -26,10 +26,10 @@ from lakeward.models import labels as L
 from lakeward.models.base import ModelContext, model
 from lakeward.models.silver_dims import company_channels
 from lakeward.operators.allocate import position_weight
-from lakeward.operators.dedup import first_by, latest_by, partition_size, sequence_within
+from lakeward.operators.dedup import first_by, latest_by, sequence_within
 from lakeward.operators.generate import unpivot
 from lakeward.operators.joins import explode_list
-from lakeward.operators.ordering import Order, asc, desc
+from lakeward.operators.ordering import asc, desc
 
 
 def upper_trim(c) -> F.Column:
