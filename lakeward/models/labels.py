@@ -66,7 +66,7 @@ STOCK_CODE_PATTERN = "^HGFA[0-9A-F]{32}$"
 # Local currency amounts are divided by this rate.
 LOCAL_CURRENCY_RATE = 25000.0
 
-# Unbounded ``numeric`` of the source SQL.
+# Unbounded ``numeric`` of the source SQL; values are rounded to six places here.
 NUMERIC = "decimal(38,6)"
 
 # Raw column names of the stock spreadsheets read by dim_stock.

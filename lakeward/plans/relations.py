@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.functions.cleanse import WHITESPACE_CHARS  # noqa: F401
 from lakeward.operators.dedup import first_by, unique_name_lookup
 from lakeward.operators.entities import canonicalise_entities, resolve_level
 from lakeward.operators.generate import add_default_member, values_relation

@@ -63,7 +63,7 @@ def lateral_status_rows(spark: SparkSession, sf: str) -> DataFrame:
     return rows.filter(F.coalesce("quantity", F.lit(0)) != 0).select("l_orderkey", "status", "quantity")
 
 
-@query("funnel_steps", "SET-1, PRJ-15/19/20", sql="""
+@query("funnel_steps", "SET-1, PRJ-15", sql="""
 WITH f AS (SELECT l_orderkey, bool_or(l_linestatus = 'F') AS has_shipped, bool_or(l_returnflag = 'R') AS has_return
            FROM lineitem GROUP BY l_orderkey),
 o AS (SELECT o_orderkey, o_orderstatus, concat(o_orderpriority, '/', o_orderstatus) AS flow_key,
@@ -330,7 +330,7 @@ def allocate_evenly_calendar(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("s_nationkey", "s_suppkey", "month", "active_resources", "allocated")
 
 
-@query("content_checksum", "SRC-7", sql="""
+@query("content_checksum", "2.10 surrogate hash over whole texts", sql="""
 SELECT doc_id, sha256(text) AS sha256, CAST(strlen(text) AS INTEGER) AS n_bytes FROM documents
 """)
 def content_checksum(spark: SparkSession, sf: str) -> DataFrame:
