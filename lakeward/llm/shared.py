@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from lakeward.plans.tables import table
 from lakeward.session import ensure_checkpoint_dir
 
 #: ASCII white space, as the queries' contracts split words.
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+#: A table below a folder: ``read(spark, folder, name)``.
+read = table
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -25,7 +25,3 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def text_or_empty(col: str = "text"):
-    return F.coalesce(F.col(col), F.lit(""))
