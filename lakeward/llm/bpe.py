@@ -20,6 +20,7 @@ import functools
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 #: Parts of text (and pairs of tokens) that a worker remembers; beyond this the
 #: memory is emptied.  Longer parts are encoded each time.
-REMEMBERED, REMEMBER_CHARS = 250_000, 40
+REMEMBERED, REMEMBER_CHARS = 150_000, 40
 #: Fixed: the end of patterns that start a match at every space between two
 #: characters that are not white space, so that texts can be cut there.
 CUTS_AT_SPACES = r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -372,7 +373,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = encoder(ranks_path, pattern)
         for s in texts:
-            yield pd.Series([enc.encode(t or "") for t in s])
+            yield pd.Series([np.array(enc.encode(t or ""), np.int32) for t in s], dtype=object)
     return docs.withColumn(ids_col, ids(F.col(text_col)))
 
 
