@@ -1,22 +1,26 @@
 """Cross-entropy difference of two matched n-gram models.
 
 A target model (of text one wants more of) and a background model are bigram
-models of the same words: one vocabulary of the most frequent words, all others
-being one unknown word.  They are matched: same order, same smoothing, and the
+models of the same words.  They are matched: same order, same smoothing, and the
 background's counts scaled to the target's number of tokens.  A document's
 score is the mean over its tokens of the target's loss less the background's;
 low scores resemble the target.
 
-Word and bigram counts are over all documents; each task sends its sums.  The
-finished models are two tables of ``vocabulary ** 2`` losses, a size that does
-not depend on the corpus, so they are broadcast.
+``difference`` counts all words and all bigrams of the corpus and looks the
+losses up where the counts are, so that neither table has to fit one machine.
+``train`` and ``score`` are for a closed vocabulary: the most frequent words,
+all others being one unknown word, with two tables of ``vocabulary ** 2``
+losses, which are broadcast and can be applied to other texts.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lakeward.llm.shared import cut
 
-#: Words of the vocabulary, with the unknown word, which also begins each text.
+#: Words of a closed vocabulary, with the unknown word, which also begins each text.
 VOCABULARY = 2048
 #: Pseudo-counts by which a word's followers are drawn to the words' frequencies.
 STRENGTH = 50.0
@@ -145,3 +149,283 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
     return (docs.select("doc_id", "text").mapInPandas(
         run, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double")
         .withColumn("score", F.col("target_loss") - F.col("background_loss")))
+
+
+# --- all words --------------------------------------------------------------------------------
+#
+# Words and bigrams are told apart by 64-bit hashes.  A row of the exchange is what a
+# batch of texts has for one bucket, packed; a bucket holds all of a rare word's bigrams,
+# so that the word's counts are the bucket's own.  Frequent words and bigrams are few,
+# whatever the corpus; their counts are broadcast, and they burden no single bucket.
+
+#: A word is frequent from this share of the tokens on, a bigram surely from twice its share.
+FREQUENT_WORD, FREQUENT_PAIR = 1 / 50_000, 1 / 4_000
+#: Tokens of a bucket, on average; bytes of text hashed at once.
+BUCKET, CHUNK = 2_000_000, 1 << 20
+_BASE = 0x9E3779B97F4A7C15                  # odd, so it has an inverse
+_VALUES = np.frombuffer(b"".join(hashlib.blake2b(bytes([i]), digest_size=8).digest() for i in range(256)), np.uint64)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+@lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2 ** 64."""
+    def of(base: int) -> np.ndarray:
+        out = np.full(n, base, np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+    return of(_BASE), of(pow(_BASE, -1, 1 << 64))
+
+
+def bigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every word: the text's place, the word's hash, the hash of the word before (or
+    the text's begin) and the word, and whether it is the text's last."""
+    found, lot, size, first = [], [], 0, 0
+    for i, text in enumerate(texts):
+        lot.append(text.lower().encode("utf-8", "surrogatepass") if text else b"")
+        size += len(lot[-1]) + 1
+        if size >= CHUNK or i + 1 == len(texts):
+            found.append((first, *_hashed(lot, size)))
+            lot, size, first = [], 0, i + 1
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+    at = np.concatenate([(doc + first).astype(np.int32) for first, doc, _ in found])
+    word = np.concatenate([w for _, _, w in found])
+    new = np.ones(len(at) + 1, bool)
+    new[1:-1] = at[1:] != at[:-1]
+    before = np.concatenate((np.zeros(1, np.uint64), word))[:-1]
+    before[new[:-1]] = 0
+    pair = _mix(before * np.uint64(0xD1342543DE82EF95) + word)
+    return at, word.view(np.int64), pair.view(np.int64), new[1:]
+
+
+def _hashed(lot: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(b"\n".join(lot) + b"\n", np.uint8)
+    up, down = _powers(1 << max(21, size.bit_length()))
+    edge = np.flatnonzero(np.diff(_SPACE[raw], prepend=True))
+    start, end = edge[::2], edge[1::2]
+    sums = np.zeros(size + 1, np.uint64)
+    np.cumsum(_VALUES[raw] * up[:size], out=sums[1:])
+    word = _mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    begins = np.cumsum([0] + [len(t) + 1 for t in lot])
+    return np.searchsorted(begins, start, "right") - 1, word
+
+
+def _sums(key: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The different keys, and every weight's sums."""
+    keys, at = np.unique(key, return_inverse=True)
+    return keys, [np.bincount(at, w, len(keys)).astype(np.int64) for w in weights]
+
+
+def _lookup(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Places in the sorted ``known``, -1 for what is not there."""
+    if not len(known):
+        return np.full(len(keys), -1)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, at, -1)
+
+
+@dataclass(frozen=True)
+class Frequent:
+    """Counts (target, background as scaled) of frequent words, as words and as
+    words with a follower, and of frequent bigrams; tokens, words, texts in all."""
+
+    words: np.ndarray
+    counts: np.ndarray
+    followed: np.ndarray
+    pairs: np.ndarray
+    pair_counts: np.ndarray
+    scale: np.ndarray
+    tokens: np.ndarray
+    distinct: int
+    texts: np.ndarray
+
+    def losses(self, pair, word, followed, n, last) -> np.ndarray:
+        """Both models' losses: of ``n`` times the word after the one before it, where
+        the word's own row as the one before counts for it at its n - last followers."""
+        each = (word + 1.0) / (self.tokens + self.distinct)
+        return (-n[:, None] * np.log(pair + STRENGTH * each)
+                + (n - last)[:, None] * np.log(followed + STRENGTH))
+
+
+def _frequent(marked: DataFrame) -> Frequent:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            at, word, pair, last = bigrams(list(b["text"]))
+            target = b["target"].to_numpy(bool)[at]
+            one = [target, ~target]
+            keys, sums = _sums(word, *one, *(x & ~last for x in one))
+            pairs, more = _sums(pair, *one)
+            some = more[0] + more[1] >= len(at) * FREQUENT_PAIR
+            begins = np.bincount(target[last], minlength=2)[::-1]
+            blank = np.zeros(some.sum(), np.int64)
+            rows = [np.concatenate((x, y[some], [z])) for x, y, z in zip(
+                [np.zeros(len(keys), np.int8), keys, *sums],
+                [np.ones(len(pairs), np.int8), pairs, *more, np.zeros_like(pairs), np.zeros_like(pairs)],
+                [2, 0, *begins, 0, 0])] if len(at) else [blank] * 6
+            for i in range(0, len(rows[0]), 100_000):
+                yield pd.DataFrame(dict(zip(("kind", "key", "t", "b", "ft", "fb"), (x[i:i + 100_000] for x in rows))))
+    sums = cut(marked.mapInPandas(run, "kind byte, key long, t long, b long, ft long, fb long").groupBy("kind", "key")
+               .agg(*[F.sum(c).alias(c) for c in ("t", "b", "ft", "fb")]), "words")
+    whole = {r["kind"]: r for r in sums.groupBy("kind").agg(
+        F.sum("t").alias("t"), F.sum("b").alias("b"), F.count(F.lit(1)).alias("n")).collect()}
+    tokens = np.array([whole[0]["t"], whole[0]["b"]], float) if 0 in whole else np.zeros(2)
+    scale = np.array([1.0, tokens[0] / tokens[1] if tokens.all() else 1.0])
+    texts = np.array([whole[2]["t"], whole[2]["b"]], float) if 2 in whole else np.zeros(2)
+
+    # a bigram with twice the share has at least this many in batches where it was noted
+    def those(kind: int, least: float):
+        rows = sums.where((F.col("kind") == kind) & (F.col("t") + F.col("b") >= least)).orderBy("key").toArrow()
+        return rows["key"].to_numpy(), np.stack([rows[c].to_numpy() for c in ("t", "b", "ft", "fb")], 1)
+    words_, counts = those(0, tokens.sum() * FREQUENT_WORD)
+    pairs, _ = those(1, tokens.sum() * FREQUENT_PAIR)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = np.zeros((2, len(pairs)), np.int64)
+        for b in batches:
+            at, _, pair, _ = bigrams(list(b["text"]))
+            place = _lookup(pairs, pair)
+            target = b["target"].to_numpy(bool)[at]
+            for k, side in enumerate((target, ~target)):
+                out[k] += np.bincount(place[side & (place >= 0)], minlength=len(pairs))
+        yield pd.DataFrame({"at": np.arange(len(pairs)), "t": out[0], "b": out[1]})
+    pair_counts = np.zeros((len(pairs), 2))
+    for r in marked.mapInPandas(count, "at long, t long, b long").groupBy("at").agg(
+            F.sum("t").alias("t"), F.sum("b").alias("b")).collect() if len(pairs) else ():
+        pair_counts[r["at"]] = r["t"], r["b"]
+    return Frequent(words_, counts[:, :2] * scale, counts[:, 2:] * scale, pairs, pair_counts * scale, scale,
+                    tokens * scale, whole[0]["n"] if 0 in whole else 0, texts * scale)
+
+
+def _bucket(word: np.ndarray, pair: np.ndarray, known: np.ndarray, buckets: int) -> np.ndarray:
+    """All of a rare word's bigrams are in one bucket, a frequent word's bigrams in many."""
+    return (np.where(_lookup(known, word) < 0, word, pair).view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+
+
+def _pack(at, word, pair, last, target, bucket, h) -> Iterator[dict]:
+    """One row a bucket: its words, bigrams and texts, each once, and who has what."""
+    by = np.argsort(bucket, kind="stable").astype(np.int32)
+    ends = np.cumsum(np.bincount(bucket))
+    for k, end in enumerate(ends):
+        here = by[ends[k - 1] if k else 0:end]
+        if not len(here):
+            continue
+        a, w, p = at[here], word[here], pair[here]
+        m = last[here] * np.uint8(2) + target[a]
+        order = np.lexsort((m, a, p, w))
+        a, w, p, m = a[order], w[order], p[order], m[order]
+        new_word, new_pair, new = np.ones((3, len(a)), bool)
+        new_word[1:] = w[1:] != w[:-1]
+        new_pair[1:] = new_word[1:] | (p[1:] != p[:-1])
+        new[1:] = new_pair[1:] | (a[1:] != a[:-1]) | (m[1:] != m[:-1])
+        n = np.diff(np.flatnonzero(new), append=len(a))
+        texts, who = np.unique(a[new], return_inverse=True)
+        many = n > 1
+        yield {"bucket": k, "words": w[new_word].tobytes(), "pairs": p[new_pair].tobytes(), "texts": h[texts].tobytes(),
+               "who": who.astype(np.uint16 if len(texts) < 65_536 else np.uint32).tobytes(),
+               "marks": (m[new] + 4 * new_pair[new] + 8 * new_word[new] + 16 * many).astype(np.uint8).tobytes(),
+               "many": n[many].astype(np.int32).tobytes()}
+
+
+def _unpack(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """Of every row of a text and a bigram: word, bigram, text, times, is it the last, is it target."""
+    out = []
+    for r in rows.itertuples():
+        marks, texts = np.frombuffer(r.marks, np.uint8), np.frombuffer(r.texts, np.int64)
+        n = np.ones(len(marks), np.int32)
+        n[marks & 16 > 0] = np.frombuffer(r.many, np.int32)
+        who = np.frombuffer(r.who, np.uint16 if len(texts) < 65_536 else np.uint32)
+        out.append((np.frombuffer(r.words, np.int64)[np.cumsum(marks & 8 > 0) - 1],
+                    np.frombuffer(r.pairs, np.int64)[np.cumsum(marks & 4 > 0) - 1], texts[who], n,
+                    marks & 2 > 0, marks & 1 > 0))
+    return tuple(np.concatenate([x[k] for x in out]) for k in range(6))
+
+
+PACKED = "bucket long, words binary, pairs binary, texts binary, who binary, marks binary, many binary"
+
+
+def difference(docs: DataFrame, is_target: DataFrame) -> DataFrame:
+    """The columns of ``score`` for every row of ``docs`` (doc_id, text), from models of
+    all words and all bigrams of ``docs``: rows whose doc_id is in ``is_target`` (doc_id)
+    are the target, all others the background.
+
+    Equal texts have equal scores, so a text is known by its hash in between."""
+    marks = cut(is_target.select("doc_id").dropna().distinct().withColumn("target", F.lit(True)), "target")
+    # sorted and merged at every size: the list of target rows grows with the corpus
+    marked = cut(docs.select("doc_id", "text").join(marks.hint("merge"), "doc_id", "left").select(
+        "text", F.coalesce("target", F.lit(False)).alias("target"), F.xxhash64("text").alias("h")), "marked", "zstd")
+    model = _frequent(marked)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    buckets = max(1, round(float((model.tokens / model.scale).sum()) / BUCKET))
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = shared.value
+        for b in batches:
+            at, word, pair, last = bigrams(list(b["text"]))
+            rest = _lookup(known.pairs, pair) < 0
+            at, word, pair, last = at[rest], word[rest], pair[rest], last[rest]
+            del rest
+            packed = _pack(at, word, pair, last, b["target"].to_numpy(bool),
+                           _bucket(word, pair, known.words, buckets), b["h"].to_numpy())
+            while rows := list(islice(packed, 16)):
+                yield pd.DataFrame(rows)
+
+    def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        known = shared.value
+        word, pair, text, n, last, target = _unpack(rows)
+        words_, at = np.unique(word, return_inverse=True)
+        place = _lookup(known.words, words_)
+        _, its, of = np.unique(pair, return_index=True, return_inverse=True)
+        its = at[its]                       # a bigram's word
+        texts, who = np.unique(text, return_inverse=True)
+        del word, pair, text
+        lost = []
+        for k, side in enumerate((target, ~target)):
+            sized, still = n * side, (n - last) * side
+            count = np.bincount(at, sized, len(words_)) * known.scale[k]
+            followed = np.bincount(at, still, len(words_)) * known.scale[k]
+            if len(known.words):            # elsewhere are more of a frequent word's
+                count = np.where(place < 0, count, known.counts[place, k])
+                followed = np.where(place < 0, followed, known.followed[place, k])
+            pairs = np.bincount(of, sized, len(its)) * known.scale[k]
+            each = (count + 1.0) / (known.tokens[k] + known.distinct)
+            of_word, of_pair = np.log(followed + STRENGTH), np.log(pairs + STRENGTH * each[its])
+            lost.append(np.bincount(who, (n - last) * of_word[at] - n * of_pair[of]))
+        return pd.DataFrame({"h": texts, "n": np.bincount(who, n).astype(np.int64), "t": lost[0], "b": lost[1]})
+    sums = cut(marked.mapInPandas(deal, PACKED).groupBy("bucket").applyInPandas(settle, "h long, n long, t double, b double")
+               .groupBy("h").agg(*[F.sum(c).alias(c) for c in ("n", "t", "b")]), "losses")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = shared.value
+        for b in batches:
+            at, word, pair, last = bigrams(list(b["text"]))
+            size = len(b)
+            tokens = np.bincount(at, minlength=size)
+            out = np.where(tokens[:, None] > 0, np.log(known.texts + STRENGTH), 0.0)   # the begin as the word before
+            place = _lookup(known.pairs, pair)
+            here = place >= 0
+            if here.any():
+                its = _lookup(known.words, word[here])          # a frequent bigram's words are frequent
+                lost = known.losses(known.pair_counts[place[here]], known.counts[its], known.followed[its],
+                                    np.ones(here.sum()), last[here].astype(float))
+                for k in (0, 1):
+                    out[:, k] += np.bincount(at[here], lost[:, k], size)
+            yield pd.DataFrame({"doc_id": b["doc_id"], "h": b["h"], "n_tokens": tokens, "t0": out[:, 0], "b0": out[:, 1],
+                                "rest": np.bincount(at[~here], minlength=size)})
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInPandas(
+        frequent, f"doc_id {kind}, h long, n_tokens long, t0 double, b0 double, rest long")
+    # equal texts' sums are together in ``sums``: a row takes its part
+
+    def mean(side: str):
+        part = F.when(F.col("rest") > 0, F.col(side) * F.col("rest") / F.col("n")).otherwise(0.0)
+        return F.when(F.col("n_tokens") > 0, (F.col(f"{side}0") + part) / F.col("n_tokens")).otherwise(0.0)
+    return (rows.join(sums.hint("merge"), "h", "left")
+            .select("doc_id", "n_tokens", mean("t").alias("target_loss"), mean("b").alias("background_loss"))
+            .withColumn("score", F.col("target_loss") - F.col("background_loss")))

@@ -78,7 +78,7 @@ def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target is what is labelled good, the background everything else."""
     docs = read(spark, sf_dir, "documents")
     good = read(spark, sf_dir, "labels").where("quality = 1")
-    return cross_entropy.score(docs, cross_entropy.train(docs, good))
+    return cross_entropy.difference(docs, good)
 
 
 @query("op10_html_wrappers")

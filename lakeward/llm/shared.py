@@ -17,11 +17,11 @@ SPACES = r"[\x20\x09-\x0D]+"
 read = table
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the session's checkpoint folder and read it
     back.  Later jobs start from the files, which every executor can read, so a
     lost executor costs no more than its own tasks; the file sizes also give the
     planner true statistics for its join choices."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

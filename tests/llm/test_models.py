@@ -74,6 +74,52 @@ def test_cross_entropy_equals_counting_by_hand(spark, docs):
         assert r["score"] == pytest.approx(want, abs=1e-4)
 
 
+@pytest.mark.parametrize("word, pair, bucket", [(1 / 50_000, 1 / 4_000, 10 ** 6), (0.02, 0.02, 50), (2, 2, 100)])
+def test_cross_entropy_of_all_words(spark, docs, monkeypatch, word, pair, bucket):
+    """More words than a closed vocabulary has, against plain dictionaries; nothing, some or all frequent."""
+    monkeypatch.setattr(E, "FREQUENT_WORD", word)
+    monkeypatch.setattr(E, "FREQUENT_PAIR", pair)
+    monkeypatch.setattr(E, "BUCKET", bucket)
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices(["a", "B", "c", "w%d" % rng.randrange(5000), "x" * 99 + str(i % 4)], [8, 5, 4, 30, 1], k=rng.randint(0, 40)))
+             + " " + " ".join(f"own{i}_{k}" for k in range(60)) for i in range(50)]
+    texts += [None, "", "A a", "A a", " é É\t日本\x0bé ", "one", texts[0]]
+    target = [i % 3 == 0 for i in range(len(texts))]
+    marks = spark.createDataFrame([(i,) for i, t in enumerate(target) if t] * 2 + [(None,)], "doc_id long")
+    split = [(t or "").lower().encode().split() for t in texts]
+    assert len({w for ws in split for w in ws}) > E.VOCABULARY
+    pairs, ones, before = Counter(), Counter(), Counter()
+    for ws, side in zip(split, target):
+        for a, b in zip([None, *ws], ws):
+            pairs[side, a, b] += 1
+            ones[side, b] += 1
+            before[side, a] += 1
+    tokens = {s: sum(n for (k, _), n in ones.items() if k == s) for s in (True, False)}
+    distinct = len({w for _, w in ones})
+
+    def loss(side, a, b):
+        x = 1 if side else tokens[True] / tokens[False]
+        each = (x * ones[side, b] + 1) / (x * tokens[side] + distinct)
+        return -np.log((x * pairs[side, a, b] + E.STRENGTH * each) / (x * before[side, a] + E.STRENGTH))
+    got = E.difference(docs(texts), marks).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ws = split[r["doc_id"]]
+        assert r["n_tokens"] == len(ws)
+        for side, name in ((True, "target_loss"), (False, "background_loss")):
+            want = sum(loss(side, a, b) for a, b in zip([None, *ws], ws)) / len(ws) if ws else 0
+            assert r[name] == pytest.approx(want, abs=1e-9)
+        assert r["score"] == pytest.approx(r["target_loss"] - r["background_loss"])
+
+
+def test_cross_entropy_of_all_words_on_odd_rows(spark, odd):
+    none = spark.createDataFrame([], "doc_id long")
+    clash = odd.withColumn("target", F.lit("x")).withColumn("score", F.lit(1)).withColumn("h", F.lit(2))
+    rows = E.difference(clash, none).collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(d for d, _ in ODD)
+    assert E.difference(odd.limit(0), none).count() == 0
+
+
 def test_cross_entropy_on_odd_rows(spark, odd):
     none = spark.createDataFrame([], "doc_id long")
     clash = odd.withColumn("target", F.lit("x")).withColumn("score", F.lit(1))
