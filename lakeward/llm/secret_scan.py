@@ -140,11 +140,6 @@ def train_on_texts(docs: DataFrame, threshold: float = 0.5) -> Markov:
     return markov(*_tables(docs.select("text").mapInPandas(run, "random boolean, cell int, n long")), threshold)
 
 
-def mixed(value: str) -> bool:
-    """Random tokens of this length hold digits and letters."""
-    return any("0" <= c <= "9" for c in value) and any(c.isalpha() for c in value)
-
-
 def find(text: str, model: Markov) -> list[tuple[int, int, str]]:
     """Base spans, then tokens that the models call random and that touch no
     base span (kind ``markov``); by start, base kinds first."""
@@ -160,7 +155,7 @@ def find(text: str, model: Markov) -> list[tuple[int, int, str]]:
             k += 1
         if k < len(taken) and taken[k][0] < m.end():
             continue
-        if mixed(m[0]) and model.score(m[0]) >= model.threshold:
+        if model.score(m[0]) >= model.threshold:
             found.append((m.start(), m.end(), "markov"))
     order = {kind: i for i, kind in enumerate([k for k, *_ in BASE] + ["markov"])}
     return sorted(spans + found, key=lambda s: (s[0], order[s[2]]))

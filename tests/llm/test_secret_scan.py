@@ -59,6 +59,15 @@ def test_added_spans_leave_base_spans():
     assert S.blot(text, spans, "#") == "see # and # then #"
 
 
+def test_letters_alone_can_be_random():
+    rng = random.Random(6)
+    m = model()
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    values = ["".join(rng.choices(letters, k=20)) for _ in range(300)]
+    assert np.mean([bool(S.find(f"see {v} here", m)) for v in values]) > 0.8
+    assert not S.find("see getUserNamevalueindex here", m)
+
+
 def test_odd_rows_and_digest(odd, docs):
     found = S.scan(odd, model(), "#")
     assert found.count() == len(ODD)
