@@ -35,6 +35,7 @@ LEAST = 16
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+JOINING = "+/_=-"
 SIZE = len(ALPHABET) + 1                    # state 0 is the border
 STATE = np.zeros(256, np.int64)
 STATE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, SIZE)
@@ -140,9 +141,37 @@ def train_on_texts(docs: DataFrame, threshold: float = 0.5) -> Markov:
     return markov(*_tables(docs.select("text").mapInPandas(run, "random boolean, cell int, n long")), threshold)
 
 
+def stretches(value: str, model: Markov) -> list[tuple[int, int]]:
+    """(start, end) of the random stretches of a run: those of at least LEAST
+    characters whose ratios less the threshold have the largest sum, if that is
+    not negative, widened to the joining marks around them; by start.  Steps from
+    and to a joining mark tell nothing here: words are joined by them, too."""
+    s = states(value)
+    steps = np.where(np.maximum(s[:-1], s[1:]) >= SIZE - len(JOINING), 0.0, model.ratio[s[:-1], s[1:]])
+    sums = np.concatenate(([0.0], np.cumsum(steps - model.threshold)))
+    out, left = [], [(0, len(value))]
+    while left:
+        low, high = left.pop()
+        if high - low < LEAST:
+            continue
+        least = np.minimum.accumulate(sums[low:high - LEAST + 1])
+        gain = sums[low + LEAST:high + 1] - least
+        k = int(gain.argmax())
+        if gain[k] < 0:
+            continue
+        start, end = low + int(sums[low:low + k + 1].argmin()), low + LEAST + k
+        while start > low and value[start - 1] not in JOINING:
+            start -= 1
+        while end < high and value[end] not in JOINING:
+            end += 1
+        out.append((start, end))
+        left += [(low, start), (end, high)]
+    return sorted(out)
+
+
 def find(text: str, model: Markov) -> list[tuple[int, int, str]]:
-    """Base spans, then tokens that the models call random and that touch no
-    base span (kind ``markov``); by start, base kinds first."""
+    """Base spans, then the stretches of tokens, and of what base spans leave of
+    them, that the models call random (kind ``markov``); by start, base kinds first."""
     spans, found, k = base_spans(text), [], 0
     taken: list[list[int]] = []             # the base spans, merged
     for start, end, _ in spans:
@@ -153,10 +182,14 @@ def find(text: str, model: Markov) -> list[tuple[int, int, str]]:
     for m in TOKEN.finditer(text):
         while k < len(taken) and taken[k][1] <= m.start():
             k += 1
-        if k < len(taken) and taken[k][0] < m.end():
-            continue
-        if model.score(m[0]) >= model.threshold:
-            found.append((m.start(), m.end(), "markov"))
+        at, j = m.start(), k
+        while at < m.end():
+            cut, after = taken[j] if j < len(taken) and taken[j][0] < m.end() else (m.end(), m.end())
+            if cut - at >= LEAST and model.score(text[at:cut]) >= model.threshold:
+                found.append((at, cut, "markov"))
+            elif cut - at >= LEAST:
+                found += [(at + a, at + b, "markov") for a, b in stretches(text[at:cut], model)]
+            at, j = max(at, after), j + 1
     order = {kind: i for i, kind in enumerate([k for k, *_ in BASE] + ["markov"])}
     return sorted(spans + found, key=lambda s: (s[0], order[s[2]]))
 

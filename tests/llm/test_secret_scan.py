@@ -68,6 +68,20 @@ def test_letters_alone_can_be_random():
     assert not S.find("see getUserNamevalueindex here", m)
 
 
+def test_random_part_behind_ordinary_words():
+    rng = random.Random(7)
+    m = model()
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for prefix in ("value_index=", "/the/index/request/response/thing/", "the-value-thing-index-request-response-the-thing-", "0123456789abcdef_"):
+        hits = 0
+        for _ in range(100):
+            secret = "".join(rng.choices(letters, k=24))
+            text = f"see {prefix}{secret} and the thing"
+            hits += any(a <= text.index(secret) and b >= text.index(secret) + 24 and k == "markov" for a, b, k in S.find(text, m))
+        assert hits >= 95, (prefix, hits)
+    assert not [x for x in S.find("/the/index/request/response/thing/value-index", m) if x[2] == "markov"]
+
+
 def test_odd_rows_and_digest(odd, docs):
     found = S.scan(odd, model(), "#")
     assert found.count() == len(ODD)
