@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.llm import (bpe, compress_quality, containment, cross_entropy, divergence, extendible, secret_scan,
+from lakeward.llm import (bpe, collocations, compress_quality, containment, cross_entropy, divergence, extendible, secret_scan,
                            simhash, surrogates, wrappers)
 from lakeward.llm.shared import read
 
@@ -91,3 +91,8 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The key is a secret in production; here it comes from the environment, if set."""
     key = os.environ.get("LAKEWARD_SURROGATE_KEY", "surrogate key of the registered query")
     return surrogates.replace(read(spark, sf_dir, "documents"), key.encode())
+
+
+@query("op11_collocations", collocations.COLLOCATIONS_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
