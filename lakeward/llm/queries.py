@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.llm import (bpe, collocations, compress_quality, containment, cross_entropy, divergence, extendible, secret_scan,
-                           simhash, surrogates, wrappers)
+from lakeward.llm import (bpe, collocations, compress_quality, containment, cross_entropy, divergence, extendible,
+                          neighbours, secret_scan, simhash, spelling, surrogates, wrappers)
 from lakeward.llm.shared import read
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -96,3 +96,13 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_collocations", collocations.COLLOCATIONS_SQL)
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
+
+
+@query("op12_spelling")
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"), letters=6, least=5, times=5)
+
+
+@query("op13_neighbours")
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
