@@ -58,7 +58,7 @@ def reduced(points: np.ndarray, symbols: int = SYMBOLS) -> np.ndarray:
 
 
 def _mixed(h: np.ndarray, length: int) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * BASE + np.uint64(length) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(31))) * BASE + np.uint64(length * 0xBF58476D1CE4E5B9 % (1 << 64))
     return (h ^ (h >> np.uint64(29))).view(np.int64)
 
 
