@@ -12,47 +12,51 @@ need no candidate of their own.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeward.llm.shared import cut
 from lakeward.session import shuffle_partitions
 
-PIECES, WORDS = r"[.,;:!?\x0A-\x0D]", r"[^\x20\x09]+"
 #: Language of rows without one.
 UNKNOWN = "und"
 #: Grams that a task counts before it hands them over.
-HELD = 200_000
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+HELD = 400_000
+#: Of so many rows one is looked at to find phrases that begin that share of the
+#: grams, and the parts that these are dealt to; counts are the same without.
+LOOK, SHARE, PARTS = 50, 0.002, 64
+#: Lower case for A-Z, and one byte for all that ends a piece.
+TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9)
 
 
-def grams(text: str, longest: int) -> Iterator[str]:
+def grams(text: bytes, longest: int) -> Iterator[bytes]:
     """One gram for every word of the text: the word and up to ``longest - 1``
     that follow it in its piece, joined by spaces."""
-    for piece in re.split(PIECES, text.translate(LOWER)):
-        words = re.findall(WORDS, piece)
-        if words:
-            yield from map(" ".join, zip(*(words[i:] for i in range(longest))))
-            for i in range(max(0, len(words) - longest + 1), len(words)):
-                yield " ".join(words[i:])
+    for piece in text.translate(TABLE).split(b"\n"):
+        words = piece.split()           # of the bytes that this splits at, only space and tab are left
+        if len(words) >= longest:
+            yield from map(b" ".join, zip(*(words[i:] for i in range(longest))))
+        for i in range(max(0, len(words) - longest + 1), len(words)):
+            yield b" ".join(words[i:])
 
 
 def _counted(longest: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
 
-        def out() -> Iterator[pd.DataFrame]:
+        def out() -> Iterator[pa.RecordBatch]:
             for lang, counts in held.items():
-                yield pd.DataFrame({"lang": lang, "gram": list(counts), "c": list(counts.values())})
+                columns = [pa.array([lang] * len(counts), pa.string()), pa.array(counts.keys(), pa.binary()).cast(pa.string()),
+                           pa.array(counts.values(), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "c"])
             held.clear()
         for b in batches:
-            for lang, text in zip(b["lang"], b["text"]):
+            for lang, text in zip(b["lang"].to_pylist(), b["text"].cast(pa.binary()).to_pylist()):
                 if text:
                     held.setdefault(lang, Counter()).update(grams(text, longest))
                     if sum(map(len, held.values())) > HELD:
@@ -61,12 +65,11 @@ def _counted(longest: int):
     return run
 
 
-def edges(docs: DataFrame, longest: int = 3) -> DataFrame:
+def counted(docs: DataFrame, longest: int = 3) -> DataFrame:
     """``lang``, ``gram``, ``c``: how often each edge, and each shorter gram at a
-    piece's end, occurs.  Tasks add up what they hold before the shuffle."""
+    piece's end, occurs, added up as far as a task holds them."""
     rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
-    return (rows.mapInPandas(_counted(longest), "lang string, gram string, c long")
-            .groupBy("lang", "gram").agg(F.sum("c").alias("c")))
+    return rows.mapInArrow(_counted(longest), "lang string, gram string, c long")
 
 
 def first_words(gram: str | Column, n: int) -> Column:
@@ -77,26 +80,57 @@ def last_words(gram: str | Column, n: int) -> Column:
     return F.substring_index(gram, " ", -n)
 
 
-def size(gram: str | Column) -> Column:
-    gram = F.col(gram) if isinstance(gram, str) else gram
-    return F.length(gram) - F.length(F.replace(gram, F.lit(" "), F.lit(""))) + 1
+def crowded(docs: DataFrame, longest: int = 3) -> list[str]:
+    """``lang phrase`` of the nodes, and of the nodes without their last words,
+    that begin a large share of all different grams, by some of the rows; fewer
+    than 1 / SHARE of either can."""
+    some = counted(docs.where(F.pmod(F.xxhash64("text"), F.lit(LOOK)) == 0), longest).select("lang", "gram").distinct()
+    begin = F.explode(F.array_distinct(F.array(*[first_words("gram", k) for k in {longest - 1, shorter(longest)}])))
+    begins = cut(some.select("lang", begin.alias("phrase")).groupBy(F.concat_ws(" ", "lang", "phrase").alias("phrase")).count(), "begins")
+    total = begins.agg(F.sum("count")).first()[0] or 0
+    return [r.phrase for r in begins.where(F.col("count") > F.lit(SHARE * total)).select("phrase").collect()]
+
+
+def shorter(longest: int) -> int:
+    """Words of a node but the last, one at least."""
+    return max(1, longest - 2)
 
 
 def graph(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFrame:
-    """The graph by nodes: ``lang``, ``node`` (up to ``longest - 1`` words),
-    ``edge`` (null: all edges of fewer than ``least`` occurrences together, with
-    the corrections) and ``c``.  No occurrence is lost: what the rare edges of a
-    node carry stays in its sum."""
-    heavy = F.when((F.col("c") >= least) & (size("gram") == longest), F.col("gram"))
-    rows = edges(docs, longest).select("lang", first_words("gram", longest - 1).alias("node"), heavy.alias("edge"), "c")
-    return cut(rows.groupBy("lang", "node", "edge").agg(F.sum("c").alias("c")), "graph", "zstd")
+    """The graph: ``lang``, ``node``, ``edge`` and ``c``.  With an edge, the edge's
+    occurrences, if there are ``least`` at least; without, those of the node, its
+    edges and corrections together.  Nodes of fewer than ``least`` are added up by
+    their words but the last, so that no occurrence is lost.
+
+    Grams that begin alike meet in one partition, where edges are counted and
+    added up to nodes and shorter phrases without another shuffle.  What crowded
+    phrases begin is dealt to parts, by nodes, or by grams if the node is crowded
+    itself; such phrases then have rows of several parts."""
+    many = crowded(docs, longest)
+    begin, node = first_words("gram", shorter(longest)), first_words("gram", longest - 1)
+    part = F.lit(0)
+    if many:
+        by = F.when(F.concat_ws(" ", "lang", node).isin(many), F.col("gram")).otherwise(node)
+        part = F.when(F.concat_ws(" ", "lang", begin).isin(many), F.pmod(F.xxhash64(by), F.lit(PARTS)) + 1).otherwise(0)
+    rows = counted(docs, longest).repartition("lang", begin, part)
+    grams_of = (rows.groupBy("lang", begin.alias("begin"), part.alias("part"), "gram").agg(F.sum("c").alias("c"))
+                .withColumn("node", node))
+    # one condition, so that no part of it goes below the shuffle, which both parts of the result read
+    frequent = F.when(F.col("c") >= least, F.col("gram") != F.col("node")).otherwise(False)
+    edges = grams_of.where(frequent).select("lang", "node", F.col("gram").alias("edge"), "c")
+    nodes = grams_of.groupBy("lang", "begin", "part", "node").agg(F.sum("c").alias("c"))
+    whole = ~F.concat_ws(" ", "lang", "node").isin(many) if many else F.lit(True)
+    name = F.when((F.col("c") < least) & whole, F.col("begin")).otherwise(F.col("node"))
+    nodes = nodes.groupBy("lang", "begin", "part", name.alias("node")).agg(F.sum("c").alias("c"))
+    return cut(edges.unionByName(nodes.select("lang", "node", F.lit(None).cast("string").alias("edge"), "c")), "graph")
 
 
 def flow(nodes: DataFrame, words: int) -> DataFrame:
     """What passes through the phrases of that many words, fewer than an edge's:
-    ``lang``, ``phrase`` and ``f``, all their occurrences."""
-    rows = nodes.where(size("node") >= words).select("lang", first_words("node", words).alias("phrase"), F.col("c").alias("f"))
-    return rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    ``lang``, ``phrase`` and ``f``, all their occurrences; of several words, only
+    phrases as frequent as the graph's edges."""
+    rows = nodes.where(F.col("edge").isNull() & (first_words("node", words - 1) != F.col("node")))
+    return rows.groupBy("lang", first_words("node", words).alias("phrase")).agg(F.sum("c").alias("f"))
 
 
 def _chains(links: DataFrame) -> DataFrame:

@@ -75,6 +75,13 @@ def test_paths_are_compacted(spark):
     assert paths["en", "one two three"] == 24 and paths["en", "two three four"] == 12 and paths["en", "x y x"] == 30
 
 
+def test_crowded_nodes_are_dealt_to_parts(spark, monkeypatch):
+    rows = ROWS + [("en", f"item no {i}") for i in range(300)] * 12
+    monkeypatch.setattr(collocations, "LOOK", 1)
+    assert {"en item", "en item no"} <= set(collocations.crowded(table(spark, rows)))
+    assert got(collocations.collocations(table(spark, rows))) == brute(rows)
+
+
 def test_odd_rows(spark, odd):
     rows = [(r.lang, r.text) for r in odd.collect()] + [("en", None), (None, None)]
     clash = table(spark, rows).withColumns({c: F.lit("x") for c in ("gram", "c", "node", "phrase", "f", "words", "head", "rank", "n")})
