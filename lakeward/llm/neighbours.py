@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from lakeward.llm.shared import cut
 
 #: Neighbours that a node keeps, and the nearest of those that keep it, with
-#: which it compares them; rounds, and the share of changed links that ends them.
-DEGREE, REVERSE, ROUNDS, STILL = 20, 20, 9, 0.02
+#: which it compares them; links it starts with, few since almost any pair is
+#: nearer; rounds, and the share of changed links that ends them.
+DEGREE, REVERSE, START, ROUNDS, STILL = 20, 20, 6, 9, 0.02
 #: Nodes of a query's beam; of these the nearest are compared exactly.
 BEAM, EXACT = 400, 100
 #: Nodes whose neighbours a task compares at once.
@@ -83,6 +84,13 @@ def _chosen(nodes: DataFrame, total: int, degree: int) -> DataFrame:
     return links.select("a", ((F.col("a") + F.col("step")) % max(total, 1)).alias("b")).where("a != b")
 
 
+def _together(rows: DataFrame, by: str, *then: Column) -> DataFrame:
+    """Rows of equal ``by`` in one partition, one after the other.  The hash is
+    not what joins partition by, so that the shuffle is never taken for one that
+    is there already, which adaptive execution may then change."""
+    return rows.repartition(F.xxhash64(by)).sortWithinPartitions(by, *then)
+
+
 def _codes(b: pd.DataFrame) -> np.ndarray:
     return _table(b["code"])
 
@@ -143,19 +151,19 @@ def descend(nodes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE, roun
     ``degree`` nearest found, ``s`` by the codes."""
     light = nodes.select("node", "code", "scale")
     total = light.count()
-    chosen = (_chosen(nodes, total, degree).join(light.withColumnRenamed("node", "a"), "a")
+    chosen = (_chosen(nodes, total, min(degree, START) if total - 1 > degree else degree).join(light.withColumnRenamed("node", "a"), "a")
               .join(light.select(F.col("node").alias("b"), F.col("code").alias("code2"), F.col("scale").alias("scale2")), "b"))
     links = cut(chosen.mapInPandas(_scored, "a long, b long, s double").withColumn("new", F.lit(True)), "links")
-    for _ in range(rounds if total - 1 > degree else 0):
-        back = _nearest(links.select(F.col("b").alias("to"), F.col("a").alias("b"), "s", "new"), "to", reverse)
+    for i in range(rounds if total - 1 > degree else 0):
+        back = _nearest(links.select(F.col("b").alias("to"), F.col("a").alias("b"), "s", "new"), "to", reverse if i else min(reverse, START))
         meet = (links.select(F.col("a").alias("at"), "b", "new").unionAll(back.select("to", "b", "new"))
                 .groupBy("at", "b").agg(F.max("new").alias("new")))
         # where nothing is new no pair is either
-        meet = meet.join(meet.where("new").select("at").distinct(), "at", "left_semi") if _ else meet
+        meet = meet.join(meet.where("new").select("at").distinct(), "at", "left_semi") if i else meet
         least = links.groupBy("a").agg(F.when(F.count("*") >= degree, F.min("s")).otherwise(-np.inf).alias("least"))
         carried = cut(light.join(least, light["node"] == least["a"]).select(F.col("node").alias("b"), "least", "code", "scale"), "carried")
         found = (meet.join(carried, "b").select("at", "b", "new", "least", "code", "scale")
-                 .repartition("at").sortWithinPartitions("at").mapInPandas(_met, "a long, b long, s double"))
+                 .transform(_together, "at").mapInPandas(_met, "a long, b long, s double"))
         merged = (links.select("a", "b", "s", F.lit(False).alias("new")).unionAll(found.withColumn("new", F.lit(True)))
                   .groupBy("a", "b").agg(F.max("s").alias("s"), F.min("new").alias("new")))
         links = cut(_nearest(merged, "a", degree), "links")
@@ -216,7 +224,7 @@ def search(nodes: DataFrame, links: DataFrame, queries: DataFrame, beam: int = B
                         none.cast("array<long>").alias("around"), none.cast("array<binary>").alias("codes"),
                         none.cast("array<double>").alias("scales")))
         where = graph.join(ends.select(F.col("b").alias("at")).distinct(), "at", "left_semi")
-        found = (where.unionByName(sent).repartition("at").sortWithinPartitions("at", F.asc_nulls_first("q"))
+        found = (where.unionByName(sent).transform(_together, "at", F.asc_nulls_first("q"))
                  .mapInPandas(_walk, "q long, b long, s double").withColumn("open", F.lit(True)))
         seen = (beams.where("q != b").withColumn("open", F.lit(False)).unionByName(found)
                 .groupBy("q", "b").agg(F.max("s").alias("s"), F.min("open").alias("open")))
