@@ -4,11 +4,9 @@
 staging tables, prebuilt models and variables; ``build`` returns lazy
 DataFrames and ``materialize`` writes them layer by layer.
 
-Not built yet (provide them through ``ModelContext.provided`` when a mart
-needs them): dim_resources, fact_hao_hut.
 """
 
-from lakeward.models import gold, silver_dims, silver_facts, silver_hierarchy  # noqa: F401
+from lakeward.models import flow, gold, resources, silver_dims, silver_facts, silver_hierarchy  # noqa: F401
 from lakeward.models.base import MODELS, MissingInput, ModelContext, build, materialize, model
 
 __all__ = ["MODELS", "MissingInput", "ModelContext", "build", "materialize", "model"]

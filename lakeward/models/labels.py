@@ -121,3 +121,31 @@ AUDIOJUNGLE = "Audiojungle"
 AUDIOJUNGLE_SPELLINGS = ("audiojungle", "nhạc nền audiojungle", "nhạc nền tảng audiojungle", "nền tảng audiojungle")
 PROJECT_ID_OVERRIDES = {"129": "163"}
 SUB_PROJECT_ALIASES = (("classical", "classcial bật cid", "classical bật cid"),)
+
+# Columns and words that dim_resources reads on the sheets.
+RBO_ISRC_COL = "ISRC"
+RBO_ACCEPTED_COL = "Ngày nghiệm thu"      # resource_before_odoo, resource_performance
+RBO_STATUS_COL = "Tình trạng nghiệm thu"
+PERF_SONG_COL = "Mã BH"
+PERF_SCORE_COL = "Điểm nghiệm thu"
+PERF_COST_COL = "Chi phí sx"
+RESOURCE_FILE_COL = "ResourceFileId"      # resource_infomation_add
+SONG_CODE_PATTERN = r"^[0-9]{4}_[A-Z0-9]+\([0-9]+_[A-Z]+_[A-Z]+\)_[A-Z]+_[0-9]+_[A-Z]+$"
+NUMBER_PATTERN = r"^[0-9]+(\.[0-9]+)?$"
+STOCK_NOT_FOUND = "Không tìm thấy"
+LAST_ACCEPTED_BEFORE_ODOO = "2025-08-31"
+PRODUCTION_REPOSITORY = "Kho sản xuất"
+DROPPED_PROJECTS = ("bỏ bài này", "bo bai nay")
+
+# Resource sources (order system, catalogue, sheet before it, performance and added sheets).
+SOURCE_ODOO = "odoo"
+SOURCE_PURCHASED = "purchased"
+SOURCE_BEFORE_ODOO = "before_odoo"
+SOURCE_PERFORMANCE = "performance"
+SOURCE_ADDED = "resource_information_add"
+
+# Steps of the production flow (ordered, produced, accepted,
+# published, used, result), with the prefix of their item keys, and done / not done.
+FLOW_STEPS = (("OD->SX", "OD_SX"), ("SX->NT", "SX_NT"), ("NT->PP", "NT_PP"), ("PP->SD", "PP_SD"), ("SD->KQ", "SD_KQ"))
+DONE, NOT_DONE = "Hoàn thành", "Chưa hoàn thành"
+RELEASE_SENT = "sent"
