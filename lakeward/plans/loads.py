@@ -52,6 +52,20 @@ def append_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     return store.read("silver.orders")
 
 
+@query("replayed_batches", "SNK-3/4/5: batches that come again after an upsert, and another full load", sql="""
+SELECT c_custkey, CASE WHEN c_nationkey < 5 THEN c_acctbal * 2 ELSE c_acctbal END AS c_acctbal FROM customer
+""")
+def replayed_batches(spark: SparkSession, sf: str) -> DataFrame:
+    c, store = Tables(spark, sf).customer.select("c_custkey", "c_acctbal", "c_nationkey"), TableStore(spark, _root(spark))
+    low, high = (c.where(p).drop("c_nationkey") for p in ("c_nationkey < 12", "c_nationkey >= 12"))
+    doubled = c.where("c_nationkey < 5").select("c_custkey", (F.col("c_acctbal") * 2).alias("c_acctbal"))
+    steps = [("b1", "truncate", low), ("b2", "append", high), ("b3", "upsert", doubled),
+             ("b1", "append", low), ("b3", "upsert", doubled), ("b2", "append", high)]      # the last three are known
+    for batch_id, mode, rows in steps:
+        store.load(rows, "silver.customer", mode, ["c_custkey"], batch_id)
+    return store.read("silver.customer")
+
+
 @query("csv_scan", "SRC-1/18: all columns as text from quoted CSV files", sql="""
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name || ' "the" ' || c_mktsegment || ', Ltd' AS name FROM customer
 """)

@@ -123,7 +123,7 @@ def rollback_source(spark: SparkSession, spec: SourceSpec, day: dt.date, root: s
     if row is None:
         return None
     n = TableStore(spark, root).load_truncate(read_bronze(spark, row["minio_path"]), spec.target_table,
-                                              row["batch_id"])
+                                              row["batch_id"], forget=True)
     later = state.where((F.col("source_id") == spec.source_id) & (F.col("status") == "loaded")
                         & (F.struct("extracted_at", "batch_id") > F.struct(
                             F.lit(row["extracted_at"]).cast("timestamp_ntz"), F.lit(row["batch_id"]))))

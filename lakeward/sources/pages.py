@@ -77,10 +77,11 @@ def page_chain_check(pages: DataFrame, source: str, page_no: str, has_more: str,
 
 def month_partitions(spark: SparkSession, start: dt.date | Column, as_of: dt.date | Column) -> DataFrame:
     """SRC-10: half-open month ranges [from, to) from the start month (snapped
-    to day 1) through the month of ``as_of``."""
+    to day 1) through the month of ``as_of``; none if that is earlier."""
     s = start if isinstance(start, Column) else F.lit(start)
     e = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    seq = F.sequence(F.trunc(s.cast("date"), "MM"), F.trunc(e.cast("date"), "MM"), F.expr("interval 1 month"))
+    first, last = F.trunc(s.cast("date"), "MM"), F.trunc(e.cast("date"), "MM")
+    seq = F.when(first <= last, F.sequence(first, F.greatest(first, last), F.expr("interval 1 month")))
     return (spark.range(1).select(F.explode(seq).alias("month_from"))
             .withColumn("month_to", F.add_months("month_from", 1)))
 
@@ -113,6 +114,6 @@ def fx_daily_series(payloads: DataFrame, day: str, payload: str, currency: str,
     rates = payloads.select(F.col(day).cast("date").alias("date"),
                             F.element_at(m, F.lit(currency)).alias("rate")).filter(F.col("rate").isNotNull())
     cal = payloads.sparkSession.range(1).select(
-        F.explode(F.sequence(F.lit(start), F.lit(as_of))).alias("date"))
+        F.explode(F.sequence(F.lit(start), F.lit(max(start, as_of)))).alias("date")).where(F.col("date") <= F.lit(as_of))
     # of several rates for a day the largest counts
     return cal.join(rates.groupBy("date").agg(F.max("rate").alias("rate")), "date", "inner")

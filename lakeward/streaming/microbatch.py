@@ -4,8 +4,9 @@ New files under a landing folder are picked up by ``readStream``; each
 micro-batch is stamped with audit columns and loaded with the table store.
 The streaming checkpoint (in the session's shared checkpoint folder) replaces
 the source system's running watermark: a restarted query resumes after the
-last committed batch, and the store skips a batch id it already applied, so
-a replayed epoch does not load twice."""
+last committed batch.  The commit that applies a batch carries the ledger event
+that goes with it; an epoch replayed after a crash finds the commit, loads
+nothing again and writes the event if the ledger lacks it."""
 
 from __future__ import annotations
 
@@ -13,6 +14,7 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,22 +46,22 @@ def microbatch_load(spark: SparkSession, landing_dir: str, schema: T.StructType,
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         batch_id = f"{source_id}_epoch_{epoch_id:010d}"
-        if batch_id in ((store.manifest(table) or {}).get("batches") or []):
-            return                          # replayed after it was applied
         path = f"{root.rstrip('/')}/bronze/source_id={source_id}/batch_id={batch_id}"
-        if not path_exists(spark, f"{path}/_SUCCESS"):
-            add_audit_columns(batch, source_id, batch_id, now).write.mode("overwrite").parquet(path)
-        staged = read_bronze(spark, path)
-        if mode == "upsert":
-            n = store.load_upsert(staged, table, keys, batch_id)
-        elif not store.exists(table):
-            n = store.load_truncate(staged, table, batch_id)
-        else:
-            n = store.load_append(staged, table, batch_id)
-        if ledger:
-            Ledger(spark, root).append(source_id=source_id, source_type="stream", batch_id=batch_id,
-                                       minio_path=path, row_count=n, status="loaded",
-                                       extracted_at=now, loaded_at=now)
+        done = store.applied(table, batch_id)
+        if done is None:
+            if not path_exists(spark, f"{path}/_SUCCESS"):
+                add_audit_columns(batch, source_id, batch_id, now).write.mode("overwrite").parquet(path)
+            staged = read_bronze(spark, path)
+            # the ledger's event is in the commit itself: whoever finds the batch applied can complete the ledger
+            event = {"source_id": source_id, "source_type": "stream", "batch_id": batch_id, "minio_path": path,
+                     "row_count": staged.count(), "status": "loaded", "extracted_at": now.isoformat(), "loaded_at": now.isoformat()}
+            store.load(staged, table, mode if store.exists(table) or mode == "upsert" else "truncate", keys, batch_id, event)
+            done = {"event": event}
+        if ledger and done["event"]:
+            book = Ledger(spark, root)
+            if book.events().where((F.col("batch_id") == batch_id) & (F.col("status") == "loaded")).isEmpty():
+                times = {k: dt.datetime.fromisoformat(done["event"][k]) for k in ("extracted_at", "loaded_at")}
+                book.append(**done["event"] | times)
 
     q = (stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
