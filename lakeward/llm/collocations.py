@@ -115,14 +115,16 @@ def graph(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFrame:
     rows = counted(docs, longest).repartition("lang", begin, part)
     grams_of = (rows.groupBy("lang", begin.alias("begin"), part.alias("part"), "gram").agg(F.sum("c").alias("c"))
                 .withColumn("node", node))
-    # one condition, so that no part of it goes below the shuffle, which both parts of the result read
-    frequent = F.when(F.col("c") >= least, F.col("gram") != F.col("node")).otherwise(False)
-    edges = grams_of.where(frequent).select("lang", "node", F.col("gram").alias("edge"), "c")
-    nodes = grams_of.groupBy("lang", "begin", "part", "node").agg(F.sum("c").alias("c"))
+    # every gram counts for its node, a frequent edge for itself as well: one reading of the shuffle gives both
+    none = F.lit(None).cast("string")
+    for_node, for_edge = F.struct(none.alias("edge"), "c"), F.struct(F.col("gram").alias("edge"), "c")
+    both = F.when((F.col("c") >= least) & (F.col("gram") != F.col("node")), F.array(for_node, for_edge)).otherwise(F.array(for_node))
+    rows = (grams_of.select("lang", "begin", "part", "node", F.inline(both))
+            .groupBy("lang", "begin", "part", "node", "edge").agg(F.sum("c").alias("c")))
     whole = ~F.concat_ws(" ", "lang", "node").isin(many) if many else F.lit(True)
-    name = F.when((F.col("c") < least) & whole, F.col("begin")).otherwise(F.col("node"))
-    nodes = nodes.groupBy("lang", "begin", "part", name.alias("node")).agg(F.sum("c").alias("c"))
-    return cut(edges.unionByName(nodes.select("lang", "node", F.lit(None).cast("string").alias("edge"), "c")), "graph")
+    name = F.when(F.col("edge").isNull() & (F.col("c") < least) & whole, F.col("begin")).otherwise(F.col("node"))
+    rows = rows.groupBy("lang", "begin", "part", name.alias("node"), "edge").agg(F.sum("c").alias("c"))
+    return cut(rows.select("lang", "node", "edge", "c"), "graph")
 
 
 def flow(nodes: DataFrame, words: int) -> DataFrame:
