@@ -18,17 +18,21 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Parts of text (and pairs of tokens) that a worker remembers; beyond this the
 #: memory is emptied.  Longer parts are encoded each time.
-REMEMBERED, REMEMBER_CHARS = 150_000, 40
+REMEMBERED, REMEMBER_CHARS = 100_000, 40
+#: Ids that a worker gathers before it hands them over.
+HANDED_OVER = 1 << 20
 #: Fixed: the end of patterns that start a match at every space between two
 #: characters that are not white space, so that texts can be cut there.
 CUTS_AT_SPACES = r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -259,46 +263,53 @@ class Encoder:
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
         self.parts, self.matches = Memory(REMEMBERED), Memory(REMEMBERED)
-        # last tokens of the prefixes of short matches: stored[prefixes[state << 8 | byte]]
-        self.prefixes: dict[int, int] = {}
-        self.stored = [-1]
+        self.lasts = Memory(REMEMBERED)      # prefixes of short matches -> their last tokens
+
+    def last(self, data: bytes) -> int:
+        """The last token of ``data``, a short prefix of a match.  Only the
+        prefixes that it depends on are looked at, which are few when the longest
+        tokens that ``data`` can end with are tried first."""
+        token = self.lasts.again(data)
+        if token is not None:
+            return token
+        vocab, ends, step = self.vocab, self.vocab.ends, self.vocab.steps.get
+        token = vocab.usable.get(data)
+        if token is None:
+            state, tokens, known, judged = 0, [], self.lasts.young.get, vocab.judged.young.get
+            for byte in reversed(data):
+                state = step(state << 8 | byte)
+                if state is None:
+                    break
+                if ends[state] >= 0:
+                    tokens.append(ends[state])
+            for token in reversed(tokens):
+                before = data[:-vocab.size[token]]
+                left = known(before)
+                if left is None:
+                    left = self.last(before)
+                pair = left << 32 | token
+                ok = judged(pair)
+                if vocab.judge(pair) if ok is None else ok:
+                    break
+        return self.lasts.put(data, token)
 
     def match(self, piece: str) -> tuple[int, ...]:
-        """The ids of one match; the last tokens of prefixes that earlier
-        matches had are looked up, the rest are appended to them."""
+        """The ids of one match, read off the last tokens of its prefixes."""
         data = piece.encode("utf-8", "surrogatepass")
         token = self.vocab.usable.get(data)
         if token is not None:
             return (token,)
         if len(data) > REMEMBER_CHARS:
             return tuple(PrefixTable(self.vocab, data).tokens())
-        table = PrefixTable(self.vocab)
-        table.data, last, steps, stored = data, table.last, self.prefixes, self.stored
-        state = 0
-        for byte in data:
-            state = steps.get(state << 8 | byte)
-            if state is None:
-                break
-            last.append(stored[state])
-        else:
-            return tuple(self.vocab.follow(last))
-        if len(stored) + len(data) > REMEMBERED:
-            steps.clear()
-            del stored[1:]
-            known = 0
-        else:
-            known = len(last)
-        state = 0
-        for i, byte in enumerate(data):
-            if i >= len(last):
-                last.append(table._next(i))
-            if i >= known:
-                steps[state << 8 | byte] = len(stored)
-                stored.append(last[i])
-                state = len(stored) - 1
-            else:
-                state = steps[state << 8 | byte]
-        return tuple(self.vocab.follow(last))
+        out, known, size = [], self.lasts.young.get, self.vocab.size
+        while data:
+            token = known(data)
+            if token is None:
+                token = self.last(data)
+            out.append(token)
+            data = data[:-size[token]]
+        out.reverse()
+        return tuple(out)
 
     def stretch(self, part: str) -> tuple[int, ...]:
         out, known, memory = [], self.matches.young.get, self.matches
@@ -369,12 +380,23 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     """Add ``ids_col`` (array<int>), the ids of every whole text; a null text
     counts as empty, and so gives an empty array.  An existing column of that
     name is replaced.  One pass without a shuffle."""
-    @F.pandas_udf("array<int>")
-    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = encoder(ranks_path, pattern)
-        for s in texts:
-            yield pd.Series([np.array(enc.encode(t or ""), np.int32) for t in s], dtype=object)
-    return docs.withColumn(ids_col, ids(F.col(text_col)))
+        for texts in batches:
+            flat, ends = array("i"), [0]
+            for text in texts:
+                flat.extend(enc.encode(text.as_py() or ""))
+                ends.append(len(flat))
+                if len(flat) >= HANDED_OVER:
+                    yield as_lists(flat, ends)
+                    flat, ends = array("i"), [0]
+            yield as_lists(flat, ends)
+    return docs.withColumn(ids_col, F.arrow_udf("array<int>")(ids)(F.col(text_col)))
+
+
+def as_lists(flat: array, ends: list[int]) -> pa.Array:
+    """Arrow lists of the ids between each two ends."""
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32), pa.int32()))
 
 
 def decode(docs: DataFrame, ranks_path: str, pattern: str, ids_col: str = "token_ids",
@@ -393,17 +415,19 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Encode, decode and digest each row's text inside the task: ``doc_id``,
     ``n_tokens``, ``ids_sha256`` (decimal ids joined by one space) and
     ``decoded_sha256``.  The ids themselves never leave the worker."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, sha = encoder(ranks_path, pattern), hashlib.sha256
+        decimal = {i: str(i) for i in enc.vocab.bytes}.__getitem__
         for b in batches:
             n, ids_sha, text_sha = [], [], []
-            for text in b["text"]:
-                ids = enc.encode(text or "")
+            for text in b.column("text"):
+                ids = enc.encode(text.as_py() or "")
                 n.append(len(ids))
-                ids_sha.append(sha(" ".join(map(str, ids)).encode()).hexdigest())
+                ids_sha.append(sha(" ".join(map(decimal, ids)).encode()).hexdigest())
                 text_sha.append(sha(enc.decode(ids)).hexdigest())
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_tokens": n, "ids_sha256": ids_sha,
-                                "decoded_sha256": text_sha})
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
+    return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
