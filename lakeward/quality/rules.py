@@ -1,9 +1,11 @@
 """Data-quality rules compiled to aggregates (DQ-1..8, DQ-10..13).
 
-All row-level rules of one table are evaluated in ONE aggregate pass; each
-uniqueness rule adds one partially aggregated shuffle on its column; each
-foreign-key rule adds one anti join.  Results come back as a DataFrame of one
-row per rule: nothing but those rows ever reaches the driver."""
+All rules of one table are evaluated in ONE scan and one shuffle: a row gives one
+text of marks for its row-level rules and one (rule, value) row for each
+uniqueness and foreign-key rule, and referenced keys are rows of the same kind.
+Equal ones are counted before they are shuffled, so a hot value is one row a task.
+Results come back as a DataFrame of one row per rule: nothing but those rows ever
+reaches the driver."""
 
 from __future__ import annotations
 
@@ -118,14 +120,55 @@ def _problem(df: DataFrame, rule: Rule) -> str | None:
     return None
 
 
+def _as_text(c: Column, dtype: T.DataType) -> Column:
+    """Text that is equal for two values of a type just when a grouping holds them equal."""
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.when(c == 0, F.lit("0")).otherwise(c.cast("string"))      # 0.0 and -0.0 are one value
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c).cast("string")                              # an hour can occur twice a day
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(c)
+    if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+        raise TypeError(f"a column of type {dtype.simpleString()} cannot be compared")
+    return c.cast("string")
+
+
+def _common_type(spark, a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type in which Spark compares values of two types."""
+    both = F.coalesce(F.lit(None).cast(a), F.lit(None).cast(b))
+    return a if a == b else spark.range(0).select(both.alias("v")).schema["v"].dataType
+
+
+def _keys(df: DataFrame, r: Rule) -> tuple[Column, DataFrame | None]:
+    """A key rule's value as text, and the keys that it refers to (column ``value``)."""
+    c, own = F.col(f"`{r.column}`"), df.schema[r.column].dataType
+    if r.expectation == KNOWN[2]:
+        return _as_text(c, own), None
+    dim = r.kwargs["dim"].select(F.col(f"`{r.kwargs['dim_key']}`").alias("k"))
+    wide = _common_type(df.sparkSession, own, dim.schema["k"].dataType)
+    return _as_text(c.try_cast(wide), wide), dim.select(_as_text(F.col("k").try_cast(wide), wide).alias("value"))
+
+
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """DQ-6: evaluate enabled rules; an unknown rule or column becomes a
-    failed result row instead of an exception."""
+    """DQ-6: evaluate enabled rules; an unknown rule or column, or one that cannot
+    be compared, becomes a failed result row instead of an exception.  Nulls are
+    neither duplicates nor orphans; a duplicate counts with all its copies."""
     cols = set(df.columns)
-    n = F.count(F.lit(1))
-    row_rules: list[Column] = []
-    extra: list[DataFrame] = []
+    marks: list[Column] = []                  # true: counted, one place each in a row's text
+    values: list[Column] = []                 # (slot, value) of the key rules, from slot 1 on
+    dims: list[DataFrame] = []
+    results: list[Column] = []
     errors: list[Column] = []
+    rows = F.col("slot") == 0
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0).cast("long"))
+
+    def marked(flag: Column) -> Column:
+        marks.append(F.when(flag, F.lit("1")).otherwise(F.lit("0")))
+        return total(rows & (F.substring("value", len(marks), 1) == "1"))
+
+    n = total(rows)
     for r in rules:
         if not r.enabled:
             continue
@@ -146,46 +189,40 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                 ok = ok & (n >= F.lit(k["min_value"]))
             if k.get("max_value") is not None:
                 ok = ok & (n <= F.lit(k["max_value"]))
-            row_rules.append(_result(r, ok, n, None, n))
-        elif r.expectation == KNOWN[1]:
-            bad = F.count(F.when(c.isNull(), 1))
-            row_rules.append(_result(r, bad == 0, n, bad, bad))
-        elif r.expectation == KNOWN[3]:
-            nonnull = F.count(c)
-            bad = F.count(F.when(c.isNotNull() & ~c.isin(k["value_set"]), 1))
-            row_rules.append(_result(r, _mostly_ok(bad, nonnull, k.get("mostly", 1.0)), n, bad, bad))
-        elif r.expectation == KNOWN[4]:
-            nonnull = F.count(c)
-            bad = F.count(F.when(c.isNotNull() & ~F.regexp_like(c.cast("string"), F.lit(k["regex"])), 1))
-            row_rules.append(_result(r, _mostly_ok(bad, nonnull, k.get("mostly", 1.0)), n, bad, bad))
-        elif r.expectation == KNOWN[5]:
-            bad = F.count(F.when(~F.coalesce(F.expr(k["expression"]), F.lit(False)), 1))
-            row_rules.append(_result(r, bad == 0, n, bad, bad))
-        elif r.expectation == KNOWN[2]:
-            # rows whose (non-null) value occurs more than once, all copies counted
-            g = df.groupBy(c.alias("__v")).agg(F.count(F.lit(1)).alias("__c")).filter(F.col("__v").isNotNull())
-            u = g.agg(F.sum("__c").alias("__n"), F.sum(F.when(F.col("__c") > 1, F.col("__c"))).alias("__bad"))
-            bad = F.coalesce(F.col("__bad"), F.lit(0))
-            tot = df.agg(n.alias("__rows"))
-            one = u.unionByName(tot.select(F.lit(None).cast("long").alias("__n"),
-                                           F.lit(None).cast("long").alias("__bad"), "__rows"),
-                                allowMissingColumns=True).agg(
-                F.max("__n").alias("__n"), F.max("__bad").alias("__bad"), F.max("__rows").alias("__rows"))
-            extra.append(one.select(F.inline(F.array(_result(r, bad == 0, F.col("__rows"), bad, bad)))))
-        elif r.expectation == KNOWN[6]:
-            dim = k["dim"].select(F.col(k["dim_key"]).alias("__k")).distinct()
-            orphans = df.filter(c.isNotNull()).join(dim, c == F.col("__k"), "left_anti")
-            o = orphans.agg(n.alias("__bad"))
-            tot = df.agg(n.alias("__rows"))
-            both = o.unionByName(tot, allowMissingColumns=True).agg(F.max("__bad").alias("__bad"),
-                                                                    F.max("__rows").alias("__rows"))
-            extra.append(both.select(F.inline(F.array(
-                _result(r, F.col("__bad") == 0, F.col("__rows"), F.col("__bad"), F.col("__bad"))))))
+            results.append(_result(r, ok, n, None, n))
+        elif r.expectation in (KNOWN[1], KNOWN[5]):
+            bad = marked(c.isNull() if r.expectation == KNOWN[1]
+                         else ~F.coalesce(F.expr(k["expression"]), F.lit(False)))
+            results.append(_result(r, bad == 0, n, bad, bad))
+        elif r.expectation in (KNOWN[3], KNOWN[4]):
+            fits = (c.isin(k["value_set"]) if r.expectation == KNOWN[3]
+                    else F.regexp_like(c.cast("string"), F.lit(k["regex"])))
+            nonnull, bad = marked(c.isNotNull()), marked(c.isNotNull() & ~fits)
+            results.append(_result(r, _mostly_ok(bad, nonnull, k.get("mostly", 1.0)), n, bad, bad))
+        else:
+            try:
+                value, dim = _keys(df, r)
+            except Exception as e:  # noqa: BLE001 - as in _problem
+                errors.append(_error_row(r, str(e).split("\n")[0][:500]))
+                continue
+            slot = len(values) + 1
+            values.append(F.struct(F.lit(slot).alias("slot"), value.alias("value")))
+            if dim is not None:
+                dims.append(dim.where("value is not null").select(
+                    F.lit(slot).alias("slot"), "value", F.lit(0).cast("long").alias("n"), F.lit(1).alias("known")))
+            wrong = F.col("n") > 1 if dim is None else F.col("known") == 0
+            bad = total((F.col("slot") == slot) & wrong)
+            results.append(_result(r, bad == 0, n, bad, bad))
     out = None
-    if row_rules:
-        out = df.agg(F.array(*row_rules).alias("__r")).select(F.inline("__r"))
-    for e in extra:
-        out = e if out is None else out.unionByName(e)
+    if results:
+        line = F.concat(*marks) if marks else F.lit("")
+        told = df.select(F.inline(F.array(F.struct(F.lit(0).alias("slot"), line.alias("value")), *values)))
+        told = told.where("value is not null").select("slot", "value", F.lit(1).cast("long").alias("n"),
+                                                      F.lit(0).alias("known"))
+        for dim in dims:
+            told = told.unionByName(dim)
+        counted = told.groupBy("slot", "value").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+        out = counted.agg(F.array(*results).alias("r")).select(F.inline("r"))
     if errors:
         er = df.sparkSession.range(1).select(F.inline(F.array(*errors)))
         out = er if out is None else out.unionByName(er)

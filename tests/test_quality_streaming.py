@@ -53,6 +53,38 @@ def test_dq_fk_and_record(spark, workdir):
     assert R.config_hash(rules) == R.config_hash(list(rules))
 
 
+def test_key_rules_over_types_nulls_and_empty_tables(spark):
+    at = dt.datetime(2026, 1, 1)
+    df = spark.createDataFrame(
+        [(1, 0.0, b"x", at, "1", [1]), (1, -0.0, b"y", at, "2", [1]), (3, 2.5, b"x", None, None, None), (None, None, None, None, "x", None)],
+        "k int, f double, b binary, t timestamp, s string, a array<int>")
+    dim = spark.createDataFrame([(1,), (1,), (None,), (2 ** 40,)], "id bigint")
+    names = spark.createDataFrame([("x",), ("1",)], "`a.b` string")
+    rules = [R.expect_unique(c, c) for c in "kfbts"] + [
+        R.expect_unique("a", "a"), R.expect_fk("fk", "k", dim, "id"), R.expect_fk("names", "s", names, "a.b"),
+        R.expect_fk("gone", "s", names, "b"), R.expect_row_count("n", 4, 4), R.expect_expr("e", "k < 3")]
+    got = {r.rule_id: (r.success, r.unexpected_count) for r in R.validate(df, rules).collect()}
+    assert got == {"k": (False, 2), "f": (False, 2), "b": (False, 2), "t": (False, 2), "s": (True, 0),
+                   "a": (False, None), "fk": (False, 1), "names": (False, 1), "gone": (False, None),
+                   "n": (True, None), "e": (False, 2)}
+    none = {r.rule_id: (r.success, r.element_count) for r in R.validate(df.limit(0), rules).collect()}
+    assert none["k"] == none["fk"] == none["e"] == (True, 0) and none["n"] == (False, 0)
+
+
+def test_one_scan_for_any_number_of_rules(spark, workdir):
+    path = f"{workdir}/facts"
+    spark.range(3000).selectExpr("id", "id % 7 as hot", "cast(id as string) as s").write.parquet(path)
+    dim = spark.range(5).withColumnRenamed("id", "k")
+    facts = spark.read.parquet(path)
+    rules = [R.expect_unique("u1", "id"), R.expect_unique("u2", "hot"), R.expect_unique("u3", "s"),
+             R.expect_fk("f1", "hot", dim, "k"), R.expect_fk("f2", "id", dim, "k"), R.expect_not_null("n1", "s")]
+    out = R.validate(facts, rules)
+    bad = {r.rule_id: r.unexpected_count for r in out.collect()}
+    assert bad == {"u1": 0, "u2": 3000, "u3": 0, "f1": sum(1 for i in range(3000) if i % 7 > 4), "f2": 2995, "n1": 0}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1, plan
+
+
 def test_current_batch(spark):
     df = spark.createDataFrame([("b1", dt.datetime(2026, 1, 1)), ("b2", dt.datetime(2026, 1, 2)),
                                 ("b3", dt.datetime(2026, 1, 2))], "_batch_id string, _loaded_at timestamp")
