@@ -21,6 +21,7 @@ from lakeward.functions.keys import surrogate_key as sk
 from lakeward.models import labels as L
 from lakeward.models.base import ModelContext, model
 from lakeward.models.silver_facts import distributions, editing_placements, net_metrics
+from lakeward.operators.joins import join_aggregated
 from lakeward.operators.marts import daily_totals, growth_vs_previous, latest_growth
 
 
@@ -243,7 +244,7 @@ def mart_avg_sla_ord_disribution(ctx: ModelContext) -> DataFrame:
                                              "distribution_date")
     days = F.when(F.col("po_confirmed_date").isNotNull() & F.col("distribution_date").isNotNull(),
                   days_between("distribution_date", "po_confirmed_date").cast("decimal(38,6)"))
-    sla = (fd.join(psr, "hg_stock_id").join(rpc, "hg_stock_id", "left")
+    sla = (join_aggregated(fd, rpc, [("hg_stock_id", "hg_stock_id")]).join(psr, "hg_stock_id")
            .groupBy("repository_id").agg(F.avg(days).alias("sla_ord_distribution")))
     rc = psr.groupBy("repository_id").agg(F.count_distinct("hg_stock_id").alias("number_resources"))
     repo = ctx.ref("dim_repository").select(F.col("repository_id").cast("string").alias("repository_id"),

@@ -28,7 +28,7 @@ from lakeward.models.silver_dims import company_channels
 from lakeward.operators.allocate import position_weight
 from lakeward.operators.dedup import first_by, latest_by, sequence_within
 from lakeward.operators.generate import unpivot
-from lakeward.operators.joins import explode_list
+from lakeward.operators.joins import explode_list, join_aggregated
 from lakeward.operators.ordering import asc, desc
 
 
@@ -380,7 +380,7 @@ def _names_for_lists(rows: DataFrame, list_col: str, dim: DataFrame, dim_key: st
     """JN-18: comma id list -> names joined with ', ' in list order; unknown
     ids skipped; nothing resolved -> null.  The names depend on the list text
     alone, so they are resolved once per distinct list value (far fewer than
-    rows) and joined back on that value."""
+    rows); callers join them back on that value."""
     lists = rows.select(F.col(list_col).alias("__list")).filter(F.col("__list").isNotNull()).distinct()
     items = explode_list(lists, "__list")
     d = dim.select(F.col(dim_key).cast("string").alias("item"), F.col(dim_name).alias("__name"))
@@ -409,7 +409,7 @@ def distributions(ctx: ModelContext, resolve: Sequence[str]) -> DataFrame:
     for alias in resolve:
         list_col, dim, name = LISTS[alias]
         names = _names_for_lists(d, list_col, ctx.source(dim), "Id", name, alias)  # lists of the raw source
-        out = out.join(names, F.col(list_col) == F.col(f"__{alias}_list"), "left")
+        out = join_aggregated(out, names, [(list_col, f"__{alias}_list")])
     return out
 
 
@@ -516,7 +516,8 @@ def fact_purchase_cost(ctx: ModelContext) -> DataFrame:
           .withColumn("month_end", month_end("month_start")))
     counts = rm.groupBy("partner_key", "year_no", "month_no").agg(
         F.count_distinct("dim_purchased_resource_sk").alias("n_res"))
-    j = rm.join(counts, ["partner_key", "year_no", "month_no"]).join(parsed, ["partner_key", "year_no", "month_no"], "left")
+    month = [(k, k) for k in ("partner_key", "year_no", "month_no")]
+    j = join_aggregated(join_aggregated(rm, counts, month, "inner"), parsed, month)
     rate = F.lit(L.LOCAL_CURRENCY_RATE).cast("decimal(7,1)")
     has_cost = F.coalesce(F.col("month_cost_num"), F.lit(0)) > 0
     zero = F.lit(0).cast(L.NUMERIC)

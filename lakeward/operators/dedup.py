@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeward.operators.joins import null_safe_join
+from lakeward.operators.joins import join_aggregated, null_safe_join
 from lakeward.operators.ordering import Order, as_orders, ascending_key
 from lakeward.session import ensure_checkpoint_dir, shuffle_partitions
 
@@ -101,9 +101,9 @@ def unique_name_lookup(df: DataFrame, name: str | Column, id_col: str, name_out:
 
 def partition_size(df: DataFrame, keys: Sequence[str], out: str = "partition_rows") -> DataFrame:
     """WIN-8: ``count(*) over (partition by keys)`` as aggregate + join back
-    (partial counts before the shuffle; AQE splits a skewed join partition)."""
+    (partial counts before the shuffle; a hot key's rows are split)."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-    return null_safe_join(df, counts, keys, "inner")
+    return join_aggregated(df, counts, [(k, k) for k in keys], "inner", null_safe=True)
 
 
 def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column],

@@ -29,6 +29,27 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
+def join_aggregated(left: DataFrame, agg: DataFrame, on: Sequence[tuple[str, str]], how: str = "left",
+                    null_safe: bool = False) -> DataFrame:
+    """Join rows with a table aggregated by the very join key, a hot key split.
+
+    Spark would take the shuffle below the aggregate for the join's own, and a
+    partition that is also aggregated cannot be split.  The join asks for one
+    more column, a hash of the key, by which the aggregate is not dealt; so both
+    sides are shuffled as they are, and the runtime splits a hot partition of
+    ``left`` and reads the few aggregated rows with each piece.  ``on`` gives
+    (column of ``left``, column of ``agg``); the latter are dropped."""
+    right = agg.select(*[F.col(f"`{r}`").alias(f"__on{i}") for i, (_, r) in enumerate(on)],
+                       F.xxhash64(*[F.col(f"`{r}`") for _, r in on]).alias("__on"),
+                       *[F.col(f"`{c}`") for c in agg.columns if c not in {r for _, r in on}])
+    types = [agg.schema[r].dataType for _, r in on]
+    same = F.xxhash64(*[F.col(f"`{l}`").cast(t) for (l, _), t in zip(on, types)]) == F.col("__on")
+    for i, ((l, _), t) in enumerate(zip(on, types)):
+        x, y = F.col(f"`{l}`").cast(t), F.col(f"__on{i}")
+        same = same & (x.eqNullSafe(y) if null_safe else x == y)
+    return left.join(right, same, how).drop("__on", *[f"__on{i}" for i in range(len(on))])
+
+
 def lookup(left: DataFrame, dim: DataFrame, on: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """JN-2: left outer dimension lookup returning only ``cols`` of the dim."""
     return left.join(dim.select(*on, *cols), list(on), "left")
@@ -137,7 +158,8 @@ def list_lookup_agg(df: DataFrame, row_id: str, list_col: str, dim: DataFrame, d
     (unknown ids skipped; no resolvable id -> null).  The names depend only on
     the list text, so they are resolved once per distinct list value (one
     explode, one join, one partial aggregation) and joined back on it; a list
-    value shared by many rows is one row on the names side.  ``row_id`` is kept
+    value shared by many rows is one row on the names side, and its rows are
+    split (:func:`join_aggregated`).  ``row_id`` is kept
     for callers that key the result by row."""
     lists = df.select(F.col(list_col).alias("__list")).filter(F.col("__list").isNotNull()).distinct()
     items = explode_list(lists, "__list")
@@ -146,4 +168,4 @@ def list_lookup_agg(df: DataFrame, row_id: str, list_col: str, dim: DataFrame, d
     agg = (named.groupBy("__list")
            .agg(F.array_sort(F.collect_list(F.struct(F.col("pos"), F.col("__name")))).alias("__l"))
            .select("__list", F.array_join(F.transform("__l", lambda s: s["__name"]), sep).alias(out)))
-    return df.join(agg, df[list_col] == agg["__list"], "left").drop("__list")
+    return join_aggregated(df, agg, [(list_col, "__list")])

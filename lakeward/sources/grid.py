@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeward.operators.joins import join_aggregated
+
 
 def grid_to_table(grid: DataFrame, columns: Sequence[str], header_key: str | None = None,
                   header_row: int | None = None, file: str = "file", row_no: str = "row_no",
@@ -15,18 +17,20 @@ def grid_to_table(grid: DataFrame, columns: Sequence[str], header_key: str | Non
     a cell equal to ``header_key``, case-insensitive, trimmed); files without a
     header are skipped.  Wanted ``columns`` are matched case-insensitively;
     absent ones become ''.  Ragged rows are padded with ''; all-blank rows
-    are dropped.  Output columns keep the requested names plus ``file``."""
+    are dropped.  Output columns keep the requested names plus ``file``.
+
+    One aggregate finds the headers with their cells, one row a file; a file may
+    hold any share of the rows, as these are split."""
     norm = F.transform(F.col(cells), lambda x: F.lower(F.trim(F.coalesce(x, F.lit("")))))
-    g = grid.select(file, row_no, cells, norm.alias("__norm"))
     if header_row is not None:
-        hdr = g.filter(F.col(row_no) == F.lit(header_row))
+        heads = F.col(row_no) == F.lit(header_row)
     else:
-        key = header_key.strip().lower()
-        first = (g.filter(F.array_contains("__norm", key)).groupBy(file)
-                 .agg(F.min(row_no).alias("__hrow")))
-        hdr = g.join(first, file).filter(F.col(row_no) == F.col("__hrow")).drop("__hrow")
-    hdr = hdr.select(file, F.col(row_no).alias("__hrow"), F.col("__norm").alias("__hdr"))
-    body = g.join(hdr, file).filter(F.col(row_no) > F.col("__hrow"))
+        heads = F.array_contains(norm, header_key.strip().lower())
+    hdr = (grid.filter(heads).groupBy(file)
+           .agg(F.min(F.struct(F.col(row_no).alias("row"), norm.alias("names"))).alias("__h"))
+           .select(file, F.col("__h.row").alias("__hrow"), F.col("__h.names").alias("__hdr")))
+    body = join_aggregated(grid.select(file, row_no, cells), hdr, [(file, file)], "inner")
+    body = body.filter(F.col(row_no) > F.col("__hrow"))
     out = [F.col(file)]
     for c in columns:
         idx = F.array_position("__hdr", c.strip().lower())

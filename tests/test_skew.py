@@ -5,7 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lakeward.operators.joins import exclude_keys, exists, not_exists
+from lakeward.operators.dedup import partition_size
+from lakeward.operators.joins import exclude_keys, exists, join_aggregated, list_lookup_agg, not_exists
+from lakeward.sources.grid import grid_to_table
 from lakeward.sources.store import merge_by_key
 
 CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -42,3 +44,37 @@ def test_a_hot_key_is_split(low, workdir, verb):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"skew=true", plan), plan[:3000]
+
+
+@pytest.mark.parametrize("verb", ["partition_size", "list_lookup_agg", "grid_to_table"])
+def test_rows_of_a_hot_key_are_split_against_an_aggregate(low, workdir, verb):
+    spark = low
+    k = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 4000)
+    rows = spark.range(60_000).select("id", k.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    if verb == "list_lookup_agg":
+        rows = rows.select("id", F.concat_ws(",", k, k + 1).alias("list"), "v")
+    elif verb == "grid_to_table":
+        first = spark.range(4000).select("id", F.array(F.lit("A"), F.lit(" Name ")).alias("cells"))
+        rows = rows.select(k.alias("file"), (F.col("id") + 1).alias("row_no"), F.array("v", F.col("id").cast("string")).alias("cells"))
+        rows = rows.unionByName(first.select(F.col("id").alias("file"), F.lit(0).cast("long").alias("row_no"), "cells"))
+    rows.repartition(8).write.parquet(f"{workdir}/rows")
+    rows = spark.read.parquet(f"{workdir}/rows")
+    if verb == "partition_size":
+        out, want = partition_size(rows, ["k"]), 60_000
+    elif verb == "list_lookup_agg":
+        names = spark.range(4100).select("id", F.concat(F.lit("n"), "id").alias("name"))
+        out, want = list_lookup_agg(rows, "id", "list", names, "id", "name", "names"), 60_000
+    else:
+        out, want = grid_to_table(rows, ["name", "a"], header_key="NAME"), 60_000
+    assert len(out.collect()) == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"skew=true", plan), plan[:3000]
+
+
+def test_join_with_an_aggregate_keeps_nulls_types_and_ties(spark):
+    left = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c"), (1, "a")], "k int, v string")
+    agg = spark.createDataFrame([(1, 10), (None, 20), (3, 30)], "key bigint, n int")
+    got = lambda **kw: sorted(map(str, (tuple(r) for r in join_aggregated(left, agg, [("k", "key")], **kw).collect())))
+    assert got() == sorted(map(str, [(1, "a", 10), (1, "a", 10), (None, "b", None), (2, "c", None)]))
+    assert got(null_safe=True, how="inner") == sorted(map(str, [(1, "a", 10), (1, "a", 10), (None, "b", 20)]))
+    assert join_aggregated(left, agg.limit(0), [("k", "key")], "inner").count() == 0
