@@ -13,6 +13,7 @@ from lakeward.plans.registry import query
 from lakeward.plans.tables import Tables
 from lakeward.plans.warehouse import DEAL_RECEIVED_BELOW_NATION, EXCLUDED_BRAND, L, OURS, RATE, SEATS, STOCK, driver_context
 from lakeward.session import ensure_checkpoint_dir
+from lakeward.sources.checksum import changed_folders, file_tree
 from lakeward.sources.control import SourceSpec, rollback_source, run_extract, run_load
 from lakeward.sources.landing import scan_csv
 from lakeward.sources.store import TableStore
@@ -91,6 +92,31 @@ def extract_load_rollback(spark: SparkSession, sf: str) -> DataFrame:
     return TableStore(spark, root).read("silver.supplier").select("s_suppkey", "s_name", "s_acctbal")
 
 
+@query("file_tree_changes", "SRC-7: folders of files changed since an earlier hash tree", sql="""
+SELECT CAST(c_nationkey AS INTEGER) AS nation, count(*) AS n_customers,
+       CASE WHEN c_nationkey % 5 = 0 THEN 'changed' WHEN c_nationkey % 5 = 1 THEN 'removed'
+            WHEN c_nationkey % 5 = 2 THEN 'added' ELSE 'unchanged' END AS change
+FROM customer GROUP BY c_nationkey
+""")
+def file_tree_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder a nation; of the folders that stay some are written anew with the same bytes (4)."""
+    c, root = Tables(spark, sf).customer.select("c_nationkey", "c_custkey", "c_acctbal"), _root(spark)
+
+    def write(rows: DataFrame) -> None:
+        (rows.withColumn("nation", F.col("c_nationkey")).repartition("nation").sortWithinPartitions("nation", "c_custkey")
+         .write.partitionBy("nation").option("partitionOverwriteMode", "dynamic").mode("overwrite").csv(f"{root}/files"))
+
+    write(c.where("c_nationkey % 5 <> 2"))
+    file_tree(spark, f"{root}/files").write.parquet(f"{root}/tree")
+    known = spark.read.parquet(f"{root}/tree")
+    write(c.where("c_nationkey % 5 in (0, 2, 4)")
+          .withColumn("c_acctbal", F.when(F.expr("c_nationkey % 5 = 0"), F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))))
+    gone = F.regexp_extract("folder", "nation=([0-9]+)$", 1).cast("int")
+    tree = file_tree(spark, f"{root}/files", known).where(gone % 5 != 1)
+    n = c.groupBy(F.col("c_nationkey").cast("int").alias("nation")).agg(F.count(F.lit(1)).alias("n_customers"))
+    return changed_folders(tree, known).select(gone.alias("nation"), "change").join(n, "nation")
+
+
 def _model(name: str, ops: str, sql: str):
     """Register a warehouse model by its name."""
     @query(f"wh_{name}", f"2.14 {name}: {ops}", sql=sql)

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from lakeward.sources.jdbc import has_changed_watermark
 from lakeward.sources.landing import add_audit_columns
 from lakeward.sources.ledger import Ledger, get_batch, last_success, rollback_target
-from lakeward.sources.store import TableStore, new_batch_id, read_bronze, write_bronze
-from lakeward.sources.checksum import table_fingerprint
+from lakeward.sources.checksum import file_tree, table_fingerprint, tree_digest
+from lakeward.sources.store import TableStore, new_batch_id, path_exists, read_bronze, write_bronze
 
 
 @dataclass(frozen=True)
@@ -47,12 +47,25 @@ def _wm_text(df: DataFrame, col: str | None) -> str | None:
     return v
 
 
+def _tree_path(root: str, source_id: str, batch_id: str) -> str:
+    return f"{root.rstrip('/')}/_trees/source_id={source_id}/batch_id={batch_id}"
+
+
+def _file_tree(spark: SparkSession, folder: str, root: str, source_id: str, last_batch: str | None) -> DataFrame:
+    """The files' hash tree, by way of the one kept with the last batch, if there is one."""
+    path = _tree_path(root, source_id, last_batch or "")
+    known = spark.read.parquet(path) if last_batch and path_exists(spark, path) else None
+    return file_tree(spark, folder, known)
+
+
 def run_extract(spark: SparkSession, spec: SourceSpec, read: Callable[[object], DataFrame], root: str,
                 force: bool = False, now: dt.datetime | None = None) -> Batch | None:
     """RUN-1.  ``read(last_watermark)`` returns the source rows newer than the
     watermark (all rows when None).  Change detection: content checksum for
     file-like sources, the watermark otherwise (checksum when there is none);
-    ``force`` bypasses both.  A changed file-like source with no newer rows
+    ``force`` bypasses both.  With the option ``files``, the folder that ``read``
+    reads, the checksum is that of a hash tree kept beside the ledger: only files of
+    another length or time are read, and rows of an unchanged source never.  A changed file-like source with no newer rows
     means old rows were edited: re-extract the full snapshot and load it in
     truncate mode.  Zero rows -> skip.  Writes bronze, then the ledger row."""
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -63,8 +76,10 @@ def run_extract(spark: SparkSession, spec: SourceSpec, read: Callable[[object],
     file_like = spec.source_type in ("csv", "sheet")
     full = read(None)
     by_content = file_like or not spec.watermark_column
+    folder = spec.options.get("files") if by_content else None
+    tree = _file_tree(spark, folder, root, spec.source_id, prev["batch_id"] if prev else None) if folder else None
     # only sources without a usable watermark are read for their content
-    checksum = table_fingerprint(full) if by_content else None
+    checksum = (tree_digest(tree) if folder else table_fingerprint(full)) if by_content else None
     if not force:
         if by_content:
             if prev is not None and prev["checksum"] == checksum:
@@ -82,6 +97,8 @@ def run_extract(spark: SparkSession, spec: SourceSpec, read: Callable[[object],
     path = write_bronze(staged, root, spec.source_id, batch_id)
     landed = read_bronze(spark, path)
     rows = landed.count()
+    if folder:
+        tree.write.mode("overwrite").parquet(_tree_path(root, spec.source_id, batch_id))
     # the watermark of what has landed: rows that came in since stay for the next run
     ledger.register_extracted(spec.source_id, spec.source_type, batch_id, path, checksum,
                               _wm_text(landed, spec.watermark_column) or last_wm, rows, now, spec.connection)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeward.sources.checksum import file_checksums, table_fingerprint
+from lakeward.sources.checksum import changed_folders, file_checksums, file_tree, table_fingerprint, tree_digest
 from lakeward.sources.grid import grid_to_table
 from lakeward.sources.jdbc import month_bounds, scan_jdbc, source_predicate, has_changed_watermark, max_watermark
 from lakeward.sources.landing import (add_audit_columns, coerce_time_suffix, field_mapping, nested_to_json,
@@ -154,3 +154,54 @@ def test_checksums(spark, workdir):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
     assert table_fingerprint(a) == table_fingerprint(a.repartition(3).orderBy(F.desc("k")))
     assert table_fingerprint(a) != table_fingerprint(a.limit(1))
+
+
+def test_file_tree_reads_changed_files_only(spark, workdir, monkeypatch):
+    for f, text in (("a/1.csv", "x,1"), ("a/2.csv", ""), ("b/1.csv", "y,2")):
+        os.makedirs(os.path.join(workdir, "in", os.path.dirname(f)), exist_ok=True)
+        write(os.path.join(workdir, "in", f), text)
+    src = os.path.join(workdir, "in")
+    file_tree(spark, src).write.parquet(f"{workdir}/tree")
+    known = spark.read.parquet(f"{workdir}/tree")
+    assert known.count() == 2 and known.where("digest is null").count() == 0
+    # what the known tree says of files with the same length and time is believed, so they are not read
+    marked = known.withColumn("digest", F.concat(F.lit("kept "), "digest"))
+    assert file_tree(spark, src, marked).where("digest like 'kept %'").count() == 2
+    os.utime(os.path.join(src, "a/1.csv"), (1, 1))                # touched, the same bytes
+    touched = file_tree(spark, src, known)
+    assert tree_digest(touched) == tree_digest(known)
+    assert file_tree(spark, src, marked).where("digest like 'kept %'").count() == 1
+    write(os.path.join(src, "b/1.csv"), "y,3")
+    os.utime(os.path.join(src, "b/1.csv"), (2, 2))                # the same length
+    tree = file_tree(spark, src, known)
+    assert tree_digest(tree) != tree_digest(known)
+    got = {r.folder.rsplit("/", 1)[1]: r.change for r in changed_folders(tree, known).collect()}
+    assert got == {"a": "unchanged", "b": "changed"}
+    monkeypatch.setattr("lakeward.sources.checksum.WHOLE_BYTES", 2)    # files above it: by their lines
+    lines = file_tree(spark, src)
+    assert lines.where("digest is null").count() == 0
+    assert sorted(r.change for r in changed_folders(lines, file_tree(spark, src)).collect()) == ["unchanged"] * 2
+
+
+def test_unchanged_files_are_skipped_without_their_rows(spark, workdir):
+    import datetime as dt
+
+    from lakeward.sources.control import SourceSpec, run_extract, run_load
+    src = os.path.join(workdir, "in")
+    os.makedirs(src)
+    write(os.path.join(src, "1.csv"), "1")
+    reads = []
+    spec = SourceSpec("s", "csv", "stg.s", options={"files": src})
+
+    def read(last):
+        seen = F.udf(lambda v: open(os.path.join(workdir, "rows"), "a").write("r") and v)
+        reads.append(last)
+        return spark.read.schema("v string").csv(src).withColumn("v", seen("v"))
+    size = lambda: os.path.getsize(os.path.join(workdir, "rows"))
+    run_load(spark, spec, run_extract(spark, spec, read, workdir, now=dt.datetime(2026, 1, 1)), workdir)
+    before = size()
+    assert run_extract(spark, spec, read, workdir, now=dt.datetime(2026, 1, 2)) is None
+    assert size() == before and len(reads) == 2
+    write(os.path.join(src, "1.csv"), "2")
+    os.utime(os.path.join(src, "1.csv"), (5, 5))
+    assert run_extract(spark, spec, read, workdir, now=dt.datetime(2026, 1, 3)).rows == 1
