@@ -25,3 +25,11 @@ def cut(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.llm.components import components
-from lakeward.llm.shared import cut
+from lakeward.llm.shared import cut, unused
 
 BITS, SEED = 64, 42
 #: Comparisons that a bucket may take; it is split by further bits if they do
@@ -202,23 +202,25 @@ def one_of_each(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame
     texts are not shuffled while these fit a broadcast.  Ids that several rows
     have are decided row by row, by id and fingerprint; of rows that are alike in
     both the one with the least text stays, a null text before all others.  Rows
-    without an id are groups by their fingerprints alone."""
+    without an id are groups by their fingerprints alone.  Further columns may
+    have any names."""
     ids = cut(near_duplicates(docs, words, distance), "groups")
+    key = unused("id", docs)
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    by_id = ids.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n"), F.max(first).alias("first"))
+    by_id = ids.groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("n"), F.max(first).alias("first"))
     handled = cut(by_id.where((F.col("n") > 1) | ~F.col("first")), "handled")
-    same = F.col("doc_id").eqNullSafe(F.col("id"))
-    once = docs.join(handled.select("id"), same, "left_anti")
-    several = handled.where("n > 1").select("id")
+    same = F.col("doc_id").eqNullSafe(F.col(key))
+    once = docs.join(handled.select(key), same, "left_anti")
+    several = handled.where("n > 1").select(key)
     if several.isEmpty():
         return once
 
     @F.pandas_udf("string")
     def digits(texts: pd.Series) -> pd.Series:
         return pd.Series([f"{fingerprint(t, words):016x}" for t in texts], dtype=object)
-    kept = ids.where(first).select(F.col("doc_id").alias("id"), F.col("fingerprint").alias("fp"), "component_id").distinct()
+    kept = ids.where(first).select(F.col("doc_id").alias(key), F.col("fingerprint").alias("fp"), "component_id").distinct()
     rows = docs.join(several, same, "left_semi").select(F.struct("*").alias("row"), digits("text").alias("__fp"))
-    rows = rows.join(kept, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("__fp") == F.col("fp")))
+    rows = rows.join(kept, F.col("row.doc_id").eqNullSafe(F.col(key)) & (F.col("__fp") == F.col("fp")))
     best = rows.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp"))).agg(
         F.min_by("row", F.struct(F.col("row.text"))).alias("row"))
     return once.unionByName(best.select("row.*"))

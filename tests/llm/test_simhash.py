@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from lakeward.llm import simhash as H
 from lakeward.llm.components import components
@@ -111,6 +112,18 @@ def test_one_of_each(docs, odd):
     assert sorted(r["doc_id"] or 0 for r in out.collect()) == [0, 1, 4, 5, 7, 8, 9]
 
 
+def test_one_of_each_with_clashing_columns(spark, odd):
+    """The helper columns' names are taken already, by the documents' own columns."""
+    names = ["id", "_id", "fp", "n", "first", "row", "component_id", "fingerprint"]
+    wide = odd.select("*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    out = H.one_of_each(wide)
+    assert out.columns == wide.columns
+    got = out.collect()
+    assert sorted(r["doc_id"] or 0 for r in got) == [0, 1, 4, 5, 7, 8, 9]
+    assert all([r[c] for c in names] == list(range(len(names))) for r in got)
+    assert H.one_of_each(wide.limit(0)).count() == 0
+
+
 def test_one_of_each_with_repeated_ids(docs):
     """Rows of one id in different groups: each group keeps its own row."""
     a, b, c = ("alpha beta gamma delta epsilon", "one two three four five six", "seven eight nine ten eleven")
