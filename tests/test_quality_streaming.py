@@ -1,5 +1,7 @@
+import collections
 import datetime as dt
 import decimal
+import hashlib
 import os
 
 import pytest
@@ -7,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lakeward.operators.marts import daily_totals, sales_fact
 from lakeward.quality import rules as R
-from lakeward.quality.reconcile import key_gap, layer_metrics, reconcile
+from lakeward.quality.reconcile import (BATCH_CHECKS, batch_layers, key_differences, key_gap, layer_keys, layer_metrics,
+                                        reconcile, reconcile_batch)
 from lakeward.sources.store import TableStore
 from lakeward.streaming.microbatch import microbatch_load
 
@@ -129,3 +132,49 @@ def test_microbatch_load_resumes_and_is_idempotent(spark, workdir):
     spark.createDataFrame([(99, "new")], schema).coalesce(1).write.mode("append").parquet(land)
     microbatch_load(spark, land, st_schema, workdir, "stg.stream", "feed", checkpoint=ck)
     assert st.read("stg.stream").count() == 16
+
+
+def test_key_differences_name_the_ranges(spark):
+    checks = [("b_of_a", "b", "a"), ("c_of_a", "c", "a")]
+    a = [(str(i),) for i in range(500)] + [("7",), (None,), (" 8 ",)]
+    b = [(str(i),) for i in range(500)] + [("9",)] * 3
+    c = [(str(i),) for i in range(3, 500)] + [("new",), ("new",)]
+    frame = lambda name, rows: layer_keys(name, spark.createDataFrame(rows, "k string"), "k")
+    keys = frame("a", a).unionByName(frame("b", b)).unionByName(frame("c", c))
+    got = key_differences(keys, checks, digits=1).collect()
+    where = lambda k: hashlib.md5(k.encode()).hexdigest()[0]
+    want = collections.Counter(("m", where(k)) for k in "012") + collections.Counter([("x", where("new"))])
+    assert {r.check_name for r in got} == {"c_of_a"}
+    assert collections.Counter({("m", r.key_range): r.n_missing for r in got}) + \
+        collections.Counter({("x", r.key_range): r.n_extra for r in got}) == want
+    # one layer is empty: all keys of the other are missing
+    assert key_differences(frame("a", a), checks[:1]).agg(F.sum("n_missing")).first()[0] == 500
+    assert key_differences(keys.limit(0), checks).count() == 0
+
+
+def test_equal_layers_shuffle_no_key_twice(spark, workdir):
+    """The keys are shuffled for the digests; below the drill-down only those of ranges that differ."""
+    spark.range(20_000).select(F.col("id").cast("string").alias("k")).write.parquet(f"{workdir}/k")
+    k = spark.read.parquet(f"{workdir}/k")
+    keys = layer_keys("a", k, "k").unionByName(layer_keys("b", k, "k"))
+    out = key_differences(keys, [("b_of_a", "b", "a")])
+    assert out.collect() == []
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan.split("== Initial Plan ==")[0] and "LeftAnti" not in plan
+
+
+def test_batch_checks_without_a_loaded_batch(spark):
+    rows = spark.createDataFrame([("1", "2.00", "2026-09-01", "b1", dt.datetime(2026, 9, 2))],
+                                 "sale_id string, amount string, sale_date string, _batch_id string, _loaded_at timestamp")
+    events = spark.createDataFrame([("s", "b1", "extracted", 1, dt.datetime(2026, 9, 2))],
+                                   "source_id string, batch_id string, status string, row_count long, event_at timestamp")
+    def failed(rows, events):
+        silver = sales_fact(rows)
+        layers = batch_layers(rows, rows, rows, silver)
+        res = reconcile_batch(events, "s", layers, daily_totals(silver), "sale_id", "amount", "order_count", "total_amount").collect()
+        assert len(res) == len(BATCH_CHECKS) == 15
+        return [r.check_name for r in res if not r.success]
+    assert failed(rows, events) == ["bronze_rows_of_ledger"]
+    loaded = events.withColumn("status", F.lit("loaded")).withColumn("event_at", F.lit(dt.datetime(2026, 9, 3)))
+    assert failed(rows, events.unionByName(loaded)) == []
+    assert failed(rows.limit(0), events) == ["bronze_rows_of_ledger"]
