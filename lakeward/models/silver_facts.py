@@ -300,9 +300,9 @@ def editing_placements(ctx: ModelContext) -> DataFrame:
 @model("fact_editing", "silver")
 def fact_editing(ctx: ModelContext) -> DataFrame:
     """Placements numbered by start time within the editing (WIN-6), after
-    removing duplicate joined rows.  An editing's placements fit one task."""
+    removing duplicate joined rows.  An editing may have any number of placements."""
     numbered = sequence_within(editing_placements(ctx).distinct(), ["editing_id"],
-                               [asc("start_time"), asc("resource_editing_id")], out="position")
+                               [asc("start_time"), asc("resource_editing_id")], out="position", spread=True)
     return numbered.select(sk("resource_editing_id").alias("fact_editing_sk"), "editing_id", "editing_code",
                            "hg_stock_id", F.col("position").cast("int").alias("position"),
                            (F.col("end_time").cast(L.NUMERIC) - F.col("start_time").cast(L.NUMERIC)).alias("duration"))

@@ -32,8 +32,8 @@ def allocate_by_weight(children: DataFrame, parent_keys: Sequence[str], order: S
                        amount_type: str = "decimal(18,2)", out_type: str = "decimal(21,3)") -> DataFrame:
     """Split each parent's ``amount`` over its children by POSITION_WEIGHTS.
 
-    Children are numbered within their parent (skew-safe ``sequence_within``),
-    counted (partial aggregate), joined to the parent amount and weighted; the
+    Children are numbered within their parent (a plain window: a parent's children
+    fit one task), counted (partial aggregate), joined to the parent amount and weighted; the
     weights of the first min(n, 5) positions sum to 10, so allocation keeps
     each parent total exactly."""
     pos = sequence_within(children, parent_keys, order, out="position")

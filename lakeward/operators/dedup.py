@@ -1,49 +1,44 @@
 """Deduplication and ranking (WIN-1..11, AGG-10/11, FLT-7).
 
-Skew: any key may hold a large share of all rows, so no operator here sends a
-whole group to one task.
-
-* top-1 per key (``first_by`` and friends) is an aggregate ``min_by`` over an
-  order-encoding struct: map-side partial aggregation leaves one row per key
-  per map task before the shuffle.  When the order cannot be encoded (a
-  descending text key) a ranked window with ``rn = 1`` is used instead; Spark
-  plans it with a partial WindowGroupLimit below the shuffle, which is just as
-  skew-tolerant.
-* running numbers within a key (``sequence_within``) are a plain window; on
-  request they range-partition on (key, order), so that a key of any size is cut
-  into several tasks, number rows locally and add offsets from an aggregate.
+Skew: any key may hold a large share of all rows, so the operators here do not
+send a whole group to one task, but for numbering where that is asked for.
+
+* top-1 per key (``first_by`` and friends) is ``row_number() = 1``, which Spark
+  plans with a partial WindowGroupLimit: one row per key leaves a map task.
+* running numbers within a key (``sequence_within``) are a plain window, the one
+  place where a key's rows meet in a task; with ``spread`` a crowded key is cut
+  into pieces along its order, which are numbered apart and moved on by the
+  number of rows before them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeward.operators.joins import join_aggregated, null_safe_join
+from lakeward.operators.joins import join_aggregated
 from lakeward.operators.ordering import Order, as_orders, ascending_key
-from lakeward.session import ensure_checkpoint_dir, shuffle_partitions
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column]) -> DataFrame:
     """Keep the first row per ``keys`` under ``order`` (DISTINCT ON).  Give a
-    total order for deterministic output (WIN-4)."""
-    orders = as_orders(order)
-    cols = df.columns
-    okey = ascending_key(df, orders)
-    if okey is None:
-        return _first_by_window(df, keys, orders)
-    payload = [c for c in cols if c not in keys]
-    if not payload:
-        return df.select(*keys).distinct()
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), okey).alias("__best"))
-    return best.select(*keys, "__best.*").select(*cols)
+    total order for deterministic output (WIN-4).
 
+    ``row_number() = 1``: Spark sorts each task's rows and keeps one a key before
+    the shuffle (WindowGroupLimit), so a key of any size costs a row a task.  In
+    ``min_by`` the whole rows would be compared in an interpreted sort aggregate."""
+    if set(df.columns) <= set(keys):
+        return df.distinct()
+    return _ranked_first(df, keys, order).drop("__rn")
 
-def _first_by_window(df: DataFrame, keys: Sequence[str], orders: Sequence[Order]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*[o.sort_col() for o in orders])
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+
+def _ranked_first(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*[o.sort_col() for o in as_orders(order)])
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1)
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], ts: str | Column,
@@ -66,13 +61,8 @@ def pick_first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Order | st
 def top1_value(df: DataFrame, keys: Sequence[str], value: str | Column,
                order: Sequence[Order | str | Column], out: str) -> DataFrame:
     """AGG-8: ``(array_agg(v order by ...))[1]`` per key as one column."""
-    orders = as_orders(order)
-    okey = ascending_key(df, orders)
     v = value if isinstance(value, Column) else F.col(value)
-    if okey is None:
-        picked = _first_by_window(df.select(*keys, v.alias(out), *[o.col for o in orders]), keys, orders)
-        return picked.select(*keys, out)
-    return df.groupBy(*keys).agg(F.min_by(v, okey).alias(out))
+    return _ranked_first(df, keys, order).select(*keys, v.alias(out))
 
 
 def mutual_best_match(df: DataFrame, a: str, b: str, order: Sequence[Order | str | Column],
@@ -106,50 +96,75 @@ def partition_size(df: DataFrame, keys: Sequence[str], out: str = "partition_row
     return join_aggregated(df, counts, [(k, k) for k in keys], "inner", null_safe=True)
 
 
+#: One row in so many, taken by a hash of its content, is looked at to find crowded keys.
+SAMPLED = 64
+#: A crowded key is cut at this many of its sampled rows.
+CUTS = 256
+#: Rows from about which a key counts as crowded.
+CROWD = 1 << 20
+
+
 def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column],
-                    out: str = "position", spread: bool = False, num_partitions: int | None = None) -> DataFrame:
+                    out: str = "position", spread: bool = False, crowd: int = CROWD) -> DataFrame:
     """WIN-6/7: ``row_number() over (partition by keys order by order)``.
 
     A plain window, for keys whose rows fit one task (lines of an order,
     placements of an editing).  With ``spread`` a key may be of any size, see
-    :func:`sequence_within_ranged`.  Give a total order: ties are numbered in an
+    :func:`sequence_within_cut`.  Give a total order: ties are numbered in an
     arbitrary but fixed order."""
     if spread:
-        return sequence_within_ranged(df, keys, order, out, num_partitions)
+        return sequence_within_cut(df, keys, order, out, crowd)
     w = Window.partitionBy(*keys).orderBy(*[o.sort_col() for o in as_orders(order)])
     return df.withColumn(out, F.row_number().over(w).cast("long"))
 
 
-def sequence_within_ranged(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column],
-                           out: str = "position", num_partitions: int | None = None) -> DataFrame:
-    """Row numbers within keys for data whose keys may each exceed one task.
-
-    1. range-partition on (keys, order) -> a hot key spans several tasks;
-    2. number rows inside each task (sorted) and checkpoint to the shared
-       checkpoint folder, so the numbering is stable if a task is recomputed
-       after an executor loss;
-    3. per (task, key): first local number and row count (small aggregate);
-       offsets = running sum of counts of earlier tasks for the same key;
-    4. position = offset + local - first + 1.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or shuffle_partitions(spark)
+def sequence_within_cut(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column],
+                        out: str = "position", crowd: int = CROWD, cuts: int = CUTS) -> DataFrame:
+    """Row numbers within keys of any size, by prefix counts over pieces of a key.
+
+    1. Of the rows whose content hash falls to the sample, each key's are counted
+       and thinned to at most ``cuts`` places in the order; keys of about
+       ``crowd`` rows or more are crowded, and these places cut them into pieces.
+    2. The rows of crowded keys are counted by piece; running sums over a key's
+       pieces, at most ``cuts + 1``, say how many rows come before each piece.
+    3. Every row is joined with its key's places and sums, numbered within
+       (key, piece) and moved on by the sum.  Other keys are one piece.
+
+    The sample, the places and the counts depend on the rows' content only, so a
+    task that runs again after the loss of an executor gives the same numbers, and
+    nothing has to be written before.  Null keys are keys.  Rows that are alike in
+    the order are told apart by the content hash; rows alike in every column stay
+    in one piece.  Columns of a type without a hash (maps) do not count for it."""
     orders = as_orders(order)
-    sort_cols = [F.col(k).asc_nulls_first() for k in keys] + [o.sort_col() for o in orders]
-    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-    pid = F.spark_partition_id()
-    tagged = ranged.select("*", pid.alias("__pid"),
-                           (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("__loc"))
-    tagged = tagged.checkpoint(eager=True)
-    stats = tagged.groupBy("__pid", *keys).agg(F.min("__loc").alias("__first"),
-                                                F.count(F.lit(1)).alias("__cnt"))
-    w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select("__pid", *keys, "__first",
-                           F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
-    joined = null_safe_join(tagged, offsets, ["__pid", *keys], "inner")
-    pos = (F.col("__off") + F.col("__loc") - F.col("__first") + F.lit(1)).cast("long")
-    return joined.withColumn(out, pos).drop("__pid", "__loc", "__first", "__off")
+    okey = ascending_key(df, orders)
+    if okey is None:
+        raise ValueError("an order by descending text cannot be cut; number it with spread=False")
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()
+             and f.dataType.typeName() != "variant"]
+    h = F.xxhash64(*plain)
+    place = F.struct(okey.alias("o"), h.alias("h"))
+    sampled = (df.select(*keys, place.alias("__at")).filter(F.pmod("__at.h", F.lit(SAMPLED)) == 0)
+               .groupBy(*keys, F.pmod(F.shiftright("__at.h", 8), F.lit(cuts)).alias("__slot"))
+               .agg(F.count(F.lit(1)).alias("__n"), F.min_by("__at", "__at.h").alias("__at")))
+    crowded = (sampled.groupBy(*keys).agg(F.sum("__n").alias("__n"), F.array_sort(F.collect_list("__at")).alias("__cuts"))
+               .filter(F.col("__n") >= max(crowd // SAMPLED, 1)).drop("__n"))
+    on = [(k, k) for k in keys]
+
+    def piece(at: Column) -> Column:
+        return F.coalesce(F.size(F.filter("__cuts", lambda c: c < at)), F.lit(0))
+    counts = (join_aggregated(df.select(*keys, place.alias("__at")), crowded, on, "inner", null_safe=True)
+              .groupBy(*keys, piece(F.col("__at")).alias("__piece")).agg(F.count(F.lit(1)).alias("__n")))
+    sums = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1))
+    before = (counts.withColumn("__n", F.coalesce(sums, F.lit(0)))
+              .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__piece", "__n"))).alias("__before")))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    cut = crowded.alias("a").join(before.alias("b"), reduce(and_, same)).select(*[f"a.{k}" for k in keys], "__cuts", "__before")
+    rows = join_aggregated(df.withColumn("__at", place), cut, on, "left", null_safe=True)
+    rows = rows.withColumn("__piece", piece(F.col("__at")))
+    rows = rows.withColumn("__before", F.coalesce(F.try_element_at("__before", F.col("__piece")), F.lit(0))).drop("__cuts")
+    w = Window.partitionBy(*keys, "__piece").orderBy("__at")
+    return (rows.withColumn(out, (F.row_number().over(w) + F.col("__before")).cast("long"))
+            .drop("__at", "__piece", "__before"))
 
 
 def distinct_by_group(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -75,9 +75,9 @@ def _negate(c: Column, dtype: T.DataType) -> Column | None:
 
 def ascending_key(df: DataFrame, order: Sequence[Order]) -> Column | None:
     """Encode a mixed-direction sort as one struct whose natural ascending
-    order equals the requested order (so that ``min_by`` picks the first row).
+    order equals the requested order, so that places in it can be compared.
     Returns None when a descending key has no order-reversing encoding
-    (e.g. descending text); callers then fall back to a ranked window."""
+    (e.g. descending text)."""
     fields: list[Column] = []
     for i, o in enumerate(order):
         c = as_col(o.col)

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeward.operators.dedup import (first_by, latest_by, mutual_best_match, partition_size, sequence_within,
-                                      sequence_within_ranged, unique_name_lookup)
+                                      sequence_within_cut, top1_value, unique_name_lookup)
 from lakeward.operators.ordering import asc, desc, numeric_first
 
 
@@ -24,7 +24,19 @@ def test_first_by_ties_broken_and_null_partition_key(spark):
     assert got == {None: "a", "k": "b"}
 
 
-def test_descending_text_falls_back_to_window(spark):
+def test_one_row_a_key_leaves_a_task(spark, workdir):
+    """The plan keeps one row per key before the shuffle, and has no sort aggregate."""
+    spark.range(1000).select((F.col("id") % 3).alias("k"), "id", F.lit("x").alias("v")).write.parquet(f"{workdir}/t")
+    df = spark.read.parquet(f"{workdir}/t")
+    for out in (first_by(df, ["k"], [desc("id")]), top1_value(df, ["k"], "v", [asc("id")], "first")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit"), plan
+        assert "Partial" in plan and "SortAggregate" not in plan
+        assert out.count() == 3
+    assert top1_value(df, ["k"], F.col("id") + 1, [desc(F.col("id") % 10), asc("v"), desc("id")], "top").columns == ["k", "top"]
+
+
+def test_descending_text(spark):
     df = spark.createDataFrame([("k", "a"), ("k", "c"), ("k", "b")], "key string, v string")
     assert first_by(df, ["key"], [desc("v")]).collect()[0].v == "c"
 
@@ -41,16 +53,26 @@ def test_sequence_within_matches_window_on_hot_key(spark):
     df = spark.createDataFrame(rows, "key string, o int, id int")
     w = Window.partitionBy("key").orderBy("o", "id")
     want = df.withColumn("position", F.row_number().over(w).cast("long"))
-    for spread in (True, False):
-        got = sequence_within(df, ["key"], [asc("o"), asc("id")], num_partitions=8, spread=spread)
-        assert got.exceptAll(want.select(*got.columns)).count() == 0
-        assert got.count() == df.count()
-    ranged_only = sequence_within_ranged(df, ["key"], [asc("o"), asc("id")], num_partitions=8)
-    assert ranged_only.exceptAll(want.select(*ranged_only.columns)).count() == 0
-    # the hot key is spread over several range partitions
-    ranged = df.repartitionByRange(8, "key", "o", "id")
-    parts = ranged.filter(F.col("key") == "hot").select(F.spark_partition_id()).distinct().count()
-    assert parts > 1
+    for crowd in (1, 256, 4096, 1 << 20):
+        got = sequence_within(df, ["key"], [asc("o"), asc("id")], spread=True, crowd=crowd)
+        assert got.columns == want.columns and got.count() == df.count()
+        assert got.exceptAll(want).count() == 0
+    got = sequence_within(df, ["key"], [asc("o"), asc("id")])
+    assert got.exceptAll(want).count() == 0
+    assert sequence_within(df.limit(0), ["key"], ["o"], spread=True).count() == 0
+
+
+def test_sequence_of_a_cut_key_with_ties_nulls_and_descending_order(spark):
+    df = spark.range(4000).select(F.lit(1).alias("a"), F.when(F.col("id") % 2 == 0, "x").alias("b"),
+                                  F.when(F.col("id") % 7 != 0, F.col("id") % 10).alias("o"), "id")
+    got = sequence_within_cut(df, ["a", "b"], [desc("o", nulls_last=True)], crowd=1, cuts=8)
+    w = Window.partitionBy("a", "b").orderBy(F.col("o").desc_nulls_last(), "position")
+    # the numbers are 1 to n, in the order, and the same on a second run
+    assert got.withColumn("want", F.row_number().over(w)).filter("want <> position").count() == 0
+    assert got.exceptAll(sequence_within_cut(df.repartition(5), ["a", "b"], [desc("o", nulls_last=True)], crowd=1, cuts=8)).count() == 0
+    alike = spark.range(300).select(F.lit("k").alias("k"), F.lit(1).alias("o"))
+    got = sequence_within_cut(alike, ["k"], ["o"], crowd=1)
+    assert sorted(r.position for r in got.collect()) == list(range(1, 301))
 
 
 def test_partition_size_with_null_keys(spark):

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lakeward.operators.dedup import partition_size
+from lakeward.operators.dedup import partition_size, sequence_within
 from lakeward.operators.joins import exclude_keys, exists, join_aggregated, list_lookup_agg, not_exists
 from lakeward.sources.grid import grid_to_table
 from lakeward.sources.store import merge_by_key
@@ -78,3 +78,21 @@ def test_join_with_an_aggregate_keeps_nulls_types_and_ties(spark):
     assert got() == sorted(map(str, [(1, "a", 10), (1, "a", 10), (None, "b", None), (2, "c", None)]))
     assert got(null_safe=True, how="inner") == sorted(map(str, [(1, "a", 10), (1, "a", 10), (None, "b", 20)]))
     assert join_aggregated(left, agg.limit(0), [("k", "key")], "inner").count() == 0
+
+
+def test_numbering_cuts_a_hot_key(low, workdir):
+    """A key with a third of all rows: no task of the numbering has more than twice the rows of the median task."""
+    spark = low
+    rows = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id",
+                                      F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    rows.repartition(8).write.parquet(f"{workdir}/rows")
+    rows = spark.read.parquet(f"{workdir}/rows")
+    out = sequence_within(rows, ["k"], ["id"], spread=True, crowd=4096)
+    per_task = out.groupBy(F.spark_partition_id()).agg(F.count("position").alias("n"), F.sum("position").alias("s"))
+    tasks = [r.n for r in per_task.collect()]
+    assert sum(tasks) == 60_000 and max(tasks) <= 2 * sorted(tasks)[len(tasks) // 2], tasks
+    hot = sorted((r.id, r.position) for r in out.filter("k = 7").select("id", "position").collect())
+    assert [p for _, p in hot] == list(range(1, 20_002))
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in plan and "__piece" in plan
