@@ -36,7 +36,7 @@ def layer_metrics(name: str, df: DataFrame, amount: str | None, count_col: str |
 
 
 def key_gap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Number of keys present on exactly one side (0 = equal key sets)."""
+    """Number of keys present on exactly one side (0 = equal key sets); nulls are no keys."""
     sides = (a.select(F.col(key).alias("k"), F.lit(1).alias("side"))
              .unionByName(b.select(F.col(key).alias("k"), F.lit(2).alias("side"))).filter(F.col("k").isNotNull()))
     one = sides.groupBy("k").agg(F.bit_or("side").alias("sides")).filter(F.col("sides") != 3)
