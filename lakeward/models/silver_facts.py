@@ -288,21 +288,21 @@ def editing_placements(ctx: ModelContext) -> DataFrame:
     e = ctx.source("editings").select(F.col("Id").alias("__e_id"), F.col("EditingFileId").alias("editing_code"))
     r = ctx.source("resource").filter(F.col("ResourceType") == F.lit(0)) \
         .select(F.col("Id").alias("__r_id"), upper_trim("ResourceFileId").alias("hg_stock_id")) \
-        .filter(F.col("hg_stock_id").startswith(L.STOCK_PREFIX))
+        .filter(F.col("hg_stock_id").startswith(L.STOCK_PREFIX)) \
+        .join(_excluded(ctx), F.col("hg_stock_id") == F.col("__ex"), "left_anti")   # few rows: before the placements
     return (re_.join(e, re_["EditingId"] == F.col("__e_id"), "inner")
             .join(r, re_["ResourcesId"] == F.col("__r_id"), "inner")
             .select(F.col("Id").alias("resource_editing_id"), F.col("EditingId").alias("editing_id"),
                     "editing_code", "hg_stock_id", F.col("StartTime").alias("start_time"),
-                    F.col("EndTime").alias("end_time"))
-            .join(_excluded(ctx), F.col("hg_stock_id") == F.col("__ex"), "left_anti"))
+                    F.col("EndTime").alias("end_time")))
 
 
 @model("fact_editing", "silver")
 def fact_editing(ctx: ModelContext) -> DataFrame:
     """Placements numbered by start time within the editing (WIN-6), after
     removing duplicate joined rows.  An editing may have any number of placements."""
-    numbered = sequence_within(editing_placements(ctx).distinct(), ["editing_id"],
-                               [asc("start_time"), asc("resource_editing_id")], out="position", spread=True)
+    numbered = sequence_within(editing_placements(ctx), ["editing_id"],
+                               [asc("start_time"), asc("resource_editing_id")], out="position", spread=True, unique=True)
     return numbered.select(sk("resource_editing_id").alias("fact_editing_sk"), "editing_id", "editing_code",
                            "hg_stock_id", F.col("position").cast("int").alias("position"),
                            (F.col("end_time").cast(L.NUMERIC) - F.col("start_time").cast(L.NUMERIC)).alias("duration"))

@@ -105,21 +105,23 @@ CROWD = 1 << 20
 
 
 def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column],
-                    out: str = "position", spread: bool = False, crowd: int = CROWD) -> DataFrame:
-    """WIN-6/7: ``row_number() over (partition by keys order by order)``.
+                    out: str = "position", spread: bool = False, crowd: int = CROWD, unique: bool = False) -> DataFrame:
+    """WIN-6/7: ``row_number() over (partition by keys order by order)``, of the
+    different rows with ``unique``.
 
     A plain window, for keys whose rows fit one task (lines of an order,
     placements of an editing).  With ``spread`` a key may be of any size, see
     :func:`sequence_within_cut`.  Give a total order: ties are numbered in an
     arbitrary but fixed order."""
     if spread:
-        return sequence_within_cut(df, keys, order, out, crowd)
+        return sequence_within_cut(df, keys, order, out, crowd, unique=unique)
+    df = df.distinct() if unique else df
     w = Window.partitionBy(*keys).orderBy(*[o.sort_col() for o in as_orders(order)])
     return df.withColumn(out, F.row_number().over(w).cast("long"))
 
 
 def sequence_within_cut(df: DataFrame, keys: Sequence[str], order: Sequence[Order | str | Column],
-                        out: str = "position", crowd: int = CROWD, cuts: int = CUTS) -> DataFrame:
+                        out: str = "position", crowd: int = CROWD, cuts: int = CUTS, unique: bool = False) -> DataFrame:
     """Row numbers within keys of any size, by prefix counts over pieces of a key.
 
     1. Of the rows whose content hash falls to the sample, each key's are counted
@@ -130,6 +132,11 @@ def sequence_within_cut(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
     3. Every row is joined with its key's places and sums, numbered within
        (key, piece) and moved on by the sum.  Other keys are one piece.
 
+    Rows are shuffled once, by (key, piece), without the place, which is made again
+    behind the shuffle; with ``unique``, repeated rows are dropped there.  The
+    crowded keys' places and sums are broadcast: there are at most ``cuts`` places
+    for ``crowd`` rows, so they are small whatever the table.
+
     The sample, the places and the counts depend on the rows' content only, so a
     task that runs again after the loss of an executor gives the same numbers, and
     nothing has to be written before.  Null keys are keys.  Rows that are alike in
@@ -143,25 +150,30 @@ def sequence_within_cut(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
              and f.dataType.typeName() != "variant"]
     h = F.xxhash64(*plain)
     place = F.struct(okey.alias("o"), h.alias("h"))
-    sampled = (df.select(*keys, place.alias("__at")).filter(F.pmod("__at.h", F.lit(SAMPLED)) == 0)
-               .groupBy(*keys, F.pmod(F.shiftright("__at.h", 8), F.lit(cuts)).alias("__slot"))
+    at = df.select(*keys, place.alias("__at")).filter(F.pmod("__at.h", F.lit(SAMPLED)) == 0)
+    sampled = ((at.distinct() if unique else at).groupBy(*keys, F.pmod(F.shiftright("__at.h", 8), F.lit(cuts)).alias("__slot"))
                .agg(F.count(F.lit(1)).alias("__n"), F.min_by("__at", "__at.h").alias("__at")))
     crowded = (sampled.groupBy(*keys).agg(F.sum("__n").alias("__n"), F.array_sort(F.collect_list("__at")).alias("__cuts"))
                .filter(F.col("__n") >= max(crowd // SAMPLED, 1)).drop("__n"))
-    on = [(k, k) for k in keys]
 
-    def piece(at: Column) -> Column:
-        return F.coalesce(F.size(F.filter("__cuts", lambda c: c < at)), F.lit(0))
-    counts = (join_aggregated(df.select(*keys, place.alias("__at")), crowded, on, "inner", null_safe=True)
-              .groupBy(*keys, piece(F.col("__at")).alias("__piece")).agg(F.count(F.lit(1)).alias("__n")))
+    def with_piece(rows: DataFrame, known: DataFrame, how: str) -> DataFrame:
+        right = known.select(*[F.col(f"`{k}`").alias(f"__on{i}") for i, k in enumerate(keys)],
+                             *[c for c in known.columns if c not in keys])
+        same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"__on{i}")) for i, k in enumerate(keys)])
+        n = F.size(F.filter("__cuts", lambda c: c < place))
+        return (rows.join(F.broadcast(right), same, how).withColumn("__piece", F.coalesce(n, F.lit(0)))
+                .drop("__cuts", *[f"__on{i}" for i in range(len(keys))]))
+    pieces = with_piece(df, crowded, "inner")
+    counts = (pieces.distinct() if unique else pieces).groupBy(*keys, "__piece").agg(F.count(F.lit(1)).alias("__n"))
     sums = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1))
     before = (counts.withColumn("__n", F.coalesce(sums, F.lit(0)))
               .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__piece", "__n"))).alias("__before")))
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
     cut = crowded.alias("a").join(before.alias("b"), reduce(and_, same)).select(*[f"a.{k}" for k in keys], "__cuts", "__before")
-    rows = join_aggregated(df.withColumn("__at", place), cut, on, "left", null_safe=True)
-    rows = rows.withColumn("__piece", piece(F.col("__at")))
-    rows = rows.withColumn("__before", F.coalesce(F.try_element_at("__before", F.col("__piece")), F.lit(0))).drop("__cuts")
+    rows = with_piece(df, cut, "left")
+    rows = rows.withColumn("__before", F.coalesce(F.try_element_at("__before", F.col("__piece")), F.lit(0)))
+    rows = rows.repartition(*keys, "__piece")
+    rows = (rows.distinct() if unique else rows).withColumn("__at", place)
     w = Window.partitionBy(*keys, "__piece").orderBy("__at")
     return (rows.withColumn(out, (F.row_number().over(w) + F.col("__before")).cast("long"))
             .drop("__at", "__piece", "__before"))
