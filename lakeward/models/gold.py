@@ -56,6 +56,29 @@ def _growth(kind: str) -> Column:
     return (now - last) / F.nullif(last, F.lit(0.0))
 
 
+#: An amount is summed in three parts: millionths, whole units below LOW, and the rest, which is rare.
+MICRO, LOW = 10 ** 6, 10 ** 9
+
+
+def _parts(k: str) -> list[Column]:
+    """The amount ``k`` in parts: two small longs and a decimal, null if it is 0.
+    Sums of the longs times counts stay below LOW times the rows counted."""
+    whole = F.floor(F.col(k))
+    low = F.pmod(whole, F.lit(LOW).cast("decimal(10,0)"))
+    return [((F.col(k) - whole) * F.lit(MICRO)).cast("long").alias(f"{k}_micro"), low.cast("long").alias(f"{k}_low"),
+            F.nullif(whole - low, F.lit(0).cast("decimal(33,0)")).cast("decimal(38,0)").alias(f"{k}_high")]
+
+
+def _part_sums(k: str, times: Column) -> list[Column]:
+    return [F.sum(F.col(f"{k}_{part}") * times).alias(f"{k}_{part}") for part in ("micro", "low", "high")]
+
+
+def _whole(k: str) -> Column:
+    """The amount of summed parts."""
+    micro = F.col(f"{k}_micro").cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)")
+    return (micro + F.col(f"{k}_low") + F.coalesce(f"{k}_high", F.lit(0).cast("decimal(38,0)"))).cast(L.NUMERIC)
+
+
 @model("mart_team_usage", "gold")
 def mart_team_usage(ctx: ModelContext) -> DataFrame:
     """Per team (department text of a distribution): distributed resources,
@@ -63,38 +86,36 @@ def mart_team_usage(ctx: ModelContext) -> DataFrame:
     of the videos using its resources, and newest month-over-month growth."""
     fd = distributions(ctx, ["department"]).filter(F.col("department").isNotNull()) \
         .select(F.col("department").alias("team"), "hg_stock_id")
-    # one pass over the distributions: rows per (team, stock), null stock included
-    per_pair = fd.groupBy("team", "hg_stock_id").agg(F.count(F.lit(1)).alias("__rows"))
-    team_dist = per_pair.groupBy("team").agg(
-        F.coalesce(F.sum(F.when(F.col("hg_stock_id").isNotNull(), F.col("__rows"))), F.lit(0))
-        .alias("distributed_resources"))
-    fd_counts = per_pair.filter(F.col("hg_stock_id").isNotNull())
-
-    sv = ctx.ref("int_stock_video")
-    # a stock is used when one of its (stock, video) pairs has a published
-    # video: the same set as editing codes bridged to published videos
-    published = ctx.ref("dim_video").filter(F.col("published_date").isNotNull()).select("video_id")
-    used = sv.filter(F.col("hg_stock_id").isNotNull()).join(published, "video_id", "left_semi") \
-        .select("hg_stock_id").distinct()
-    usage = fd_counts.join(used, "hg_stock_id", "left_semi").groupBy("team") \
-        .agg(F.count(F.lit(1)).alias("usage_resources"))
+    team_dist = fd.groupBy("team").agg(F.count("hg_stock_id").alias("distributed_resources"))
+    fd_counts = fd.filter(F.col("hg_stock_id").isNotNull()).groupBy("team", "hg_stock_id").agg(F.count(F.lit(1)).alias("__rows"))
 
     # the metric table once, both kinds side by side: sums per (video, month), then
     # per (stock, month), then times the distribution rows of each (team, stock)
     kinds = list(KINDS)
+    parts = [f"{k}_{part}" for k in kinds for part in ("micro", "low", "high")]
+    flags = [f"has_{k}" for k in kinds]
     m = net_metrics(ctx)
     per_video = m.groupBy(F.col("__v").alias("video_id"), month_start("Date").alias("month")).agg(
         *[F.sum(F.when(F.col(flag), F.col(value).cast(L.NUMERIC))).alias(k) for k, (flag, value) in KINDS.items()],
         *[F.max(F.col(flag)).alias(f"has_{k}") for k, (flag, _) in KINDS.items()])
-    per_stock = sv.join(per_video, "video_id").groupBy("hg_stock_id", "month").agg(
-        *[F.sum(k).alias(k) for k in kinds], *[F.max(f"has_{k}").alias(f"has_{k}") for k in kinds])
+    # a stock is used when one of its (stock, video) pairs has a published video:
+    # these videos go with the metrics as rows without a month
+    published = ctx.ref("dim_video").filter(F.col("published_date").isNotNull()).select("video_id")
+    sv = ctx.ref("int_stock_video").filter(F.col("hg_stock_id").isNotNull())
+    per_stock = sv.join(per_video.unionByName(published, allowMissingColumns=True), "video_id").groupBy("hg_stock_id", "month").agg(
+        *[F.sum(k).cast(L.NUMERIC).alias(k) for k in kinds], *[F.max(f).alias(f) for f in flags])
+    # the widest step, teams x months of a stock, adds longs
+    per_stock = per_stock.select("hg_stock_id", "month", *[c for k in kinds for c in _parts(k)], *flags)
     monthly = fd_counts.join(per_stock, "hg_stock_id").groupBy("team", "month").agg(
-        *[F.sum(F.col(k) * F.col("__rows")).alias(k) for k in kinds], *[F.max(f"has_{k}").alias(f"has_{k}") for k in kinds])
-    monthly = monthly.withColumns({f"growth_{k}": _growth(k) for k in kinds})
+        F.count(F.lit(1)).alias("stocks"), *[c for k in kinds for c in _part_sums(k, F.col("__rows"))], *[F.max(f).alias(f) for f in flags])
+    usage = F.max(F.when(F.col("month").isNull(), F.col("stocks"))).alias("usage_resources")
+    # a handful of rows from here on; rows without a month have no amounts and come first
+    monthly = monthly.withColumns({k: _whole(k) for k in kinds}).drop(*parts)
+    monthly = monthly.withColumns({f: F.coalesce(f, F.lit(False)) for f in flags}).withColumns({f"growth_{k}": _growth(k) for k in kinds})
     facts = monthly.groupBy("team").agg(
-        *[F.sum(k).alias(f"total_{k}") for k in kinds],
+        usage, *[F.sum(k).alias(f"total_{k}") for k in kinds],
         *[F.max_by(F.struct(f"growth_{k}"), F.when(F.col(f"has_{k}"), F.col("month")))[f"growth_{k}"].alias(f"growth_{k}") for k in kinds])
-    out = team_dist.join(usage, "team", "left").join(facts, "team", "left")
+    out = team_dist.join(facts, "team", "left")
     zero = F.lit(0).cast(L.NUMERIC)
     return out.select(sk("team").alias("mart_team_usage_sk"), "team", "distributed_resources",
                       F.coalesce("usage_resources", F.lit(0)).alias("usage_resources"),
