@@ -14,6 +14,7 @@ from lakeward.functions.cleanse import concat_skip_null, typed_null
 from lakeward.models import labels as L
 from lakeward.models.base import ModelContext, model
 from lakeward.operators.dedup import top1_value
+from lakeward.operators.joins import join_aggregated
 from lakeward.operators.ordering import asc
 
 #: Output columns, in order.
@@ -96,12 +97,14 @@ def item_states(ctx: ModelContext) -> DataFrame:
     r = ctx.ref("dim_resource").where(_filled("resource_id").isNotNull()).select(
         "resource_id", "status", "so_id", "po_detail_id", "production_plan_detail_id", "repository_id")
     r = (r.join(_repositories(ctx), F.col("repository_id") == F.col("__repo"), "left").join(_orders(ctx), "so_id", "left")
-         .join(released, F.col("resource_id") == F.col("__released"), "left").join(codes, F.col("resource_id") == F.col("__odoo"), "left")
-         .join(by_hg, F.col("own_hg") == F.col("__by_hg"), "left").join(by_isrc, F.col("released_isrc") == F.col("__by_isrc"), "left"))
+         .join(released, F.col("resource_id") == F.col("__released"), "left").join(codes, F.col("resource_id") == F.col("__odoo"), "left"))
+    # many items have no code or ISRC, or share one: the tables are aggregated by it, the items' rows are split
+    r = join_aggregated(r, by_hg, [("own_hg", "__by_hg")])
+    r = join_aggregated(r, by_isrc.withColumn("isrc_known", F.col("__by_isrc")), [("released_isrc", "__by_isrc")])
     return r.select(
         "resource_id", "status", "so_id", "po_id", "po_detail_id", "production_plan_detail_id", "repository_id", "production_sub_project_id",
         "production_project_id", "order_company_id", F.coalesce("own_hg", "isrc_hg").alias("hg_stock_id"),
-        F.coalesce("released_isrc", "hg_isrc", F.when(F.col("isrc_hg").isNotNull(), F.col("__by_isrc"))).alias("isrc"),
+        F.coalesce("released_isrc", "hg_isrc", F.when(F.col("isrc_hg").isNotNull(), F.col("isrc_known"))).alias("isrc"),
         F.coalesce("hg_stored", "isrc_stored").alias("stock_stored_date"),
         F.coalesce("hg_used", "isrc_used", "hg_any", "isrc_any").alias("stock_status"),
         F.col("__released").isNotNull().alias("is_published")).distinct()
@@ -132,11 +135,11 @@ def fact_hao_hut(ctx: ModelContext) -> DataFrame:
     earned = ctx.ref("fact_revenue_by_resources").where(_filled("resource_id").isNotNull() & (
         (F.coalesce(F.col("view"), F.lit(0)) > 0) | (F.coalesce(F.col("revenue_amount"), F.lit(0)) > 0)))
     earned = earned.groupBy(F.col("resource_id").alias("__earned")).agg(F.min("recorded_date").alias("first_recorded"))
-    items = item_states(ctx).join(stock_users(ctx), F.col("hg_stock_id") == F.col("__user_of"), "left").join(
-        earned, F.col("hg_stock_id") == F.col("__earned"), "left")
+    items = item_states(ctx).join(stock_users(ctx), F.col("hg_stock_id") == F.col("__user_of"), "left")
+    items = join_aggregated(items, earned.withColumn("is_earned", F.lit(True)), [("hg_stock_id", "__earned")])
     accepted = F.coalesce(F.col("status") == L.STATUS_ACCEPTED, F.lit(False))
     used = F.coalesce(F.col("stock_status") == L.STOCK_IN_USE, F.lit(False))
-    result, one, item = F.col("__earned").isNotNull(), F.lit(1), F.col("resource_id")
+    result, one, item = F.col("is_earned").isNotNull(), F.lit(1), F.col("resource_id")
     entered = [(F.lit(True), _step(2, accepted, item, one)), (accepted, _step(3, F.col("is_published"), item, one)),
                (F.col("is_published"), _step(4, used, item, one)),
                (F.col("is_published") & used & _filled("hg_stock_id").isNotNull(), _step(5, result, item, one, F.col("first_recorded")))]

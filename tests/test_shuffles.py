@@ -44,3 +44,17 @@ def test_amounts_in_parts(spark):
     assert parts.select("g", gold._whole("a").alias("a")).orderBy("g").collect() == want
     none = rows.where("a is null").select("g", "n", *gold._parts("a")).groupBy("g").agg(*gold._part_sums("a", F.col("n")))
     assert none.select(gold._whole("a").alias("a")).first()["a"] is None
+
+
+def test_items_without_a_code_are_split(spark):
+    """The items' rows meet what is aggregated by code or ISRC by one more column, so that the runtime can split them."""
+    from lakeward.plans.production import flow_context
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by = exchanges(flow_context(spark, "/root/testdata/sf0.001").ref("fact_hao_hut"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for key in ("own_hg", "released_isrc"):
+        mine = [x for x in by if re.search(rf"\b{key}#", x) and len(x.split(", ")) <= 2]
+        assert mine and all(len(x.split(", ")) > 1 for x in mine)
