@@ -20,10 +20,10 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,15 +153,17 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
 
 # --- all words --------------------------------------------------------------------------------
 #
-# Words and bigrams are told apart by 64-bit hashes.  A row of the exchange is what a
-# batch of texts has for one bucket, packed; a bucket holds all of a rare word's bigrams,
-# so that the word's counts are the bucket's own.  Frequent words and bigrams are few,
-# whatever the corpus; their counts are broadcast, and they burden no single bucket.
+# Words and bigrams are told apart by 64-bit hashes.  Texts are dealt to chunks of bounded
+# size.  A chunk asks each bucket for the counts of its bigrams there, each once, in one
+# packed row, and the bucket answers with one; so what is sent is at most a chunk's
+# bigrams, however many buckets and texts there are.  A bucket holds all of a rare word's
+# bigrams, so that the word's counts are the bucket's own.  Frequent words and bigrams are
+# few, whatever the corpus; their counts are broadcast, and they burden no single bucket.
 
 #: A word is frequent from this share of the tokens on, a bigram surely from twice its share.
 FREQUENT_WORD, FREQUENT_PAIR = 1 / 50_000, 1 / 4_000
-#: Tokens of a bucket, on average; bytes of text hashed at once.
-BUCKET, CHUNK = 2_000_000, 1 << 20
+#: Tokens of a bucket, and buckets' worth of a chunk, on average; rows of a chunk; bytes of text hashed at once.
+BUCKET, WORTH, ROWS, CHUNK = 2_000_000, 2, 200_000, 1 << 20
 _BASE = 0x9E3779B97F4A7C15                  # odd, so it has an inverse
 _VALUES = np.frombuffer(b"".join(hashlib.blake2b(bytes([i]), digest_size=8).digest() for i in range(256)), np.uint64)
 _SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
@@ -303,129 +305,152 @@ def _frequent(marked: DataFrame) -> Frequent:
                     tokens * scale, whole[0]["n"] if 0 in whole else 0, texts * scale)
 
 
-def _bucket(word: np.ndarray, pair: np.ndarray, known: np.ndarray, buckets: int) -> np.ndarray:
-    """All of a rare word's bigrams are in one bucket, a frequent word's bigrams in many."""
-    return (np.where(_lookup(known, word) < 0, word, pair).view(np.uint64) % np.uint64(buckets)).astype(np.int32)
-
-
-def _pack(at, word, pair, last, target, bucket, h) -> Iterator[dict]:
-    """One row a bucket: its words, bigrams and texts, each once, and who has what."""
-    by = np.argsort(bucket, kind="stable").astype(np.int32)
-    ends = np.cumsum(np.bincount(bucket))
-    for k, end in enumerate(ends):
-        here = by[ends[k - 1] if k else 0:end]
-        if not len(here):
-            continue
-        a, w, p = at[here], word[here], pair[here]
-        m = last[here] * np.uint8(2) + target[a]
-        order = np.lexsort((m, a, p, w))
-        a, w, p, m = a[order], w[order], p[order], m[order]
-        new_word, new_pair, new = np.ones((3, len(a)), bool)
-        new_word[1:] = w[1:] != w[:-1]
-        new_pair[1:] = new_word[1:] | (p[1:] != p[:-1])
-        new[1:] = new_pair[1:] | (a[1:] != a[:-1]) | (m[1:] != m[:-1])
-        n = np.diff(np.flatnonzero(new), append=len(a))
-        texts, who = np.unique(a[new], return_inverse=True)
-        many = n > 1
-        yield {"bucket": k, "words": w[new_word].tobytes(), "pairs": p[new_pair].tobytes(), "texts": h[texts].tobytes(),
-               "who": who.astype(np.uint16 if len(texts) < 65_536 else np.uint32).tobytes(),
-               "marks": (m[new] + 4 * new_pair[new] + 8 * new_word[new] + 16 * many).astype(np.uint8).tobytes(),
-               "many": n[many].astype(np.int32).tobytes()}
-
-
-def _unpack(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    """Of every row of a text and a bigram: word, bigram, text, times, is it the last, is it target."""
-    out = []
-    for r in rows.itertuples():
-        marks, texts = np.frombuffer(r.marks, np.uint8), np.frombuffer(r.texts, np.int64)
-        n = np.ones(len(marks), np.int32)
-        n[marks & 16 > 0] = np.frombuffer(r.many, np.int32)
-        who = np.frombuffer(r.who, np.uint16 if len(texts) < 65_536 else np.uint32)
-        out.append((np.frombuffer(r.words, np.int64)[np.cumsum(marks & 8 > 0) - 1],
-                    np.frombuffer(r.pairs, np.int64)[np.cumsum(marks & 4 > 0) - 1], texts[who], n,
-                    marks & 2 > 0, marks & 1 > 0))
-    return tuple(np.concatenate([x[k] for x in out]) for k in range(6))
-
-
-PACKED = "bucket long, words binary, pairs binary, texts binary, who binary, marks binary, many binary"
+def _distinct(word: np.ndarray, pair: np.ndarray, known: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
+    """The different bigrams, whatever the order of the tokens: hash, word (0 for a frequent
+    one), the word's place in the frequent words ``known`` (-1: rare), bucket; and every
+    token's place among them.
+    All of a rare word's bigrams are in one bucket, a frequent word's in many.  They are in
+    the order of buckets, then rare words (frequent ones first), then hashes."""
+    order = np.argsort(pair)
+    pairs = pair[order]
+    new = np.ones(len(pair), bool)
+    new[1:] = pairs[1:] != pairs[:-1]
+    start = np.flatnonzero(new)
+    pairs, its = pairs[start], np.minimum.reduceat(word[order], start) if len(start) else word
+    often = _lookup(known, its)
+    rare = np.where(often < 0, its.view(np.uint64), np.uint64(0))
+    bucket = (np.where(often < 0, rare, pairs.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    by = np.lexsort((rare, bucket))
+    rank = np.empty(len(by), np.int32)
+    rank[by] = np.arange(len(by), dtype=np.int32)
+    place = np.empty(len(pair), np.int32)
+    place[order] = rank[np.cumsum(new) - 1]
+    return pairs[by], rare[by].view(np.int64), often[by], bucket[by], place
+
+
+def _begins(*columns: np.ndarray) -> np.ndarray:
+    """Whether any column differs from the row before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return new
+
+
+def _small(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Rows of counts, mostly small, as a byte each, compressed; those of 255 or more also whole."""
+    counts = counts.ravel("F")
+    return (zstandard.ZstdCompressor(1).compress(np.minimum(counts, 255).astype(np.uint8).tobytes()),
+            counts[counts >= 255].astype(np.int64).tobytes())
+
+
+def _whole(small: bytes, large: bytes, columns: int) -> np.ndarray:
+    """What ``_small`` packed, in rows of ``columns``."""
+    counts = np.frombuffer(zstandard.ZstdDecompressor().decompress(small), np.uint8).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(large, np.int64)
+    return counts.reshape(columns, -1).T
+
+
+ASKED = "chunk long, bucket long, words binary, pairs binary, begins binary, small binary, large binary"
+ANSWERED = "chunk long, bucket long, pairs binary, large_pairs binary, words binary, large_words binary"
+
+
+def _answers(chunked: DataFrame, shared, buckets: int) -> DataFrame:
+    """A row for every chunk of ``chunked`` (chunk, text, target) and bucket with bigrams of
+    it: counts in the whole corpus (target, background) of the different bigrams, in the
+    order of ``_distinct``, and of their rare words, as words and as words with a follower;
+    a word of no meaning stands for the frequent ones."""
+    def ask(rows: pd.DataFrame) -> pd.DataFrame:
+        known = shared.value
+        at, word, pair, last = bigrams(list(rows["text"]))
+        rest = _lookup(known.pairs, pair) < 0
+        mark = (last * 2 + rows["target"].to_numpy(bool)[at])[rest]
+        pairs, its, _, bucket, place = _distinct(word[rest], pair[rest], known.words, buckets)
+        counts = np.bincount(place.astype(np.int64) * 4 + mark, minlength=4 * len(pairs)).reshape(-1, 4)
+        new = _begins(its, bucket)
+        ends = np.append(np.flatnonzero(_begins(bucket)), len(pairs))
+        out = []
+        for i, j in zip(ends[:-1], ends[1:]):
+            small, large = _small(counts[i:j])
+            out.append((rows["chunk"].iloc[0], bucket[i], its[i:j][new[i:j]].tobytes(), pairs[i:j].tobytes(),
+                        np.packbits(new[i:j]).tobytes(), small, large))
+        return pd.DataFrame(out, columns=["chunk", "bucket", "words", "pairs", "begins", "small", "large"])
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        pair = np.concatenate([np.frombuffer(x, np.int64) for x in rows["pairs"]])
+        word = [np.frombuffer(x, np.int64) for x in rows["words"]]
+        sizes, ends = [len(x) // 8 for x in rows["pairs"]], np.cumsum([len(x) for x in word])
+        new = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(rows["begins"], sizes)])
+        counts = np.concatenate([_whole(*x, 4) for x in zip(rows["small"], rows["large"])])
+        sides = [counts[:, 1] + counts[:, 3], counts[:, 0] + counts[:, 2]]
+        _, of = np.unique(pair, return_inverse=True)
+        pairs = np.stack([np.bincount(of, x)[of] for x in sides], 1).astype(np.int64)
+        _, its = np.unique(np.concatenate(word), return_inverse=True)
+        at = its[np.cumsum(new, dtype=np.int64) - 1]
+        words_ = np.stack([np.bincount(at, x)[its] for x in (*sides, counts[:, 1], counts[:, 0])], 1).astype(np.int64)
+        out = [(*_small(x), *_small(y)) for x, y in zip(np.split(pairs, np.cumsum(sizes)[:-1]), np.split(words_, ends[:-1]))]
+        return pd.concat([rows[["chunk", "bucket"]].reset_index(drop=True), pd.DataFrame(
+            out, columns=["pairs", "large_pairs", "words", "large_words"])], axis=1)
+    return (chunked.groupBy("chunk").applyInPandas(ask, ASKED)
+            .groupBy("bucket").applyInPandas(answer, ANSWERED))
+
+
+def _chunked(marked: DataFrame, tokens: float) -> DataFrame:
+    """Every row's ``chunk``, drawn by the row's own number ``at``, so that neither equal
+    texts nor equal ids meet in one."""
+    chunks = max(1, round(tokens / (WORTH * BUCKET) + marked.count() / ROWS))
+    return marked.select(F.pmod(F.xxhash64("at"), F.lit(chunks)).alias("chunk"), "doc_id", "text", "target")
 
 
 def difference(docs: DataFrame, is_target: DataFrame) -> DataFrame:
     """The columns of ``score`` for every row of ``docs`` (doc_id, text), from models of
     all words and all bigrams of ``docs``: rows whose doc_id is in ``is_target`` (doc_id)
-    are the target, all others the background.
-
-    Equal texts have equal scores, so a text is known by its hash in between."""
+    are the target, all others the background."""
     marks = cut(is_target.select("doc_id").dropna().distinct().withColumn("target", F.lit(True)), "target")
     # sorted and merged at every size: the list of target rows grows with the corpus
     marked = cut(docs.select("doc_id", "text").join(marks.hint("merge"), "doc_id", "left").select(
-        "text", F.coalesce("target", F.lit(False)).alias("target"), F.xxhash64("text").alias("h")), "marked", "zstd")
-    model = _frequent(marked)
+        "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"),
+        F.monotonically_increasing_id().alias("at")), "marked", "zstd")
+    model = _frequent(marked.select("text", "target"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    buckets = max(1, round(float((model.tokens / model.scale).sum()) / BUCKET))
-
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        for b in batches:
-            at, word, pair, last = bigrams(list(b["text"]))
-            rest = _lookup(known.pairs, pair) < 0
-            at, word, pair, last = at[rest], word[rest], pair[rest], last[rest]
-            del rest
-            packed = _pack(at, word, pair, last, b["target"].to_numpy(bool),
-                           _bucket(word, pair, known.words, buckets), b["h"].to_numpy())
-            while rows := list(islice(packed, 16)):
-                yield pd.DataFrame(rows)
-
-    def settle(rows: pd.DataFrame) -> pd.DataFrame:
-        known = shared.value
-        word, pair, text, n, last, target = _unpack(rows)
-        words_, at = np.unique(word, return_inverse=True)
-        place = _lookup(known.words, words_)
-        _, its, of = np.unique(pair, return_index=True, return_inverse=True)
-        its = at[its]                       # a bigram's word
-        texts, who = np.unique(text, return_inverse=True)
-        del word, pair, text
-        lost = []
-        for k, side in enumerate((target, ~target)):
-            sized, still = n * side, (n - last) * side
-            count = np.bincount(at, sized, len(words_)) * known.scale[k]
-            followed = np.bincount(at, still, len(words_)) * known.scale[k]
-            if len(known.words):            # elsewhere are more of a frequent word's
-                count = np.where(place < 0, count, known.counts[place, k])
-                followed = np.where(place < 0, followed, known.followed[place, k])
-            pairs = np.bincount(of, sized, len(its)) * known.scale[k]
-            each = (count + 1.0) / (known.tokens[k] + known.distinct)
-            of_word, of_pair = np.log(followed + STRENGTH), np.log(pairs + STRENGTH * each[its])
-            lost.append(np.bincount(who, (n - last) * of_word[at] - n * of_pair[of]))
-        return pd.DataFrame({"h": texts, "n": np.bincount(who, n).astype(np.int64), "t": lost[0], "b": lost[1]})
-    sums = cut(marked.mapInPandas(deal, PACKED).groupBy("bucket").applyInPandas(settle, "h long, n long, t double, b double")
-               .groupBy("h").agg(*[F.sum(c).alias(c) for c in ("n", "t", "b")]), "losses")
+    tokens = float((model.tokens / model.scale).sum())
+    buckets = max(1, round(tokens / BUCKET))
+    chunked = _chunked(marked, tokens)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def settle(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         known = shared.value
-        for b in batches:
-            at, word, pair, last = bigrams(list(b["text"]))
-            size = len(b)
-            tokens = np.bincount(at, minlength=size)
-            out = np.where(tokens[:, None] > 0, np.log(known.texts + STRENGTH), 0.0)   # the begin as the word before
-            place = _lookup(known.pairs, pair)
-            here = place >= 0
-            if here.any():
-                its = _lookup(known.words, word[here])          # a frequent bigram's words are frequent
-                lost = known.losses(known.pair_counts[place[here]], known.counts[its], known.followed[its],
-                                    np.ones(here.sum()), last[here].astype(float))
-                for k in (0, 1):
-                    out[:, k] += np.bincount(at[here], lost[:, k], size)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "h": b["h"], "n_tokens": tokens, "t0": out[:, 0], "b0": out[:, 1],
-                                "rest": np.bincount(at[~here], minlength=size)})
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInPandas(
-        frequent, f"doc_id {kind}, h long, n_tokens long, t0 double, b0 double, rest long")
-    # equal texts' sums are together in ``sums``: a row takes its part
-
-    def mean(side: str):
-        part = F.when(F.col("rest") > 0, F.col(side) * F.col("rest") / F.col("n")).otherwise(0.0)
-        return F.when(F.col("n_tokens") > 0, (F.col(f"{side}0") + part) / F.col("n_tokens")).otherwise(0.0)
-    return (rows.join(sums.hint("merge"), "h", "left")
-            .select("doc_id", "n_tokens", mean("t").alias("target_loss"), mean("b").alias("background_loss"))
+        at, word, pair, last = bigrams(list(rows["text"]))
+        size = len(rows)
+        tokens = np.bincount(at, minlength=size)
+        out = np.where(tokens[:, None] > 0, np.log(known.texts + STRENGTH), 0.0)   # the begin as the word before
+        place = _lookup(known.pairs, pair)
+        here = place >= 0
+        if here.any():
+            its = _lookup(known.words, word[here])          # a frequent bigram's words are frequent
+            lost = known.losses(known.pair_counts[place[here]], known.counts[its], known.followed[its],
+                                np.ones(here.sum()), last[here].astype(float))
+            for k in (0, 1):
+                out[:, k] += np.bincount(at[here], lost[:, k], size)
+        if not here.all():
+            at, last = at[~here], last[~here]
+            _, rare, often, bucket, of = _distinct(word[~here], pair[~here], known.words, buckets)
+            del word, pair
+            answers = answers.sort_values("bucket")
+            counts = np.concatenate([_whole(*x, 2) for x in zip(answers["pairs"], answers["large_pairs"])])
+            whole = np.concatenate([_whole(*x, 4) for x in zip(answers["words"], answers["large_words"])])
+            its = np.cumsum(_begins(rare, bucket)) - 1
+            for k in (0, 1):
+                count, followed = whole[its, k] * known.scale[k], whole[its, 2 + k] * known.scale[k]
+                if len(known.words):        # a bucket has not all of a frequent word's
+                    count = np.where(often < 0, count, known.counts[often, k])
+                    followed = np.where(often < 0, followed, known.followed[often, k])
+                each = (count + 1.0) / (known.tokens[k] + known.distinct)
+                of_word = np.log(followed + STRENGTH)
+                of_pair = np.log(counts[:, k] * known.scale[k] + STRENGTH * each)
+                out[:, k] += np.bincount(at, np.where(last, 0.0, of_word[of]) - of_pair[of], size)
+        mean = out / np.maximum(tokens, 1)[:, None]
+        return pd.DataFrame({"doc_id": rows["doc_id"], "n_tokens": tokens, "target_loss": mean[:, 0],
+                             "background_loss": mean[:, 1]})
+    # both readings of the chunks are one shuffle
+    return (chunked.groupBy("chunk").cogroup(_answers(chunked, shared, buckets).groupBy("chunk"))
+            .applyInPandas(settle, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double")
             .withColumn("score", F.col("target_loss") - F.col("background_loss")))

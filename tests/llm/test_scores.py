@@ -112,6 +112,47 @@ def test_cross_entropy_of_all_words(spark, docs, monkeypatch, word, pair, bucket
         assert r["score"] == pytest.approx(r["target_loss"] - r["background_loss"])
 
 
+def test_cross_entropy_sends_a_chunks_bigrams_once(spark, docs, monkeypatch):
+    """What chunks and buckets exchange grows neither with the buckets nor with the texts that share a bigram."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(["v%d" % i for i in range(60)], k=50)) for _ in range(400)]
+    marked = docs(texts).select("doc_id", "text", (F.col("doc_id") % 3 == 0).alias("target"), F.col("doc_id").alias("at"))
+    monkeypatch.setattr(E, "WORTH", 1)
+    monkeypatch.setattr(E, "BUCKET", 10_000)            # two chunks of 10,000 tokens
+    model = E._frequent(marked.select("text", "target"))
+    shared = spark.sparkContext.broadcast(model)
+    chunked = E._chunked(marked, 20_000)
+    split = {r["doc_id"]: (r["chunk"], r["text"].split()) for r in chunked.collect()}
+    assert len({c for c, _ in split.values()}) == 2
+    asked = {(c, a, b) for c, ws in split.values() for a, b in zip([None, *ws], ws)}
+    _, _, pair, _ = E.bigrams(texts)
+    rest = len(asked) - 2 * len(set(pair.tolist()) & set(model.pairs.tolist()))
+    for buckets in (1, 16, 256):
+        got = E._answers(chunked, shared, buckets).collect()
+        assert len(got) <= 2 * buckets and len(got) == len({(r["chunk"], r["bucket"]) for r in got})
+        assert sum(len(E._whole(r["pairs"], r["large_pairs"], 2)) for r in got) <= len(asked)
+        assert sum(len(E._whole(r["pairs"], r["large_pairs"], 2)) for r in got) >= rest
+
+
+def test_cross_entropy_of_many_rows_without_words(spark, docs, monkeypatch):
+    """Rows without words make chunks too, also without any bigram; large counts come back whole."""
+    monkeypatch.setattr(E, "ROWS", 5)
+    monkeypatch.setattr(E, "FREQUENT_WORD", 2)
+    monkeypatch.setattr(E, "FREQUENT_PAIR", 2)
+    texts = ["", None, " "] * 20 + ["a b " * 200] * 3
+    table = docs(texts)
+    got = {r["doc_id"]: r for r in E.difference(table, table.where("doc_id = 60")).collect()}
+    assert sorted(got) == list(range(63))
+    assert {(got[i]["n_tokens"], got[i]["target_loss"], got[i]["background_loss"]) for i in range(60)} == {(0, 0.0, 0.0)}
+    # 400 tokens of the target, 800 of the background counted at half: equal models
+    each = (200 + 1) / (400 + 2)
+    want = -(np.log((1 + E.STRENGTH * each) / (1 + E.STRENGTH)) + 200 * np.log((200 + E.STRENGTH * each) / (200 + E.STRENGTH))
+             + 199 * np.log((199 + E.STRENGTH * each) / (199 + E.STRENGTH))) / 400
+    for i in (60, 61, 62):
+        assert got[i]["n_tokens"] == 400 and got[i]["score"] == pytest.approx(0, abs=1e-9)
+        assert got[i]["target_loss"] == pytest.approx(want, abs=1e-9)
+
+
 def test_cross_entropy_of_all_words_on_odd_rows(spark, odd):
     none = spark.createDataFrame([], "doc_id long")
     clash = odd.withColumn("target", F.lit("x")).withColumn("score", F.lit(1)).withColumn("h", F.lit(2))
