@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.llm.shared import cut
+from lakeward.session import small_batches
 
 #: Words of a closed vocabulary, with the unknown word, which also begins each text.
 VOCABULARY = 2048
@@ -164,6 +165,8 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
 FREQUENT_WORD, FREQUENT_PAIR = 1 / 50_000, 1 / 4_000
 #: Tokens of a bucket, and buckets' worth of a chunk, on average; rows of a chunk; bytes of text hashed at once.
 BUCKET, WORTH, ROWS, CHUNK = 2_000_000, 2, 200_000, 1 << 20
+#: Tokens for which a task holds intermediate numbers at once.
+BLOCK = 1 << 18
 _BASE = 0x9E3779B97F4A7C15                  # odd, so it has an inverse
 _VALUES = np.frombuffer(b"".join(hashlib.blake2b(bytes([i]), digest_size=8).digest() for i in range(256)), np.uint64)
 _SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
@@ -193,18 +196,22 @@ def bigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
         lot.append(text.lower().encode("utf-8", "surrogatepass") if text else b"")
         size += len(lot[-1]) + 1
         if size >= CHUNK or i + 1 == len(texts):
-            found.append((first, *_hashed(lot, size)))
+            found.append(_paired(first, *_hashed(lot, size)))
             lot, size, first = [], 0, i + 1
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
-    at = np.concatenate([(doc + first).astype(np.int32) for first, doc, _ in found])
-    word = np.concatenate([w for _, _, w in found])
-    new = np.ones(len(at) + 1, bool)
-    new[1:-1] = at[1:] != at[:-1]
+    parts = [list(x) for x in zip(*found)]
+    del found
+    return tuple(np.concatenate(parts.pop(0)) for _ in range(4))
+
+
+def _paired(first: int, doc: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
+    new = np.ones(len(doc) + 1, bool)
+    new[1:-1] = doc[1:] != doc[:-1]
     before = np.concatenate((np.zeros(1, np.uint64), word))[:-1]
     before[new[:-1]] = 0
     pair = _mix(before * np.uint64(0xD1342543DE82EF95) + word)
-    return at, word.view(np.int64), pair.view(np.int64), new[1:]
+    return (doc + first).astype(np.int32), word.view(np.int64), pair.view(np.int64), new[1:]
 
 
 def _hashed(lot: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -227,10 +234,12 @@ def _sums(key: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, list[np.nd
 
 def _lookup(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Places in the sorted ``known``, -1 for what is not there."""
-    if not len(known):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, at, -1)
+    out = np.full(len(keys), -1, np.int32)
+    for i in range(0, len(keys) if len(known) else 0, BLOCK):
+        some = keys[i:i + BLOCK]
+        at = np.minimum(np.searchsorted(known, some), len(known) - 1)
+        out[i:i + BLOCK] = np.where(known[at] == some, at, -1)
+    return out
 
 
 @dataclass(frozen=True)
@@ -311,20 +320,26 @@ def _distinct(word: np.ndarray, pair: np.ndarray, known: np.ndarray, buckets: in
     token's place among them.
     All of a rare word's bigrams are in one bucket, a frequent word's in many.  They are in
     the order of buckets, then rare words (frequent ones first), then hashes."""
-    order = np.argsort(pair)
+    order = np.argsort(pair).astype(np.int32)
     pairs = pair[order]
     new = np.ones(len(pair), bool)
     new[1:] = pairs[1:] != pairs[:-1]
     start = np.flatnonzero(new)
-    pairs, its = pairs[start], np.minimum.reduceat(word[order], start) if len(start) else word
+    pairs = pairs[start]
+    its = np.minimum.reduceat(word[order], start) if len(start) else word
+    del start
     often = _lookup(known, its)
     rare = np.where(often < 0, its.view(np.uint64), np.uint64(0))
     bucket = (np.where(often < 0, rare, pairs.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
-    by = np.lexsort((rare, bucket))
+    del its
+    by = np.lexsort((rare, bucket)).astype(np.int32)
     rank = np.empty(len(by), np.int32)
     rank[by] = np.arange(len(by), dtype=np.int32)
     place = np.empty(len(pair), np.int32)
-    place[order] = rank[np.cumsum(new) - 1]
+    nth = np.cumsum(new, dtype=np.int32)
+    nth -= 1
+    place[order] = rank[nth]
+    del order, rank, nth
     return pairs[by], rare[by].view(np.int64), often[by], bucket[by], place
 
 
@@ -362,9 +377,13 @@ def _answers(chunked: DataFrame, shared, buckets: int) -> DataFrame:
         known = shared.value
         at, word, pair, last = bigrams(list(rows["text"]))
         rest = _lookup(known.pairs, pair) < 0
-        mark = (last * 2 + rows["target"].to_numpy(bool)[at])[rest]
-        pairs, its, _, bucket, place = _distinct(word[rest], pair[rest], known.words, buckets)
-        counts = np.bincount(place.astype(np.int64) * 4 + mark, minlength=4 * len(pairs)).reshape(-1, 4)
+        mark = (last * np.int8(2) + rows["target"].to_numpy(bool)[at])[rest]
+        del at, last
+        word, pair = word[rest], pair[rest]
+        pairs, its, _, bucket, place = _distinct(word, pair, known.words, buckets)
+        del word, pair, rest
+        counts = np.stack([np.bincount(place[mark == k], minlength=len(pairs)).astype(np.int32) for k in range(4)], 1)
+        del place, mark
         new = _begins(its, bucket)
         ends = np.append(np.flatnonzero(_begins(bucket)), len(pairs))
         out = []
@@ -404,6 +423,7 @@ def difference(docs: DataFrame, is_target: DataFrame) -> DataFrame:
     """The columns of ``score`` for every row of ``docs`` (doc_id, text), from models of
     all words and all bigrams of ``docs``: rows whose doc_id is in ``is_target`` (doc_id)
     are the target, all others the background."""
+    small_batches(docs.sparkSession)
     marks = cut(is_target.select("doc_id").dropna().distinct().withColumn("target", F.lit(True)), "target")
     # sorted and merged at every size: the list of target rows grows with the corpus
     marked = cut(docs.select("doc_id", "text").join(marks.hint("merge"), "doc_id", "left").select(
@@ -424,29 +444,37 @@ def difference(docs: DataFrame, is_target: DataFrame) -> DataFrame:
         out = np.where(tokens[:, None] > 0, np.log(known.texts + STRENGTH), 0.0)   # the begin as the word before
         place = _lookup(known.pairs, pair)
         here = place >= 0
-        if here.any():
-            its = _lookup(known.words, word[here])          # a frequent bigram's words are frequent
-            lost = known.losses(known.pair_counts[place[here]], known.counts[its], known.followed[its],
-                                np.ones(here.sum()), last[here].astype(float))
+        for i in range(0, len(at), BLOCK):
+            of = np.flatnonzero(here[i:i + BLOCK]) + i
+            its = _lookup(known.words, word[of])            # a frequent bigram's words are frequent
+            lost = known.losses(known.pair_counts[place[of]], known.counts[its], known.followed[its],
+                                np.ones(len(of)), last[of].astype(float))
             for k in (0, 1):
-                out[:, k] += np.bincount(at[here], lost[:, k], size)
+                out[:, k] += np.bincount(at[of], lost[:, k], size)
+        del place
         if not here.all():
-            at, last = at[~here], last[~here]
-            _, rare, often, bucket, of = _distinct(word[~here], pair[~here], known.words, buckets)
+            at, last, word, pair = (x[~here] for x in (at, last, word, pair))
+            _, rare, often, bucket, of = _distinct(word, pair, known.words, buckets)
             del word, pair
             answers = answers.sort_values("bucket")
             counts = np.concatenate([_whole(*x, 2) for x in zip(answers["pairs"], answers["large_pairs"])])
             whole = np.concatenate([_whole(*x, 4) for x in zip(answers["words"], answers["large_words"])])
-            its = np.cumsum(_begins(rare, bucket)) - 1
+            its = np.cumsum(_begins(rare, bucket), dtype=np.int32) - 1
+            del rare, bucket
+            of_word, of_pair = np.empty((2, len(its)))
             for k in (0, 1):
-                count, followed = whole[its, k] * known.scale[k], whole[its, 2 + k] * known.scale[k]
-                if len(known.words):        # a bucket has not all of a frequent word's
-                    count = np.where(often < 0, count, known.counts[often, k])
-                    followed = np.where(often < 0, followed, known.followed[often, k])
-                each = (count + 1.0) / (known.tokens[k] + known.distinct)
-                of_word = np.log(followed + STRENGTH)
-                of_pair = np.log(counts[:, k] * known.scale[k] + STRENGTH * each)
-                out[:, k] += np.bincount(at, np.where(last, 0.0, of_word[of]) - of_pair[of], size)
+                for i in range(0, len(its), BLOCK):
+                    some = slice(i, i + BLOCK)
+                    count, followed = (whole[its[some], c] * known.scale[k] for c in (k, 2 + k))
+                    if len(known.words):        # a bucket has not all of a frequent word's
+                        count = np.where(often[some] < 0, count, known.counts[often[some], k])
+                        followed = np.where(often[some] < 0, followed, known.followed[often[some], k])
+                    each = (count + 1.0) / (known.tokens[k] + known.distinct)
+                    of_word[some] = np.log(followed + STRENGTH)
+                    of_pair[some] = np.log(counts[some, k] * known.scale[k] + STRENGTH * each)
+                for i in range(0, len(at), BLOCK):
+                    some = slice(i, i + BLOCK)
+                    out[:, k] += np.bincount(at[some], np.where(last[some], 0.0, of_word[of[some]]) - of_pair[of[some]], size)
         mean = out / np.maximum(tokens, 1)[:, None]
         return pd.DataFrame({"doc_id": rows["doc_id"], "n_tokens": tokens, "target_loss": mean[:, 0],
                              "background_loss": mean[:, 1]})

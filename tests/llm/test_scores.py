@@ -3,6 +3,7 @@
 import html as htmllib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -15,6 +16,7 @@ from lakeward.llm import cross_entropy as E
 from lakeward.llm import surrogates as S
 from lakeward.llm import wrappers as W
 from lakeward.llm.queries import QUERIES
+from lakeward.session import ARROW_BATCH
 
 SF = "/root/testdata/sf0.01"
 
@@ -134,6 +136,36 @@ def test_cross_entropy_sends_a_chunks_bigrams_once(spark, docs, monkeypatch):
         assert sum(len(E._whole(r["pairs"], r["large_pairs"], 2)) for r in got) >= rest
 
 
+def test_cross_entropy_holds_little_for_each_token():
+    """Most bytes a token that a chunk takes at once while its bigrams are made, told apart and looked up."""
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(400_000)}" for _ in range(1000)) for _ in range(1200)]
+    E.bigrams(texts[:10])                               # makes the powers, which stay
+    tracemalloc.start()
+    try:
+        def most(f, *args):
+            tracemalloc.reset_peak()
+            held, out = tracemalloc.get_traced_memory()[0], f(*args)
+            return (tracemalloc.get_traced_memory()[1] - held) / 1_200_000, out
+        size, (_, word, pair, _) = most(E.bigrams, texts)
+        assert size < 45
+        assert most(E._distinct, word, pair, word[:0], 7)[0] < 85
+        assert most(E._lookup, np.sort(word[:100]), word)[0] < 13
+    finally:
+        tracemalloc.stop()
+
+
+def test_cross_entropy_hands_texts_over_in_small_batches(spark, docs):
+    name, most = ARROW_BATCH
+    before = spark.conf.get(name, None)
+    spark.conf.unset(name)
+    try:
+        E.difference(docs(["a b", "c"]), docs(["a b"]))
+        assert spark.conf.get(name) in (most, str(4 << 20))
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def test_cross_entropy_of_many_rows_without_words(spark, docs, monkeypatch):
     """Rows without words make chunks too, also without any bigram; large counts come back whole."""
     monkeypatch.setattr(E, "ROWS", 5)
