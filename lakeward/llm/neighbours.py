@@ -5,9 +5,13 @@ Every vector starts with neighbours chosen by hash.  In each round the vectors
 that share a neighbour are compared there, a Spark join bringing the vectors to
 the node where they meet, and each keeps the nearest it has seen; only pairs
 with a link that is new count.  A search walks the graph from a query's own
-node: all queries at once expand the nodes of their beams by a join with the
-graph, until no beam has a node left to expand.  Graph and beams hold vectors of
+node: all queries at once expand the nodes of their beams where the graph has
+them, until no beam has a node left to expand.  Graph and beams hold vectors of
 one byte a component; the nearest of a beam are then compared exactly.
+
+Rounds and steps of the search are many and mostly short, so each has as few
+shuffles as it can: five a round, two a step.  Links and beams have a row of
+their node's own (``b`` is the node), which brings its vector along.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ DEGREE, REVERSE, START, ROUNDS, STILL = 20, 20, 6, 9, 0.02
 BEAM, EXACT = 400, 100
 #: Nodes whose neighbours a task compares at once.
 TOGETHER = 512
+#: Nodes to expand, at most, that a step of the search sends to every task, to read these of the graph only.
+FEW = 100_000
 
 
 def prepared(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -72,6 +78,25 @@ def _nearest(rows: DataFrame, of: str, k: int) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place")
 
 
+def _best(rows: DataFrame, of: str, flag: str, k: int) -> DataFrame:
+    """Of rows (``of``, b, s, ``flag``, code, scale), some there more than once: the ``k``
+    of each ``of`` with the largest ``s``, ``flag`` if all of them have it, and besides the
+    row of its own; with ``least``, the ``s`` that another has to exceed.  Spark keeps no
+    more than these of any part before it brings them together, in one shuffle."""
+    each = Window.partitionBy(of)
+    place = F.dense_rank().over(each.orderBy(F.desc(F.col("b") == F.col(of)), F.desc("s"), "b"))      # one for the same b
+    best = (rows.withColumn("place", place).where(F.col("place") <= k + 1).groupBy(of, "b")
+            .agg(F.min(flag).alias(flag), *[F.max(c).alias(c) for c in ("s", "code", "scale")])
+            .withColumn("place", F.row_number().over(each.orderBy(F.desc(F.col("b") == F.col(of)), F.desc("s"), "b"))))
+    return (best.where(F.col("place") <= k + 1)
+            .withColumn("least", F.when(F.count("s").over(each) >= k, F.min("s").over(each)).otherwise(-np.inf)).drop("place"))
+
+
+def _found(rows: DataFrame, flag: str) -> DataFrame:
+    """``rows`` as new ones for ``_best``: they have ``flag`` and no vector."""
+    return rows.withColumns({flag: F.lit(True), "code": F.lit(None).cast("binary"), "scale": F.lit(None).cast("double")})
+
+
 def _chosen(nodes: DataFrame, total: int, degree: int) -> DataFrame:
     """Links (``a``, ``b``) of every node with ``degree`` others chosen by hash,
     or with all others if there are no more."""
@@ -103,15 +128,16 @@ def _table(codes) -> np.ndarray:
 
 
 def _met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """From rows (at, b, new, least, code, scale) in order of ``at``: pairs of the
-    ``b`` of one ``at`` with a new link among theirs, nearer than the first's
-    ``least``, as links (a, b, s)."""
+    """From rows (at, b, new, least, code, scale) in order of ``at`` and ``b``, new ones
+    first: pairs of the ``b`` of one ``at`` with a new link among theirs, nearer than the
+    first's ``least``, as links (a, b, s)."""
     held = None
     for batch in _and_none(batches):
         if batch is not None:
             held = batch if held is None else pd.concat([held, batch], ignore_index=True)
         if held is None or not len(held):
             continue
+        held = held[~held.duplicated(["at", "b"])]          # linked both ways
         at = held["at"].to_numpy()
         starts = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(at)]))
         whole = len(starts) - 1 if batch is None else len(starts) - 2       # the last node's rows may go on
@@ -153,23 +179,20 @@ def descend(nodes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE, roun
     total = light.count()
     chosen = (_chosen(nodes, total, min(degree, START) if total - 1 > degree else degree).join(light.withColumnRenamed("node", "a"), "a")
               .join(light.select(F.col("node").alias("b"), F.col("code").alias("code2"), F.col("scale").alias("scale2")), "b"))
-    links = cut(chosen.mapInPandas(_scored, "a long, b long, s double").withColumn("new", F.lit(True)), "links")
+    none = F.lit(None).cast("double")
+    alone = light.select(F.col("node").alias("a"), F.col("node").alias("b"), none.alias("s"), F.lit(False).alias("new"), "code", "scale")
+    links = cut(_best(alone.unionByName(_found(chosen.mapInPandas(_scored, "a long, b long, s double"), "new")), "a", "new", degree), "links")
     for i in range(rounds if total - 1 > degree else 0):
-        back = _nearest(links.select(F.col("b").alias("to"), F.col("a").alias("b"), "s", "new"), "to", reverse if i else min(reverse, START))
-        meet = (links.select(F.col("a").alias("at"), "b", "new").unionAll(back.select("to", "b", "new"))
-                .groupBy("at", "b").agg(F.max("new").alias("new")))
-        # where nothing is new no pair is either
-        meet = meet.join(meet.where("new").select("at").distinct(), "at", "left_semi") if i else meet
-        least = links.groupBy("a").agg(F.when(F.count("*") >= degree, F.min("s")).otherwise(-np.inf).alias("least"))
-        carried = cut(light.join(least, light["node"] == least["a"]).select(F.col("node").alias("b"), "least", "code", "scale"), "carried")
-        found = (meet.join(carried, "b").select("at", "b", "new", "least", "code", "scale")
-                 .transform(_together, "at").mapInPandas(_met, "a long, b long, s double"))
-        merged = (links.select("a", "b", "s", F.lit(False).alias("new")).unionAll(found.withColumn("new", F.lit(True)))
-                  .groupBy("a", "b").agg(F.max("s").alias("s"), F.min("new").alias("new")))
-        links = cut(_nearest(merged, "a", degree), "links")
-        if links.agg(F.avg(F.col("new").cast("double"))).first()[0] < STILL:
+        near, own = links.where("a != b"), links.where("a = b")
+        back = _nearest(near.select(F.col("b").alias("to"), F.col("a").alias("b"), "s", "new"), "to", reverse if i else min(reverse, START))
+        meet = near.select(F.col("a").alias("at"), "b", "new").unionAll(back.select("to", "b", "new"))
+        found = (meet.join(own.select("b", "least", "code", "scale"), "b").select("at", "b", "new", "least", "code", "scale")
+                 .transform(_together, "at", F.col("b"), F.desc("new")).mapInPandas(_met, "a long, b long, s double"))
+        rows = links.select("a", "b", "s", F.lit(False).alias("new"), "code", "scale").unionByName(_found(found, "new"))
+        links = cut(_best(rows, "a", "new", degree), "links")
+        if links.where("a != b").agg(F.avg(F.col("new").cast("double"))).first()[0] < STILL:
             break
-    return links.select("a", "b", "s")
+    return links.where("a != b").select("a", "b", "s")
 
 
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -214,22 +237,21 @@ def search(nodes: DataFrame, links: DataFrame, queries: DataFrame, beam: int = B
     graph = cut(around.select("at", none.cast("long").alias("q"), none.cast("double").alias("least"), none.cast("binary").alias("code"),
                               none.cast("double").alias("scale"), F.col("x.b").alias("around"), F.col("x.code").alias("codes"),
                               F.col("x.scale").alias("scales")), "graph")
-    asked = light.join(queries.select("node"), "node", "left_semi").select(F.col("node").alias("q"), "code", "scale")
-    asked = cut(asked, "queries")
-    beams = cut(asked.select("q", F.col("q").alias("b"), F.lit(-np.inf).alias("s"), F.lit(True).alias("open")), "beams")
-    while not (ends := beams.where("open")).isEmpty():
-        least = beams.where("q != b").groupBy("q").agg(F.when(F.count("*") >= beam, F.min("s")).otherwise(-np.inf).alias("least"))
-        sent = (ends.select("q", F.col("b").alias("at")).join(asked, "q").join(least, "q", "left")
-                .select("at", "q", F.coalesce("least", F.lit(-np.inf)).alias("least"), "code", "scale",
-                        none.cast("array<long>").alias("around"), none.cast("array<binary>").alias("codes"),
-                        none.cast("array<double>").alias("scales")))
-        where = graph.join(ends.select(F.col("b").alias("at")).distinct(), "at", "left_semi")
+    asked = light.join(queries.select("node"), "node", "left_semi")
+    beams = cut(asked.select(F.col("node").alias("q"), F.col("node").alias("b"), none.cast("double").alias("s"), F.lit(True).alias("open"),
+                             F.lit(-np.inf).alias("least"), "code", "scale"), "beams")
+    own = F.col("q") == F.col("b")
+    while count := (ends := beams.where("open")).count():
+        sent = ends.select(F.col("b").alias("at"), "q", "least", "code", "scale", none.cast("array<long>").alias("around"),
+                           none.cast("array<binary>").alias("codes"), none.cast("array<double>").alias("scales"))
+        where = graph if count > FEW else graph.join(F.broadcast(ends.select(F.col("b").alias("at"))), "at", "left_semi")
         found = (where.unionByName(sent).transform(_together, "at", F.asc_nulls_first("q"))
-                 .mapInPandas(_walk, "q long, b long, s double").withColumn("open", F.lit(True)))
-        seen = (beams.where("q != b").withColumn("open", F.lit(False)).unionByName(found)
-                .groupBy("q", "b").agg(F.max("s").alias("s"), F.min("open").alias("open")))
-        beams = cut(_nearest(seen, "q", beam), "beams")
-    return beams.where("q != b").select("q", "b", "s")
+                 .mapInPandas(_walk, "q long, b long, s double"))
+        seen = beams.select("q", "b", "s", F.lit(False).alias("open"), *[F.when(own, F.col(c)).alias(c) for c in ("code", "scale")])
+        best = _best(seen.unionByName(_found(found, "open")), "q", "open", beam)
+        beams = cut(best.withColumns({c: F.when(F.col("open") | own, F.max(c).over(Window.partitionBy("q"))) for c in ("code", "scale")}),
+                    "beams")
+    return beams.where(~own).select("q", "b", "s")
 
 
 def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

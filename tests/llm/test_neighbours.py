@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -69,3 +71,40 @@ def test_many_copies_of_a_vector(spark):
     assert got.keys() == want.keys()
     near = [abs(sum(s for *_, s in got[q]) - sum(s for *_, s in want[q])) < 1e-6 for q in want]
     assert np.mean(near) > 0.9
+
+
+def test_rounds_and_steps_have_few_shuffles(spark, monkeypatch):
+    """A round has five and a step of the search two: many short stages of many tasks are what they cost."""
+    rng = np.random.default_rng(6)
+    rows = [(i, np.float32(rng.normal(size=4))) for i in range(200)]
+    shuffles, cut = {}, neighbours.cut
+
+    def counted(df, name, *args):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = plan[plan.find("== Initial Plan"):] if "== Initial Plan" in plan else plan
+        shuffles.setdefault(name, []).append(len(re.findall(r"(?<![A-Za-z])Exchange ", plan)))
+        return cut(df, name, *args)
+    monkeypatch.setattr(neighbours, "cut", counted)
+    assert len(found(neighbours.nearest(table(spark, rows), F.col("id") % 20 == 0, k=5, degree=10, beam=50))) == 10
+    assert len(shuffles["links"]) > 2 and max(shuffles["links"][1:]) <= 5
+    assert len(shuffles["beams"]) > 2 and max(shuffles["beams"][1:]) <= 2
+    assert "carried" not in shuffles
+
+
+@pytest.mark.parametrize("few", [0, 10 ** 6])
+def test_whole_graph_or_few_of_its_nodes(spark, monkeypatch, few):
+    monkeypatch.setattr(neighbours, "FEW", few)
+    rng = np.random.default_rng(7)
+    rows = [(i, np.float32(rng.normal(size=3))) for i in range(150)]
+    got, want = found(neighbours.nearest(table(spark, rows), F.col("id") % 20 == 0, k=5, degree=10, beam=150)), brute(rows, 5)
+    assert {q: [r[1] for r in v] for q, v in got.items()} == {q: [r[1] for r in v] for q, v in want.items()}
+
+
+def test_rows_of_one_neighbour_count_once(spark):
+    """What is found again takes no place of another, in Spark's first selection either."""
+    rows = [(1, 1, None, False, b"x", 0.5)] + [(1, b, float(b), b % 2 == 0, None, None) for b in (2, 3, 4, 5)] * 3 + [(1, 5, 5.0, False, None, None)]
+    t = spark.createDataFrame(rows, "a long, b long, s double, new boolean, code binary, scale double").repartition(4)
+    got = {r.b: r for r in neighbours._best(t, "a", "new", 3).collect()}
+    assert sorted(got) == [1, 3, 4, 5] and {r.least for r in got.values()} == {3.0}
+    assert [got[b].new for b in (1, 3, 4, 5)] == [False, False, True, False]
+    assert bytes(got[1].code) == b"x" and got[1].scale == 0.5 and got[4].code is None
