@@ -61,3 +61,16 @@ def test_alignment_is_a_longest_common_subsequence():
         assert [i for i, _ in out if i is not None] == list(range(len(a))) and [j for _, j in out if j is not None] == list(range(len(b)))
         both = [(i, j) for i, j in out if None not in (i, j)]
         assert all(a[i] == b[j] for i, j in both) and len(both) == best[-1][-1]
+
+
+def test_pages_are_read_by_their_place_in_the_expression(spark):
+    """A page whose story is one element deeper than the others' has no element with the region's path: aligned
+    with the expression, it has the region.  Its texts are template where the expression has them, not in slots."""
+    def story(i):
+        wide = ("<div class=wide>", "</div>") if i % 8 == 0 else ("", "")
+        said = "Home" if i == 3 else f"said {i}"
+        return (f"<html><body><div class=top>Home</div><div class=side><b>Side {i}</b></div>{wide[0]}<div id=story><h2>Title {i}</h2>{words(i)}"
+                f"<h3>{said}</h3><p>Read <b>more</b></p></div>{wide[1]}<div class=foot>All rights</div></body></html>")
+    rows = [(i, "https://d.example/x", story(i)) for i in range(20)]
+    got = texts(spark.createDataFrame(rows, PAGES).repartition(3))
+    assert got == {i: [f"Title {i}", words(i)[3:-4], "Home" if i == 3 else f"said {i}"] for i in range(20)}
