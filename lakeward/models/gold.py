@@ -3,10 +3,9 @@
 Team and resource marts join distributions -> stock/video bridge -> daily
 video metrics.  Written literally that is a three-way fan-out (every
 distribution row times every metric day of every video of the stock); here
-each side is aggregated to its join key first (metric sums per video, stock
-sums per stock, distribution row counts per (team, stock)) and the totals are
-multiplied back, which gives the same sums with inputs that shrink before
-each shuffle.
+each side is aggregated to its join key first (metric sums per video,
+distribution row counts per (team, stock)) and the totals are multiplied back,
+which gives the same sums with inputs that shrink before each shuffle.
 """
 
 from __future__ import annotations
@@ -57,7 +56,7 @@ def _growth(kind: str) -> Column:
 
 
 #: An amount is summed in three parts: millionths, whole units below LOW, and the rest, which is rare.
-MICRO, LOW = 10 ** 6, 10 ** 9
+MICRO, LOW = 10 ** 6, 10 ** 6
 
 
 def _parts(k: str) -> list[Column]:
@@ -73,6 +72,24 @@ def _part_sums(k: str, times: Column) -> list[Column]:
     return [F.sum(F.col(f"{k}_{part}") * times).alias(f"{k}_{part}") for part in ("micro", "low", "high")]
 
 
+def _packed(rows: DataFrame, key: str, kinds: list[str], flags: list[str]) -> DataFrame:
+    """The months of each ``key`` with their parts of amounts as one row of short arrays; the rare part is null without any."""
+    fields = [F.col("month"), *flags]
+    for k in kinds:
+        fields += [(F.col(f"{k}_low") * F.lit(MICRO) + F.col(f"{k}_micro")).alias(k), f"{k}_high"]
+    out = rows.groupBy(key).agg(F.collect_list(F.struct(*fields)).alias("m"))
+    rare = [F.when(F.exists(F.col(f"m.{k}_high"), lambda x: x.isNotNull()), F.col(f"m.{k}_high")).alias(f"{k}_high") for k in kinds]
+    return out.select(key, *[F.col(f"m.{c}").alias(c) for c in ("month", *flags, *kinds)], *rare)
+
+
+def _unpacked(rows: DataFrame, keep: list[str], kinds: list[str], flags: list[str]) -> DataFrame:
+    """A row for each month of :func:`_packed`, one without a month for a row that has none."""
+    rows = rows.select(*keep, *flags, *kinds, *[f"{k}_high" for k in kinds], F.posexplode_outer("month").alias("__at", "month"))
+    rows = rows.select(*keep, "month", *[F.get(c, F.col("__at")).alias(c) for c in (*flags, *kinds, *[f"{k}_high" for k in kinds])])
+    return rows.select(*keep, "month", *flags, *[f"{k}_high" for k in kinds],
+                       *[c for k in kinds for c in ((F.col(k) % F.lit(MICRO)).alias(f"{k}_micro"), F.expr(f"{k} div {MICRO}").alias(f"{k}_low"))])
+
+
 def _whole(k: str) -> Column:
     """The amount of summed parts."""
     micro = F.col(f"{k}_micro").cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)")
@@ -89,8 +106,8 @@ def mart_team_usage(ctx: ModelContext) -> DataFrame:
     team_dist = fd.groupBy("team").agg(F.count("hg_stock_id").alias("distributed_resources"))
     fd_counts = fd.filter(F.col("hg_stock_id").isNotNull()).groupBy("team", "hg_stock_id").agg(F.count(F.lit(1)).alias("__rows"))
 
-    # the metric table once, both kinds side by side: sums per (video, month), then
-    # per (stock, month), then times the distribution rows of each (team, stock)
+    # the metric table once, both kinds side by side: sums per (video, month), whose months go as one row to
+    # the stocks of the video, and from there to the teams of the stock; teams' months are added up after that
     kinds = list(KINDS)
     parts = [f"{k}_{part}" for k in kinds for part in ("micro", "low", "high")]
     flags = [f"has_{k}" for k in kinds]
@@ -98,16 +115,16 @@ def mart_team_usage(ctx: ModelContext) -> DataFrame:
     per_video = m.groupBy(F.col("__v").alias("video_id"), month_start("Date").alias("month")).agg(
         *[F.sum(F.when(F.col(flag), F.col(value).cast(L.NUMERIC))).alias(k) for k, (flag, value) in KINDS.items()],
         *[F.max(F.col(flag)).alias(f"has_{k}") for k, (flag, _) in KINDS.items()])
+    per_video = _packed(per_video.select("video_id", "month", *[c for k in kinds for c in _parts(k)], *flags), "video_id", kinds, flags)
     # a stock is used when one of its (stock, video) pairs has a published video:
     # these videos go with the metrics as rows without a month
     published = ctx.ref("dim_video").filter(F.col("published_date").isNotNull()).select("video_id")
     sv = ctx.ref("int_stock_video").filter(F.col("hg_stock_id").isNotNull())
-    per_stock = sv.join(per_video.unionByName(published, allowMissingColumns=True), "video_id").groupBy("hg_stock_id", "month").agg(
-        *[F.sum(k).cast(L.NUMERIC).alias(k) for k in kinds], *[F.max(f).alias(f) for f in flags])
-    # the widest step, teams x months of a stock, adds longs
-    per_stock = per_stock.select("hg_stock_id", "month", *[c for k in kinds for c in _parts(k)], *flags)
-    monthly = fd_counts.join(per_stock, "hg_stock_id").groupBy("team", "month").agg(
-        F.count(F.lit(1)).alias("stocks"), *[c for k in kinds for c in _part_sums(k, F.col("__rows"))], *[F.max(f).alias(f) for f in flags])
+    per_stock = sv.join(per_video.unionByName(published, allowMissingColumns=True), "video_id").drop("video_id")
+    # the widest step, teams x months of a stock's video, adds longs
+    monthly = _unpacked(fd_counts.join(per_stock, "hg_stock_id"), ["team", "hg_stock_id", "__rows"], kinds, flags).groupBy("team", "month").agg(
+        F.count_distinct(F.when(F.col("month").isNull(), F.col("hg_stock_id"))).alias("stocks"),
+        *[c for k in kinds for c in _part_sums(k, F.col("__rows"))], *[F.max(f).alias(f) for f in flags])
     usage = F.max(F.when(F.col("month").isNull(), F.col("stocks"))).alias("usage_resources")
     # a handful of rows from here on; rows without a month have no amounts and come first
     monthly = monthly.withColumns({k: _whole(k) for k in kinds}).drop(*parts)

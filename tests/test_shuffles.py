@@ -58,3 +58,30 @@ def test_items_without_a_code_are_split(spark):
     for key in ("own_hg", "released_isrc"):
         mine = [x for x in by if re.search(rf"\b{key}#", x) and len(x.split(", ")) <= 2]
         assert mine and all(len(x.split(", ")) > 1 for x in mine)
+
+
+def test_months_of_a_video_travel_as_one_row(spark):
+    """Packed months give back their amounts, also large, negative and missing ones; a key without months has a row without one."""
+    amounts = ["0.000001", "-0.000001", "123456789012345678901234.654321", "-999999999.999999", "1000000", "-1000000.5", None, "0", "999999.999999"]
+    rows = spark.createDataFrame([(f"v{i % 4}", i, a, i % 3 == 0) for i, a in enumerate(amounts * 2)], "v string, month int, a string, has_a boolean")
+    rows = rows.withColumn("a", F.col("a").cast("decimal(38,6)"))
+    packed = gold._packed(rows.select("v", "month", *gold._parts("a"), "has_a"), "v", ["a"], ["has_a"])
+    assert packed.count() == 4
+    packed = packed.unionByName(spark.createDataFrame([("w",)], "v string"), allowMissingColumns=True)
+    got = gold._unpacked(packed, ["v"], ["a"], ["has_a"]).groupBy("v", "month", "has_a").agg(*gold._part_sums("a", F.lit(1)))
+    got = got.select("v", "month", gold._whole("a").alias("a"), "has_a").collect()
+    want = [*rows.collect(), ("w", None, None, None)]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, map(tuple, want)))
+
+
+def test_team_usage_does_not_deal_months_of_stocks(spark):
+    """A video's months go to its stocks and on to the teams, without a shuffle of every stock's months by stock and month."""
+    from lakeward.plans.warehouse import driver_context
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by = exchanges(driver_context(spark, "/root/testdata/sf0.001").ref("mart_team_usage"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert any(re.fullmatch(r"hg_stock_id#\d+", x) for x in by)
+    assert not any(re.fullmatch(r"hg_stock_id#\d+, month#\d+", x) for x in by)
